@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from . import url_filters
+from . import byte_bpe, token_counts, url_filters
 
 QUERIES = {
     "op1_url_filters": url_filters.op1_url_filters,
+    "op4_token_counts": token_counts.op4_token_counts,
+    "op8_byte_bpe": byte_bpe.op8_byte_bpe,
 }
 ORACLES = {
     "op1_url_filters": url_filters.ORACLE,
