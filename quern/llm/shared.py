@@ -213,10 +213,10 @@ class PieceCache:
         """Starts and lengths in self.pool, valid until the next call."""
         if len(self.row) > self.most:
             self.clear()
-        new = [p for p in pieces if p not in self.row]
+        new = list(dict.fromkeys(p for p in pieces if p not in self.row))  # whole texts can be given twice
         if new:
             values, lengths = self.compute(new)
-            base = len(self.row)
+            base = len(self.starts)
             self.row.update(zip(new, range(base, base + len(new))))
             self.starts = np.concatenate([self.starts, len(self.pool) + np.cumsum(lengths) - lengths])
             self.lengths = np.concatenate([self.lengths, lengths.astype(np.int64)])
