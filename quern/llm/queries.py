@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import byte_bpe, fingerprints, language_id, mixing, sharding, token_counts, url_filters
+from . import byte_bpe, fingerprints, language_id, mixing, sharding, token_counts, token_files, url_filters
 
 QUERIES = {
     "op1_url_filters": url_filters.op1_url_filters,
     "op4_token_counts": token_counts.op4_token_counts,
     "op5_mix_sources": mixing.op5_mix_sources,
     "op6_sharding": sharding.op6_sharding,
+    "op7_token_files": token_files.op7_token_files,
     "op8_byte_bpe": byte_bpe.op8_byte_bpe,
     "op9_fingerprints": fingerprints.op9_fingerprints,
     "op10_language_id": language_id.op10_language_id,
