@@ -208,29 +208,33 @@ def decode_ids(encoded: DataFrame, ranks: str, pattern: str, id_col: str = "doc_
             n = np.array([0 if x is None else x for x in pa.compute.list_value_length(lists).to_pylist()], dtype=np.int64)
             ids = lists.flatten().to_numpy(zero_copy_only=False)
             out, bounds = bpe.decode(ids, np.concatenate([[0], np.cumsum(n)]))
-            yield pa.RecordBatch.from_arrays([b.column(0), lists, pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer(bounds.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(out))])], ["doc_id", "ids", "decoded"])
+            yield pa.RecordBatch.from_arrays([b.column(0), lists, _binary(out, bounds)], ["doc_id", "ids", "decoded"])
 
     return encoded.select(F.col(id_col).cast("long"), F.col(ids_col)).mapInArrow(run, "doc_id long, ids array<int>, decoded binary")
 
 
-def digests(decoded: DataFrame) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256 of decode_ids()'s rows."""
+def _binary(data: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    return pa.Array.from_buffers(pa.binary(), len(bounds) - 1, [None, pa.py_buffer(bounds.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(data))])
 
-    def run(batches):
-        for b in batches:
-            lists, blobs = b.column(1), b.column(2)
-            bounds = lists.offsets.to_numpy()
-            ids = lists.values.to_numpy(zero_copy_only=False).astype("<u4")
-            one = [hashlib.sha256(ids[i:j]).hexdigest() for i, j in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
-            two = [hashlib.sha256(x.as_py()).hexdigest() for x in blobs]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.diff(bounds).astype(np.int64)), pa.array(one, pa.string()), pa.array(two, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return decoded.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+def round_trip(docs: DataFrame, ranks: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, n_tokens, ids_sha256, decoded_sha256: digests of every text's ids and of the bytes that they decode to.
+
+    Both ways in one pass over a batch, so that ids and bytes don't travel between worker processes.
+    """
+    raw = _shipped(docs, ranks)
 
+    def run(batches):
+        bpe = _loaded(raw.value, pattern)
+        for b in text_batches(batches, 512):
+            ids, bounds = bpe.encode(b.column(1))
+            out, ends = bpe.decode(ids, bounds)
+            wide = ids.astype("<u4")
+            one = [hashlib.sha256(wide[i:j]).hexdigest() for i, j in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
+            two = [hashlib.sha256(out[i:j]).hexdigest() for i, j in zip(ends[:-1].tolist(), ends[1:].tolist())]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.diff(bounds)), pa.array(one, pa.string()), pa.array(two, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-def round_trip(docs: DataFrame, ranks: str, pattern: str) -> DataFrame:
-    """The digests of every document's ids and of the bytes they decode to."""
-    return digests(decode_ids(encode_texts(docs, ranks, pattern), ranks, pattern))
+    return docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def op8_byte_bpe(spark, sf_dir: str) -> DataFrame:

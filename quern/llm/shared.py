@@ -200,7 +200,7 @@ class Words:
 class PieceCache:
     """Maps distinct pieces to numbers held in one pool; each Python worker keeps it between batches, up to a bound."""
 
-    def __init__(self, compute, most: int = 400_000):
+    def __init__(self, compute, most: int = 250_000):
         """compute: list of new pieces -> (int array of all their values, int array of their lengths)."""
         self.compute, self.most = compute, most
         self.clear()
