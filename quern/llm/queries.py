@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import byte_bpe, embedding_dedup, fingerprints, language_id, mixing, sharding, token_counts, token_files, url_filters
+from . import byte_bpe, embedding_dedup, fingerprints, language_id, mixing, ngram_join, sharding, token_counts, token_files, url_filters
 
 QUERIES = {
     "op1_url_filters": url_filters.op1_url_filters,
     "op2_embedding_dedup": embedding_dedup.op2_embedding_dedup,
+    "op3_ngram_join": ngram_join.op3_ngram_join,
     "op4_token_counts": token_counts.op4_token_counts,
     "op5_mix_sources": mixing.op5_mix_sources,
     "op6_sharding": sharding.op6_sharding,
@@ -18,6 +19,7 @@ QUERIES = {
 ORACLES = {
     "op1_url_filters": url_filters.ORACLE,
     "op2_embedding_dedup": embedding_dedup.ORACLE,
+    "op3_ngram_join": ngram_join.ORACLE,
     "op5_mix_sources": mixing.ORACLE,
     "op6_sharding": sharding.ORACLE,
 }
