@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Suffixes of containers, formats by extension, categories by extension.
@@ -30,6 +30,16 @@ def let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def settled(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """df with the columns computed once for each row, however often what follows uses them.
+
+    A generator of one row stands between: the optimizer neither copies the expressions into later ones nor pushes filters
+    on them down, which would repeat them many times over.
+    """
+    kept = [c for c in df.columns if c not in columns]
+    return df.select(*[F.col(f"`{c}`") for c in kept], F.inline(F.array(F.struct(*[v.alias(k) for k, v in columns.items()]))))
+
+
 def extension_of(name: Column) -> Column:
     """The core extension under all wrappers, lower-cased, or null."""
     found = F.regexp_extract(F.lower(name), r"(?s)(\.(?:" + _CORES + r"))(?:\.(?:" + "|".join(WRAPPERS) + r"))*\z", 1)

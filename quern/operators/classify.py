@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quern.functions.headers import archive, illumina, lines_of, pacbio, paired_end, sam_lines, search
-from quern.functions.names import extension_of, parse_name, settled_extension
+from quern.functions.names import extension_of, parse_name, settled, settled_extension
 from quern.functions.reference import ASSEMBLIES, CHROMS, by_bed, sam_contigs, vcf_contigs, vote_winner
 from quern.plans.compile import claim, rule_ids, with_claims, with_matches
 from quern.plans.rules import CONTENT_TIER, FIELDS, NOT_APPLICABLE, NOT_CLASSIFIED, RULES, checked
@@ -44,16 +44,18 @@ def route(files: DataFrame) -> DataFrame:
 def _prepared(files: DataFrame, default: str | None = None) -> DataFrame:
     missing = {c: t for c, t in (("dataset_title", "string"), ("file_size", "long"), ("file_format", "string")) if c not in files.columns}
     files = files.withColumns({c: F.lit(None).cast(t) for c, t in missing.items()})
-    return files.withColumn("name", parse_name(F.col("file_name"))).withColumn("ext", settled_extension(F.col("file_name"), F.lit(default) if default else F.col("file_format")))
+    files = settled(files, {"file_name": F.col("file_name")})
+    return settled(files, {"name": parse_name(F.col("file_name")), "ext": settled_extension(F.col("file_name"), F.lit(default) if default else F.col("file_format"))})
 
 
 def _inferred(df: DataFrame) -> DataFrame:
     assay = inferred_assay(resolve("data_modality")["value"], resolve("platform")["value"], F.col("ext"), F.col("file_size"), rule_ids())
-    return df.withColumn("assay_type", with_assay("assay_type", assay))
+    return settled(df, {"assay_type": with_assay("assay_type", assay)})
 
 
 def _finished(df: DataFrame, keep: list[str], extra: tuple[str, ...] = ()) -> DataFrame:
-    return df.select(*keep, F.struct(*[entry(f).alias(f) for f in FIELDS]).alias("classifications"), *extra)
+    df = settled(df, {f: F.col(f) for f in FIELDS})
+    return settled(df, {"classifications": F.struct(*[entry(f).alias(f) for f in FIELDS])}).select(*keep, "classifications", *extra)
 
 
 def _base(files: DataFrame, default: str | None, header: Column | None = None, scope: str | None = None) -> DataFrame:
@@ -68,7 +70,7 @@ def classify(files: DataFrame) -> DataFrame:
 def classify_alignments(files: DataFrame) -> DataFrame:
     """files with `header_text` (SAM header): header rules, then the contigs' vote."""
     text = F.col("header_text")
-    df = _base(files, ".bam", text, "header").withColumn("vote", vote_winner(sam_contigs(sam_lines(text, "@SQ"))))
+    df = settled(_base(files, ".bam", text, "header"), {"vote": vote_winner(sam_contigs(sam_lines(text, "@SQ")))})
     hit = F.col("vote.assembly").isNotNull()
     reason = F.concat(F.col("vote.matches").cast("string"), F.lit(" contig lengths are those of "), F.col("vote.assembly"))
     df = df.withColumn("reference_assembly", add_if(F.col("reference_assembly"), hit, claim("contig_length_detection", reason, CONTENT_TIER, F.col("vote.assembly"))))
@@ -79,7 +81,7 @@ def classify_alignments(files: DataFrame) -> DataFrame:
 def classify_variants(files: DataFrame) -> DataFrame:
     """files with `header_text` (VCF header)."""
     text = F.col("header_text")
-    df = _base(files, ".vcf.gz", text, "vcf_header").withColumn("vote", vote_winner(vcf_contigs(F.filter(lines_of(text), lambda x: x.startswith("##contig")))))
+    df = settled(_base(files, ".vcf.gz", text, "vcf_header"), {"vote": vote_winner(vcf_contigs(F.filter(lines_of(text), lambda x: x.startswith("##contig"))))})
     reason = F.concat(F.col("vote.matches").cast("string"), F.lit(" contig lengths are those of "), F.col("vote.assembly"))
     df = df.withColumn("reference_assembly", add_if(F.col("reference_assembly"), F.col("vote.assembly").isNotNull(), claim("vcf_contig_length", reason, CONTENT_TIER, F.col("vote.assembly"))))
     return _finished(df, files.columns)
@@ -95,9 +97,9 @@ def classify_reads(files: DataFrame) -> DataFrame:
     given = F.coalesce(F.size(reads) > 0, F.lit(False)) & (F.coalesce(F.try_element_at(reads, F.lit(1)), F.lit("")) != "")
     first = F.try_element_at(reads, F.lit(1))
     df = _base(files.withColumn("_first", F.when(given, first)), ".fastq.gz", F.col("_first"), "fastq_header")
-    df = df.withColumn("_archive", archive(F.col("_first"))).withColumns({f"_own_{f}": F.col(f) for f in FIELDS})
+    df = settled(df, {"_archive": archive(F.col("_first")), **{f"_own_{f}": F.col(f) for f in FIELDS}})
     rest = F.when((F.trim(F.col("_archive.remainder")) != "") & F.col("_archive.accession").isNotNull(), F.concat(F.lit("@"), F.trim(F.col("_archive.remainder"))))
-    again = _inferred(with_claims(with_matches(df.withColumn("_rest", rest), F.col("_rest"), "fastq_header")))
+    again = _inferred(with_claims(with_matches(settled(df, {"_rest": rest}), F.col("_rest"), "fastq_header")))
     adopt = F.coalesce(~declared("_own_platform") & F.col("_rest").isNotNull() & resolve("platform")["value"].isNotNull(), F.lit(False))
 
     def field(f):
@@ -123,7 +125,7 @@ def classify_reads(files: DataFrame) -> DataFrame:
         "archive_accession": last["accession"],
         "archive_source": last["source"],
     }
-    out = again.withColumns({f"_x_{k}": F.when(given, v) for k, v in extra.items()})
+    out = settled(again, {f"_x_{k}": F.when(given, v) for k, v in extra.items()})
     return out.select(*files.columns, F.struct(*[field(f).alias(f) for f in FIELDS]).alias("classifications"), *[F.col(f"_x_{k}").alias(k) for k in extra])
 
 
@@ -134,13 +136,13 @@ def classify_sequences(files: DataFrame) -> DataFrame:
     df = _base(files, ".fa.gz")
     ref = F.filter(names, lambda c: F.array_contains(known, c))
     other = F.filter(names, lambda c: ~F.array_contains(known, c))
-    df = df.withColumn("_ref", F.size(ref)).withColumn("_asm", F.filter(other, lambda c: search(c, ASSEMBLER))).withColumn("_tx", F.filter(other, lambda c: ~search(c, ASSEMBLER) & search(c, TRANSCRIPT)))
+    df = settled(df, {"_ref": F.size(ref), "_asm": F.filter(other, lambda c: search(c, ASSEMBLER)), "_tx": F.filter(other, lambda c: ~search(c, ASSEMBLER) & search(c, TRANSCRIPT))})
     # the three assemblies share their contig names, so that a name count alone never tells them apart
     kind = (
         F.when(F.size(names) == 0, "empty").when((F.size("_tx") > 0) & (F.size("_tx") > F.col("_ref")), "transcripts").when(F.col("_ref") >= 20, "reference")
         .when(F.size("_asm") > 0, "assembler").when((F.size(names) > 50) & (F.col("_ref") == 0), "many").otherwise("default")
     )
-    df = df.withColumn("_kind", kind).withColumn("_own", resolve("reference_assembly")["value"])
+    df = settled(df, {"_kind": kind, "_own": resolve("reference_assembly")["value"]})
     is_, n = lambda k: F.col("_kind") == k, F.size(names).cast("string")
     C = lambda rule, reason, **v: claim(rule, reason, CONTENT_TIER, **v)  # noqa: E731, N806
     free = {f: ~declared(f) for f in ("data_modality", "data_type")}
@@ -206,7 +208,7 @@ def classify_archives(files: DataFrame) -> DataFrame:
     """files with `member_names` (array): a variant store by its files' names, else what the commonest members are."""
     members = F.coalesce("member_names", F.array().cast("array<string>"))
     df = _prepared(files).withColumn("ext", F.coalesce(extension_of(F.col("file_name")), F.lit("")))
-    df = _inferred(with_claims(with_matches(df))).withColumn("_store", is_variant_store(members)).withColumn("_dom", dominant_extension(members))
+    df = settled(_inferred(with_claims(with_matches(df))), {"_store": is_variant_store(members), "_dom": dominant_extension(members)})
     reason = F.when(F.col("_store"), F.lit("files of a variant store")).otherwise(F.concat(F.col("_dom.n").cast("string"), F.lit(" members end in "), F.col("_dom.extension"), F.lit(", first "), F.col("_dom.example")))
     new = {}
     for f, store in (("data_modality", "genomic"), ("data_type", "variants")):
@@ -217,7 +219,7 @@ def classify_archives(files: DataFrame) -> DataFrame:
 
 def classify_intervals(files: DataFrame) -> DataFrame:
     """files with `bed` (struct chromosomes, has_chr_prefix, max_coordinates, line_count)."""
-    df = _base(files, ".bed").withColumn("_bed", by_bed(F.col("bed.chromosomes"), F.col("bed.has_chr_prefix"), F.col("bed.max_coordinates")))
+    df = settled(_base(files, ".bed"), {"_bed": by_bed(F.col("bed.chromosomes"), F.col("bed.has_chr_prefix"), F.col("bed.max_coordinates"))})
     free = resolve("reference_assembly")["status"] != NOT_APPLICABLE
     ref = add_if(F.col("reference_assembly"), F.col("_bed.assembly").isNotNull() & free, claim("bed_coordinate_reference", F.concat(F.lit("coordinates fit only "), F.col("_bed.assembly")), CONTENT_TIER, F.col("_bed.assembly")))
     ref = add_if(ref, F.col("_bed.assembly").isNull() & F.col("_bed.nonstandard"), claim("bed_nonstandard_contigs", "no standard chromosome name", CONTENT_TIER, None, NOT_APPLICABLE))

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quern.functions.headers import sam_lines, sam_matches, search, vcf_matches
-from quern.functions.names import FORMATS
+from quern.functions.names import FORMATS, settled
 
 from .rules import FIELDS, NOT_CLASSIFIED, RULES, Rule, checked
 
@@ -66,8 +66,9 @@ def with_matches(df: DataFrame, header: Column | None = None, scope: str | None
     use = [i for i, r in enumerate(table) if r.tier < 3 or (header is not None and r.scope == scope)]
     first = [i for i in use if not {*_STATE, "platform"} & {*table[i].when}]
     hits = F.array_compact(F.array(*[F.when(condition(table[i], header), F.lit(i)) for i in first]))
-    df = df.withColumn("matched", hits)
-    for i in (i for i in use if i not in first):
+    df = settled(df, {"matched": hits})
+
+    def late(i: int) -> Column:
         tests = [condition(table[i], header)]
         for key, field in _STATE.items():
             if table[i].when.get(key):
@@ -76,8 +77,10 @@ def with_matches(df: DataFrame, header: Column | None = None, scope: str | None
         if platform := table[i].when.get("platform"):
             setters = [j for j, r in enumerate(table) if r.then.get("platform") == platform]
             tests.append(F.arrays_overlap(F.col("matched"), F.array(*[F.lit(j) for j in setters])))
-        df = df.withColumn("matched", F.when(reduce(lambda a, b: a & b, tests), F.array_append("matched", F.lit(i))).otherwise(F.col("matched")))
-    return df
+        return F.when(reduce(lambda a, b: a & b, tests), F.lit(i))
+
+    states = [late(i) for i in use if i not in first]
+    return settled(df, {"matched": F.concat(F.col("matched"), F.array_compact(F.array(*states)))}) if states else df
 
 
 def claims_of(field: str, rules: list[Rule] | None = None) -> Column:
@@ -98,7 +101,7 @@ def _quoted(text: str | None) -> str:
 
 def with_claims(df: DataFrame, rules: list[Rule] | None = None) -> DataFrame:
     """df plus a column of claims for each field, named as the field."""
-    return df.withColumns({f: claims_of(f, rules) for f in FIELDS})
+    return settled(df, {f: claims_of(f, rules) for f in FIELDS})
 
 
 def _reason(rule: Rule) -> str:

@@ -6,7 +6,9 @@ They stand in for real catalogs in queries and tests: names, sizes and headers t
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from quern.functions.names import settled
 from quern.functions.reference import LENGTHS
 
 TOKENS = ("_rnaseq", "_wgs_a", "_exome", ".hifi_reads", "_atac", "_chipseq", ".GRCh38", ".hg19", ".chm13", "-mc-graph", ".regions", "_targets", "")
@@ -93,7 +95,7 @@ FROM (SELECT c_custkey, n_nationkey, r_regionkey, {name} AS s FROM customer CROS
 def member_names(dialect: str) -> str:
     """k, members: archive members, a line each."""
     name = "CASE CASE WHEN l_orderkey % 5 = 0 THEN l_partkey % 7 ELSE l_partkey % 5 END WHEN 0 THEN concat('d/a', l_linenumber, '.bam') WHEN 1 THEN concat('d.x/b', l_linenumber, '.vcf.gz') WHEN 2 THEN concat('c', l_linenumber, '.fasta') WHEN 3 THEN concat('r', l_linenumber, '.fq.gz') WHEN 4 THEN 'notes' WHEN 5 THEN 'w/PL_var.tdb/__array_schema.tdb' ELSE 'w/genes.tdb' END"
-    return f"SELECT l_orderkey AS k, {lines(dialect, 's', 'l_linenumber')} AS members FROM (SELECT *, {name} AS s FROM lineitem) a GROUP BY l_orderkey"
+    return f"SELECT l_orderkey AS k, {lines(dialect, 's', 'l_linenumber, s')} AS members FROM (SELECT *, {name} AS s FROM lineitem) a GROUP BY l_orderkey"
 
 
 #: k, chrom, coord: BED rows. Names without chr, non-standard names, and coordinates past some assemblies' ends.
@@ -112,4 +114,5 @@ def over(spark: SparkSession, sf_dir: str, sql: str, *tables: str) -> DataFrame:
 
 
 def catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return over(spark, sf_dir, CATALOG, "orders")
+    files = over(spark, sf_dir, CATALOG, "orders")
+    return settled(files, {c: F.col(c) for c in files.columns[3:]}).select(files.columns)
