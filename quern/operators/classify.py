@@ -25,6 +25,7 @@ ROUTES = {
 }
 ASSEMBLER = r"(^|#\d#)(h[12]tg|ptg|utg|ctg|tig\d|utig)|^(scaffold[_.]|contig[_.]|asm\d|haplotype\d|mat-|pat-|unassigned-)"
 TRANSCRIPT = r"^(ENST\d|NM_\d|NR_\d|XM_\d|rna-)"
+CLASH = {*FIELDS, "name", "ext", "matched", "classifications"}
 STORE_FILES = ("callset.json", "vidmap.json", "vcfheader.vcf")
 VARIANT_ARRAYS = (
     "gt", "ad", "dp", "gq", "pl", "min_dp", "sb", "pgt", "pid", "ps", "rgq", "dp_format", "ac", "af", "an", "qual", "filter", "id", "alt", "ref", "end", "mleac", "mleaf",
@@ -44,7 +45,8 @@ def route(files: DataFrame) -> DataFrame:
 def _prepared(files: DataFrame, default: str | None = None) -> DataFrame:
     missing = {c: t for c, t in (("dataset_title", "string"), ("file_size", "long"), ("file_format", "string")) if c not in files.columns}
     files = files.withColumns({c: F.lit(None).cast(t) for c, t in missing.items()})
-    files = settled(files, {"file_name": F.col("file_name")})
+    # the input's own columns step aside where their names are those of fields or helpers
+    files = settled(files.select(*[F.col(f"`{c}`").alias(f"_in_{c}" if c in CLASH else c) for c in files.columns]), {"file_name": F.col("file_name")})
     return settled(files, {"name": parse_name(F.col("file_name")), "ext": settled_extension(F.col("file_name"), F.lit(default) if default else F.col("file_format"))})
 
 
@@ -53,9 +55,13 @@ def _inferred(df: DataFrame) -> DataFrame:
     return settled(df, {"assay_type": with_assay("assay_type", assay)})
 
 
+def _given(keep: list[str]) -> list[Column]:
+    return [F.col(f"`_in_{c}`" if c in CLASH else f"`{c}`").alias(c) for c in keep if c != "classifications"]
+
+
 def _finished(df: DataFrame, keep: list[str], extra: tuple[str, ...] = ()) -> DataFrame:
     df = settled(df, {f: F.col(f) for f in FIELDS})
-    return settled(df, {"classifications": F.struct(*[entry(f).alias(f) for f in FIELDS])}).select(*keep, "classifications", *extra)
+    return settled(df, {"classifications": F.struct(*[entry(f).alias(f) for f in FIELDS])}).select(*_given(keep), "classifications", *extra)
 
 
 def _base(files: DataFrame, default: str | None, header: Column | None = None, scope: str | None = None) -> DataFrame:
@@ -126,7 +132,7 @@ def classify_reads(files: DataFrame) -> DataFrame:
         "archive_source": last["source"],
     }
     out = settled(again, {f"_x_{k}": F.when(given, v) for k, v in extra.items()})
-    return out.select(*files.columns, F.struct(*[field(f).alias(f) for f in FIELDS]).alias("classifications"), *[F.col(f"_x_{k}").alias(k) for k in extra])
+    return out.select(*_given(files.columns), F.struct(*[field(f).alias(f) for f in FIELDS]).alias("classifications"), *[F.col(f"_x_{k}").alias(k) for k in extra])
 
 
 def classify_sequences(files: DataFrame) -> DataFrame:
