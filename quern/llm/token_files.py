@@ -33,6 +33,7 @@ SHARD_IDS = 1 << 20
 MIN_COUNT = 6
 #: Pairs that one round may turn into nonterminals, and the rounds at most.
 ROUND_PAIRS, ROUNDS = 2048, 14
+_SPREAD = np.int64(-7046029254386353131)
 
 SHARD = "bucket int, seq int, n_ids long, base int, doc_ids array<long>, doc_starts array<long>, rules binary, lengths binary, wide boolean, symbols binary"
 
@@ -52,8 +53,10 @@ def compress(ids: np.ndarray, starts: np.ndarray, base: int) -> tuple[np.ndarray
         if len(seq) < 2:
             break
         key = np.where(last[:-1], -1, (seq[:-1] << 32) | seq[1:])
-        order = np.sort(key)
-        edge = np.flatnonzero(np.r_[True, order[1:] != order[:-1]])
+        slot = ((key * _SPREAD) >> 44) & 0xFFFFF
+        crowded = np.bincount(slot, minlength=1 << 20) >= MIN_COUNT  # only pairs in crowded slots can be frequent
+        order = np.sort(key[crowded[slot]])
+        edge = np.flatnonzero(np.r_[True, order[1:] != order[:-1]]) if len(order) else np.zeros(0, np.int64)
         count = np.diff(np.r_[edge, len(order)])
         kind = order[edge]
         good = np.flatnonzero((count >= MIN_COUNT) & (kind >= 0))
@@ -70,9 +73,14 @@ def compress(ids: np.ndarray, starts: np.ndarray, base: int) -> tuple[np.ndarray
             chosen.append(k)
             if len(chosen) == ROUND_PAIRS:
                 break
-        chosen = np.sort(np.array(chosen, dtype=np.int64))
-        at = np.searchsorted(chosen, key)
-        at[at == len(chosen)] = 0
+        chosen = np.array(chosen, dtype=np.int64)
+        own = ((chosen * _SPREAD) >> 44) & 0xFFFFF
+        _, first = np.unique(own, return_index=True)  # of pairs in one slot, the more frequent one; the others' turn comes
+        first.sort()
+        chosen, own = chosen[first], own[first]
+        table = np.zeros(1 << 20, dtype=np.int32)
+        table[own] = np.arange(len(chosen))
+        at = table[slot]
         place = np.flatnonzero(chosen[at] == key)
         run = np.r_[True, np.diff(place) != 1]  # only a pair of one symbol twice overlaps itself: every other place
         first = place[np.maximum.accumulate(np.where(run, np.arange(len(place)), 0))]
@@ -91,20 +99,37 @@ def compress(ids: np.ndarray, starts: np.ndarray, base: int) -> tuple[np.ndarray
     return np.concatenate([none, *rules]), np.concatenate([none[:, 0], *lengths]), seq
 
 
-def expand(symbols: np.ndarray, rules: np.ndarray, base: int) -> np.ndarray:
-    """The ids that symbols stand for."""
-    seq = symbols.astype(np.int64)
+def expand(symbols: np.ndarray, rules: np.ndarray, base: int, lengths: np.ndarray) -> np.ndarray:
+    """The ids that symbols stand for. Rules are expanded once, those of other rules' symbols first."""
+    symbols = symbols.astype(np.int64)
+    n = len(rules)
+    if not n:
+        return symbols
+    inner = rules >= base
+    depth = np.zeros(n, dtype=np.int64)
     while True:
-        inner = seq >= base
-        if not inner.any():
-            return seq
-        n = np.where(inner, 2, 1)
-        at = np.cumsum(n) - n
-        out = np.empty(int(n.sum()), dtype=np.int64)
-        out[at[~inner]] = seq[~inner]
-        pair = rules[seq[inner] - base]
-        out[at[inner]], out[at[inner] + 1] = pair[:, 0], pair[:, 1]
-        seq = out
+        new = np.where(inner, depth[np.where(inner, rules - base, 0)] + 1, 0).max(axis=1)
+        if (new == depth).all():
+            break
+        depth = new
+    start = np.cumsum(lengths) - lengths
+    pool = np.empty(int(lengths.sum()), dtype=np.int64)
+    for d in range(int(depth.max()) + 1):
+        for side in (0, 1):
+            at = np.flatnonzero(depth == d)
+            part, deep = rules[at, side], inner[at, side]
+            size = np.where(deep, lengths[np.where(deep, part - base, 0)], 1)
+            to = start[at] + (lengths[at] - size if side else 0)
+            pool[to[~deep]] = part[~deep]
+            pool[spans(to[deep], size[deep])] = pool[spans(start[part[deep] - base], size[deep])]
+    deep = symbols >= base
+    which = np.where(deep, symbols - base, 0)
+    size = np.where(deep, lengths[which], 1)
+    to = np.cumsum(size) - size
+    out = np.empty(int(size.sum()), dtype=np.int64)
+    out[to[~deep]] = symbols[~deep]
+    out[spans(to[deep], size[deep])] = pool[spans(start[which[deep]], size[deep])]
+    return out
 
 
 def ids_between(shard: dict, start: int, stop: int) -> np.ndarray:
@@ -114,7 +139,7 @@ def ids_between(shard: dict, start: int, stop: int) -> np.ndarray:
     ends = np.cumsum(n)
     i, j = np.searchsorted(ends, [start, stop - 1], side="right")
     skip = start - int(ends[i] - n[i])
-    return expand(symbols[i : j + 1], rules, base)[skip : skip + stop - start]
+    return expand(symbols[i : j + 1], rules, base, lengths)[skip : skip + stop - start]
 
 
 def _arrays(shard: dict) -> tuple[int, np.ndarray, np.ndarray, np.ndarray]:
@@ -135,10 +160,41 @@ class Library:
         self.tokenizer = Tokenizer.from_str(raw.decode())
         self.cache = PieceCache(self.encode_pieces)
         self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
+        added = self.tokenizer.get_added_tokens_decoder()
+        self.specials = [t.content for t in added.values()]
+        plain = [(i, t) for i, t in added.items() if not (t.lstrip or t.rstrip or t.single_word or t.normalized)]
+        self.mark_id, self.mark = (plain[0][0], plain[0][1].content) if plain else (-1, "")
 
     def encode_pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
-        return np.fromiter(chain.from_iterable(found), dtype=np.int32), np.fromiter(map(len, found), dtype=np.int64, count=len(found))
+        """Pieces go to the library in groups joined by a special token: one call and one result for many pieces. Pieces that
+        hold special tokens go alone."""
+        mark = self.mark
+        alone = [i for i, p in enumerate(pieces) if mark[0] in p and any(t in p for t in self.specials)] if mark else range(len(pieces))
+        out: list = [None] * len(pieces)
+        for i, e in zip(alone, self.tokenizer.encode_batch_fast([pieces[i] for i in alone], add_special_tokens=False)):
+            out[i] = np.array(e.ids, dtype=np.int32)
+        if not mark:
+            rest = []
+        elif alone:
+            skip = {*alone}
+            rest = [i for i in range(len(pieces)) if i not in skip]
+        else:
+            rest = range(len(pieces))
+        groups = [rest[j : j + 512] for j in range(0, len(rest), 512)]
+        values, lengths = [], np.zeros(len(pieces), dtype=np.int64)
+        joined = self.tokenizer.encode_batch_fast([mark.join([pieces[i] for i in g]) + mark for g in groups], add_special_tokens=False) if groups else []
+        for g, e in zip(groups, joined):
+            ids = np.array(e.ids, dtype=np.int32)
+            ends = np.flatnonzero(ids == self.mark_id)
+            lengths[g] = np.diff(ends, prepend=-1) - 1
+            values.append(ids[ids != self.mark_id])
+        if not len(alone):
+            return np.concatenate(values) if values else np.zeros(0, np.int32), lengths
+        flat, at = np.concatenate(values) if values else np.zeros(0, np.int32), 0
+        for i in rest:
+            out[i] = flat[at : at + lengths[i]]
+            at += lengths[i]
+        return np.concatenate(out), np.array([len(x) for x in out], dtype=np.int64)
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         words = Words(texts)
@@ -229,8 +285,8 @@ def read_tokens(spark, path: str, with_ids: bool = True) -> DataFrame:
     def run(batches):
         for b in batches:
             for shard in b.to_pylist():
-                base, rules, _, symbols = _arrays(shard)
-                ids = expand(symbols, rules, base).astype("<u4")
+                base, rules, lengths, symbols = _arrays(shard)
+                ids = expand(symbols, rules, base, lengths).astype("<u4")
                 starts = np.array(shard["doc_starts"], dtype=np.int64)
                 ends = np.r_[starts[1:], len(ids)]
                 crc = [zlib.crc32(ids[i:j]) for i, j in zip(starts.tolist(), ends.tolist())]
