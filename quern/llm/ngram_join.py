@@ -8,8 +8,10 @@ candidate must meet it L times, so fewer are verified. A pair needs the smaller
 
 Prefix shingles are dealt, packed, to buckets by hash. In a bucket, the classes that share a shingle form a star around
 the smallest of them; every candidate pair has a star's centre in common, so stars, not pairs, leave the buckets. A
-centre's members with their sets meet in tiles of bounded size: there, pairs are kept by size, then by shared prefix
-shingles, then verified on the whole sets, by products of 0/1 matrices. A tile returns a spanning forest of its links.
+centre's members meet in tiles of bounded size, twice. First with one bit a shingle: the bits in which two parity bitmaps
+differ bound the sets' difference, so members that can't be similar to any other leave without loss. Then the rest with
+their sets: pairs are kept by size, then by shared prefix shingles, then verified on the whole sets, by products of 0/1
+matrices. A tile returns a spanning forest of its links.
 
 Defined results. Null and empty texts and texts without words: set size 0, no links, a component of their own. Fewer than
 five words: the whole sequence is the one shingle. Copies: linked, as equal sets are. Repeated ids: their rows' classes get
@@ -44,6 +46,13 @@ def class_of(shingles: np.ndarray) -> int | None:
     return int.from_bytes(hashlib.blake2b(shingles.tobytes(), digest_size=8).digest(), "little", signed=True) if len(shingles) else None
 
 
+def bitmap(shingles: np.ndarray) -> bytes:
+    """A bit for each slot of a power of two of at least the set's size: whether an odd number of shingles falls there."""
+    size = max(64, 1 << (len(shingles) - 1).bit_length())
+    odd = np.bincount(((shingles >> np.uint64(12)) & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
 def _slots(shingles: np.ndarray) -> np.ndarray:
     return (shingles >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
 
@@ -55,9 +64,9 @@ def _classes(batches):
         sets = shingle_hashes(b.column(1))
         if sets:
             np.add.at(sketch, _slots(np.concatenate(sets)), np.uint32(1))
-        yield pa.RecordBatch.from_arrays([b.column(0), pa.array([class_of(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.nulls(len(sets), pa.binary())], ["doc_id", "node", "n", "sketch"])
+        yield pa.RecordBatch.from_arrays([b.column(0), pa.array([class_of(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array([bitmap(s) if len(s) else None for s in sets], pa.binary()), pa.nulls(len(sets), pa.binary())], ["doc_id", "node", "n", "bits", "sketch"])
     if sketch.any():
-        yield pa.RecordBatch.from_arrays([pa.array([None], pa.int64()), pa.array([None], pa.int64()), pa.array([None], pa.int64()), pa.array([zlib.compress(sketch.tobytes(), 1)], pa.binary())], ["doc_id", "node", "n", "sketch"])
+        yield pa.RecordBatch.from_arrays([pa.array([None], pa.int64()), pa.array([None], pa.int64()), pa.array([None], pa.int64()), pa.nulls(1, pa.binary()), pa.array([zlib.compress(sketch.tobytes(), 1)], pa.binary())], ["doc_id", "node", "n", "bits", "sketch"])
 
 
 def _summed(batches):
@@ -221,6 +230,27 @@ def shared_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray
     return out
 
 
+def _possible(table: pa.Table) -> pa.Table:
+    """centre and node of a tile's members that some other member may be similar to, by the bound of the bitmaps."""
+    side, node, n = (table.column(c).to_numpy() for c in ("side", "node", "n"))
+    raw = [np.frombuffer(x, dtype=np.uint8) for x in table.column("bits").to_pylist()]
+    size = np.array([len(x) * 8 for x in raw])
+    own = bool((side == 2).any())
+    keep = np.zeros(len(node), dtype=bool)
+    for level in np.unique(size).tolist():  # sizes of similar sets, and so of their bitmaps, are at most one step apart
+        rows = np.flatnonzero((size == level) | (size == 2 * level))
+        bits = np.stack([(b := np.unpackbits(raw[i]))[:level] ^ b[level:] if len(raw[i]) * 8 > level else np.unpackbits(raw[i]) for i in rows]).astype(np.float32)
+        left, right = (np.arange(len(rows)),) * 2 if own else (np.flatnonzero(side[rows] == 0), np.flatnonzero(side[rows] == 1))
+        ones, nn = bits.sum(axis=1), n[rows]
+        differ = ones[left][:, None] + ones[right] - 2 * (bits[left] @ bits[right].T)
+        both = nn[left][:, None] + nn[right]
+        small, large = np.minimum(nn[left][:, None], nn[right]), np.maximum(nn[left][:, None], nn[right])
+        ok = (100 * small >= 75 * large) & (175 * (both - differ) >= 150 * both) & (node[rows[left]][:, None] != node[rows[right]])
+        keep[rows[left[ok.any(axis=1)]]] = True
+        keep[rows[right[ok.any(axis=0)]]] = True
+    return table.select(["centre", "node"]).filter(pa.array(keep))
+
+
 def _tile(table: pa.Table) -> pa.Table:
     """The links of a tile: side 2 within one chunk, or side 0 against side 1; node and the smallest node it links to."""
     side, node = table.column("side").to_numpy(), table.column("node").to_numpy()
@@ -251,7 +281,7 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """doc_id, n_shingles, component_id of every row."""
     spark = docs.sparkSession
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    first = written(texts.mapInArrow(_classes, "doc_id long, node long, n long, sketch binary"), "ngram-classes")
+    first = written(texts.mapInArrow(_classes, "doc_id long, node long, n long, bits binary, sketch binary"), "ngram-classes")
     rows = first.where("sketch is null").drop("sketch")
     packed = first.where("sketch is not null").select("sketch").coalesce(8).mapInArrow(_summed, "sketch binary").coalesce(1).mapInArrow(_summed, "sketch binary").collect()
     order = spark.sparkContext.broadcast(bytes(packed[0][0]) if packed else None)  # 16 MB at most, whatever the input
@@ -264,17 +294,23 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     joined = stars.where("token >= 0").join(heads, "token").select(F.col("head.centre").alias("centre"), "node")
     pairs = stars.where("token < 0").select("centre", "node").union(joined).where("centre <> node").distinct()
     pairs = written(pairs.union(pairs.select("centre", F.col("centre").alias("node")).distinct()), "ngram-members")
-    wanted = rows.join(pairs.select("node").distinct(), "node").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-    bits = spark.sparkContext.broadcast(bloom(wanted.select("doc_id")))  # 16 MB at most
-    sets = texts.mapInArrow(lambda it: _sets(it, order, bits.value), "node long, matches int, prefix int, shingles binary")
-    sets = sets.groupBy("node").agg(*[F.first(c).alias(c) for c in ("matches", "prefix", "shingles")])
-    parts = pairs.groupBy("centre").agg(F.ceil(F.count("*") / chunk).cast("int").alias("parts"))
     p = F.col("part")
     tile = lambda side, x, y: F.struct(F.lit(side).alias("side"), x.cast("int").alias("p1"), y.cast("int").alias("p2"))
     others = F.filter(F.sequence(F.lit(0), F.col("parts") - 1), lambda x: x != p)
     tiles = F.concat(F.array(tile(2, p, p)), F.transform(others, lambda x: F.when(x > p, tile(0, p, x)).otherwise(tile(1, x, p))))
-    members = pairs.join(parts, "centre").withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")).select("centre", "node", F.explode(tiles).alias("t")).select("centre", "node", "t.*")
-    links = members.join(sets, "node").groupBy("centre", "p1", "p2").applyInArrow(_tile, "node long, root long")
+
+    def tiled(members: DataFrame) -> DataFrame:
+        parts = members.groupBy("centre").agg(F.ceil(F.count("*") / chunk).cast("int").alias("parts"))
+        return members.join(parts, "centre").withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")).select("centre", "node", F.explode(tiles).alias("t")).select("centre", "node", "t.*")
+
+    light = rows.join(pairs.select("node").distinct(), "node").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("bits").alias("bits"))
+    possible = tiled(pairs).join(light.drop("doc_id"), "node").groupBy("centre", "p1", "p2").applyInArrow(_possible, "centre long, node long")
+    pairs = written(possible.distinct(), "ngram-possible")
+    wanted = light.join(pairs.select("node").distinct(), "node").select("doc_id")
+    bits = spark.sparkContext.broadcast(bloom(wanted))  # 16 MB at most
+    sets = texts.mapInArrow(lambda it: _sets(it, order, bits.value), "node long, matches int, prefix int, shingles binary")
+    sets = sets.groupBy("node").agg(*[F.first(c).alias(c) for c in ("matches", "prefix", "shingles")])
+    links = tiled(pairs).join(sets, "node").groupBy("centre", "p1", "p2").applyInArrow(_tile, "node long, root long")
     roots = components(written(links, "ngram-links"))
     named = rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("id")).join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = named.groupBy("root").agg(F.min("id").alias("component_id"))
