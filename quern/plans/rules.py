@@ -186,7 +186,7 @@ def checked(rules: list[Rule]) -> list[Rule]:
             {*r.then} & {*r.status} and "value and status for one field",
             {*r.status.values()} - {NOT_APPLICABLE, NOT_CLASSIFIED} and "status that can't be claimed",
             isinstance(r.when.get("extensions"), str) and "extensions must be a list",
-            any(v not in VOCABULARY[f] for f, v in r.then.items()) and "value outside the vocabulary",
+            any(v not in VOCABULARY.get(f, ()) for f, v in r.then.items()) and "value outside the vocabulary",
         ]
         if fault := next((f for f in faults if f), None):
             raise ValueError(f"rule {r.id}: {fault}")

@@ -117,7 +117,7 @@ READERS = {"vcf": vcf, "fastq": fastq, "fasta": fasta, "gfa": gfa, "bed": bed, "
 
 
 def read_heads(spark: SparkSession, path: str, kind: str) -> DataFrame:
-    """path, lines (array<string>, null if unreadable) and error of every file below a path."""
+    """path, lines (array<string>, null if unreadable) and error of every file below a path. Files of no bytes have no row."""
     reader = READERS[kind]
 
     def run(batches):
