@@ -36,8 +36,8 @@ def tempered_units(docs: DataFrame, source_col: str = "source", power: float = 0
     """source, units: shares in proportion to the sources' counts to a power; every source gets one unit at least."""
     counts = docs.groupBy(F.col(source_col).alias("source")).agg(F.count("*").alias("n"))
     share = F.pow(F.col("n").cast("double"), F.lit(float(power)))
-    whole = counts.agg(F.sum(F.floor(share * 1000)).alias("all"))
-    return counts.crossJoin(F.broadcast(whole)).select("source", F.greatest(F.lit(1), F.floor(F.lit(units) * F.floor(share * 1000) / F.col("all") + 0.5)).cast("int").alias("units"))
+    whole = counts.agg(F.sum(F.floor(share * 1000))).first()[0] or 1
+    return counts.select("source", F.greatest(F.lit(1), F.floor(F.lit(units) * F.floor(share * 1000) / F.lit(whole) + 0.5)).cast("int").alias("units"))
 
 
 def schedule(weights: DataFrame) -> DataFrame:

@@ -37,8 +37,8 @@ from .shingles import shingle_hashes
 SKETCH_BITS, MOST_MATCHES = 22, 8
 #: A shingle of more documents than this, by the sketch, is dealt to several buckets.
 HOT = 200_000
-#: Members of a star that one side of a tile holds.
-CHUNK = 384
+#: Members of a star, and shingles of theirs, that one side of a tile holds, about.
+CHUNK, CHUNK_SHINGLES = 384, 4_000_000
 
 
 def class_of(shingles: np.ndarray) -> int | None:
@@ -107,12 +107,12 @@ class Order:
         return best + 1, shortest + best
 
 
-_orders: dict[int, Order] = {}
+_orders: dict[bytes, Order] = {}
 
 
 def _order(shipped) -> Order:
-    """One Order a worker; the broadcast's id names it."""
-    key = hash(shipped.value[:4096]) ^ len(shipped.value) if shipped.value else 0
+    """One Order a worker, named by the sketch's digest: all tasks of a join must use the same order."""
+    key = hashlib.blake2b(shipped.value or b"").digest()
     if key not in _orders:
         _orders.clear()
         _orders[key] = Order(shipped.value)
@@ -239,16 +239,19 @@ def _possible(table: pa.Table) -> pa.Table:
     keep = np.zeros(len(node), dtype=bool)
     for level in np.unique(size).tolist():  # sizes of similar sets, and so of their bitmaps, are at most one step apart
         rows = np.flatnonzero((size == level) | (size == 2 * level))
-        bits = np.stack([(b := np.unpackbits(raw[i]))[:level] ^ b[level:] if len(raw[i]) * 8 > level else np.unpackbits(raw[i]) for i in rows]).astype(np.float32)
+        bits = np.stack([raw[i][: level // 8] ^ raw[i][level // 8 :] if len(raw[i]) * 8 > level else raw[i] for i in rows])
         left, right = (np.arange(len(rows)),) * 2 if own else (np.flatnonzero(side[rows] == 0), np.flatnonzero(side[rows] == 1))
-        ones, nn = bits.sum(axis=1), n[rows]
-        differ = ones[left][:, None] + ones[right] - 2 * (bits[left] @ bits[right].T)
+        nn, differ = n[rows], np.zeros((len(left), len(right)), dtype=np.float32)
+        for low in range(0, level // 8, 1024):  # some thousand bits at a time, whatever the sets' size
+            b = np.unpackbits(bits[:, low : low + 1024], axis=1).astype(np.float32)
+            ones = b.sum(axis=1)
+            differ += ones[left][:, None] + ones[right] - 2 * (b[left] @ b[right].T)
         both = nn[left][:, None] + nn[right]
         small, large = np.minimum(nn[left][:, None], nn[right]), np.maximum(nn[left][:, None], nn[right])
         ok = (100 * small >= 75 * large) & (175 * (both - differ) >= 150 * both) & (node[rows[left]][:, None] != node[rows[right]])
         keep[rows[left[ok.any(axis=1)]]] = True
         keep[rows[right[ok.any(axis=0)]]] = True
-    return table.select(["centre", "node"]).filter(pa.array(keep))
+    return table.select(["centre", "node", "n"]).filter(pa.array(keep))
 
 
 def _tile(table: pa.Table) -> pa.Table:
@@ -299,18 +302,20 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     others = F.filter(F.sequence(F.lit(0), F.col("parts") - 1), lambda x: x != p)
     tiles = F.concat(F.array(tile(2, p, p)), F.transform(others, lambda x: F.when(x > p, tile(0, p, x)).otherwise(tile(1, x, p))))
 
-    def tiled(members: DataFrame) -> DataFrame:
-        parts = members.groupBy("centre").agg(F.ceil(F.count("*") / chunk).cast("int").alias("parts"))
+    def tiled(members: DataFrame, each: int) -> DataFrame:
+        size = F.greatest(F.count("*") / chunk, F.sum("n") / each)
+        parts = members.groupBy("centre").agg(F.ceil(size).cast("int").alias("parts"))
         return members.join(parts, "centre").withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")).select("centre", "node", F.explode(tiles).alias("t")).select("centre", "node", "t.*")
 
     light = rows.join(pairs.select("node").distinct(), "node").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("bits").alias("bits"))
-    possible = tiled(pairs).join(light.drop("doc_id"), "node").groupBy("centre", "p1", "p2").applyInArrow(_possible, "centre long, node long")
+    sized = pairs.join(light.select("node", "n"), "node")
+    possible = tiled(sized, 64 * CHUNK_SHINGLES).join(light.drop("doc_id"), "node").groupBy("centre", "p1", "p2").applyInArrow(_possible, "centre long, node long, n long")
     pairs = written(possible.distinct(), "ngram-possible")
     wanted = light.join(pairs.select("node").distinct(), "node").select("doc_id")
     bits = spark.sparkContext.broadcast(bloom(wanted))  # 16 MB at most
     sets = texts.mapInArrow(lambda it: _sets(it, order, bits.value), "node long, matches int, prefix int, shingles binary")
     sets = sets.groupBy("node").agg(*[F.first(c).alias(c) for c in ("matches", "prefix", "shingles")])
-    links = tiled(pairs).join(sets, "node").groupBy("centre", "p1", "p2").applyInArrow(_tile, "node long, root long")
+    links = tiled(pairs, CHUNK_SHINGLES).join(sets, "node").groupBy("centre", "p1", "p2").applyInArrow(_tile, "node long, root long")
     roots = components(written(links, "ngram-links"))
     named = rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("id")).join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = named.groupBy("root").agg(F.min("id").alias("component_id"))

@@ -70,7 +70,6 @@ def bucket_of(key: Column, bounds: list, tie: Column) -> Column:
     """
     if not bounds:
         return F.lit(0)
-    below, upto = F.lit(0), F.lit(0)
     arr = F.array(*[F.lit(b) for b in bounds])
     below = F.size(F.filter(arr, lambda b: b < key))
     upto = F.size(F.filter(arr, lambda b: b <= key))
@@ -198,25 +197,30 @@ class Words:
 
 
 class PieceCache:
-    """Maps distinct pieces to numbers held in one pool; each Python worker keeps it between batches, up to a bound."""
+    """Maps distinct pieces to numbers held in one pool; each Python worker keeps it between batches.
 
-    def __init__(self, compute, most: int = 250_000):
+    It is emptied when it holds `most` pieces or `most_chars` characters of them, so that long texts don't pile up in it.
+    """
+
+    def __init__(self, compute, most: int = 250_000, most_chars: int = 16_000_000):
         """compute: list of new pieces -> (int array of all their values, int array of their lengths)."""
-        self.compute, self.most = compute, most
+        self.compute, self.most, self.most_chars = compute, most, most_chars
         self.clear()
 
     def clear(self) -> None:
         self.row: dict[str, int] = {}
+        self.chars = 0
         self.pool, self.starts, self.lengths = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def look_up(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Starts and lengths in self.pool, valid until the next call."""
-        if len(self.row) > self.most:
+        if len(self.row) > self.most or self.chars > self.most_chars:
             self.clear()
         new = list(dict.fromkeys(p for p in pieces if p not in self.row))  # whole texts can be given twice
         if new:
             values, lengths = self.compute(new)
             base = len(self.starts)
+            self.chars += sum(map(len, new))
             self.row.update(zip(new, range(base, base + len(new))))
             self.starts = np.concatenate([self.starts, len(self.pool) + np.cumsum(lengths) - lengths])
             self.lengths = np.concatenate([self.lengths, lengths.astype(np.int64)])
