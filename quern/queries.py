@@ -157,7 +157,6 @@ def contract_kinds_topk(spark, sf_dir):
 @query(f"""WITH {CATALOG}, o AS (SELECT CASE WHEN coalesce(split_part({_FAULT}, ':', 1) IN ('file_md5sum', 'file_name', 'file_size', 'file_format', '<record>'), false) THEN 'validation_failed' WHEN k % 23 = 0 THEN 'errored' ELSE 'successful' END AS o, k % 3 = 0 AS c, k % 29 = 0 AS u FROM catalog)
 SELECT count(*) AS total_to_process, count(*) FILTER (o = 'successful') AS successful, count(*) FILTER (o = 'errored') AS errored, count(*) FILTER (o = 'validation_failed') AS validation_failed, count(*) FILTER (c) AS from_cache, count(*) FILTER (u) AS content_unreadable, 0::BIGINT AS dropped, count(*) AS processed, count(*) FILTER (o = 'errored') AS failed, true AS complete FROM o""")
 def run_tally(spark, sf_dir):
-    valid, invalid = contract.split(_records(spark, sf_dir).withColumn("record", F.col("record")))
     bad = F.size(contract.blocking(contract.reasons(F.col("record")))) > 0
     o = _records(spark, sf_dir).select(F.when(bad, "validation_failed").when(F.col("k") % 23 == 0, "errored").otherwise("successful").alias("outcome"), (F.col("k") % 3 == 0).alias("from_cache"), (F.col("k") % 29 == 0).alias("content_unreadable"))
     return report.run_tally(o)
@@ -231,10 +230,6 @@ def classify_full(spark, sf_dir):
 # --- headers ---------------------------------------------------------------------------------------------------------
 
 
-def _duck(s: str) -> str:
-    return s
-
-
 @query(f"""WITH h AS ({S.sam_headers('duckdb')}), l AS (SELECT k, unnest(string_split(header_text, chr(10))) AS x FROM h)
 SELECT k, count(*) FILTER (starts_with(x, '@SQ')) AS n_sq, max(regexp_extract(x, 'PL:([^\\t]*)', 1)) FILTER (starts_with(x, '@RG')) AS platform, max(regexp_extract(x, 'PN:([^\\t]*)', 1)) FILTER (starts_with(x, '@PG')) AS program FROM l GROUP BY k""")
 def sam_header_fields(spark, sf_dir):
@@ -340,7 +335,7 @@ def archive_accession(spark, sf_dir):
 
 @query("SELECT CASE c_custkey % 6 WHEN 0 THEN 'genomic' WHEN 1 THEN 'genomic' WHEN 2 THEN 'transcriptomic.bulk' ELSE 'genomic' END AS data_modality, CASE c_custkey % 6 WHEN 0 THEN 'assembly.reference' WHEN 1 THEN 'assembly' WHEN 3 THEN 'assembly' WHEN 5 THEN 'assembly' ELSE 'sequence' END AS data_type, CASE WHEN c_custkey % 6 IN (1, 3, 5) THEN 'not_applicable' ELSE 'not_classified' END AS reference, count(*) AS n FROM customer GROUP BY ALL")
 def fasta_contig_class(spark, sf_dir):
-    f = S.over(spark, sf_dir, S.contig_names("spark"), "customer", "nation", "region").select("k", F.lit("").alias("file_name"), F.split("contigs", "\n").alias("contig_names"))
+    f = S.over(spark, sf_dir, S.contig_names("spark"), "customer").select("k", F.lit("").alias("file_name"), F.split("contigs", "\n").alias("contig_names"))
     return C.classify_sequences(f).groupBy(report.label("data_modality").alias("data_modality"), report.label("data_type").alias("data_type"), report.label("reference_assembly").alias("reference")).agg(F.count("*").alias("n"))
 
 

@@ -89,7 +89,8 @@ def contig_names(dialect: str) -> str:
     name = "CASE c_custkey % 6 WHEN 0 THEN concat('chr', n_nationkey) WHEN 1 THEN concat('h1tg', n_nationkey, 'l') WHEN 2 THEN concat('ENST000', n_nationkey) WHEN 3 THEN concat('u', n_nationkey, '_', r_regionkey) WHEN 4 THEN concat('z', n_nationkey) ELSE CASE WHEN n_nationkey < 5 THEN concat('', n_nationkey) ELSE concat('scaffold_', n_nationkey) END END"
     return f"""
 SELECT c_custkey AS k, {lines(dialect, 's', 'n_nationkey, r_regionkey')} AS contigs
-FROM (SELECT c_custkey, n_nationkey, r_regionkey, {name} AS s FROM customer CROSS JOIN nation CROSS JOIN region WHERE r_regionkey = 0 OR c_custkey % 6 = 3) a GROUP BY c_custkey"""
+FROM (SELECT c_custkey, n_nationkey, r_regionkey, {name} AS s FROM customer
+      LATERAL VIEW explode(sequence(0, 24)) n AS n_nationkey LATERAL VIEW explode(sequence(0, CASE WHEN c_custkey % 6 = 3 THEN 4 ELSE 0 END)) r AS r_regionkey) a GROUP BY c_custkey"""
 
 
 def member_names(dialect: str) -> str:
