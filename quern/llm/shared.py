@@ -229,7 +229,7 @@ class PieceCache:
         return self.starts[at], self.lengths[at]
 
 
-def text_batches(batches, rows: int = 2048):
+def text_batches(batches, rows: int = 1024):
     """Batches of at most so many rows each; long texts are whole in one batch."""
     for b in batches:
         for i in range(0, b.num_rows, rows):
