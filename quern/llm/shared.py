@@ -186,7 +186,9 @@ class Words:
         first = np.zeros(len(which), dtype=bool)
         first[off[:-1]] = True
         which = np.where(first, which, which + n)
-        used, which = np.unique(which, return_inverse=True)
+        seen = np.zeros(2 * n, dtype=bool)
+        seen[which] = True
+        used, which = np.flatnonzero(seen), (np.cumsum(seen) - 1)[which]
         plain_words = codes.dictionary.to_pylist()
         self.distinct = [plain_words[i] if i < n else " " + plain_words[i - n] for i in used.tolist()]
         if pc.any(odd).as_py():
