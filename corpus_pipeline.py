@@ -1,7 +1,7 @@
 """A corpus pipeline of four stages over documents; each stage's result is written as Parquet and read by the next.
 
 1. language ID: documents that it rejects (null text, or none with a letter: `und`) go.
-2. n-gram Jaccard join: one document, that of the smallest id, stays of every component.
+2. n-gram Jaccard join: one row, that of the smallest id, stays of every component.
 3. mixing sources to target weights: every document stays; the rows come in the order of the mix (slot, place in block),
    files in ascending order. Shares: square-root tempered counts of the stage's input.
 4. byte-level BPE: doc_id, n_tokens and the digests of the ids and of the bytes that they decode to.
@@ -9,12 +9,14 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quern.llm import byte_bpe, language_id, mixing, ngram_join
-from quern.llm.shared import bloom, may_hold, partitions, shared_path
+from quern.llm.shared import bloom, may_hold, partitions, shared_path, text_batches, written
+from quern.llm.shingles import shingle_hashes
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -26,26 +28,41 @@ def keep_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that are their component's smallest id; rows of a repeated id and text: one of them.
+    """One row of every component: that of the smallest id (null ids last), then class of text, then columns in order.
 
-    Documents that a filter of fixed size clears of being dropped or repeated pass without a shuffle; only the others'
-    texts are joined with the ids that go.
+    Rows without words are components of their own and stay; of those that repeat an id and text, one.
+    Rows whose ids a filter of fixed size clears of being dropped or repeated pass without a shuffle; only the others'
+    texts, and those of null ids, are named by their class again, summed up a class and id, and joined with what goes.
     """
     docs = docs.select(*COLUMNS)
-    found = ngram_join.near_components(docs).where("doc_id is not null")
-    path = shared_path(spark, "near-copies")
-    found.groupBy("doc_id").agg(F.min("component_id").alias("component_id"), F.count("*").alias("n")).where("component_id <> doc_id or n > 1").write.parquet(path)
-    odd = spark.read.parquet(path)
+    rows, named = ngram_join.near_classes(docs)
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "node")).alias("first")
+    known = named.join(named.groupBy("root").agg(first), "root").select("node", "first")
+    stays = F.col("node").isNull() | ((F.col("node") == F.col("first.node")) & F.col("doc_id").eqNullSafe(F.col("first.id")))
+    found = rows.join(known, "node", "left").withColumn("stays", stays).groupBy("doc_id", "node", "stays").agg(F.count("*").alias("n"))
+    found = written(found, "near-copies")
+    odd = found.where("doc_id is not null").groupBy("doc_id").agg(F.sum("n").alias("n"), F.bool_and("stays").alias("stays")).where("n > 1 or not stays")
     bits = spark.sparkContext.broadcast(bloom(odd.select("doc_id")))  # 16 MB at most
 
     def maybe(batches):
-        for b in batches:
+        for b in text_batches(batches):
             ids = b.column(0)
-            yield pa.RecordBatch.from_arrays([pa.array(may_hold(bits.value, ids.fill_null(0).to_numpy(zero_copy_only=False)) & ids.is_valid().to_numpy(zero_copy_only=False)), *b.columns], ["maybe", *COLUMNS])
-
-    marked = docs.mapInArrow(maybe, "maybe boolean, " + ", ".join(f"`{c}` {t}" for c, t in docs.dtypes))
-    clear = marked.where(~F.col("maybe")).drop("maybe")
-    rest = marked.where("maybe").drop("maybe").join(odd.where("component_id <> doc_id").select("doc_id"), "doc_id", "left_anti").dropDuplicates(["doc_id", "text"])
+            given = ids.is_valid().to_numpy(zero_copy_only=False)
+            may = ~given | may_hold(bits.value, ids.fill_null(0).to_numpy(zero_copy_only=False))
+            node = [None] * b.num_rows
+            at = np.flatnonzero(may)
+            if len(at):
+                for i, s in zip(at.tolist(), shingle_hashes(b.column(1).take(pa.array(at)))):
+                    node[i] = ngram_join.class_of(s)
+                    may[i] = given[i] or node[i] is not None
+            yield pa.RecordBatch.from_arrays([pa.array(may), pa.array(node, pa.int64()), *b.columns], ["maybe", "node", *COLUMNS])
+
+    marked = docs.mapInArrow(maybe, "maybe boolean, node long, " + ", ".join(f"`{c}` {t}" for c, t in docs.dtypes))
+    clear = marked.where(~F.col("maybe")).select(*COLUMNS)
+    bare = F.when(F.col("node").isNull(), F.col("text")).alias("bare")
+    one = marked.where("maybe").groupBy("doc_id", "node", bare).agg(F.min(F.struct(*COLUMNS)).alias("row")).select("node", "row.*")
+    gone = found.where("not stays").select(F.col("doc_id").alias("__id"), F.col("node").alias("__node"))
+    rest = one.join(gone, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("node") == F.col("__node")), "left_anti")
     return clear.unionByName(rest.select(*COLUMNS))
 
 

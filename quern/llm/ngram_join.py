@@ -280,8 +280,8 @@ def _tile(table: pa.Table) -> pa.Table:
     return pa.table({"node": pa.array(nodes), "root": pa.array(roots)})
 
 
-def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot: int = HOT, chunk: int = CHUNK) -> DataFrame:
-    """doc_id, n_shingles, component_id of every row."""
+def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot: int = HOT, chunk: int = CHUNK) -> tuple[DataFrame, DataFrame]:
+    """doc_id, n and node (the class, null without words) of every row; node, id (its rows' smallest) and root of every class."""
     spark = docs.sparkSession
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     first = written(texts.mapInArrow(_classes, "doc_id long, node long, n long, bits binary, sketch binary"), "ngram-classes")
@@ -318,6 +318,12 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     links = tiled(pairs, CHUNK_SHINGLES).join(sets, "node").groupBy("centre", "p1", "p2").applyInArrow(_tile, "node long, root long")
     roots = components(written(links, "ngram-links"))
     named = rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("id")).join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    return rows.select("doc_id", "n", "node"), named
+
+
+def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot: int = HOT, chunk: int = CHUNK) -> DataFrame:
+    """doc_id, n_shingles, component_id of every row."""
+    rows, named = near_classes(docs, id_col, text_col, hot, chunk)
     least = named.groupBy("root").agg(F.min("id").alias("component_id"))
     known = named.join(least, "root").select("node", "component_id")
     out = rows.join(known, "node", "left")

@@ -47,3 +47,13 @@ def test_stages(spark):
 def test_run_goes_through_all_stages(spark):
     got = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
     assert got.count() > 100 and got.select(F.count_distinct("doc_id")).first()[0] == got.count()
+
+
+def test_one_row_stays_of_every_component(spark):
+    a, b, c, d = ("one two three four five six seven " + x for x in ("alpha beta", "gamma delta", "eta theta", "iota kappa"))
+    near = " ".join(f"w{i}" for i in range(60))
+    rows = [(3, b), (4, b), (4, a), (7, near), (7, near + " tail"), (8, near), (None, c), (None, c), (None, c), (None, d), (9, d), (None, " "), (None, " "), (10, " "), (10, " ")]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = [(r.doc_id, r.text) for r in corpus_pipeline.keep_one_of_each(spark, docs, "").collect()]
+    assert len([x for x in got if x[0] == 7]) == 1 and (8, near) not in got
+    assert sorted((x for x in got if x[0] != 7), key=str) == sorted([(3, b), (4, a), (None, c), (9, d), (None, " "), (None, " "), (10, " ")], key=str)
