@@ -19,6 +19,8 @@ from quern.llm.shared import bloom, may_hold, partitions, shared_path, text_batc
 from quern.llm.shingles import shingle_hashes
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+#: Units of the mix for each source, on average, once there are so many sources that mixing.UNITS would be too coarse.
+UNITS_EACH = 20
 
 
 def keep_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -70,7 +72,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents in the order of the mix. Rows of one id take its places in any order; null ids come last."""
     docs = docs.select(*COLUMNS)
     path = shared_path(spark, "mix-places")
-    places = mixing.mix_sources(docs, mixing.tempered_units(docs)).where("doc_id is not null")
+    units = max(mixing.UNITS, UNITS_EACH * docs.select("source").distinct().count())
+    places = mixing.mix_sources(docs, mixing.tempered_units(docs, units=units)).where("doc_id is not null")
     places.groupBy("doc_id").agg(F.min(F.struct("slot", "in_block")).alias("place")).write.parquet(path)
     placed = docs.join(spark.read.parquet(path), "doc_id", "left")
     order = [F.col("place.slot").asc_nulls_last(), F.col("place.in_block").asc_nulls_last(), F.col("doc_id").asc_nulls_last()]

@@ -3,8 +3,10 @@
 Weights are whole units that sum to a period. A source of u units has u blocks a period; its i-th block (from 0) is released
 at floor(i * period / u) and due at ceil((i + 1) * period / u). One slot after the other, the released block with the earliest
 deadline runs. As the weights fill the period, every block meets its deadline, so in every prefix of the schedule each source
-is less than one block away from its target share. The schedule repeats after a period, so one period of at most MOST_UNITS
-slots is computed, and every other block's slot follows by arithmetic: no list of blocks passes one task.
+is less than one block away from its target share. The schedule repeats after a period, so one period is computed, and every
+other block's slot follows by arithmetic: no list of blocks passes one task. A period of at most FOLDED slots is one folded
+expression; a longer one, as very many sources make it, is the same schedule run by a heap in one task, whose time and
+memory grow with the sources and their units, not with the documents.
 
 Documents stand in a source in the order of a hash of their ids. Their numbers come from counts of hash buckets and
 row numbers in each bucket, so a hot source is many small windows.
@@ -18,7 +20,9 @@ Empty table: empty result. Other columns are ignored.
 from __future__ import annotations
 
 import math
+from heapq import heappop, heappush
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -28,8 +32,10 @@ from .spread import with_key
 
 #: Documents in a block.
 BLOCK = 16
-#: Units that tempered_units() deals out, about; and the most a period may have.
-UNITS, MOST_UNITS = 1000, 20_000
+#: Units that tempered_units() deals out, about; and the slots of the longest period that is folded, not run by a heap.
+UNITS, FOLDED = 1000, 20_000
+#: Parts that a source's documents are dealt to when there are too many sources for a broadcast.
+SALTS = 32
 
 
 def tempered_units(docs: DataFrame, source_col: str = "source", power: float = 0.5, units: int = UNITS) -> DataFrame:
@@ -40,13 +46,40 @@ def tempered_units(docs: DataFrame, source_col: str = "source", power: float = 0
     return counts.select("source", F.greatest(F.lit(1), F.floor(F.lit(units) * F.floor(share * 1000) / F.lit(whole) + 0.5)).cast("int").alias("units"))
 
 
-def schedule(weights: DataFrame) -> DataFrame:
+def _heaped(batches, period: int, rows: int = 50_000):
+    """schedule()'s rows, from source and units in the order of the sources."""
+    table = pa.Table.from_batches(list(batches)).combine_chunks()
+    if not table.num_rows:
+        return
+    u = table.column(1).to_pylist()
+    done, waiting, ready, out = [0] * len(u), [(0, n) for n in range(len(u))], [], []
+    for t in range(period):
+        while waiting and waiting[0][0] <= t:
+            n = heappop(waiting)[1]
+            heappush(ready, (-(-(done[n] + 1) * period // u[n]), n))
+        due, n = heappop(ready)
+        out.append((n, done[n], done[n] * period // u[n], due, t))
+        done[n] += 1
+        if done[n] < u[n]:
+            heappush(waiting, (done[n] * period // u[n], n))
+        if len(out) == rows or t == period - 1:
+            n, i, release, due, slot = (pa.array(c, pa.int32()) for c in zip(*out))
+            taken = table.take(n)
+            source = taken.column(0).combine_chunks()
+            source = source if isinstance(source, pa.Array) else pa.concat_arrays(source.chunks)
+            yield pa.RecordBatch.from_arrays([source, taken.column(1).combine_chunks(), pa.array([period] * len(n), pa.int32()), i, release, due, slot], ["source", "units", "period", "i", "release", "deadline", "slot"])
+            out = []
+
+
+def schedule(weights: DataFrame, folded: int = FOLDED) -> DataFrame:
     """source, units, period, i, release, deadline, slot: one period of earliest-deadline-first over released blocks."""
     good = weights.where("units >= 1").select("source", F.col("units").cast("int").alias("units"))
     period = good.agg(F.sum("units")).first()[0] or 0
-    if period > MOST_UNITS:
-        raise ValueError(f"the weights sum to {period} units; at most {MOST_UNITS} are supported, give coarser ones")
-    # one row of at most MOST_UNITS sources: sorted by name, the null source first
+    if period > folded:
+        one = good.withColumn("named", F.col("source").isNotNull()).repartition(1).sortWithinPartitions("named", "source").select("source", "units")
+        kind = good.schema["source"].dataType.simpleString()
+        return one.mapInArrow(lambda it: _heaped(it, period), f"source {kind}, units int, period int, i int, release int, deadline int, slot int")
+    # one row of at most FOLDED sources: sorted by name, the null source first
     one = good.agg(F.array_sort(F.collect_list(F.struct(F.col("source").isNotNull().alias("named"), "source", "units"))).alias("s"))
     p = F.lit(int(period))
 
@@ -94,12 +127,18 @@ def mix_sources(docs: DataFrame, weights: DataFrame, block: int = BLOCK, id_col:
 
     weights: source, units (whole numbers).
     """
-    plan = written(schedule(weights), "mix-schedule")  # at most MOST_UNITS rows
+    plan = written(schedule(weights), "mix-schedule")
     rows = numbered(docs, id_col, source_col).withColumn("block", F.floor(F.col("nth") / block)).withColumn("in_block", (F.col("nth") % block).cast("int"))
-    units = plan.select(F.col("source").alias("__u"), "units", "period").distinct()
-    rows = rows.join(F.broadcast(units), F.col("source").eqNullSafe(F.col("__u")), "left").withColumn("__i", (F.col("block") % F.col("units")).cast("int"))
+    units = plan.where("i = 0").select(F.col("source").alias("__u"), "units", "period")
     at = plan.select(F.col("source").alias("__s"), F.col("i").alias("__k"), "release", "deadline", "slot")
-    rows = rows.join(F.broadcast(at), F.col("source").eqNullSafe(F.col("__s")) & (F.col("__i") == F.col("__k")), "left")
+    same = F.col("source").eqNullSafe(F.col("__u"))
+    if plan.count() > FOLDED:  # too many for a broadcast: a hot source's documents are dealt out
+        units = units.withColumn("__part", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        same &= F.pmod(F.xxhash64("key"), F.lit(SALTS)) == F.col("__part")
+    else:
+        units, at = F.broadcast(units), F.broadcast(at)
+    rows = rows.join(units, same, "left").withColumn("__i", (F.col("block") % F.col("units")).cast("int"))
+    rows = rows.join(at, F.col("source").eqNullSafe(F.col("__s")) & (F.col("__i") == F.col("__k")), "left")
     base = F.floor(F.col("block") / F.col("units")) * F.col("period")
     return rows.select("doc_id", "source", "block", "in_block", *[(base + F.col(c)).cast("long").alias(c) for c in ("release", "deadline", "slot")])
 

@@ -99,3 +99,15 @@ def test_mix_places_every_document_once(spark):
             break
         assert all(abs(seen[x] - t * u / 6) < 4 + 1e-9 for x, u in (("hot", 3), ("b", 2), (None, 1)))
     assert mixing.mix_sources(df.limit(0), w).count() == 0
+
+
+def test_more_sources_than_a_folded_period(spark):
+    for units in ([("a", 50), ("b", 10), ("c", 10), (None, 13), ("", 10)], [("a", 9), *((f"s{i}", 1) for i in range(40))]):
+        df = spark.createDataFrame(units, "source string, units int")
+        heaped, folded = (mixing.schedule(df, n).orderBy("slot").collect() for n in (1, 1000))
+        assert heaped == folded
+    n = 21_000
+    df = spark.range(n + 6000).select(F.col("id").alias("doc_id"), F.when(F.col("id") < n, F.concat(F.lit("host"), F.col("id"))).otherwise("hot").alias("source"))
+    got = mixing.mix_sources(df, mixing.tempered_units(df))
+    assert got.count() == n + 6000 and got.where("slot is null").count() == 0
+    assert got.select("slot", "in_block").distinct().count() == n + 6000 and got.where("slot < release or slot >= deadline").count() == 0
