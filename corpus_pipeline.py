@@ -24,8 +24,13 @@ UNITS_EACH = 20
 
 
 def keep_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a predicted language. lang, where given and not held out, is what the model learns from."""
+    """Documents with a predicted language. lang, where given and not held out, is what the model learns from.
+
+    Without anything to learn from, documents with a letter stay.
+    """
     model = language_id.train(docs, ~language_id.held_out())
+    if model.families is None:
+        return docs.select(*COLUMNS).where(F.col("text").rlike("\\p{L}"))
     return language_id.identify(docs.select(*COLUMNS), model).where(F.col("lang_pred") != language_id.UND).select("row.*")
 
 

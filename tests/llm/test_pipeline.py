@@ -57,3 +57,8 @@ def test_one_row_stays_of_every_component(spark):
     got = [(r.doc_id, r.text) for r in corpus_pipeline.keep_one_of_each(spark, docs, "").collect()]
     assert len([x for x in got if x[0] == 7]) == 1 and (8, near) not in got
     assert sorted((x for x in got if x[0] != 7), key=str) == sorted([(3, b), (4, a), (None, c), (9, d), (None, " "), (None, " "), (10, " ")], key=str)
+
+
+def test_texts_with_letters_stay_without_labels(spark):
+    docs = spark.createDataFrame([(1, "some words"), (2, "12 34"), (3, None), (4, "слово")], "doc_id long, text string").selectExpr("doc_id", "text", "cast(null as string) as lang", "'s' as source", "1L as n_chars")
+    assert sorted(r.doc_id for r in corpus_pipeline.keep_language(spark, docs, "").collect()) == [1, 4]
