@@ -175,7 +175,7 @@ class Words:
     """
 
     def __init__(self, texts: pa.Array):
-        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        texts = pc.fill_null(level(texts).cast(pa.large_string()), "")
         odd = pc.match_substring_regex(texts, UNSAFE_CUT)
         plain = pc.if_else(odd, "", texts)
         parts = pc.split_pattern(plain, " ")
@@ -231,8 +231,15 @@ class PieceCache:
         return self.starts[at], self.lengths[at]
 
 
+def level(array: pa.Array) -> pa.Array:
+    """The array, copied if it is a slice of a longer one: kernels misread texts that were cast from a slice with an offset
+    (pyarrow 23: ascii_lower of a large_string cast from such a string array)."""
+    return pa.concat_arrays([array]) if array.offset else array
+
+
 def text_batches(batches, rows: int = 1024):
-    """Batches of at most so many rows each; long texts are whole in one batch."""
+    """Batches of at most so many rows each, none of them a view with an offset; long texts are whole in one batch."""
     for b in batches:
         for i in range(0, b.num_rows, rows):
-            yield b.slice(i, rows)
+            part = b.slice(i, rows)
+            yield pa.RecordBatch.from_arrays([level(c) for c in part.columns], schema=part.schema)

@@ -11,6 +11,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 
+from .shared import level
+
 WIDTH = 5
 _M1, _M2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 
@@ -23,7 +25,7 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """A hash for every word and the texts' bounds among them."""
-    low = pc.ascii_lower(pc.fill_null(texts.cast(pa.large_string()), ""))
+    low = pc.ascii_lower(pc.fill_null(level(texts).cast(pa.large_string()), ""))
     parts = pc.ascii_split_whitespace(low)
     flat = parts.flatten()
     off = parts.offsets.to_numpy().astype(np.int64)
