@@ -53,6 +53,13 @@ def vcf_field(line: Column, field: str) -> Column:
     return F.regexp_replace(found, '^"|"$', "")
 
 
+def contig_lines(text: Column) -> Column:
+    """The contig lines, built again from their fields: values without quotes, in the fields' order."""
+    fields = lambda x: F.regexp_extract_all(x, F.lit(r'([^=,]+=(?:"[^"]*"|[^,]*))'), 1)
+    bare = lambda f: F.regexp_replace(f, r'=\"(.*)\"$', "=$1")
+    return F.transform(vcf_lines(text, "contig"), lambda x: F.concat(F.lit("##contig=<"), F.array_join(F.transform(fields(x), bare), ","), F.lit(">")))
+
+
 def vcf_value(text: Column, kind: str) -> Column:
     """The value of the last plain line of a kind, e.g. source; null without one."""
     found = F.filter(lines_of(text), lambda x: x.startswith(f"##{kind}=") & ~x.rlike(rf"(?d)^##{kind}=<(.*)>$"))

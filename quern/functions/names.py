@@ -21,6 +21,22 @@ CATEGORIES = {
     ".sf": "quantification", ".txt": "text_ambiguous", ".tsv": "text_ambiguous", ".csv": "text_ambiguous", ".log": "log_file",
 }
 
+IMAGES = (".svs", ".png", ".jpg", ".tiff")
+AUXILIARY = (".fast5", ".pod5", ".fast5.tar", ".fast5.tar.gz", ".pvar", ".psam", ".pgen")
+# Categories of formats for reports, in the order of trial; a part of the name also counts where one is given.
+GROUPS = (
+    ((".bai", ".tbi", ".csi", ".crai", ".pbi"), "Index", None),
+    ((".bam", ".cram"), "BAM/CRAM", None),
+    ((".vcf", ".vcf.gz", ".bcf", ".gvcf", ".gvcf.gz", ".g.vcf.gz"), "VCF", None),
+    ((".fastq", ".fastq.gz", ".fq", ".fq.gz"), "FASTQ", None),
+    ((".bed", ".bed.gz"), "BED", None),
+    ((".svs", ".png", ".jpg", ".jpeg", ".tiff", ".tif"), "Images", None),
+    ((".fast5", ".pod5"), "Auxiliary", ".fast5"),
+    ((".pvar", ".psam", ".pgen", ".bim", ".fam"), "Auxiliary", None),
+    ((".md5", ".log", ".txt", ".html", ".pdf", ".json", ".csv", ".tsv"), "Skipped", None),
+    ((".tar", ".tar.gz", ".zip"), "Skipped", None),
+)
+
 _TAIL = r"((?:\.(?:" + "|".join(WRAPPERS) + r"))*)$"
 _CORES = "|".join(sorted((x[1:].replace(".", r"\.") for x in {*FORMATS, *CATEGORIES}), key=len, reverse=True))
 
@@ -79,3 +95,27 @@ def settled_extension(name: Column, file_format: Column) -> Column:
     """What the rules go by: the name's extension, else the core of the format given, else that format in lower case."""
     given = F.when(file_format != "", F.coalesce(extension_of(file_format), F.lower(file_format)))
     return F.coalesce(extension_of(name), given, F.lit(""))
+
+
+def _named(name: Column, file_format: Column, endings: tuple[str, ...]) -> Column:
+    ends = F.lower(name).rlike("(?:" + "|".join(e.replace(".", r"\.") for e in endings) + r")\z")
+    return F.coalesce(file_format.isin(*endings), F.lit(False)) | F.coalesce(ends, F.lit(False))
+
+
+def is_image(name: Column, file_format: Column) -> Column:
+    """Whether the format is one of IMAGES or the name ends so, whatever its case."""
+    return _named(name, file_format, IMAGES)
+
+
+def is_auxiliary(name: Column, file_format: Column) -> Column:
+    """Whether the format is one of AUXILIARY or the name ends so, whatever its case."""
+    return _named(name, file_format, AUXILIARY)
+
+
+def format_group(name: Column, file_format: Column) -> Column:
+    """The first of GROUPS whose formats hold the given one, or whose part of a name the name has; else Other."""
+    out, fmt = F.lit("Other"), F.lower(F.coalesce(file_format, F.lit("")))
+    for formats, group, part in reversed(GROUPS):
+        hit = fmt.isin(*formats)
+        out = F.when(hit | F.coalesce(F.lower(name).contains(part), F.lit(False)) if part else hit, group).otherwise(out)
+    return out

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from html import escape
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quern.functions.names import extension_of, map_of
-from quern.plans.rules import FIELDS, NOT_APPLICABLE, NOT_CLASSIFIED
+from quern.plans.rules import CLASSIFIED, FIELDS, NOT_APPLICABLE, NOT_CLASSIFIED, VOCABULARY
 
 # Translations between vocabularies; a map either passes unknown values on or drops them.
 PLATFORMS = {"PACBIO_SMRT": "PACBIO", "OXFORD_NANOPORE": "ONT", "ILLUMINA": "ILLUMINA"}
@@ -52,15 +54,57 @@ def coverage_by_extension(classified: DataFrame) -> DataFrame:
     return rows.groupBy("field", "label", "ext").agg(F.count("*").alias("n"))
 
 
+def alike(reason: Column) -> Column:
+    """A reason without what differs from file to file: the parent's name, and numbers."""
+    reason = F.regexp_replace(reason, r"(?s)^inherited from .+", "inherited from parent")
+    reason = F.regexp_replace(reason, r"(?s)^not applicable to .+", "not applicable to parent")
+    reason = F.regexp_replace(reason, r"(?s)^.+ is not classified$", "parent is not classified")
+    return F.regexp_replace(reason, r"\d+", "N")
+
+
 def commonest_reasons(classified: DataFrame) -> DataFrame:
-    """field, ext, reason, n: the most frequent last reason of unclassified fields; numbers in reasons count as alike."""
+    """field, ext, reason, n: the most frequent last reason of unclassified fields; reasons count as alike() makes them."""
     rows = by_field(classified, "file_name").where(F.col("status") == NOT_CLASSIFIED)
-    reason = F.regexp_replace(F.try_element_at("evidence", F.lit(-1))["reason"], r"\d+", "N")
+    reason = alike(F.try_element_at("evidence", F.lit(-1))["reason"])
     counted = rows.groupBy("field", F.coalesce(extension_of(F.col("file_name")), F.lit("")).alias("ext"), reason.alias("reason")).agg(F.count("*").alias("n"))
     best = counted.groupBy("field", "ext").agg(F.min(F.struct((-F.col("n")).alias("neg"), "reason")).alias("b"))
     return best.select("field", "ext", "b.reason", (-F.col("b.neg")).alias("n"))
 
 
+def top_counts(files: DataFrame, what: Column, most: int = 20) -> DataFrame:
+    """value, n: the most frequent values (`unknown` for null and empty ones); of equally frequent ones, the first by name."""
+    value = F.coalesce(F.nullif(what, F.lit("")), F.lit("unknown"))
+    return files.groupBy(value.alias("value")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "value").limit(most)
+
+
+def assembly_counts(classified: DataFrame, kind: Column) -> DataFrame:
+    """kind, assembly, n: files of each kind by reference assembly, null for those without one. Null kinds are left out."""
+    rows = classified.select(kind.alias("kind"), F.col("classifications.reference_assembly.value").alias("assembly"))
+    return rows.where("kind is not null").groupBy("kind", "assembly").agg(F.count("*").alias("n"))
+
+
+def coherent(field: str, of: str = "classifications") -> Column:
+    """The field's entry; an error where a value stands beside a status other than classified, or the other way round."""
+    entry = F.col(f"{of}.{field}")
+    fits = entry["value"].isNotNull().eqNullSafe(entry["status"] == CLASSIFIED)
+    return F.when(fits, entry).otherwise(F.raise_error(F.concat(F.lit(f"{field}: value and status don't fit: "), F.to_json(entry))))
+
+
+def output_faults(outputs: DataFrame, of: str = "classifications") -> Column:
+    """Faults of an output record, `<field>: <fault>`: a missing container, field or status, and values outside the vocabulary."""
+    kinds = outputs.schema[of].dataType.fieldNames() if of in outputs.columns else []
+    if not kinds:
+        return F.array(F.lit(f"{of}: missing"))
+    found = []
+    for f in FIELDS:
+        if f not in kinds:
+            found.append(F.lit(f"{f}: missing"))
+            continue
+        value, status = F.col(f"{of}.{f}.value"), F.col(f"{of}.{f}.status")
+        found.append(F.when(F.col(f"{of}.{f}").isNull(), f"{f}: missing").when(status.isNull(), f"{f}: status is missing").when(~status.isin(CLASSIFIED, NOT_APPLICABLE, NOT_CLASSIFIED), f"{f}: unknown status").when(value.isNotNull() & ~value.isin(*VOCABULARY[f]), f"{f}: value outside the vocabulary").when(value.isNotNull() != (status == CLASSIFIED), f"{f}: value and status don't fit"))
+    return F.when(F.col(of).isNull(), F.array(F.lit(f"{of}: missing"))).otherwise(F.array_compact(F.array(*found)))
+
+
 def compare(classified: DataFrame, truth: DataFrame, field: str, key: str = "file_md5sum") -> DataFrame:
     """outcome, n of one field against truth (key, truth): agree, discrepancy, we_inferred, not_classified, no_truth."""
     rows = _joined(classified, truth, field, key)
@@ -102,7 +146,40 @@ def batch_stats(classified: DataFrame) -> DataFrame:
     return classified.agg(F.count("*").alias("total"), F.count(m).alias("with_modality"), F.count(r).alias("with_reference"), F.count_if(had_m).alias("had_modality"), F.count_if(had_r).alias("had_reference"), F.count_if(m.isNotNull() & ~had_m).alias("filled_modality"), F.count_if(r.isNotNull() & ~had_r).alias("filled_reference"))
 
 
+def shown(value) -> str:
+    """A cell of a report: thousands apart, percentages with one digit, lines and bars of a table escaped."""
+    if value is None:
+        return ""
+    if isinstance(value, bool):
+        return str(value).lower()
+    if isinstance(value, int):
+        return f"{value:,}"
+    if isinstance(value, float):
+        return f"{value:,.1f}"
+    return str(value).replace("|", "\\|").replace("\n", " ")
+
+
 def markdown(rows: DataFrame, title: str, most: int = 1000) -> str:
     """A small result (at most `most` rows) as a Markdown table."""
-    found, cell = rows.limit(most).collect(), lambda v: "" if v is None else str(v).replace("|", "\\|")
-    return "\n".join([f"# {title}", "", "| " + " | ".join(rows.columns) + " |", "|" + " --- |" * len(rows.columns), *("| " + " | ".join(cell(v) for v in r) + " |" for r in found), ""])
+    found = rows.limit(most).collect()
+    return "\n".join([f"# {title}", "", "| " + " | ".join(rows.columns) + " |", "|" + " --- |" * len(rows.columns), *("| " + " | ".join(shown(v) for v in r) + " |" for r in found), ""])
+
+
+def html(rows: DataFrame, title: str, most: int = 1000) -> str:
+    """The same as an HTML fragment."""
+    found, cell = rows.limit(most).collect(), lambda v, tag: f"<{tag}>{escape(v)}</{tag}>"
+    lines = ["<tr>" + "".join(cell(c, "th") for c in rows.columns) + "</tr>", *("<tr>" + "".join(cell(shown(v), "td") for v in r) + "</tr>" for r in found)]
+    return "\n".join([f"<h2>{escape(title)}</h2>", "<table>", *lines, "</table>", ""])
+
+
+def coverage_report(classified: DataFrame, files: DataFrame, form=markdown) -> str:
+    """Coverage by field, labels, commonest reasons, and the largest datasets and extensions, in markdown() or html()."""
+    ext = extension_of(F.col("file_name"))
+    parts = (
+        ("Coverage", coverage(classified).orderBy("field")),
+        ("Labels", label_histogram(classified).orderBy("field", F.desc("n"), "label")),
+        ("Commonest reasons", commonest_reasons(classified).orderBy("field", F.desc("n"), "ext").limit(100)),
+        ("Datasets", top_counts(files, F.col("dataset_title"))),
+        ("Extensions", top_counts(files, ext)),
+    )
+    return "\n".join(form(rows, title) for title, rows in parts)

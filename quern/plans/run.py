@@ -7,29 +7,51 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quern.functions.names import is_auxiliary, is_image
 from quern.operators import classify as C
 from quern.operators import propagate
 from quern.operators.classify import CLASSIFIERS, route
+from quern.sources.sinks import once
 
 
-def classify_catalog(files: DataFrame, payloads: dict[str, DataFrame] | None = None) -> DataFrame:
+#: Phases that pick their files by name and format, beside the payloads'.
+BY_NAME = {"image": is_image, "auxiliary": is_auxiliary}
+
+
+def whole_run(files: DataFrame, payloads: dict[str, DataFrame]) -> DataFrame:
+    """classify_catalog() with every phase: payloads, images, auxiliary files, indexes, the rest."""
+    return classify_catalog(files, payloads, tuple(BY_NAME))
+
+
+def classify_catalog(files: DataFrame, payloads: dict[str, DataFrame] | None = None, by_name: tuple[str, ...] = ()) -> DataFrame:
     """files (entry_id, file_name, ..., file_md5sum) plus classifications and phase.
 
     payloads: for each kind of ROUTES, a frame with file_md5sum and the payload column. Routed files without a payload are
-    unreadable. A file that routes to two kinds has two rows, as in each kind's own output.
+    unreadable. A file that routes to two kinds has two rows, as in each kind's own output; so has one that is routed and
+    an image or auxiliary. The first phases are worked out and written once; indexes and the rest read them from there.
+    Without any, all files are classified by name, and indexes take their parents' labels. by_name: which of BY_NAME's
+    phases to run; without them, their files are among the rest.
     """
-    cols, parts = files.columns, []
-    routed = route(files)
+    cols = files.columns
+    if not payloads and not by_name:
+        base = once(C.classify(files).withColumn("phase", F.lit("name")), "classified")
+        indexes = _indexes(files, base)
+        return base.join(indexes.select("entry_id"), "entry_id", "left_anti").unionByName(indexes)
+    routed, parts = route(files), []
     for kind, payload in (payloads or {}).items():
         own = routed.where(f"kind = '{kind}'").drop("kind").join(payload.withColumnRenamed("file_md5sum", "_md5"), routed["file_md5sum"] == F.col("_md5"), "left")
         got = CLASSIFIERS[kind](own.where("_md5 is not null"))
         lost = C.unreadable(own.where("_md5 is null"), F.lit("content could not be read"))
         parts += [x.select(*cols, "classifications", F.lit(kind).alias("phase")) for x in (got, lost)]
-    done = reduce(DataFrame.unionByName, parts) if parts else None
-    base = done if done is not None else C.classify(files).withColumn("phase", F.lit("name"))
-    indexes = propagate.inherited(propagate.matched_indexes(files), base).select(*cols, "classifications", F.lit("index").alias("phase"))
-    if done is None:
-        return base.join(indexes.select("entry_id"), "entry_id", "left_anti").unionByName(indexes)
-    known = done.unionByName(indexes)
+    for phase in by_name:
+        own = files.where(BY_NAME[phase](F.col("file_name"), F.col("file_format")))
+        parts.append(C.classify(own).select(*cols, "classifications", F.lit(phase).alias("phase")))
+    base = once(reduce(DataFrame.unionByName, parts), "classified")
+    known = base.unionByName(_indexes(files, base))
     rest = C.classify(propagate.remaining(files, known)).withColumn("phase", F.lit("remaining"))
     return known.unionByName(rest.select(known.columns))
+
+
+def _indexes(files: DataFrame, base: DataFrame) -> DataFrame:
+    found = propagate.inherited(propagate.matched_indexes(files), base)
+    return found.select(*files.columns, "classifications", F.lit("index").alias("phase"))

@@ -13,7 +13,7 @@ from quern.functions import headers as H
 from quern.functions import names as N
 from quern.functions import reference as R
 from quern.operators import classify as C
-from quern.operators import contract, lint, propagate, report
+from quern.operators import contract, external, lint, propagate, report
 from quern.operators.claims import entry, resolve
 from quern.plans.compile import claim, rule_ids, with_matches
 from quern.plans.rules import FIELDS, RULES
@@ -187,7 +187,7 @@ def claims_state_fallback(spark, sf_dir):
     return rows.where(F.array_contains(rule_ids(), "intervals_fallback")).select("k", "file_name")
 
 
-_DECIDED = "SELECT l_orderkey AS k, l_linenumber, 1 + l_suppkey % 4 AS tier, CASE l_partkey % 6 WHEN 0 THEN 'A' WHEN 1 THEN 'B' WHEN 2 THEN 'not_applicable' WHEN 3 THEN 'not_classified' ELSE 'C' END AS d FROM lineitem WHERE l_linenumber <= 1 + l_orderkey % 4"
+_DECIDED = "SELECT l_orderkey AS k, l_linenumber, 1 + l_suppkey % 4 AS tier, CASE l_partkey % 6 WHEN 0 THEN 'A' WHEN 1 THEN 'B' WHEN 2 THEN 'not_applicable' WHEN 3 THEN 'not_classified' ELSE 'C' END AS d FROM lineitem"
 
 
 def _decisions(spark, sf_dir):
@@ -476,3 +476,163 @@ def catalog_accuracy(spark, sf_dir):
 @query(f"WITH {LABELS} SELECT count(*) AS total, count(data_modality_v) AS with_modality, count(reference_assembly_v) AS with_reference, count(data_modality) AS had_modality, count(reference_assembly) AS had_reference, count(*) FILTER (data_modality_v IS NOT NULL AND data_modality IS NULL) AS filled_modality, count(*) FILTER (reference_assembly_v IS NOT NULL AND reference_assembly IS NULL) AS filled_reference FROM labels JOIN catalog USING (k)")
 def batch_stats(spark, sf_dir):
     return report.batch_stats(_classified(spark, sf_dir))
+
+
+# --- selection, categories, counts -----------------------------------------------------------------------------------
+
+
+def _ends(exts) -> str:
+    return "(" + " OR ".join(f"file_format = '{e}' OR ends_with(lower(file_name), '{e}')" for e in exts) + ")"
+
+
+@query(f"WITH {CATALOG} SELECT k, {_ends(N.IMAGES)} AS image, {_ends(N.AUXILIARY)} AS auxiliary FROM catalog")
+def image_auxiliary_select(spark, sf_dir):
+    name, fmt = F.col("file_name"), F.col("file_format")
+    return S.catalog(spark, sf_dir).select("k", N.is_image(name, fmt).alias("image"), N.is_auxiliary(name, fmt).alias("auxiliary"))
+
+
+_GROUP = "CASE " + " ".join("WHEN lower(file_format) IN (" + ", ".join(_q(e) for e in exts) + ")" + (f" OR contains(lower(file_name), {_q(part)})" if part else "") + f" THEN {_q(g)}" for exts, g, part in N.GROUPS) + " ELSE 'Other' END"
+
+
+@query(f"WITH {CATALOG} SELECT {_GROUP} AS category, count(*) AS n FROM catalog GROUP BY 1")
+def format_category(spark, sf_dir):
+    return S.catalog(spark, sf_dir).groupBy(N.format_group(F.col("file_name"), F.col("file_format")).alias("category")).agg(F.count("*").alias("n"))
+
+
+@query(f"WITH {CATALOG} SELECT dataset_title AS value, count(*) AS n FROM catalog GROUP BY 1 ORDER BY n DESC, value LIMIT 20")
+def top_datasets(spark, sf_dir):
+    return report.top_counts(S.catalog(spark, sf_dir), F.col("dataset_title"))
+
+
+@query(f"WITH {PARSED} SELECT coalesce(ext, 'unknown') AS value, count(*) AS n FROM parsed GROUP BY 1 ORDER BY n DESC, value LIMIT 20")
+def top_extensions(spark, sf_dir):
+    return report.top_counts(S.catalog(spark, sf_dir), N.extension_of(F.col("file_name")))
+
+
+_KIND = "CASE WHEN e IN ('.vcf', '.gvcf', '.g.vcf', '.bcf') THEN 'vcf' WHEN e IN ('.bam', '.cram') THEN 'bam' END"
+
+
+@query(f"WITH {LABELS} SELECT {_KIND} AS kind, reference_assembly_v AS assembly, count(*) AS n FROM labels WHERE {_KIND} IS NOT NULL GROUP BY ALL")
+def assembly_counts(spark, sf_dir):
+    c = _classified(spark, sf_dir)
+    e = N.settled_extension(F.col("file_name"), F.col("file_format"))
+    return report.assembly_counts(c, F.when(e.isin(".vcf", ".gvcf", ".g.vcf", ".bcf"), "vcf").when(e.isin(".bam", ".cram"), "bam"))
+
+
+_WHY = "SELECT o_orderkey AS k, CASE o_orderkey % 5 WHEN 0 THEN concat('inherited from S', o_custkey, '.bam') WHEN 1 THEN concat('not applicable to S', o_custkey, '.vcf.gz') WHEN 2 THEN concat('S', o_custkey, '.cram is not classified') WHEN 3 THEN concat(o_custkey % 7, ' contig lengths') ELSE o_orderstatus END AS reason FROM orders"
+
+
+@query(f"""SELECT CASE WHEN starts_with(reason, 'inherited from ') THEN 'inherited from parent' WHEN starts_with(reason, 'not applicable to ') THEN 'not applicable to parent'
+  WHEN ends_with(reason, ' is not classified') THEN 'parent is not classified' ELSE regexp_replace(reason, '[0-9]+', 'N', 'g') END AS reason, count(*) AS n FROM ({_WHY}) GROUP BY 1""")
+def reason_kinds(spark, sf_dir):
+    return S.over(spark, sf_dir, _WHY, "orders").groupBy(report.alike(F.col("reason")).alias("reason")).agg(F.count("*").alias("n"))
+
+
+_BENT = f"SELECT o_orderkey AS k, {S.pick('o_orderkey % 5', ('genomic', 'bad value', 'transcriptomic.bulk'))} AS value, {S.pick('o_custkey % 4', ('classified', 'not_classified', 'odd'))} AS status FROM orders"
+
+
+@query(f"""SELECT fault, count(*) AS n FROM (SELECT CASE WHEN status IS NULL THEN 'data_modality: status is missing' WHEN status = 'odd' THEN 'data_modality: unknown status' WHEN value = 'bad value' THEN 'data_modality: value outside the vocabulary'
+  WHEN (value IS NOT NULL) <> (status = 'classified') THEN 'data_modality: value and status don''t fit' END AS fault FROM ({_BENT})) WHERE fault IS NOT NULL GROUP BY 1""")
+def output_faults(spark, sf_dir):
+    fine = F.struct(F.lit(None).cast("string").alias("value"), F.lit("not_classified").alias("status"))
+    fields = [F.struct("value", "status").alias(f) if f == "data_modality" else fine.alias(f) for f in FIELDS]
+    rows = S.over(spark, sf_dir, _BENT, "orders").select(F.struct(*fields).alias("classifications"))
+    return rows.select(F.explode(report.output_faults(rows)).alias("fault")).groupBy("fault").agg(F.count("*").alias("n"))
+
+
+@query("""SELECT k, 5 AS n_contigs, concat('##contig=<ID=chr', k % 22 + 1, ',length=', k, ',assembly=x y,md5=', k % 3, '>') AS first FROM (SELECT DISTINCT l_orderkey AS k FROM lineitem)""")
+def vcf_contig_lines(spark, sf_dir):
+    one = "concat('##contig=<ID=chr', k % 22 + 1, ',length=', k, ',assembly=\"x y\",md5=', k % 3, '>', chr(10))"
+    h = S.over(spark, sf_dir, f"SELECT k, concat('##fileformat=VCFv4.2', chr(10), {', '.join([one] * 5)}, '#CHROM') AS header_text FROM (SELECT DISTINCT l_orderkey AS k FROM lineitem) a", "lineitem")
+    return h.select("k", H.contig_lines(F.col("header_text")).alias("c")).select("k", F.size("c").alias("n_contigs"), F.col("c")[0].alias("first"))
+
+
+@query(f"""WITH {CATALOG}, p AS (SELECT dataset_id, file_name, max(k) AS pk FROM catalog GROUP BY ALL),
+i AS (SELECT *, regexp_extract(file_name, '\\.(bai|tbi|csi|crai|pbi)$', 1) AS x FROM catalog WHERE regexp_matches(file_name, '\\.(bai|tbi|csi|crai|pbi)$') OR file_format IN ('.bai', '.tbi', '.csi', '.crai', '.pbi')),
+c AS (SELECT i.k, i.dataset_id, unnest([{', '.join(f"regexp_replace(file_name, '{e[1:] and chr(92) + e}$', '') || '{t}'" for e, ps in propagate.PARENTS.items() for t in ('', *ps))}]) AS cand FROM i),
+hit AS (SELECT DISTINCT c.k FROM c JOIN p ON p.dataset_id = c.dataset_id AND p.file_name = c.cand AND p.pk <> c.k)
+SELECT '.' || x AS index_ext, count(*) AS total, count(hit.k) AS matched, count(*) - count(hit.k) AS unmatched FROM i LEFT JOIN hit ON hit.k = i.k WHERE x <> '' GROUP BY 1""")
+def index_stats(spark, sf_dir):
+    files = S.catalog(spark, sf_dir)
+    found = propagate.matched_indexes(files)
+    return propagate.index_stats(found, propagate.inherited(found, C.classify(files))).select("index_ext", "total", "matched", "unmatched")
+
+
+# --- external records ------------------------------------------------------------------------------------------------
+
+_SEQUENCING = f"SELECT CASE WHEN k % 3 = 2 THEN concat('x', file_name) ELSE file_name END AS filename, {S.pick('k % 5', ('PACBIO_SMRT', 'OXFORD_NANOPORE', 'ILLUMINA', 'ELEMENT'))} AS platform, {S.pick('k % 4', ('Genomic', 'TRANSCRIPTOMIC', 'OTHER'))} AS librarySource, {S.pick('k % 7', ('WGS', 'Hi-C', 'isoseq', 'RNA-Seq'))} AS libraryStrategy FROM ({S.CATALOG}) z"
+_ALIGNMENTS = f"SELECT CASE WHEN k % 2 = 0 THEN file_name ELSE '' END AS filename, {S.pick('k % 5', ('CHM13', 'GRCh38', 'grch37', 'other'))} AS referenceCoordinates FROM ({S.CATALOG}) z"
+_ANNOTATIONS = f"SELECT file_name AS filename, {S.pick('k % 6', ('CAT_genes_chm13', 'chains GRCh38', 'ChromAlias T2T', 'CenSat'))} AS annotationType FROM ({S.CATALOG}) z"
+_ASSEMBLIES = f"SELECT CASE WHEN k % 9 = 1 THEN file_name END AS filename FROM ({S.CATALOG}) z"
+
+
+def _catalogs(spark, sf_dir):
+    return {n: S.over(spark, sf_dir, sql, "orders") for n, sql in (("sequencing", _SEQUENCING), ("alignments", _ALIGNMENTS), ("annotations", _ANNOTATIONS), ("assemblies", _ASSEMBLIES))}
+
+
+_TRUTH = f"""{LABELS}, seq AS ({_SEQUENCING}), ali AS ({_ALIGNMENTS}), ann AS ({_ANNOTATIONS}), asm AS ({_ASSEMBLIES}),
+truth AS (
+  SELECT 'sequencing' AS catalog, filename, unnest(['platform', 'data_modality', 'assay_type', 'none']) AS field, unnest([coalesce({_case('platform', report.PLATFORMS)}, platform), {_case('upper(librarySource)', report.SOURCES)}, {_case('libraryStrategy', report.STRATEGIES)}, 'none']) AS expected FROM seq
+  UNION ALL SELECT 'alignments', filename, 'reference_assembly', {_case('lower(referenceCoordinates)', report.COORDINATES)} FROM ali
+  UNION ALL SELECT 'annotations', filename, 'reference_assembly', {_case('annotationType', report.ANNOTATIONS)} FROM ann
+  UNION ALL SELECT 'assemblies', filename, 'none', 'none' FROM asm),
+named AS (SELECT l.*, c.file_name FROM labels l JOIN catalog c USING (k)),
+ours AS (SELECT file_name, unnest(['platform', 'data_modality', 'assay_type', 'reference_assembly', 'none']) AS field, unnest([platform_v, data_modality_v, assay_type_v, reference_assembly_v, NULL]) AS ours FROM named),
+met AS (SELECT t.*, o.ours FROM truth t JOIN ours o ON o.file_name = t.filename AND o.field = t.field WHERE t.filename <> '' AND t.expected IS NOT NULL)"""
+
+
+@query(f"""WITH {_TRUTH}, n AS (SELECT field, count(*) FILTER (upper(ours) = upper(expected)) AS match, count(*) FILTER (upper(ours) <> upper(expected)) AS mismatch, count(*) FILTER (ours IS NULL) AS unknown FROM met WHERE field <> 'none' GROUP BY field)
+SELECT *, CASE WHEN match + mismatch > 0 THEN round(match * 100.0 / (match + mismatch), 2)::DOUBLE END AS percent FROM n""")
+def catalog_agreement(spark, sf_dir):
+    return external.agreement(external.catalog_verdicts(_classified(spark, sf_dir), _catalogs(spark, sf_dir)))
+
+
+@query(f"WITH {_TRUTH} SELECT catalog, count(DISTINCT filename) AS n FROM met GROUP BY catalog")
+def catalog_matches(spark, sf_dir):
+    return external.matched_files(external.catalog_verdicts(_classified(spark, sf_dir), _catalogs(spark, sf_dir)))
+
+
+_RUN_FILES = f"SELECT k, CASE WHEN k % 4 = 0 THEN concat('HG_', {S.pick('k % 3', ('ERR', 'SRR', 'DRR'))}, 1000000 + k, '_1.fastq.gz') WHEN k % 4 = 1 THEN concat('XERR', 1000000 + k, '.fq.gz') WHEN k % 4 = 2 THEN concat('ERR', 1000000 + k, '.rnaseq.bam') ELSE concat('ERR12', k % 10, '.bam') END AS file_name, '' AS file_format, file_size, dataset_title FROM ({S.CATALOG}) z"
+_RUNS = f"SELECT concat({S.pick('o_orderkey % 3', ('ERR', 'SRR', 'DRR'))}, 1000000 + o_orderkey) AS run_accession, {S.pick('o_orderkey % 5', ('ILLUMINA', 'illumina', 'PACBIO_SMRT', ''))} AS instrument_platform, {S.pick('o_orderkey % 7', ('WGS', 'RNA-Seq', 'WXS', 'OTHER', ''))} AS library_strategy, {S.pick('o_orderkey % 6', ('GENOMIC', 'TRANSCRIPTOMIC', '', 'OTHER'))} AS library_source FROM orders"
+
+
+@query(f"""WITH runs AS ({_RUNS}), f AS (SELECT k, file_name, nullif(regexp_extract(file_name, '(^|[^A-Za-z0-9])([ESD]RR[0-9]{{6,}})', 2), '') AS accession FROM ({_RUN_FILES}))
+SELECT file_name, f.accession, CASE WHEN r.run_accession IS NULL THEN 'no_record' WHEN coalesce(instrument_platform, '') = '' THEN 'no_platform' END AS error,
+  CASE WHEN coalesce(instrument_platform, '') = '' THEN NULL ELSE 'unknown' END AS platform,
+  CASE WHEN coalesce(instrument_platform, '') = '' THEN NULL WHEN NOT contains(file_name, 'rnaseq') OR (coalesce(library_source, '') = '' AND coalesce(library_strategy, '') = '') THEN 'unknown'
+       WHEN coalesce(library_source, '') = 'TRANSCRIPTOMIC' OR coalesce(library_strategy, '') = 'RNA-Seq' THEN 'match' ELSE 'mismatch' END AS modality,
+  CASE WHEN coalesce(instrument_platform, '') = '' THEN NULL WHEN NOT contains(file_name, 'rnaseq') OR coalesce(library_strategy, '') NOT IN ('WGS', 'RNA-Seq', 'WXS') THEN 'unknown' WHEN library_strategy = 'RNA-Seq' THEN 'match' ELSE 'mismatch' END AS assay
+FROM f LEFT JOIN runs r ON r.run_accession = f.accession WHERE f.accession IS NOT NULL""")
+def run_accession_join(spark, sf_dir):
+    files = C.classify(S.over(spark, sf_dir, _RUN_FILES, "orders"))
+    return external.run_verdicts(files, S.over(spark, sf_dir, _RUNS, "orders"))
+
+
+_SAMPLE_FILES = f"SELECT k, concat('s.', CASE WHEN k % 3 = 2 THEN 'NA' ELSE 'HG' END, 10000 + k % 1000, CASE k % 4 WHEN 0 THEN '.rnaseq.bam' WHEN 1 THEN '.atac.bam' WHEN 2 THEN '.fast5' ELSE '.x.unknown' END) AS file_name, '' AS file_format, file_size, dataset_title FROM ({S.CATALOG}) z"
+_SAMPLES = """SELECT DISTINCT concat(CASE WHEN n % 3 = 2 THEN 'NA' ELSE 'HG' END, 10000 + n) AS sample_id, concat('{"dataCollections": [', CASE n % 4 WHEN 0 THEN '{"title": "1000 Genomes 30x on GRCh38", "sequence": "PCR-free high coverage"}' WHEN 1 THEN '{"title": "a", "sequence": ["mRNA", "Exome"]}, {"title": "1KG_ONT_VIENNA"}'
+  WHEN 2 THEN '{"title": "b", "sequence": ["PacBio HiFi"]}' ELSE '' END, ']}') AS record FROM (SELECT c_custkey % 1000 AS n FROM customer) a"""
+
+
+@query(f"""WITH samples AS ({_SAMPLES}), f AS (SELECT file_name, regexp_extract(file_name, '(NA|HG)[0-9]{{5}}') AS sample_id FROM ({_SAMPLE_FILES})),
+j AS (SELECT f.*, s.sample_id IS NOT NULL AS known, (substr(f.sample_id, 3)::INTEGER - 10000) % 4 AS kind, contains(file_name, 'rnaseq') AS rna, contains(file_name, '.atac') AS atac, ends_with(file_name, '.fast5') AS ont FROM f LEFT JOIN samples s USING (sample_id))
+SELECT file_name, sample_id, known, CASE WHEN known AND ont THEN CASE WHEN kind = 1 THEN 'match' ELSE 'mismatch' END END AS platform,
+  CASE WHEN known AND rna THEN CASE WHEN kind = 1 THEN 'match' ELSE 'mismatch' END WHEN known AND atac THEN 'mismatch' END AS modality FROM j""")
+def sample_join(spark, sf_dir):
+    files = C.classify(S.over(spark, sf_dir, _SAMPLE_FILES, "orders"))
+    return external.sample_verdicts(files, S.over(spark, sf_dir, _SAMPLES, "customer"))
+
+
+@query(f"""SELECT n AS sample, CASE n % 4 WHEN 0 THEN 'genomic' WHEN 1 THEN 'genomic,transcriptomic.bulk' WHEN 2 THEN 'genomic' ELSE '' END AS modalities, CASE n % 4 WHEN 0 THEN 'ILLUMINA' WHEN 1 THEN 'ONT' WHEN 2 THEN 'PACBIO' ELSE 'ILLUMINA' END AS platforms
+FROM (SELECT DISTINCT c_custkey % 1000 AS n FROM customer)""")
+def sample_expectations(spark, sf_dir):
+    c = external.sample_collections(F.col("record"))
+    rows = S.over(spark, sf_dir, _SAMPLES, "customer").select((F.substring("sample_id", 3, 9).cast("long") - 10000).alias("sample"), c.alias("c"))
+    return rows.select("sample", F.array_join(external.expected_modalities(F.col("c")), ",").alias("modalities"), F.array_join(external.expected_platforms(F.col("c")), ",").alias("platforms"))
+
+
+_PUBLISHED = "SELECT a AS assembly, concat(CASE WHEN n_nationkey % 2 = 0 THEN 'chr' ELSE '' END, CASE n_nationkey WHEN 23 THEN 'X' WHEN 24 THEN 'Y' ELSE concat('', n_nationkey) END) AS contig, l + CASE WHEN a = 'GRCh37' AND n_nationkey IN (3, 4) THEN 1 ELSE 0 END AS length FROM (SELECT n_nationkey, 'GRCh38' AS a, " + S.pick("n_nationkey", (0, *R.LENGTHS["GRCh38"])) + " AS l FROM nation UNION ALL SELECT n_nationkey, 'GRCh37', " + S.pick("n_nationkey", (0, *R.LENGTHS["GRCh37"])) + " FROM nation) x"
+
+
+@query("SELECT * FROM (VALUES ('GRCh38', 24::BIGINT, 0::BIGINT, 'valid'), ('GRCh37', 22::BIGINT, 2::BIGINT, 'mismatch'), ('CHM13', 0::BIGINT, 0::BIGINT, 'missing')) x(assembly, matches, mismatches, status)")
+def published_lengths(spark, sf_dir):
+    return external.check_lengths(S.over(spark, sf_dir, _PUBLISHED, "nation"))

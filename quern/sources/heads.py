@@ -1,52 +1,116 @@
 """Heads of files: the few lines at a file's start that say what it holds.
 
-Files are read by Spark (`binaryFile`), so any store that Spark reads will do; a task opens each file's bytes as a stream,
-unpacks gzip up to a cap and stops as soon as it has what it needs. What can't be read gives an error text, never a failed task.
+Spark lists the files (`binaryFile` without its content); a task opens each one as a stream, on any store that pyarrow's file
+systems or a given opener can reach, unpacks gzip as it goes, up to a cap, and stops as soon as it has what it needs: a file's
+size doesn't matter. What can't be read gives an error text, never a failed task.
 """
 
 from __future__ import annotations
 
-import io
+import re
+import struct
 import tarfile
 import zlib
+from collections.abc import Callable, Iterator
+from urllib.parse import quote
 
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quern.functions.names import FORMATS
+
 #: Bytes of unpacked head that are looked at, by kind of file; members and lines that are kept.
-CAPS = {"vcf": 8 << 20, "fastq": 1 << 20, "fasta": 4 << 20, "gfa": 4 << 20, "bed": 16 << 20, "tar": 100 << 20}
+CAPS = {"bam": 64 << 20, "vcf": 8 << 20, "fastq": 1 << 20, "fasta": 4 << 20, "gfa": 4 << 20, "bed": 16 << 20, "tar": 100 << 20}
 MEMBERS, VARIANTS, READS = 200, 100, 10
+#: Bytes after which an archive's members so far are looked at: if they tell what it holds, no more is read.
+STAGES = (256 << 10, 1 << 20, 10 << 20)
+STEP = 128 << 10
+
+
+class Head:
+    """A stream's first cap bytes, unpacked if they are gzip (of several members, too), read a step at a time."""
+
+    def __init__(self, stream, cap: int):
+        self.stream, self.cap, self.taken, self.whole = stream, cap, 0, False
+        self.held, self.parts = b"", self._parts()
+
+    def _parts(self) -> Iterator[bytes]:
+        raw = self.stream.read(STEP)
+        if raw[:2] != b"\x1f\x8b":
+            while raw and self.taken < self.cap:
+                out = raw[: self.cap - self.taken]
+                self.taken += len(out)
+                yield out
+                raw = raw[len(out) :] or self.stream.read(STEP)
+            self.whole = not raw
+            return
+        while raw[:2] == b"\x1f\x8b":
+            unpack = zlib.decompressobj(31)
+            while not unpack.eof and raw:
+                out = unpack.decompress(raw, self.cap - self.taken)
+                self.taken += len(out)
+                if out:
+                    yield out
+                if self.taken >= self.cap:
+                    return
+                raw = unpack.unconsumed_tail or (b"" if unpack.eof else self.stream.read(STEP))
+            if not unpack.eof:
+                return
+            raw = unpack.unused_data
+            raw = raw if len(raw) > 1 else raw + self.stream.read(STEP)
+        self.whole = not raw
+
+    def read(self, n: int) -> bytes:
+        """The next n bytes; fewer at the end of the head."""
+        out = [self.held]
+        size = len(self.held)
+        while size < n:
+            part = next(self.parts, None)
+            if part is None:
+                break
+            out.append(part)
+            size += len(part)
+        data = b"".join(out)
+        self.held = data[n:]
+        return data[:n]
 
 
-def unpacked(raw: bytes, cap: int) -> tuple[bytes, bool]:
-    """The first cap bytes, unpacked if they are gzip (of several members, too), and whether anything was left out."""
-    if raw[:2] != b"\x1f\x8b":
-        return raw[:cap], len(raw) > cap
-    out, rest = bytearray(), raw
-    while rest[:2] == b"\x1f\x8b" and len(out) < cap:
-        d = zlib.decompressobj(31)
-        out += d.decompress(rest, cap - len(out))
-        if not d.eof:
-            return bytes(out), True
-        rest = d.unused_data
-    return bytes(out), bool(rest)
+def lines(stream, cap: int) -> Iterator[str]:
+    """Whole lines of a head; a last line without an end only counts if nothing was left out. A line is UTF-8, else Latin-1."""
+    head, rest = Head(stream, cap), b""
+    text = lambda x: x.decode("utf-8" if _is_utf8(x) else "latin-1")
+    for part in head.parts:
+        *found, rest = (rest + part).split(b"\n")
+        yield from map(text, found)
+    if rest and head.whole:
+        yield text(rest)
 
 
-def lines(raw: bytes, cap: int) -> list[str]:
-    """Whole lines of a head; a last line without an end only counts if nothing was left out. UTF-8, else Latin-1."""
-    data, more = unpacked(raw, cap)
+def _is_utf8(x: bytes) -> bool:
     try:
-        text = data.decode()
+        x.decode()
     except UnicodeDecodeError:
-        text = data.decode("latin-1")
-    found = text.split("\n")
-    return found[:-1] if more or not found[-1] else found
+        return False
+    return True
+
+
+def bam(stream) -> list[str]:
+    """The text header's lines."""
+    head = Head(stream, CAPS["bam"])
+    if head.read(4) != b"BAM\x01":
+        raise ValueError("not a BAM file")
+    size = struct.unpack("<i", head.read(4))[0]
+    text = head.read(max(0, min(size, CAPS["bam"]))).rstrip(b"\0").decode("utf-8", "replace")
+    if not text.strip():
+        raise ValueError("no header lines")
+    return [x for x in text.split("\n") if x]
 
 
-def vcf(raw: bytes) -> list[str]:
+def vcf(stream) -> list[str]:
     out, variants = [], 0
-    for x in lines(raw, CAPS["vcf"]):
+    for x in lines(stream, CAPS["vcf"]):
         if x.startswith("#"):
             out.append(x)
         elif variants < VARIANTS:
@@ -59,9 +123,9 @@ def vcf(raw: bytes) -> list[str]:
     return out
 
 
-def fastq(raw: bytes) -> list[str]:
+def fastq(stream) -> list[str]:
     out, skip = [], 0
-    for x in lines(raw, CAPS["fastq"]):
+    for x in lines(stream, CAPS["fastq"]):
         if skip:
             skip -= 1
         elif x.startswith("@"):
@@ -74,14 +138,14 @@ def fastq(raw: bytes) -> list[str]:
     return out
 
 
-def fasta(raw: bytes) -> list[str]:
-    return [x[1:].split()[0] for x in lines(raw, CAPS["fasta"]) if x.startswith(">") and x[1:].split()]
+def fasta(stream) -> list[str]:
+    return [x[1:].split()[0] for x in lines(stream, CAPS["fasta"]) if x.startswith(">") and x[1:].split()]
 
 
-def gfa(raw: bytes) -> list[str]:
+def gfa(stream) -> list[str]:
     """sn and sr of every segment line, joined by a tab."""
     out = []
-    for x in lines(raw, CAPS["gfa"]):
+    for x in lines(stream, CAPS["gfa"]):
         if x.startswith("S\t"):
             tags = dict((t[:5], t[5:]) for t in x.split("\t")[3:])
             if {"SN:Z:", "SR:i:"} & {*tags}:
@@ -89,48 +153,66 @@ def gfa(raw: bytes) -> list[str]:
     return out
 
 
-def bed(raw: bytes) -> list[str]:
+def bed(stream) -> list[str]:
     """chromosome and end of every data line, joined by a tab."""
     out = []
-    for x in lines(raw, CAPS["bed"]):
+    for x in lines(stream, CAPS["bed"]):
         parts = x.split("\t") if "\t" in x else x.split()
         if x.strip() and not x.startswith(("#", "track", "browser")) and len(parts) >= 3 and parts[2].isdigit():
             out.append(parts[0] + "\t" + parts[2])
     return out
 
 
-def tar(raw: bytes) -> list[str]:
-    data, _ = unpacked(raw, CAPS["tar"])
-    out = []
+def telling(names: list[str]) -> bool:
+    """Whether members' names say what an archive holds: one is of a known format or of an array store."""
+    return any(n.lower().removesuffix(".gz").endswith((*FORMATS, ".tdb")) for n in names)
+
+
+def tar(stream) -> list[str]:
+    head, out, stages = Head(stream, CAPS["tar"]), [], [*STAGES]
     try:
-        with tarfile.open(fileobj=io.BytesIO(data), mode="r:") as t:
+        with tarfile.open(fileobj=head, mode="r|") as t:
             for m in t:
                 out.append(m.name)
-                if len(out) == MEMBERS:
+                late = bool(stages) and head.taken > stages[0]
+                while stages and head.taken > stages[0]:
+                    stages.pop(0)
+                if len(out) == MEMBERS or (late and telling(out)):
                     break
     except tarfile.TarError:
         pass  # a cut or foreign head: what was read counts
     return out
 
 
-READERS = {"vcf": vcf, "fastq": fastq, "fasta": fasta, "gfa": gfa, "bed": bed, "tar": tar}
+READERS = {"bam": bam, "vcf": vcf, "fastq": fastq, "fasta": fasta, "gfa": gfa, "bed": bed, "tar": tar}
+
+
+def open_stream(path: str):
+    """A stream of a file on any of pyarrow's file systems. Spark gives paths without percent encoding."""
+    store, at = fs.FileSystem.from_uri(re.sub("^file:/+", "file:///", quote(path, safe=":/@=+,;!$&'()*~")))
+    return store.open_input_stream(at, compression=None, buffer_size=STEP)
+
 
+def read_heads(spark: SparkSession, path: str, kind: str, opener: Callable = open_stream) -> DataFrame:
+    """path, lines (array<string>, null if unreadable) and error of every file below a path. Files of no bytes have no row.
 
-def read_heads(spark: SparkSession, path: str, kind: str) -> DataFrame:
-    """path, lines (array<string>, null if unreadable) and error of every file below a path. Files of no bytes have no row."""
+    opener: a function from a path to a stream with read(n) and close(), for stores that pyarrow doesn't know.
+    """
     reader = READERS[kind]
 
     def run(batches):
         for b in batches:
             found = []
-            for x in b.column(1):
+            for x in b.column(0).to_pylist():
                 try:
-                    found.append((reader(x.as_py()), None))
+                    with opener(x) as stream:
+                        found.append((reader(stream), None))
                 except Exception as e:  # one bad file must not end the job; its reason is kept
                     found.append((None, f"{type(e).__name__}: {e}"))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([f for f, _ in found], pa.list_(pa.string())), pa.array([e for _, e in found], pa.string())], ["path", "lines", "error"])
 
-    return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "content").mapInArrow(run, "path string, lines array<string>, error string")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).where("length > 0").select("path")
+    return files.mapInArrow(run, "path string, lines array<string>, error string")
 
 
 def bed_signals(heads: DataFrame) -> DataFrame:

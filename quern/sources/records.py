@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -66,3 +69,34 @@ def from_url_catalog(rows: DataFrame, url_col: str, dataset_id: str, dataset_tit
         F.md5(F.col(url_col)).alias("file_md5sum"), F.concat(F.lit("drs://"), F.col(url_col)).alias("drs_uri"), F.lit(dataset_id).alias("dataset_id"), F.lit(dataset_title).alias("dataset_title"),
         F.lit(False).alias("is_supplementary"), F.lit(None).cast("string").alias("data_modality"), F.lit(None).cast("string").alias("reference_assembly"), url.alias("url"),
     )
+
+
+# The column that holds a file's place in each of the four external catalogs.
+PLACES = {"sequencing": "path", "assemblies": "awsFasta", "alignments": "loc", "annotations": "fileLocation"}
+_CATALOG = "filename string, fileSize string, path string, awsFasta string, loc string, fileLocation string, platform string, librarySource string, libraryStrategy string, instrumentModel string, sampleId string, referenceCoordinates string, annotationType string"
+
+
+def read_catalogs(spark: SparkSession, paths: dict[str, str]) -> dict[str, DataFrame]:
+    """The external catalogs (JSON lists) by name. One that isn't there is empty, so that the others still count."""
+    found = {}
+    for name in PLACES:
+        try:
+            found[name] = spark.read.schema(_CATALOG).option("multiLine", "true").json(paths[name])
+        except (KeyError, AnalysisException):
+            found[name] = spark.createDataFrame([], _CATALOG)
+    return found
+
+
+def catalog_records(catalogs: dict[str, DataFrame], store: str = "https://s3-us-west-2.amazonaws.com/") -> DataFrame:
+    """file_name, file_format, file_md5sum, url, file_size and catalog of all rows of read_catalogs().
+
+    The key is the md5 of the whole url, as names repeat between folders; without a place, url and key are null. The format
+    is the name's known extension, else empty. Sizes that aren't whole numbers are null.
+    """
+    parts = []
+    for name, rows in catalogs.items():
+        at, file_name = F.nullif(F.col(PLACES[name]), F.lit("")), F.coalesce("filename", F.lit(""))
+        url = F.when(at.startswith("s3://"), F.concat(F.lit(store), F.substring(at, F.lit(6), F.length(at)))).otherwise(at)
+        size = F.when(F.col("fileSize").rlike(r"^\d+$"), F.try_to_number("fileSize", F.lit("9" * 18)).cast("long"))
+        parts.append(rows.select(file_name.alias("file_name"), F.coalesce(extension_of(file_name), F.lit("")).alias("file_format"), F.md5(url).alias("file_md5sum"), url.alias("url"), size.alias("file_size"), F.lit(name).alias("catalog")))
+    return reduce(DataFrame.unionByName, parts)

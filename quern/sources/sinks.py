@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,9 +42,39 @@ def with_evidence(files: DataFrame, evidence: DataFrame) -> tuple[DataFrame, Dat
     return files.join(newest, "file_md5sum"), files.join(newest.select("file_md5sum"), "file_md5sum", "left_anti")
 
 
-def left_to_do(files: DataFrame, done: DataFrame) -> DataFrame:
-    """Files whose md5 no finished run holds."""
-    return files.join(done.select("file_md5sum").distinct(), "file_md5sum", "left_anti")
+def left_to_do(files: DataFrame, done: DataFrame, limit: int | None = None) -> DataFrame:
+    """Files whose md5 no finished run holds; with a limit, the first so many by md5 and name."""
+    left = files.join(done.select("file_md5sum").distinct(), "file_md5sum", "left_anti")
+    return left if limit is None else left.orderBy("file_md5sum", "file_name").limit(limit)
+
+
+def finished(spark: SparkSession, path: str, files: int) -> bool:
+    """Whether write_run()'s path holds a run that says it is complete, with a result for at least so many files."""
+    try:
+        complete = spark.read.json(f"{path}/metadata").where("complete").count() > 0
+        return complete and spark.read.schema("entry_id string").json(f"{path}/classifications").count() >= files
+    except AnalysisException:  # nothing there, or no such flag
+        return False
+
+
+def once(df: DataFrame, name: str) -> DataFrame:
+    """df, written to the shared folder (spark.checkpoint.dir) and read back, so that what several parts read is worked out once.
+
+    Without that folder, local runs use a new temp folder; on a cluster it must be set.
+    """
+    spark = df.sparkSession
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        folder = tempfile.mkdtemp(prefix="quern-")
+        spark.sparkContext.setCheckpointDir(folder)
+    path = f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(at)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def latest_run(spark: SparkSession, root: str) -> str | None:
