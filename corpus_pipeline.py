@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quern.llm import byte_bpe, language_id, mixing, ngram_join
-from quern.llm.shared import bloom, may_hold, partitions, shared_path, text_batches, written
+from quern.llm.shared import bloom, may_hold, partitions, remove, shared_path, text_batches, written
 from quern.llm.shingles import shingle_hashes
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -29,7 +29,7 @@ def keep_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     Without anything to learn from, documents with a letter stay.
     """
     model = language_id.train(docs, ~language_id.held_out())
-    if model.families is None:
+    if not model.nodes:
         return docs.select(*COLUMNS).where(F.col("text").rlike("\\p{L}"))
     return language_id.identify(docs.select(*COLUMNS), model).where(F.col("lang_pred") != language_id.UND).select("row.*")
 
@@ -100,9 +100,12 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages, one after the other, over all documents; the last one's result is not written."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES[:-1]:
         path = shared_path(spark, "stage")
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before:
+            remove(spark, before)
+        before = path
     return STAGES[-1][1](spark, docs, sf_dir)

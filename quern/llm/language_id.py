@@ -1,9 +1,13 @@
 """Language ID by hierarchical discrimination.
 
-First the family of a text's language, then, within the family, the language: in both steps one-versus-one linear
-support vector machines vote. Features: counts of hashed byte trigrams of the whole lower-cased text, damped by a square
-root and brought to length one. The machines are trained on the driver by sub-gradient steps on the hinge loss, over a
-sample of at most PER_LANGUAGE labelled texts a language; everything else reads all texts.
+First the family of a text's language, then, within the family, the language: at every node of this tree, one-versus-one
+linear support vector machines vote between its children. A node of more than FANOUT children gets further nodes below it,
+of neighbouring names, so the number of machines grows with the number of languages, not with its square. Features: counts
+of hashed byte trigrams of the whole lower-cased text, damped by a square root and brought to length one.
+
+Features are computed by Spark's tasks, in batches, for training and prediction alike; a node's machines are trained in
+one task, by sub-gradient steps on the hinge loss, over a sample of at most PER_LANGUAGE distinct labelled texts a language
+and PER_CHILD a child of a node. Only the trained machines reach the driver. Counts and predictions read all texts.
 
 Defined results. Null text or text without a letter: `und`, score 0. No labelled rows: `und`, score 0 for all. One
 language or one family: no vote is needed at that step. Null labels are not learned from. Languages that FAMILIES
@@ -23,14 +27,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .shared import text_batches
+from .shared import level, spans, text_batches, written
 
 UND = "und"
-#: At most so many labelled texts a language are learned from.
-PER_LANGUAGE = 400
-#: At most so many languages (those with the most labelled texts) are learned.
-LANGUAGES = 200
-WIDTH = 1 << 13
+#: At most so many labelled texts a language are learned from; at most so many for a child of a node.
+PER_LANGUAGE, PER_CHILD = 400, 1600
+#: Children of a node at most.
+FANOUT = 12
+BITS = 13
 FAMILIES = {
     "germanic": "en de nl af sv da no nb nn is fy lb yi",
     "romance": "fr es it pt ro ca gl oc la",
@@ -44,11 +48,27 @@ FAMILIES = {
 FAMILY = {lang: family for family, langs in FAMILIES.items() for lang in langs.split()}
 
 
-def features(text: str | None) -> np.ndarray:
-    raw = np.frombuffer((" " + (text or "").lower() + " ").encode("utf-8", "surrogatepass"), dtype=np.uint8).astype(np.uint32)
-    code = (raw[:-2] << np.uint32(16)) | (raw[1:-1] << np.uint32(8)) | raw[2:] if len(raw) > 2 else raw
-    x = np.sqrt(np.bincount((code * np.uint32(2654435761)) >> np.uint32(32 - 13), minlength=WIDTH).astype(np.float32))
-    return x / max(float(np.sqrt((x * x).sum())), 1e-9)
+def features(texts: pa.Array, rows: int = 64) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each text's bounds, and the slots and values of its features, one text after another."""
+    low = pc.utf8_lower(pc.fill_null(level(texts).cast(pa.large_string()), ""))
+    wide = pc.binary_join_element_wise(pa.scalar(" ", pa.large_string()), low, pa.scalar(" ", pa.large_string()), pa.scalar("", pa.large_string()))
+    data = np.frombuffer(wide.buffers()[2] or b"", dtype=np.uint8)
+    off = np.frombuffer(wide.buffers()[1] or bytes(8), dtype=np.int64)[: len(wide) + 1]
+    bounds, slots, values = [np.zeros(1, np.int64)], [], []
+    for i in range(0, len(texts), rows):
+        n = np.maximum(np.diff(off[i : i + rows + 1]) - 2, 0)
+        raw = data[off[i] : off[min(i + rows, len(texts))]].astype(np.uint32)
+        at = spans(off[i : i + len(n)] - off[i], n)
+        code = (raw[at] << np.uint32(16)) | (raw[at + 1] << np.uint32(8)) | raw[at + 2]
+        slot = ((code * np.uint32(2654435761)) >> np.uint32(32 - BITS)).astype(np.int64)
+        count = np.bincount(np.repeat(np.arange(len(n)) << BITS, n) + slot, minlength=len(n) << BITS)
+        held = np.flatnonzero(count)
+        many = count[held].astype(np.float64)
+        ends = np.searchsorted(held, np.arange(1, len(n) + 1) << BITS)
+        bounds.append(bounds[-1][-1] + ends)
+        slots.append((held & ((1 << BITS) - 1)).astype(np.uint16))
+        values.append((np.sqrt(many) / np.sqrt(np.maximum(n, 1))[held >> BITS]).astype(np.float32))
+    return np.concatenate(bounds), np.concatenate([np.zeros(0, np.uint16), *slots]), np.concatenate([np.zeros(0, np.float32), *values])
 
 
 def _machine(plus: np.ndarray, minus: np.ndarray, rounds: int = 30, decay: float = 1e-4) -> tuple[np.ndarray, float]:
@@ -71,84 +91,159 @@ def _machine(plus: np.ndarray, minus: np.ndarray, rounds: int = 30, decay: float
 
 
 @dataclass
-class Vote:
-    """One-versus-one machines over names."""
+class Node:
+    """A vote between children: languages, or the numbers of nodes below. A machine for every two of them, in order."""
 
-    names: list[str]
+    children: list[str | int]
     weights: np.ndarray
     offsets: np.ndarray
 
-    @staticmethod
-    def trained(samples: dict[str, np.ndarray]) -> Vote:
-        names = sorted(samples)
-        made = [_machine(samples[a], samples[b]) for a, b in combinations(names, 2)]
-        return Vote(names, np.array([w for w, _ in made], dtype=np.float32).reshape(len(made), WIDTH), np.array([c for _, c in made]))
-
-    def winner(self, x: np.ndarray) -> tuple[str, float]:
-        """The name with the most wins, and a confidence of 0 to 1 from its narrowest duel."""
-        if len(self.names) == 1:
-            return self.names[0], 1.0
-        margin = self.weights @ x + self.offsets
-        wins, total, least = dict.fromkeys(self.names, 0), dict.fromkeys(self.names, 0.0), dict.fromkeys(self.names, np.inf)
-        for (a, b), m in zip(combinations(self.names, 2), margin.tolist()):
-            wins[a if m >= 0 else b] += 1
-            for n, v in ((a, m), (b, -m)):
-                total[n] += v
-                least[n] = min(least[n], v)
-        best = max(self.names, key=lambda n: (wins[n], total[n]))
-        return best, float(1 / (1 + np.exp(-4 * np.clip(least[best], -10, 10))))
+    def winners(self, bounds: np.ndarray, slots: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For every text (none without features), the child with the most wins, and a confidence of 0 to 1 from its narrowest duel."""
+        rows, n = len(bounds) - 1, len(self.children)
+        if n == 1:
+            return np.zeros(rows, np.int64), np.ones(rows)
+        wins, total, least = np.zeros((rows, n)), np.zeros((rows, n)), np.full((rows, n), np.inf)
+        for (a, b), w, c in zip(combinations(range(n), 2), self.weights, self.offsets.tolist()):
+            margin = np.add.reduceat(values * w[slots].astype(np.float64), bounds[:-1]) + c
+            for side, m, won in ((a, margin, margin >= 0), (b, -margin, margin < 0)):
+                wins[:, side] += won
+                total[:, side] += m
+                least[:, side] = np.minimum(least[:, side], m)
+        best = np.where(wins == wins.max(axis=1, keepdims=True), total, -np.inf).argmax(axis=1)
+        return best, 1 / (1 + np.exp(-4 * np.clip(least[np.arange(rows), best], -10, 10)))
 
 
 @dataclass
 class LanguageModel:
-    families: Vote | None
-    within: dict[str, Vote]
+    """The tree's nodes, the root first and every node before those below it. Without nodes, nothing has been learned."""
+
+    nodes: list[Node]
+
+    def predict(self, texts: pa.Array) -> tuple[list[str], np.ndarray]:
+        """The language of every text and its score."""
+        lang, score = [UND] * len(texts), np.zeros(len(texts))
+        letters = pc.fill_null(pc.match_substring_regex(texts, r"\p{L}"), False).to_numpy(zero_copy_only=False)
+        at = np.flatnonzero(letters)
+        if not self.nodes or not len(at):
+            return lang, score
+        bounds, slots, values = features(texts.take(pa.array(at)))
+        size, score[at] = np.diff(bounds), 1.0
+        waiting = {0: np.arange(len(at))}
+        for k, node in enumerate(self.nodes):
+            rows = waiting.pop(k, None)
+            if rows is None:
+                continue
+            use = spans(bounds[rows], size[rows])
+            best, sure = node.winners(np.concatenate([[0], np.cumsum(size[rows])]), slots[use], values[use])
+            score[at[rows]] *= sure
+            for i, child in enumerate(node.children):
+                mine = rows[best == i]
+                if isinstance(child, int) and len(mine):
+                    waiting[child] = mine
+                elif len(mine):
+                    for r in at[mine].tolist():
+                        lang[r] = child
+        return lang, score
+
+
+def tree(languages: list[str], fanout: int = FANOUT) -> tuple[list[list[str | int]], dict[str, list[tuple[int, int]]]]:
+    """The children of every node, and each language's way: the nodes from the root and the child taken at each."""
+    families: dict[str, list[str]] = {}
+    for lang in sorted(languages):
+        families.setdefault(FAMILY.get(lang.lower().split("-")[0], "other"), []).append(lang)
+    nodes: list[list[str | int]] = []
+    ways: dict[str, list[tuple[int, int]]] = {lang: [] for lang in languages}
+
+    def grow(parts: list[list[str]], before: list[tuple[int, int]]) -> int:
+        """A node over parts (lists of languages); returns its number."""
+        own = len(nodes)
+        nodes.append([])
+        step = 1
+        while -(-len(parts) // step) > fanout:
+            step *= fanout
+        for i in range(0, len(parts), step):
+            group = parts[i : i + step]
+            way = [*before, (own, len(nodes[own]))]
+            nodes[own].append("")
+            if len(group) == 1 and len(group[0]) == 1:
+                nodes[own][-1] = group[0][0]
+                ways[group[0][0]] = way
+            else:
+                nodes[own][-1] = grow(group if len(group) > 1 else [[lang] for lang in group[0]], way)
+        return own
+
+    if languages:
+        grow([families[f] for f in sorted(families)], [])
+    return nodes, ways
+
+
+def _trained(table: pa.Table) -> pa.Table:
+    """A node's machines, from its samples: node, child, draw, slots, values."""
+    table = table.sort_by([("child", "ascending"), ("draw", "ascending"), ("lang", "ascending")])
+    child = table.column("child").to_numpy()
+    slots, values = table.column("slots").to_pylist(), table.column("values").to_pylist()
+
+    def dense(k: int) -> np.ndarray:
+        at = np.flatnonzero(child == k)
+        x = np.zeros((len(at), 1 << BITS), dtype=np.float32)
+        for row, i in zip(x, at.tolist()):
+            row[np.frombuffer(slots[i], np.uint16)] = np.frombuffer(values[i], np.float32)
+        return x
+
+    kinds = np.unique(child).tolist()
+    made = [(a, b, *_machine(dense(a), dense(b))) for a, b in combinations(kinds, 2)]
+    node = table.column("node")[0].as_py()
+    return pa.table({"node": pa.array([node] * len(made), pa.int32()), "a": pa.array([m[0] for m in made], pa.int32()), "b": pa.array([m[1] for m in made], pa.int32()), "weights": pa.array([m[2].tobytes() for m in made], pa.binary()), "offset": pa.array([m[3] for m in made], pa.float64())})
+
 
-    def predict(self, text: str) -> tuple[str, float]:
-        if self.families is None:
-            return UND, 0.0
-        x = features(text)
-        family, sure = self.families.winner(x)
-        lang, also = self.within[family].winner(x)
-        return lang, sure * also
+def _featured(batches):
+    for b in text_batches(batches):
+        bounds, slots, values = features(b.column(2))
+        cut = lambda x: pa.array([x[i:j].tobytes() for i, j in zip(bounds[:-1].tolist(), bounds[1:].tolist())], pa.binary())
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), cut(slots), cut(values)], ["lang", "draw", "slots", "values"])
 
 
-def train(docs: DataFrame, learn_from: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = PER_LANGUAGE) -> LanguageModel:
+def train(docs: DataFrame, learn_from: Column, text_col: str = "text", lang_col: str = "lang", per_language: int = PER_LANGUAGE) -> LanguageModel:
     """A model from the rows where learn_from holds and neither text nor label is null.
 
-    The sample holds those rows of each language whose hashed ids are smallest: two passes, one over ids and labels for
-    the languages' counts, one over the texts that a threshold on the hash lets through.
+    The sample holds those distinct texts of each language whose hashes are smallest: one pass counts every language's
+    distinct texts, the next takes the texts below a threshold on the hash; copies are one before any ranking.
     """
-    labelled = docs.where(learn_from & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
-    counts = [(r.lang, r.n) for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()]
-    if not counts:
-        return LanguageModel(None, {})
-    share = F.create_map(*[F.lit(v) for lang, n in counts for v in (lang, min(1.0, 1.5 * per_language / n + 20 / n))])
-    draw = F.pmod(F.xxhash64("id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("draw", "text"))
-    drawn = labelled.withColumn("draw", draw).where(F.col("draw") < F.element_at(share, F.col("lang"))).withColumn("k", rank).where(F.col("k") <= per_language)
-    texts: dict[str, list[str]] = {}
-    for r in drawn.select("lang", "draw", "text").collect():  # at most LANGUAGES * per_language texts
-        texts.setdefault(r.lang, []).append((r.draw, r.text))
-    samples = {lang: np.stack([features(t) for _, t in sorted(found)]) for lang, found in texts.items()}
-    groups: dict[str, dict[str, np.ndarray]] = {}
-    for lang, x in samples.items():
-        groups.setdefault(FAMILY.get(lang.lower().split("-")[0], "other"), {})[lang] = x
-    return LanguageModel(Vote.trained({f: np.concatenate(list(g.values())) for f, g in groups.items()}), {f: Vote.trained(g) for f, g in groups.items()})
+    spark = docs.sparkSession
+    labelled = docs.where(learn_from & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(lang_col).cast("string").alias("lang"), F.xxhash64(text_col).alias("draw"), F.col(text_col).alias("text"))
+    counts = written(labelled.groupBy("lang").agg(F.approx_count_distinct("draw").alias("n")), "language-counts")
+    nodes, ways = tree([r.lang for r in counts.select("lang").collect()])
+    if not nodes:
+        return LanguageModel([])
+    share = F.least(F.lit(1.0), (2.0 * per_language + 60) / F.greatest(F.col("n"), F.lit(1)))
+    low = labelled.join(counts, "lang").where((F.pmod("draw", F.lit(1 << 30)) / F.lit(float(1 << 30))) < share)
+    one = low.groupBy("lang", "draw").agg(F.min("text").alias("text"))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("draw"))
+    sample = one.withColumn("k", rank).where(F.col("k") <= per_language).select("lang", "draw", "text")
+    steps = spark.createDataFrame([(lang, k, c) for lang, way in ways.items() for k, c in way], "lang string, node int, child int")
+    sample = written(sample.mapInArrow(_featured, "lang string, draw long, slots binary, values binary"), "language-sample")
+    rank = F.row_number().over(Window.partitionBy("node", "child").orderBy("draw", "lang"))
+    dealt = sample.join(steps, "lang").withColumn("k", rank).where(F.col("k") <= PER_CHILD).drop("k")
+    made = {(r.node, r.a, r.b): r for r in dealt.groupBy("node").applyInArrow(_trained, "node int, a int, b int, weights binary, offset double").collect()}
+    out = []
+    for k, children in enumerate(nodes):
+        own = [made[k, a, b] for a, b in combinations(range(len(children)), 2)]
+        weights = np.frombuffer(b"".join(bytes(m.weights) for m in own), np.float32).reshape(len(own), 1 << BITS)
+        out.append(Node(children, weights, np.array([m.offset for m in own])))
+    return LanguageModel(out)
 
 
 def identify(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> DataFrame:
     """row (a struct of docs' columns), lang_pred and score of every row; only the text is looked at."""
-    shipped = docs.sparkSession.sparkContext.broadcast(model)  # some LANGUAGES ** 2 / 2 machines of WIDTH numbers at most
+    shipped = docs.sparkSession.sparkContext.broadcast(model)  # some six machines of 32 KB a language
     framed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
 
     def run(batches):
         known = shipped.value
-        for b in text_batches(batches):
-            texts = pc.struct_field(b.column(0), text_col)
-            letters = pc.fill_null(pc.match_substring_regex(texts, r"\p{L}"), False).to_pylist()
-            found = [known.predict(t.as_py()) if ok else (UND, 0.0) for t, ok in zip(texts, letters)]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([x for x, _ in found], pa.string()), pa.array([s for _, s in found], pa.float64())], ["row", "lang_pred", "score"])
+        for b in text_batches(batches, 512):
+            lang, score = known.predict(pc.struct_field(b.column(0), text_col))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(lang, pa.string()), pa.array(score)], ["row", "lang_pred", "score"])
 
     return framed.mapInArrow(run, framed.selectExpr("row", "cast(null as string) as lang_pred", "cast(null as double) as score").schema)
 

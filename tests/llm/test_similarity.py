@@ -167,3 +167,55 @@ def test_language_edges(spark):
     none = language_id.train(df.limit(0), F.lit(True))
     assert {r.lang_pred for r in language_id.identify(df, none).collect()} == {"und"}
     assert language_id.identify(df.limit(0), model).count() == 0
+
+
+def test_language_votes_match_brute_force(spark):
+    import pyarrow as pa
+
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    named = docs.withColumn("lang", F.concat(F.when(F.col("doc_id") % 3 == 0, "x").otherwise(""), "lang"))
+    model = language_id.train(named, F.lit(True))
+    texts = [r.text for r in docs.collect()] + [None, "", "1 2", "a", "é", "ab " * 5000]
+    lang, score = model.predict(pa.array(texts))
+
+    def feature(text):
+        raw = (" " + text.lower() + " ").encode()
+        x = np.zeros(1 << language_id.BITS)
+        for i in range(len(raw) - 2):
+            code = raw[i] << 16 | raw[i + 1] << 8 | raw[i + 2]
+            x[(code * 2654435761 & 0xFFFFFFFF) >> (32 - language_id.BITS)] += 1
+        return np.sqrt(x) / np.sqrt(x.sum())
+
+    def judged(node, x):
+        names = node.children
+        won, total, least = [0] * len(names), [0.0] * len(names), [float("inf")] * len(names)
+        for (a, b), w, c in zip(combinations(range(len(names)), 2), node.weights, node.offsets):
+            m = float(x @ w.astype(float) + c)
+            won[a if m >= 0 else b] += 1
+            for k, v in ((a, m), (b, -m)):
+                total[k] += v
+                least[k] = min(least[k], v)
+        best = max(range(len(names)), key=lambda k: (won[k], total[k]))
+        sure = 1.0 if len(names) == 1 else 1 / (1 + np.exp(-4 * min(10, max(-10, least[best]))))
+        if isinstance(names[best], int):
+            lang, also = judged(model.nodes[names[best]], x)
+            return lang, sure * also
+        return names[best], sure
+
+    assert len({*lang}) > 4 and len(model.nodes) > 2
+    for t, found, sure in zip(texts, lang, score):
+        want = judged(model.nodes[0], feature(t)) if t and any(c.isalpha() for c in t) else ("und", 0.0)
+        assert found == want[0] and abs(sure - want[1]) < 1e-4
+
+
+def test_many_languages_are_all_learned(spark):
+    langs = [f"l{i:03}" for i in range(260)]
+    nodes, ways = language_id.tree([*langs, "en", "de", "fr"])
+    assert max(map(len, nodes)) <= language_id.FANOUT and {*ways} == {*langs, "en", "de", "fr"}
+    for lang, way in ways.items():
+        assert nodes[way[-1][0]][way[-1][1]] == lang and way[0][0] == 0
+        assert all(nodes[k][c] == way[i + 1][0] for i, (k, c) in enumerate(way[:-1]))
+    rows = [(f"{lang} {lang[1:] * 3} word{lang}{k} {lang}{lang}", lang) for lang in langs for k in range(3)]
+    df = spark.createDataFrame(rows, "text string, lang string")
+    found = language_id.identify(df, language_id.train(df, F.lit(True))).select("row.lang", "lang_pred").collect()
+    assert len({r.lang_pred for r in found}) > 200
