@@ -4,7 +4,7 @@ A document's key is 60 bits of a hash. A shard is a prefix of bits; the director
 to its shard. Only shards over the byte limit are split on one more bit, so a shard's depth is the least at which the
 documents below its prefix fit. The bytes below all prefixes come from one small histogram of prefixes, built by partial
 sums before any shuffle; texts aren't shuffled to find the shards. The directory's own depth grows only below prefixes
-that are still too large.
+that are still too large. The directory grows with the input, so it is joined by sorting, never broadcast.
 
 Defined results. A document larger than the limit is alone in its shard, which then is over the limit (nothing is cut).
 Null text: 0 bytes. Null ids: as the empty id. Repeated ids: their rows get keys of their own, so that they can be split.
@@ -40,17 +40,17 @@ def plan_shards(docs: DataFrame, limit: int = SHARD_BYTES, id_col: str = "doc_id
         leaves = written(left.groupBy(prefix.alias("leaf")).agg(F.sum("n_bytes").alias("b"), F.count("*").alias("n")), "shard-leaves")
         each = leaves.select("leaf", "b", "n", F.explode(F.sequence(F.lit(low), F.lit(depth))).alias("depth")).withColumn("shard", F.expr("substring(leaf, 1, depth)"))
         fits = each.groupBy("shard", "depth").agg(F.sum("b").alias("shard_bytes"), F.sum("n").alias("shard_docs")).where(f"shard_bytes <= {int(limit)} or shard_docs = 1")
-        best = each.select("leaf", "shard").join(fits, "shard").groupBy("leaf").agg(F.min(F.struct("depth", "shard", "shard_docs", "shard_bytes")).alias("s"))
+        best = each.select("leaf", "shard").join(fits.hint("merge"), "shard").groupBy("leaf").agg(F.min(F.struct("depth", "shard", "shard_docs", "shard_bytes")).alias("s"))
         known = written(best, "shard-directory")
         levels.append((depth, known))
-        over = leaves.join(known, "leaf", "left_anti").select("leaf")
+        over = leaves.join(known.hint("merge"), "leaf", "left_anti").select("leaf")
         if depth >= BITS or over.isEmpty():
             break
-        left = left.withColumn("leaf", prefix).join(over, "leaf", "left_semi").drop("leaf")
+        left = left.withColumn("leaf", prefix).join(over.hint("merge"), "leaf", "left_semi").drop("leaf")
         low, depth = depth + 1, min(BITS, depth + 8)
     out = rows
     for i, (d, known) in enumerate(levels):
-        out = out.withColumn("leaf", F.substring("bits", 1, d) if d else F.lit("")).join(known.withColumnRenamed("s", f"s{i}"), "leaf", "left").drop("leaf")
+        out = out.withColumn("leaf", F.substring("bits", 1, d) if d else F.lit("")).join(known.withColumnRenamed("s", f"s{i}").hint("merge"), "leaf", "left").drop("leaf")
     s = reduce(lambda a, b: F.coalesce(a, b), [F.col(f"s{i}") for i in range(len(levels))])
     return out.select("doc_id", "n_bytes", s.alias("s")).select("doc_id", "n_bytes", "s.shard", "s.depth", "s.shard_docs", "s.shard_bytes")
 
