@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .names import let
+
 
 def search(text: Column, pattern: str) -> Column:
     """Whether the pattern is found anywhere, in any case; false for null. UNIX line ends only."""
@@ -40,10 +42,19 @@ def sam_matches(text: Column, section: str, field: str, pattern: str) -> Column:
 # --- VCF -------------------------------------------------------------------------------------------------------------
 
 
+def _structured(lines: Column, kind: str) -> Column:
+    found = F.filter(lines, lambda x: x.startswith(f"##{kind}=<") & x.endswith(">"))
+    return F.transform(found, lambda x: F.substring(x, F.lit(len(kind) + 5), F.length(x) - len(kind) - 5))
+
+
+def _plain(lines: Column, kind: str) -> Column:
+    found = F.filter(lines, lambda x: x.startswith(f"##{kind}=") & ~(x.startswith(f"##{kind}=<") & x.endswith(">")))
+    return F.when(F.size(found) > 0, F.substring(F.element_at(found, -1), F.lit(len(kind) + 4), F.length(F.element_at(found, -1))))
+
+
 def vcf_lines(text: Column, kind: str) -> Column:
     """Structured lines of one kind, e.g. contig, without the frame."""
-    found = F.filter(lines_of(text), lambda x: x.rlike(rf"(?d)^##{kind}=<(.*)>$"))
-    return F.transform(found, lambda x: F.regexp_extract(x, rf"(?d)^##{kind}=<(.*)>$", 1))
+    return _structured(lines_of(text), kind)
 
 
 def vcf_field(line: Column, field: str) -> Column:
@@ -62,18 +73,31 @@ def contig_lines(text: Column) -> Column:
 
 def vcf_value(text: Column, kind: str) -> Column:
     """The value of the last plain line of a kind, e.g. source; null without one."""
-    found = F.filter(lines_of(text), lambda x: x.startswith(f"##{kind}=") & ~x.rlike(rf"(?d)^##{kind}=<(.*)>$"))
-    return F.when(F.size(found) > 0, F.substring(F.element_at(found, -1), F.lit(len(kind) + 4), F.length(text)))
+    return _plain(lines_of(text), kind)
+
+
+#: Structured lines that rules look at, and the field that they search in each.
+SEARCHED = {"contig": "assembly", "INFO": "ID", "FORMAT": "ID", "FILTER": "ID"}
+
+
+def vcf_parts(text: Column) -> Column:
+    """What rules search in a header, taken from it once: lines, reference, source, and SEARCHED's fields of their lines."""
+
+    def parts(lines: Column) -> Column:
+        listed = [F.transform(_structured(lines, kind), lambda x: vcf_field(x, field)).alias(kind) for kind, field in SEARCHED.items()]
+        return F.struct(lines.alias("lines"), *[_plain(lines, k).alias(k) for k in ("reference", "source")], *listed)
+
+    return let(lines_of(text), parts)
 
 
-def vcf_matches(text: Column, kind: str, pattern: str) -> Column:
+def vcf_matches(parts: Column, kind: str, pattern: str) -> Column:
+    """parts: of vcf_parts()."""
     kind = kind.removeprefix("##")
     if kind in ("reference", "source"):
-        return search(vcf_value(text, kind), pattern)
-    if kind in ("contig", "INFO", "FORMAT", "FILTER"):
-        field = "assembly" if kind == "contig" else "ID"
-        return F.coalesce(F.exists(vcf_lines(text, kind), lambda x: search(vcf_field(x, field), pattern)), F.lit(False))
-    return F.exists(F.filter(lines_of(text), lambda x: x.startswith("##" + kind)), lambda x: search(x, pattern))
+        return search(parts[kind], pattern)
+    if kind in SEARCHED:
+        return F.exists(parts[kind], lambda v: search(v, pattern))
+    return F.exists(F.filter(parts["lines"], lambda x: x.startswith("##" + kind)), lambda x: search(x, pattern))
 
 
 def vcf_max_positions(lines: Column) -> Column:

@@ -25,7 +25,7 @@ ROUTES = {
 }
 ASSEMBLER = r"(^|#\d#)(h[12]tg|ptg|utg|ctg|tig\d|utig)|^(scaffold[_.]|contig[_.]|asm\d|haplotype\d|mat-|pat-|unassigned-)"
 TRANSCRIPT = r"^(ENST\d|NM_\d|NR_\d|XM_\d|rna-)"
-CLASH = {*FIELDS, "name", "ext", "matched", "classifications"}
+CLASH = {*FIELDS, "name", "ext", "matched", "vcf_parts", "classifications"}
 STORE_FILES = ("callset.json", "vidmap.json", "vcfheader.vcf")
 VARIANT_ARRAYS = (
     "gt", "ad", "dp", "gq", "pl", "min_dp", "sb", "pgt", "pid", "ps", "rgq", "dp_format", "ac", "af", "an", "qual", "filter", "id", "alt", "ref", "end", "mleac", "mleaf",

@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quern.functions.headers import sam_lines, sam_matches, search, vcf_matches
+from quern.functions.headers import sam_lines, sam_matches, search, vcf_matches, vcf_parts
 from quern.functions.names import FORMATS, settled
 
 from .rules import FIELDS, NOT_CLASSIFIED, RULES, Rule, checked
@@ -51,7 +51,7 @@ def condition(rule: Rule, header: Column | None) -> Column:
     elif rule.scope == "header" and "header_section" in w:
         tests.append(header.isNotNull() & sam_matches(header, w["header_section"], w["header_field"], w["header_pattern"]))
     if rule.scope == "vcf_header" and "vcf_header_type" in w:
-        tests.append(header.isNotNull() & vcf_matches(header, w["vcf_header_type"], w["vcf_pattern"]))
+        tests.append(header.isNotNull() & vcf_matches(F.col("vcf_parts"), w["vcf_header_type"], w["vcf_pattern"]))
     if rule.scope == "fastq_header" and "fastq_pattern" in w:
         tests.append(header.isNotNull() & search(header, w["fastq_pattern"]))
     return reduce(lambda a, b: a & b, tests) if tests else F.lit(True)
@@ -63,6 +63,8 @@ def with_matches(df: DataFrame, header: Column | None = None, scope: str | None
     scope: that of the header column (header, vcf_header, fastq_header); without one, tiers 1 and 2 only.
     """
     table = checked(rules or RULES)
+    if scope == "vcf_header":
+        df = settled(df, {"vcf_parts": vcf_parts(header)})
     use = [i for i, r in enumerate(table) if r.tier < 3 or (header is not None and r.scope == scope)]
     first = [i for i in use if not {*_STATE, "platform"} & {*table[i].when}]
     hits = F.array_compact(F.array(*[F.when(condition(table[i], header), F.lit(i)) for i in first]))
