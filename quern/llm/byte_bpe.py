@@ -160,7 +160,7 @@ class ByteBpe:
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, one text after another, and each text's bounds in them."""
         words = Words(texts)
-        starts, lengths = self.cache.look_up(words.distinct)
+        starts, lengths = self.cache.look_up(words)
         n = lengths[words.which]
         total = np.concatenate([[0], np.cumsum(n)])[words.offsets]
         return self.cache.pool[spans(starts[words.which], n)], total
@@ -190,9 +190,10 @@ def encode_texts(docs: DataFrame, ranks: str, pattern: str, id_col: str = "doc_i
 
     def run(batches):
         bpe = _loaded(raw.value, pattern)
-        for b in text_batches(batches):
+        for b in text_batches(batches, 1024, text=1, most=2 << 20):
             ids, bounds = bpe.encode(b.column(1))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.diff(bounds)), pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids))], ["doc_id", "n_tokens", "ids"])
+        bpe.cache.clear()  # the worker's next task may be of another stage
 
     return docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(run, "doc_id long, n_tokens long, ids array<int>")
 
@@ -226,13 +227,14 @@ def round_trip(docs: DataFrame, ranks: str, pattern: str, id_col: str = "doc_id"
 
     def run(batches):
         bpe = _loaded(raw.value, pattern)
-        for b in text_batches(batches, 512):
+        for b in text_batches(batches, 1024, text=1, most=2 << 20):
             ids, bounds = bpe.encode(b.column(1))
             out, ends = bpe.decode(ids, bounds)
             wide = ids.astype("<u4")
             one = [hashlib.sha256(wide[i:j]).hexdigest() for i, j in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
             two = [hashlib.sha256(out[i:j]).hexdigest() for i, j in zip(ends[:-1].tolist(), ends[1:].tolist())]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.diff(bounds)), pa.array(one, pa.string()), pa.array(two, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        bpe.cache.clear()  # the worker's next task may be of another stage
 
     return docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 

@@ -104,7 +104,7 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", p
     """bucket, doc_id, is_border, text: documents dealt to buckets that follow the ids' order, sorted by id in each, and
     after a bucket's last document a copy of the one that comes next (after the last of all: the first).
 
-    Texts are shuffled once. Only a bucket's first id goes through the driver, at most 4096 of them. Rows are told apart by
+    Texts are shuffled once. Only a bucket's first id goes through the driver, at most 16,384 of them. Rows are told apart by
     their place in the input, which must be the same at each reading: the rows of a shuffle are written to a table first.
     """
     spark = docs.sparkSession
@@ -113,7 +113,7 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", p
         docs = written(docs, "fingerprint-texts")
     ids = docs.select(F.col(id_col).cast("long").alias("doc_id"))
     n = ids.count()
-    bounds = range_bounds(ids, "doc_id", max(1, min(4096, max(partitions(spark) * 4, n // per_bucket))), n)
+    bounds = range_bounds(ids, "doc_id", max(1, min(16_384, max(partitions(spark) * 4, n // per_bucket))), n)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).withColumn("ord", F.monotonically_increasing_id())
     rows = rows.withColumn("own", bucket_of(F.col("doc_id"), bounds, F.col("ord")))
     first = [(r.own, r.head.ord) for r in rows.groupBy("own").agg(F.min(F.struct("doc_id", "ord")).alias("head")).orderBy("own").collect()]

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import functools
+import json
+import math
 import tempfile
 import uuid
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,17 +19,28 @@ from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, else (local runs and tests) a new temp folder."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Local runs without it get a new temp folder."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = tempfile.mkdtemp(prefix="quern-")
         spark.sparkContext.setCheckpointDir(found)
     return found
 
 
+def _file_system(spark: SparkSession, path: str):
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A new path in the shared folder; what is written there is deleted when the session's JVM ends, or by remove()."""
+    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    fs, at = _file_system(spark, path)
+    fs.mkdirs(at.getParent())
+    fs.deleteOnExit(at)
+    return path
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -37,9 +52,8 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 def remove(spark: SparkSession, path: str) -> None:
     """Deletes a path of shared_path() once nothing reads it any more."""
-    jvm = spark.sparkContext._jvm
-    at = jvm.org.apache.hadoop.fs.Path(path)
-    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+    fs, at = _file_system(spark, path)
+    fs.delete(at, True)
 
 
 def partitions(spark: SparkSession) -> int:
@@ -63,6 +77,17 @@ def range_bounds(df: DataFrame, key: str, buckets: int, rows: int, per_bucket: i
     return [found[len(found) * i // buckets] for i in range(1, buckets)] if found else []
 
 
+def bounds_below(bounds: list, test) -> Column:
+    """How many of the sorted bounds meet test, which holds for a prefix of them; two short scans, whatever their number."""
+    step = math.isqrt(len(bounds)) + 1
+    chunks = [bounds[i : i + step] for i in range(0, len(bounds), step)]
+    kind = "string" if isinstance(bounds[0], str) else "bigint"
+    known = F.from_json(F.lit(json.dumps(chunks)), f"array<array<{kind}>>")
+    last = F.from_json(F.lit(json.dumps([c[-1] for c in chunks])), f"array<{kind}>")
+    whole = F.size(F.filter(last, test))
+    return F.when(whole < len(chunks), whole * step + F.size(F.filter(F.get(known, whole), test))).otherwise(len(bounds))
+
+
 def bucket_of(key: Column, bounds: list, tie: Column) -> Column:
     """The bucket of a key; buckets follow the keys' order. A key that is a bound several times is dealt out by tie.
 
@@ -70,12 +95,17 @@ def bucket_of(key: Column, bounds: list, tie: Column) -> Column:
     """
     if not bounds:
         return F.lit(0)
-    arr = F.array(*[F.lit(b) for b in bounds])
-    below = F.size(F.filter(arr, lambda b: b < key))
-    upto = F.size(F.filter(arr, lambda b: b <= key))
+    below = bounds_below(bounds, lambda b: b < key)
+    upto = bounds_below(bounds, lambda b: b <= key)
     return F.when(key.isNull(), 0).otherwise(F.when(upto - below <= 1, upto).otherwise(below + 1 + F.pmod(tie, upto - below)).cast("int"))
 
 
+def in_order(df: DataFrame, bucket: str, buckets: int) -> DataFrame:
+    """df in partitions that follow the order of a bucket column (0 .. buckets - 1), each of whole buckets."""
+    parts = min(buckets, partitions(df.sparkSession))
+    return df.repartitionById(parts, F.expr(f"cast({bucket} * {parts}L div {buckets} as int)"))
+
+
 # --- filters of fixed size -------------------------------------------------------------------------------------------
 
 BLOOM_BITS = 1 << 27
@@ -161,74 +191,187 @@ def group_sums(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 # --- whole texts as words --------------------------------------------------------------------------------------------
 
-#: A space before which no cut is safe, as white space or the end follows it.
-UNSAFE_CUT = r" (?:[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]|$)"
+#: White space as patterns and normalizers see it, and the end of a text: no cut is safe before a space that precedes it.
+LOOSE = r"^(?:[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]|$)"
+#: Marks that are cut off the end of a piece behind a letter or a digit.
+TAILS = ".,!?;:"
+#: The letters and digits meant: Latin, Greek and Cyrillic ones that neither lower case nor a normal form ends in a mark.
+STEM = r"[0-9A-Za-z\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{12f}\x{131}-\x{24f}\x{388}-\x{3f5}\x{3f7}-\x{481}\x{48a}-\x{52f}]$"
 
 
 class Words:
-    """The texts of a batch, cut at spaces. Every piece after a text's first stands for itself with a space before it.
+    """The texts of a batch, cut into pieces at spaces and before marks at the end of a word.
 
-    A cut is made only before a space that a character other than white space follows; there, patterns of the usual
-    byte-level tokenizers always begin a new match, so that pieces can be tokenized one by one. Texts with any other
-    space stay one piece. distinct: the distinct pieces, with their space; which: the piece at each place; offsets:
-    the texts' bounds in which. Null texts count as empty, empty texts have no piece.
+    A cut is made only before a space that a character other than white space follows, and between a letter or digit of STEM
+    and marks of TAILS that a space or the end follows; there, patterns of the usual byte-level tokenizers always begin a new
+    match, so that pieces can be tokenized one by one. which: the distinct piece at each place; offsets: the texts' bounds
+    in which. Null texts count as empty.
     """
 
-    def __init__(self, texts: pa.Array):
-        texts = pc.fill_null(level(texts).cast(pa.large_string()), "")
-        odd = pc.match_substring_regex(texts, UNSAFE_CUT)
-        plain = pc.if_else(odd, "", texts)
-        parts = pc.split_pattern(plain, " ")
+    def __init__(self, texts: pa.Array, tails: str = TAILS):
+        parts = pc.split_pattern(pc.fill_null(level(texts).cast(pa.large_string()), ""), " ")
         off = parts.offsets.to_numpy().astype(np.int64)
         codes = parts.flatten().dictionary_encode()
-        n = len(codes.dictionary)
-        which = codes.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        first = np.zeros(len(which), dtype=bool)
-        first[off[:-1]] = True
-        which = np.where(first, which, which + n)
+        words, at = codes.dictionary, codes.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        spaced = np.ones(len(at), dtype=bool)
+        spaced[off[:-1]] = False
+        loose = pc.match_substring_regex(words, LOOSE).to_numpy(zero_copy_only=False)
+        glued = loose[at] & spaced
+        if glued.any():
+            start = np.flatnonzero(~glued)
+            n = np.diff(np.r_[start, len(at)])
+            many = np.flatnonzero(n > 1)
+            part, end = words.take(pa.array(at[spans(start[many], n[many])])).to_pylist(), np.cumsum(n[many]).tolist()
+            index: dict[str, int] = {}
+            own = [index.setdefault(" " * int(lead) + " ".join(part[i:j]), len(index)) for lead, i, j in zip(spaced[start[many]].tolist(), [0, *end], end)]
+            off = np.concatenate([[0], np.cumsum(~glued)])[off]
+            at, spaced = at[start], spaced[start]
+            at[many], spaced[many] = len(words) + np.array(own), False
+            words = pa.concat_arrays([words, pa.array([*index], pa.large_string())])
+        if tails:
+            stems = pc.ascii_rtrim(words, characters=tails)
+            cut = pc.and_(pc.less(pc.binary_length(stems), pc.binary_length(words)), pc.match_substring_regex(stems, STEM))
+            k = np.flatnonzero(cut.to_numpy(zero_copy_only=False))
+            if len(k):
+                at_k, n = pa.array(k), len(words)
+                ends = [w[len(s) :] for w, s in zip(words.take(at_k).to_pylist(), stems.take(at_k).to_pylist())]
+                codes = pa.concat_arrays([pc.if_else(cut, stems, words), pa.array(ends, pa.large_string())]).dictionary_encode()
+                words, code = codes.dictionary, codes.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+                tail = np.full(n, -1)
+                tail[k] = code[n:]
+                two = tail[at] >= 0
+                to = np.arange(len(at)) + np.cumsum(two) - two
+                off = np.concatenate([to, [len(at) + int(two.sum())]])[off]
+                both = np.empty(len(at) + int(two.sum()), dtype=np.int64)
+                both[to], both[to[two] + 1] = code[:n][at], tail[at[two]]
+                lead = np.zeros(len(both), dtype=bool)
+                lead[to] = spaced
+                at, spaced = both, lead
+        self.words, n = words, len(words)
+        which = at + n * spaced
         seen = np.zeros(2 * n, dtype=bool)
         seen[which] = True
-        used, which = np.flatnonzero(seen), (np.cumsum(seen) - 1)[which]
-        plain_words = codes.dictionary.to_pylist()
-        self.distinct = [plain_words[i] if i < n else " " + plain_words[i - n] for i in used.tolist()]
-        if pc.any(odd).as_py():
-            at = np.flatnonzero(odd.to_numpy(zero_copy_only=False))
-            which[off[at]] = np.arange(len(at)) + len(self.distinct)
-            self.distinct += texts.take(pa.array(at)).to_pylist()
-        self.which, self.offsets = which, off
+        self.used = np.flatnonzero(seen)  # the words' places; n more where a space goes before
+        self.which, self.offsets = (np.cumsum(seen) - 1)[which], off
+
+    @functools.cached_property
+    def _bytes(self) -> tuple[bytes, list[int]]:
+        """All words' bytes and their bounds."""
+        _, off, data = self.words.buffers()
+        return (data.to_pybytes() if data else b""), (np.frombuffer(off, np.int64)[: len(self.words) + 1].tolist() if off else [0])
+
+    def strings(self, at: np.ndarray) -> list[str]:
+        """The distinct pieces of these numbers."""
+        n, (data, off) = len(self.words), self._bytes
+        return [" " + data[off[c - n] : off[c - n + 1]].decode() if c >= n else data[off[c] : off[c + 1]].decode() for c in self.used[at].tolist()]
+
+    @functools.cached_property
+    def distinct(self) -> list[str]:
+        return self.strings(np.arange(len(self.used)))
+
+    def keys(self) -> np.ndarray:
+        """128 bits of xxh3 for every distinct piece."""
+        n, (data, off), digest = len(self.words), self._bytes, xxhash.xxh3_128_digest
+        h = np.frombuffer(b"".join([digest(data[i:j]) for i, j in zip(off, off[1:])]), dtype=np.uint64).reshape(-1, 2)
+        out = h[self.used % n] if n else np.zeros((0, 2), np.uint64)
+        out[:, 1] ^= np.where(self.used >= n, np.uint64(0x9E3779B97F4A7C15), np.uint64(0))
+        return out
+
+
+class _Held:
+    """Keys of 128 bits and a run of numbers for each: open addressing over arrays, which grow."""
+
+    def __init__(self):
+        self.n, self.values = 0, 0
+        self.table = np.full(1 << 12, -1, np.int32)
+        self.key = np.zeros((1 << 11, 2), np.uint64)
+        self.start, self.length = np.zeros(1 << 11, np.int64), np.zeros(1 << 11, np.int32)
+        self.pool = np.zeros(1 << 12, np.int32)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """The number of each key, -1 for those that aren't held."""
+        out, mask = np.full(len(keys), -1), len(self.table) - 1
+        todo, slot = np.arange(len(keys)), (keys[:, 0] & np.uint64(mask)).astype(np.int64)
+        while len(todo):
+            held = self.table[slot]
+            same = (held >= 0) & (self.key[held] == keys[todo]).all(axis=1)
+            out[todo[same]] = held[same]
+            on = (held >= 0) & ~same
+            todo, slot = todo[on], (slot[on] + 1) & mask
+        return out
+
+    def _put(self, first: int) -> None:
+        mask = len(self.table) - 1
+        todo = np.arange(first, self.n)
+        slot = (self.key[todo, 0] & np.uint64(mask)).astype(np.int64)
+        while len(todo):
+            free = np.flatnonzero(self.table[slot] < 0)
+            self.table[slot[free]] = todo[free]  # of keys for one slot, one stays
+            on = self.table[slot] != todo
+            todo, slot = todo[on], (slot[on] + 1) & mask
+
+    def add(self, keys: np.ndarray, values: np.ndarray, lengths: np.ndarray) -> None:
+        """Adds distinct keys that aren't held."""
+        n, size = self.n, self.values
+        self.n, self.values = n + len(keys), size + len(values)
+        if self.n > len(self.key):
+            more = max(self.n, 2 * len(self.key)) - len(self.key)
+            self.key = np.concatenate([self.key, np.zeros((more, 2), np.uint64)])
+            self.start, self.length = np.concatenate([self.start, np.zeros(more, np.int64)]), np.concatenate([self.length, np.zeros(more, np.int32)])
+        if self.values > len(self.pool):
+            self.pool = np.concatenate([self.pool, np.zeros(max(self.values, 3 * len(self.pool) // 2) - len(self.pool), np.int32)])
+        self.key[n : self.n], self.length[n : self.n], self.pool[size : self.values] = keys, lengths, values
+        self.start[n : self.n] = size + np.cumsum(lengths) - lengths
+        grow = len(self.table)
+        while grow < 2 * self.n:
+            grow *= 2
+        if grow > len(self.table):
+            self.table = np.full(grow, -1, np.int32)
+            n = 0
+        self._put(n)
 
 
 class PieceCache:
-    """Maps distinct pieces to numbers held in one pool; each Python worker keeps it between batches.
+    """Maps distinct pieces to runs of numbers; a Python worker keeps it between batches, and between tasks unless it is cleared.
 
-    It is emptied when it holds `most` pieces or `most_chars` characters of them, so that long texts don't pile up in it.
+    Pieces are told apart by 128 bits of their xxh3 hash (two of ten million pieces agree by chance once in 10 ** 24
+    times). Two generations hold at most about `most` pieces and `most_values` numbers: when the young one has half of
+    them, it becomes the old one, and what is met again moves up, so that frequent pieces stay.
     """
 
-    def __init__(self, compute, most: int = 250_000, most_chars: int = 16_000_000):
+    def __init__(self, compute, most: int = 600_000, most_values: int = 16_000_000):
         """compute: list of new pieces -> (int array of all their values, int array of their lengths)."""
-        self.compute, self.most, self.most_chars = compute, most, most_chars
+        self.compute, self.most, self.most_values = compute, most, most_values
         self.clear()
 
     def clear(self) -> None:
-        self.row: dict[str, int] = {}
-        self.chars = 0
-        self.pool, self.starts, self.lengths = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
-
-    def look_up(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Starts and lengths in self.pool, valid until the next call."""
-        if len(self.row) > self.most or self.chars > self.most_chars:
-            self.clear()
-        new = list(dict.fromkeys(p for p in pieces if p not in self.row))  # whole texts can be given twice
-        if new:
-            values, lengths = self.compute(new)
-            base = len(self.starts)
-            self.chars += sum(map(len, new))
-            self.row.update(zip(new, range(base, base + len(new))))
-            self.starts = np.concatenate([self.starts, len(self.pool) + np.cumsum(lengths) - lengths])
-            self.lengths = np.concatenate([self.lengths, lengths.astype(np.int64)])
-            self.pool = np.concatenate([self.pool, values.astype(np.int32)])
-        at = np.fromiter(map(self.row.__getitem__, pieces), dtype=np.int64, count=len(pieces))
-        return self.starts[at], self.lengths[at]
+        """Lets go of everything, also of what Arrow keeps for its next arrays."""
+        self.young, self.old = _Held(), _Held()
+        pa.default_memory_pool().release_unused()
+
+    @property
+    def pool(self) -> np.ndarray:
+        return self.young.pool
+
+    def look_up(self, words: Words) -> tuple[np.ndarray, np.ndarray]:
+        """Starts and lengths in self.pool of words' distinct pieces, valid until the next call."""
+        if self.young.n > self.most // 2 or self.young.values > self.most_values // 2:
+            self.young, self.old = _Held(), self.young
+        keys = words.keys()
+        at = self.young.find(keys)
+        new = np.flatnonzero(at < 0)
+        if len(new):
+            before = self.old.find(keys[new])
+            known = before >= 0
+            if known.any():
+                k = before[known]
+                self.young.add(keys[new[known]], self.old.pool[spans(self.old.start[k], self.old.length[k])], self.old.length[k])
+            rest = new[~known]
+            if len(rest):
+                values, lengths = self.compute(words.strings(rest))
+                self.young.add(keys[rest], values, lengths)
+            at[new] = self.young.find(keys[new])
+        return self.young.start[at], self.young.length[at].astype(np.int64)
 
 
 def level(array: pa.Array) -> pa.Array:
@@ -237,9 +380,18 @@ def level(array: pa.Array) -> pa.Array:
     return pa.concat_arrays([array]) if array.offset else array
 
 
-def text_batches(batches, rows: int = 1024):
-    """Batches of at most so many rows each, none of them a view with an offset; long texts are whole in one batch."""
+def text_batches(batches, rows: int = 1024, text: int | None = None, most: int = 8 << 20):
+    """Batches of at most so many rows each, none of them a view with an offset; long texts are whole in one batch.
+
+    text: the column whose texts should fill at most so many bytes of a batch, but for a longer one, which is alone.
+    """
     for b in batches:
-        for i in range(0, b.num_rows, rows):
-            part = b.slice(i, rows)
+        size = np.cumsum(pc.fill_null(pc.binary_length(b.column(text)), 0).to_numpy(zero_copy_only=False).astype(np.int64)) if text is not None else None
+        i = 0
+        while i < b.num_rows:
+            j = min(i + rows, b.num_rows)
+            if size is not None:
+                j = max(i + 1, min(j, int(np.searchsorted(size, most + (size[i - 1] if i else 0), side="right"))))
+            part = b.slice(i, j - i)
             yield pa.RecordBatch.from_arrays([level(c) for c in part.columns], schema=part.schema)
+            i = j

@@ -22,7 +22,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import PieceCache, Words, group_sums, text_batches
+from .shared import TAILS, PieceCache, Words, group_sums, text_batches
 
 NONE = np.int32(2**31 - 1)
 
@@ -129,6 +129,7 @@ class WordBpe:
             raise ValueError("special tokens with white space aren't supported")
         self.special = regex.compile("(" + "|".join(regex.escape(s) for s in sorted(special, key=len, reverse=True)) + ")") if special else None
         self.specials = {*special}
+        self.tails = "".join(c for c in TAILS if not any(c in s for s in special))
         letters = byte_letters()
         self.inner = np.array([vocab[x] for x in letters], dtype=np.int32)
         self.last = np.array([vocab[x + end] for x in letters], dtype=np.int32)
@@ -186,12 +187,13 @@ def count_tokens(docs: DataFrame, tokenizer: str, limit: int = 2048, id_col: str
 
     def count(batches):
         bpe = _loaded(shipped.value)
-        for b in text_batches(batches):
-            words = Words(b.column(1))
-            starts, _ = bpe.cache.look_up(words.distinct)
+        for b in text_batches(batches, 4096, text=1):
+            words = Words(b.column(1), bpe.tails)
+            starts, _ = bpe.cache.look_up(words)
             n = group_sums(bpe.cache.pool[starts].astype(np.int64)[words.which], words.offsets)
             size = pc.fill_null(pc.binary_length(b.column(1)), 0).cast(pa.int64())
             yield pa.RecordBatch.from_arrays([b.column(0), size, pa.array(n), pa.array(n > limit)], ["doc_id", "n_bytes", "n_tokens", "over_limit"])
+        bpe.cache.clear()  # the worker's next task may be of another stage
 
     return docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(count, "doc_id long, n_bytes long, n_tokens long, over_limit boolean")
 

@@ -4,6 +4,7 @@ Documents are encoded by the tokenizers library, each ends with an end id, and t
 id order. A bucket's ids are cut into shards of some SHARD_IDS ids, never inside a document. Per shard, the most frequent
 pairs of neighbouring ids become nonterminals, round after round, until no pair occurs MIN_COUNT times; in one round all
 chosen pairs are replaced together, chosen by count so that no two of them can overlap. A pair never spans two documents.
+Files and their rows follow the ids' order.
 
 File format: Parquet; a row is a shard, with columns bucket, seq (its place in the bucket), n_ids, base (first nonterminal),
 doc_ids, doc_starts (in ids, within the shard), rules (pairs of symbols as little-endian u4; rule i is symbol base + i),
@@ -27,13 +28,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .shared import PieceCache, Words, bucket_of, partitions, range_bounds, shared_path, spans, text_batches
+from .shared import TAILS, PieceCache, Words, bucket_of, in_order, partitions, range_bounds, shared_path, spans, text_batches
 
 SHARD_IDS = 1 << 20
 MIN_COUNT = 6
-#: Pairs that one round may turn into nonterminals, and the rounds at most.
-ROUND_PAIRS, ROUNDS = 2048, 14
-_SPREAD = np.int64(-7046029254386353131)
+#: Bits of a hashed slot of pairs, the slots whose pairs one round looks at, and the places up to which it sorts their pairs.
+SLOT_BITS, ROUND_SLOTS, SORTED = 20, 16384, 100_000
+#: Pieces that a worker keeps while it encodes, about; it drops them before it makes grammars.
+PIECES = 1_800_000
+#: Buckets at most; they bound the driver's sample, and the tasks that write.
+MOST_BUCKETS = 16_384
 
 SHARD = "bucket int, seq int, n_ids long, base int, doc_ids array<long>, doc_starts array<long>, rules binary, lengths binary, wide boolean, symbols binary"
 
@@ -41,62 +45,120 @@ SHARD = "bucket int, seq int, n_ids long, base int, doc_ids array<long>, doc_sta
 # --- grammar ---------------------------------------------------------------------------------------------------------
 
 
+def _slots(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    x = left.astype(np.uint32) * np.uint32(0x9E3779B1) + right.astype(np.uint32) * np.uint32(0x85EBCA77)
+    return (x >> np.uint32(32 - SLOT_BITS)).astype(np.int64)
+
+
+def _frequent(seq: np.ndarray, at: np.ndarray, slot: np.ndarray, hot: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs (as keys), their counts, and the number of the pair at each place, -1 for none of them.
+
+    For many places, one pair stands for each slot, so that nothing is sorted; the others of a slot have their turn later.
+    """
+    key = (seq.take(at) << 32) | seq.take(at + 1)
+    if len(at) <= SORTED:
+        kind, own, n = np.unique(key, return_inverse=True, return_counts=True)
+        return kind, n, own
+    table = np.zeros((1 << SLOT_BITS) + 1, dtype=np.int32)
+    table[hot] = np.arange(len(hot))
+    own = table.take(slot.take(at))
+    kind = np.zeros(len(hot), dtype=np.int64)
+    kind[own] = key
+    own = np.where(kind.take(own) == key, own, -1)
+    return kind, np.bincount(own[own >= 0], minlength=len(hot)), own
+
+
+def _apart(kind: np.ndarray, n: np.ndarray) -> list[int]:
+    """The numbers of frequent pairs, the most frequent first, of which no two can overlap."""
+    good = np.flatnonzero(n >= MIN_COUNT)
+    good = good[np.lexsort((kind[good], -n[good]))]
+    lefts, rights, chosen = set(), set(), []
+    for g, k in zip(good.tolist(), kind[good].tolist()):
+        a, b = k >> 32, k & 0xFFFFFFFF
+        if a in rights or b in lefts or (a == b and (a in lefts or b in rights)):
+            continue
+        lefts.add(a)
+        rights.add(b)
+        chosen.append(g)
+    return chosen
+
+
 def compress(ids: np.ndarray, starts: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """rules (n, 2), their expanded lengths and the remaining symbols. starts: where documents begin, ascending."""
-    seq = ids.astype(np.int64)
-    last = np.zeros(len(seq), dtype=bool)  # the last symbol of a document
+    """rules (n, 2), their expanded lengths and the remaining symbols. starts: where documents begin, ascending.
+
+    Pairs are counted by hashed slots; in a round, pairs of the ROUND_SLOTS fullest slots are counted exactly. Counts of
+    slots are brought up to date where pairs were replaced. It ends when no pair has MIN_COUNT places in documents.
+    """
+    seq, none = ids.astype(np.int64), 1 << SLOT_BITS
+    last = np.zeros(len(seq), dtype=bool)  # the last symbol of a document: its pair is none
     if len(seq):
         last[np.r_[starts[1:], len(seq)] - 1] = True
-    rules, lengths = [], []
-    size = np.ones(base, dtype=np.int64)
-    for _ in range(ROUNDS):
-        if len(seq) < 2:
-            break
-        key = np.where(last[:-1], -1, (seq[:-1] << 32) | seq[1:])
-        slot = ((key * _SPREAD) >> 44) & 0xFFFFF
-        crowded = np.bincount(slot, minlength=1 << 20) >= MIN_COUNT  # only pairs in crowded slots can be frequent
-        order = np.sort(key[crowded[slot]])
-        edge = np.flatnonzero(np.r_[True, order[1:] != order[:-1]]) if len(order) else np.zeros(0, np.int64)
-        count = np.diff(np.r_[edge, len(order)])
-        kind = order[edge]
-        good = np.flatnonzero((count >= MIN_COUNT) & (kind >= 0))
-        if not len(good):
-            break
-        best = kind[good[np.lexsort((kind[good], -count[good]))[: 2 * ROUND_PAIRS]]]
-        lefts, rights, chosen = set(), set(), []
-        for k in best.tolist():
-            a, b = k >> 32, k & 0xFFFFFFFF
-            if a in rights or b in lefts or (a == b and (a in lefts or b in rights)):
-                continue
-            lefts.add(a)
-            rights.add(b)
-            chosen.append(k)
-            if len(chosen) == ROUND_PAIRS:
+    slot = np.full(len(seq), none)
+    slot[:-1] = _slots(seq[:-1], seq[1:])
+    slot[last] = none
+    rules, lengths, size, count = [], [], np.ones(base, dtype=np.int64), None
+    while True:
+        if count is None:
+            count = np.bincount(slot, minlength=none + 1)
+            count[none] = 0
+        crowded = np.flatnonzero(count >= MIN_COUNT)
+        fullest = crowded
+        if len(crowded) > ROUND_SLOTS:
+            c = count[crowded]
+            fullest = crowded[c >= np.partition(c, len(c) - ROUND_SLOTS)[len(c) - ROUND_SLOTS]]
+        for hot, exact in ((fullest, False), (crowded, True)):
+            mark = np.zeros(none + 1, dtype=bool)
+            mark[hot] = True
+            at = np.flatnonzero(mark.take(slot))
+            if exact:
+                key = (seq[at] << 32) | seq[at + 1]
+                kind, own, n = np.unique(key, return_inverse=True, return_counts=True)
+            else:
+                kind, n, own = _frequent(seq, at, slot, hot)
+            chosen = _apart(kind, n)
+            if chosen:
                 break
-        chosen = np.array(chosen, dtype=np.int64)
-        own = ((chosen * _SPREAD) >> 44) & 0xFFFFF
-        _, first = np.unique(own, return_index=True)  # of pairs in one slot, the more frequent one; the others' turn comes
-        first.sort()
-        chosen, own = chosen[first], own[first]
-        table = np.zeros(1 << 20, dtype=np.int32)
-        table[own] = np.arange(len(chosen))
-        at = table[slot]
-        place = np.flatnonzero(chosen[at] == key)
-        run = np.r_[True, np.diff(place) != 1]  # only a pair of one symbol twice overlaps itself: every other place
-        first = place[np.maximum.accumulate(np.where(run, np.arange(len(place)), 0))]
-        place = place[(place - first) % 2 == 0]
-        made = len(size) + np.arange(len(chosen))
-        pair = np.stack([chosen >> 32, chosen & 0xFFFFFFFF], axis=1)
-        seq[place] = made[at[place]]
+        if not chosen:
+            break
+        rule = np.full(len(kind) + 1, -1)
+        rule[chosen] = np.arange(len(chosen))
+        mine = rule[own]
+        hit = np.flatnonzero(mine >= 0)
+        place, mine = at[hit], mine[hit]
+        left, right = kind[chosen] >> 32, kind[chosen] & 0xFFFFFFFF
+        if (left == right).any():  # only a pair of one symbol twice overlaps itself: every other place of a run
+            run = np.r_[True, np.diff(place) != 1]
+            first = place[np.maximum.accumulate(np.where(run, np.arange(len(place)), 0))]
+            odd = (place - first) % 2 == 0
+            place, mine = place[odd], mine[odd]
+        few = 64 * len(place) < len(seq)
+        if few:
+            gone = np.zeros(len(seq), dtype=bool)
+            gone[place] = gone[place + 1] = gone[np.maximum(place - 1, 0)] = True
+            np.subtract.at(count, slot[np.flatnonzero(gone)], 1)
+        seq[place] = len(size) + mine
         last[place] = last[place + 1]
         keep = np.ones(len(seq), dtype=bool)
         keep[place + 1] = False
-        seq, last = seq[keep], last[keep]
+        keep = np.flatnonzero(keep)
+        seq, last, slot = seq.take(keep), last.take(keep), slot.take(keep)
+        new = place - np.arange(len(place))
+        near = np.concatenate([new, new[new > 0] - 1])
+        near = np.unique(near) if few else near
+        slot[near[last[near]]] = none
+        near = near[~last[near]]
+        slot[near] = _slots(seq[near], seq[near + 1])
+        if few:
+            np.add.at(count, slot[near], 1)
+            count[none] = 0
+        else:
+            count = None
+        pair = np.stack([left, right], axis=1)
         rules.append(pair)
         lengths.append(size[pair].sum(axis=1))
         size = np.concatenate([size, lengths[-1]])
-    none = np.zeros((0, 2), dtype=np.int64)
-    return np.concatenate([none, *rules]), np.concatenate([none[:, 0], *lengths]), seq
+    empty = np.zeros((0, 2), dtype=np.int64)
+    return np.concatenate([empty, *rules]), np.concatenate([empty[:, 0], *lengths]), seq
 
 
 def expand(symbols: np.ndarray, rules: np.ndarray, base: int, lengths: np.ndarray) -> np.ndarray:
@@ -158,10 +220,11 @@ class Library:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(raw.decode())
-        self.cache = PieceCache(self.encode_pieces)
+        self.cache = PieceCache(self.encode_pieces, PIECES)
         self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         added = self.tokenizer.get_added_tokens_decoder()
         self.specials = [t.content for t in added.values()]
+        self.tails = "".join(c for c in TAILS if not any(c in t for t in self.specials))
         plain = [(i, t) for i, t in added.items() if not (t.lstrip or t.rstrip or t.single_word or t.normalized)]
         self.mark_id, self.mark = (plain[0][0], plain[0][1].content) if plain else (-1, "")
 
@@ -180,14 +243,16 @@ class Library:
             rest = [i for i in range(len(pieces)) if i not in skip]
         else:
             rest = range(len(pieces))
-        groups = [rest[j : j + 512] for j in range(0, len(rest), 512)]
         values, lengths = [], np.zeros(len(pieces), dtype=np.int64)
-        joined = self.tokenizer.encode_batch_fast([mark.join([pieces[i] for i in g]) + mark for g in groups], add_special_tokens=False) if groups else []
-        for g, e in zip(groups, joined):
-            ids = np.array(e.ids, dtype=np.int32)
-            ends = np.flatnonzero(ids == self.mark_id)
-            lengths[g] = np.diff(ends, prepend=-1) - 1
-            values.append(ids[ids != self.mark_id])
+        groups = [rest[j : j + 512] for j in range(0, len(rest), 512)]
+        for k in range(0, len(groups), 16):  # some groups a call: the library's results take far more memory than the ids
+            some = groups[k : k + 16]
+            joined = self.tokenizer.encode_batch_fast([mark.join([pieces[i] for i in g]) + mark for g in some], add_special_tokens=False)
+            for g, e in zip(some, joined):
+                ids = np.array(e.ids, dtype=np.int32)
+                ends = np.flatnonzero(ids == self.mark_id)
+                lengths[g] = np.diff(ends, prepend=-1) - 1
+                values.append(ids[ids != self.mark_id])
         if not len(alone):
             return np.concatenate(values) if values else np.zeros(0, np.int32), lengths
         flat, at = np.concatenate(values) if values else np.zeros(0, np.int32), 0
@@ -197,8 +262,8 @@ class Library:
         return np.concatenate(out), np.array([len(x) for x in out], dtype=np.int64)
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        words = Words(texts)
-        starts, lengths = self.cache.look_up(words.distinct)
+        words = Words(texts, self.tails)
+        starts, lengths = self.cache.look_up(words)
         n = lengths[words.which]
         return self.cache.pool[spans(starts[words.which], n)], np.concatenate([[0], np.cumsum(n)])[words.offsets]
 
@@ -211,7 +276,7 @@ def _loaded(raw: bytes) -> Library:
 def _encoded(batches, raw: bytes, end: int):
     library = _loaded(raw)
     kind = "<u2" if library.size <= 65536 else "<u4"
-    for b in text_batches(batches):
+    for b in text_batches(batches, 4096, text=3):
         ids, bounds = library.encode(b.column(3))
         ids = ids.astype(kind)
         tail = np.array([end], dtype=kind).tobytes()
@@ -223,6 +288,7 @@ def _shards(batches, base: int):
     """Rows bucket, doc_id, ids in order; a row for each shard."""
     kind = "<u2" if base <= 65536 else "<u4"
     bucket, seq, held, size = None, 0, [], 0
+    _loaded.cache_clear()  # a worker that has encoded before needs the memory of its pieces now
 
     def done():
         ids = np.frombuffer(b"".join(x for _, x in held), dtype=kind)
@@ -257,11 +323,11 @@ def token_shards(docs: DataFrame, tokenizer: str, end: int = 0, id_col: str = "d
     base = Library(raw.value).size
     ids = docs.select(F.col(id_col).cast("long").alias("doc_id"))
     n = ids.count()
-    bounds = range_bounds(ids, "doc_id", max(1, min(4096, max(partitions(spark), n // per_bucket))), n)
+    bounds = range_bounds(ids, "doc_id", max(1, min(MOST_BUCKETS, max(partitions(spark), n // per_bucket))), n)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("ord"), F.col(text_col).alias("text"))
     rows = rows.select(bucket_of(F.col("doc_id"), bounds, F.col("ord")).alias("bucket"), "doc_id", "ord", "text")
     encoded = rows.mapInArrow(lambda it: _encoded(it, raw.value, end), "bucket int, doc_id long, ord long, ids binary")
-    dealt = encoded.repartition(partitions(spark), "bucket").sortWithinPartitions("bucket", "doc_id", "ord")
+    dealt = in_order(encoded, "bucket", len(bounds) + 1).sortWithinPartitions("bucket", "doc_id", "ord")
     return dealt.select("bucket", "doc_id", "ids").mapInArrow(lambda it: _shards(it, base), SHARD)
 
 

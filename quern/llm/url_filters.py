@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import bucket_of, partitions, range_bounds
+from .shared import bounds_below, bucket_of, partitions, range_bounds
 
 #: The rules of the query: host, path, verdict.
 RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block")]
@@ -87,15 +87,14 @@ def judge_urls(pages: DataFrame, rules: DataFrame | Iterable[tuple[str, str, str
         rules = spark.createDataFrame(list(rules), "host string, path string, verdict string")
     rules = rules.toDF("host", "path", "verdict").where("host is not null and path is not null and verdict is not null").withColumn("key", host_key(F.lower("host")))
     n = urls.count()
-    bounds = range_bounds(urls, "key", max(1, min(4096, max(partitions(spark), n // rows_per_bucket))), n)
+    bounds = range_bounds(urls, "key", max(1, min(16_384, max(partitions(spark), n // rows_per_bucket))), n)
     tie = F.monotonically_increasing_id()
     dealt = urls.select(bucket_of(F.col("key"), bounds, tie).alias("bucket"), "key", F.lit(True).alias("is_url"), "page_id", "host", "path", F.lit(None).cast("string").alias("verdict"))
     low = bucket_of(F.col("key"), bounds, F.lit(0))
     if bounds:
-        arr = F.array(*[F.lit(b) for b in bounds])
-        low = F.size(F.filter(arr, lambda b: b < F.col("key")))
+        low = bounds_below(bounds, lambda b: b < F.col("key"))
         end = F.concat(F.expr("substring(key, 1, length(key) - 1)"), F.lit("/"))
-        high = F.size(F.filter(arr, lambda b: b <= end))
+        high = bounds_below(bounds, lambda b: b <= end)
     else:
         low = high = F.lit(0)
     spread = rules.withColumn("bucket", F.explode(F.sequence(low, high))).select("bucket", "key", F.lit(False).alias("is_url"), F.lit(None).cast("long").alias("page_id"), "host", "path", "verdict")

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from quern.llm import byte_bpe, token_counts, token_files
-from quern.llm.shared import Words, shared_path
+from quern.llm.shared import PieceCache, Words, shared_path
 
 PARTS = ["a", "b", "'s", "'T", " ", "  ", "\n", "\t", "é", "é", "Σ", "ΑΣ", "İ", "ß", "<|endoftext|>", "<|startoftext|>", "<|", "1", "23", " ", " ", "漢字", "🙂", "\x1c", "\x85", "!!", "don't", "ﬁ", " ", "aaaaaaa", "\r\n", "_", "٣"]
 rng = random.Random(4)
@@ -94,6 +94,49 @@ def test_grammar_keeps_runs_and_repeats():
         assert len(symbols) < len(ids) or len(ids) == 1
 
 
+def test_grammar_leaves_no_frequent_pair():
+    draw = np.random.default_rng(1)
+    for _ in range(150):
+        ids = draw.integers(0, draw.integers(1, 8), draw.integers(1, 3000))
+        starts = np.unique(np.r_[0, draw.integers(0, len(ids), 4)])
+        rules, lengths, symbols = token_files.compress(ids, starts, 10)
+        assert (token_files.expand(symbols, rules, 10, lengths) == ids).all()
+        size = [int(lengths[s - 10]) if s >= 10 else 1 for s in symbols.tolist()]
+        left, firsts = {}, {*starts.tolist()}
+        for a, b, end in zip(symbols.tolist(), symbols.tolist()[1:], np.cumsum(size).tolist()):
+            if end not in firsts:
+                left[a, b] = left.get((a, b), 0) + 1
+        assert all(n < token_files.MIN_COUNT for n in left.values())
+
+
+def test_files_follow_the_ids(spark):
+    rows = spark.range(3000).selectExpr("(id * 7919) % 3000 as doc_id", "concat('word ', id) as text").repartition(7)
+    path = shared_path(spark, "test-order")
+    token_files.write_tokens(rows, path, P.path("byte_bpe_50k.json"), per_bucket=100)
+    shards = spark.read.parquet(path).select(F.input_file_name().alias("file"), "bucket", "seq", "doc_ids").orderBy("file", "bucket", "seq").collect()
+    assert len({r.file for r in shards}) > 1 and [i for r in shards for i in r.doc_ids] == [*range(3000)]
+
+
+def test_cached_pieces_come_back_the_same():
+    class Cut(Words):
+        def __init__(self, texts):
+            super().__init__(pa.array(texts))
+
+    asked = []
+
+    def compute(pieces):
+        asked.extend(pieces)
+        return np.concatenate([np.frombuffer(p.encode(), np.uint8).astype(np.int32) for p in pieces]), np.array([len(p.encode()) for p in pieces])
+
+    cache = PieceCache(compute, most=300)
+    for k in range(40):
+        words = Cut([f"w{i} and é{i}, w{i}" for i in range(k * 20, k * 20 + 60)])
+        starts, lengths = cache.look_up(words)
+        got = [bytes(cache.pool[s : s + n].astype(np.uint8)).decode() for s, n in zip(starts.tolist(), lengths.tolist())]
+        assert got == words.distinct
+    assert len(asked) < 2 * len({*asked}) and cache.young.n + cache.old.n < 700
+
+
 def test_repeated_ids_are_documents_of_their_own(spark):
     rows = spark.createDataFrame([(7, "a b c")] * 50 + [(8, "d")], "doc_id long, text string")
     path = shared_path(spark, "test-repeats")
