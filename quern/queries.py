@@ -24,6 +24,8 @@ QUERIES, ORACLES = {}, {}
 
 def query(sql: str | None = None):
     def add(f):
+        if f.__name__ in QUERIES:
+            raise ValueError(f"{f.__name__} is registered twice")
         QUERIES[f.__name__] = f
         if sql:
             ORACLES[f.__name__] = sql
@@ -528,15 +530,15 @@ def reason_kinds(spark, sf_dir):
     return S.over(spark, sf_dir, _WHY, "orders").groupBy(report.alike(F.col("reason")).alias("reason")).agg(F.count("*").alias("n"))
 
 
-_BENT = f"SELECT o_orderkey AS k, {S.pick('o_orderkey % 5', ('genomic', 'bad value', 'transcriptomic.bulk'))} AS value, {S.pick('o_custkey % 4', ('classified', 'not_classified', 'odd'))} AS status FROM orders"
+_OUTPUTS = f"SELECT o_orderkey AS k, {S.pick('o_orderkey % 5', ('genomic', 'bad value', 'transcriptomic.bulk'))} AS value, {S.pick('o_custkey % 4', ('classified', 'not_classified', 'odd'))} AS status FROM orders"
 
 
 @query(f"""SELECT fault, count(*) AS n FROM (SELECT CASE WHEN status IS NULL THEN 'data_modality: status is missing' WHEN status = 'odd' THEN 'data_modality: unknown status' WHEN value = 'bad value' THEN 'data_modality: value outside the vocabulary'
-  WHEN (value IS NOT NULL) <> (status = 'classified') THEN 'data_modality: value and status don''t fit' END AS fault FROM ({_BENT})) WHERE fault IS NOT NULL GROUP BY 1""")
+  WHEN (value IS NOT NULL) <> (status = 'classified') THEN 'data_modality: value and status don''t fit' END AS fault FROM ({_OUTPUTS})) WHERE fault IS NOT NULL GROUP BY 1""")
 def output_faults(spark, sf_dir):
     fine = F.struct(F.lit(None).cast("string").alias("value"), F.lit("not_classified").alias("status"))
     fields = [F.struct("value", "status").alias(f) if f == "data_modality" else fine.alias(f) for f in FIELDS]
-    rows = S.over(spark, sf_dir, _BENT, "orders").select(F.struct(*fields).alias("classifications"))
+    rows = S.over(spark, sf_dir, _OUTPUTS, "orders").select(F.struct(*fields).alias("classifications"))
     return rows.select(F.explode(report.output_faults(rows)).alias("fault")).groupBy("fault").agg(F.count("*").alias("n"))
 
 
