@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import byte_bpe, embedding_dedup, fingerprints, language_id, mixing, ngram_join, sharding, token_counts, token_files, url_filters
+from . import byte_bpe, embedding_dedup, fingerprints, language_id, mixing, ngram_join, sharding, token_counts, token_files, url_filters, vector_codes, whitening
 
 QUERIES = {
     "op1_url_filters": url_filters.op1_url_filters,
@@ -15,6 +15,8 @@ QUERIES = {
     "op8_byte_bpe": byte_bpe.op8_byte_bpe,
     "op9_fingerprints": fingerprints.op9_fingerprints,
     "op10_language_id": language_id.op10_language_id,
+    "op12_vector_codes": vector_codes.op12_vector_codes,
+    "op13_whitening": whitening.op13_whitening,
 }
 ORACLES = {
     "op1_url_filters": url_filters.ORACLE,
@@ -22,4 +24,5 @@ ORACLES = {
     "op3_ngram_join": ngram_join.ORACLE,
     "op5_mix_sources": mixing.ORACLE,
     "op6_sharding": sharding.ORACLE,
+    "op12_vector_codes": vector_codes.ORACLE,
 }
