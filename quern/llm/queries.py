@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import byte_bpe, embedding_dedup, fingerprints, language_id, mixing, ngram_join, sharding, token_counts, token_files, url_filters, vector_codes, whitening
+from . import byte_bpe, embedding_dedup, fingerprints, language_id, license_scan, mixing, ngram_join, sharding, token_counts, token_files, url_filters, vector_codes, whitening
 
 QUERIES = {
     "op1_url_filters": url_filters.op1_url_filters,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_byte_bpe": byte_bpe.op8_byte_bpe,
     "op9_fingerprints": fingerprints.op9_fingerprints,
     "op10_language_id": language_id.op10_language_id,
+    "op11_license_scan": license_scan.op11_license_scan,
     "op12_vector_codes": vector_codes.op12_vector_codes,
     "op13_whitening": whitening.op13_whitening,
 }
