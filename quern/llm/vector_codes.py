@@ -65,57 +65,77 @@ def exact(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (gap * gap).sum(axis=1)
 
 
+def _firsts(i: np.ndarray) -> np.ndarray:
+    """Where each run of equal numbers begins."""
+    return np.flatnonzero(np.r_[True, i[1:] != i[:-1]])
+
+
+def _least(values: np.ndarray, i: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each run of equal i, the place of its first least value, and that value."""
+    first = _firsts(i)
+    least = np.minimum.reduceat(values, first)
+    at = np.flatnonzero(values == np.repeat(least, np.diff(np.r_[first, len(i)])))
+    return at[_firsts(i[at])], least
+
+
 class Codebook:
     """The entries (whole numbers) of one part."""
 
     def __init__(self, entries: np.ndarray):
-        self.entries = entries
-        numbers = entries.astype(np.float64)
-        self.squares = np.einsum("ij,ij->i", numbers, numbers)
-        self.short = [short_vectors(numbers, g) for g in segments(entries.shape[1])]
+        self.entries, self.numbers = entries, entries.astype(np.float64)
+        self.squares = np.einsum("ij,ij->i", self.numbers, self.numbers)
+        self.short = [short_vectors(self.numbers, g) for g in segments(entries.shape[1])]
         self.seen = self.pairs = 0  # exact distances, and pairs of parts and entries
 
-    def _safe(self, v: np.ndarray) -> bool:
+    def _bits(self, v: np.ndarray) -> int:
+        """Bits that squared distances may take."""
         top = max((int(np.abs(x).max(initial=0)) for x in (v, self.entries)))
-        return v.shape[1] * 4 * top * top < 2**62
+        return (v.shape[1] * 4 * top * top).bit_length()
 
     def nearest(self, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The number of the nearest entry, the lowest of equals, and the exact squared distance, of each row."""
         if not v.shape[1]:
             return np.zeros(len(v), np.int64), np.zeros(len(v), np.int64)
-        kind = np.int64 if self._safe(v) else object
-        entries, index, distance = self.entries.astype(kind), [], []
+        bits, index, distance = self._bits(v), [], []
+        kind = np.int64 if bits < 62 else object
+        entries = self.entries.astype(kind)
         for low in range(0, len(v), CHUNK):
             x, numbers = v[low : low + CHUNK].astype(kind), v[low : low + CHUNK].astype(np.float64)
             squares = np.einsum("ij,ij->i", numbers, numbers)
-            slack = SLACK * (squares[:, None] + self.squares)
-            if self.short:
-                s = short_vectors(numbers, 1)
-                bound = squares[:, None] + self.squares - 2 * (s @ self.short[0].T) - slack
-                best = exact(x, entries[bound.argmin(axis=1)])
-                i, j = np.nonzero(bound <= best[:, None].astype(np.float64) * (1 + 1e-12))
-            else:
-                i, j = (k.ravel() for k in np.indices(slack.shape))
-            for g, short in zip(segments(v.shape[1])[1:], self.short[1:]):
+            both = squares[:, None] + self.squares
+            alive, i, j, best = np.ones(both.shape, dtype=bool), None, None, None
+            for g, short in zip(segments(v.shape[1]), self.short):
+                if i is None and 20 * np.count_nonzero(alive) < both.size:  # few are left: pairs are cheaper than matrices
+                    i, j = np.nonzero(alive)
                 s = short_vectors(numbers, g)
-                bound = np.zeros(len(i))
-                for k in range(g + 1):
-                    bound += (s[i, k] - short[j, k]) ** 2
-                bound -= slack[i, j]
-                first = np.flatnonzero(np.r_[True, i[1:] != i[:-1]])
-                least = np.minimum.reduceat(bound, first)
-                at = np.flatnonzero(bound == np.repeat(least, np.diff(np.r_[first, len(i)])))
-                at = at[np.r_[True, i[at][1:] != i[at][:-1]]]
-                best = np.minimum(best, exact(x, entries[j[at]]))
-                keep = bound <= best[i].astype(np.float64) * (1 + 1e-12)
-                i, j = i[keep], j[keep]
-            d = exact(x[i], entries[j])
-            first = np.flatnonzero(np.r_[True, i[1:] != i[:-1]])
-            least = np.minimum.reduceat(d, first)
-            at = np.flatnonzero(d == np.repeat(least, np.diff(np.r_[first, len(i)])))
-            index.append(j[at[np.r_[True, i[at][1:] != i[at][:-1]]]])
-            distance.append(least)
-            self.seen, self.pairs = self.seen + len(d), self.pairs + slack.size
+                if i is None:
+                    bound = (1 - SLACK) * both - 2 * (s @ short.T)
+                    first = np.where(alive, bound, np.inf).argmin(axis=1)
+                else:
+                    bound = ((s[i] - short[j]) ** 2).sum(axis=1) - SLACK * both[i, j]
+                    first = j[_least(bound, i)[0]]
+                now = exact(x, entries[first])
+                best = now if best is None else np.minimum(best, now)
+                most = best.astype(np.float64) * (1 + 1e-12)
+                if i is None:
+                    alive &= bound <= most[:, None]
+                else:
+                    keep = bound <= most[i]
+                    i, j = i[keep], j[keep]
+            if i is None and bits < 53:  # sums of whole numbers below 2 ** 53 are exact in floats
+                d = np.where(alive, both - 2 * (numbers @ self.numbers.T), np.inf)
+                at = d.argmin(axis=1)
+                index.append(at)
+                distance.append(d[np.arange(len(d)), at].astype(np.int64))
+                self.seen += np.count_nonzero(alive)
+            else:
+                i, j = np.nonzero(alive) if i is None else (i, j)
+                d = exact(x[i], entries[j])
+                at, least = _least(d, i)
+                index.append(j[at])
+                distance.append(least)
+                self.seen += len(d)
+            self.pairs += both.size
         return (np.concatenate(index), np.concatenate(distance)) if index else (np.zeros(0, np.int64),) * 2
 
 
