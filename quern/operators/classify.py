@@ -6,12 +6,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quern.functions.headers import archive, illumina, lines_of, pacbio, paired_end, sam_lines, search
-from quern.functions.names import extension_of, parse_name, settled, settled_extension
+from quern.functions.names import extension_of, let, parse_name, settled, settled_extension
 from quern.functions.reference import ASSEMBLIES, CHROMS, by_bed, sam_contigs, vcf_contigs, vote_winner
 from quern.plans.compile import claim, rule_ids, with_claims, with_matches
-from quern.plans.rules import CONTENT_TIER, FIELDS, NOT_APPLICABLE, NOT_CLASSIFIED, RULES, checked
+from quern.plans.rules import CONTENT_TIER, FIELDS, NOT_APPLICABLE, NOT_CLASSIFIED, RULES, Rule, checked
 
-from .claims import add_if, declared, entry, inferred_assay, resolve, with_assay
+from .claims import add_if, declared, entry, inferred_assay, last_reason, resolve, with_assay
+
+Rules = list[Rule] | None
 
 # Extensions that a kind of header is read for (compared with case), and patterns of contig names.
 ROUTES = {
@@ -50,8 +52,8 @@ def _prepared(files: DataFrame, default: str | None = None) -> DataFrame:
     return settled(files, {"name": parse_name(F.col("file_name")), "ext": settled_extension(F.col("file_name"), F.lit(default) if default else F.col("file_format"))})
 
 
-def _inferred(df: DataFrame) -> DataFrame:
-    assay = inferred_assay(resolve("data_modality")["value"], resolve("platform")["value"], F.col("ext"), F.col("file_size"), rule_ids())
+def _inferred(df: DataFrame, rules: Rules = None) -> DataFrame:
+    assay = inferred_assay(resolve("data_modality")["value"], resolve("platform")["value"], F.col("ext"), F.col("file_size"), rule_ids(rules))
     return settled(df, {"assay_type": with_assay("assay_type", assay)})
 
 
@@ -64,36 +66,49 @@ def _finished(df: DataFrame, keep: list[str], extra: tuple[str, ...] = ()) -> Da
     return settled(df, {"classifications": F.struct(*[entry(f).alias(f) for f in FIELDS])}).select(*_given(keep), "classifications", *extra)
 
 
-def _base(files: DataFrame, default: str | None, header: Column | None = None, scope: str | None = None) -> DataFrame:
-    return _inferred(with_claims(with_matches(_prepared(files, default), header, scope)))
+def _labelled(df: DataFrame, keep: list[str]) -> DataFrame:
+    def field(f: str) -> Column:
+        return let(resolve(f), lambda r: F.struct(r["value"].alias("value"), r["status"].alias("status"), last_reason(f, r).alias("why")))
+
+    df = settled(df, {f: field(f) for f in FIELDS})
+    return settled(df, {"classifications": F.struct(*[F.col(f) for f in FIELDS])}).select(*_given(keep), "classifications")
+
 
+def _base(files: DataFrame, default: str | None, header: Column | None = None, scope: str | None = None, rules: Rules = None) -> DataFrame:
+    return _inferred(with_claims(with_matches(_prepared(files, default), header, scope, rules), rules), rules)
 
-def classify(files: DataFrame) -> DataFrame:
-    """files plus `classifications`, from name, format, dataset and size alone."""
-    return _finished(_base(files, None), files.columns)
+
+def classify(files: DataFrame, rules: Rules = None, evidence: bool = True) -> DataFrame:
+    """files plus `classifications`, from name, format, dataset and size alone.
+
+    rules: others than the built-in ones (see plans.rules_file). Without evidence, a field holds value, status and why, the
+    reason that its evidence would end with.
+    """
+    df = _base(files, None, rules=rules)
+    return _finished(df, files.columns) if evidence else _labelled(df, files.columns)
 
 
-def classify_alignments(files: DataFrame) -> DataFrame:
+def classify_alignments(files: DataFrame, rules: Rules = None) -> DataFrame:
     """files with `header_text` (SAM header): header rules, then the contigs' vote."""
     text = F.col("header_text")
-    df = settled(_base(files, ".bam", text, "header"), {"vote": vote_winner(sam_contigs(sam_lines(text, "@SQ")))})
+    df = settled(_base(files, ".bam", text, "header", rules), {"vote": vote_winner(sam_contigs(sam_lines(text, "@SQ")))})
     hit = F.col("vote.assembly").isNotNull()
     reason = F.concat(F.col("vote.matches").cast("string"), F.lit(" contig lengths are those of "), F.col("vote.assembly"))
     df = df.withColumn("reference_assembly", add_if(F.col("reference_assembly"), hit, claim("contig_length_detection", reason, CONTENT_TIER, F.col("vote.assembly"))))
     df = df.withColumn("data_modality", add_if(F.col("data_modality"), hit & ~declared("data_modality"), claim("aligned_to_reference", F.concat(F.lit("aligned to "), F.col("vote.assembly")), CONTENT_TIER, "genomic")))
-    return _finished(_inferred(df), files.columns)
+    return _finished(_inferred(df, rules), files.columns)
 
 
-def classify_variants(files: DataFrame) -> DataFrame:
+def classify_variants(files: DataFrame, rules: Rules = None) -> DataFrame:
     """files with `header_text` (VCF header)."""
     text = F.col("header_text")
-    df = settled(_base(files, ".vcf.gz", text, "vcf_header"), {"vote": vote_winner(vcf_contigs(F.filter(lines_of(text), lambda x: x.startswith("##contig"))))})
+    df = settled(_base(files, ".vcf.gz", text, "vcf_header", rules), {"vote": vote_winner(vcf_contigs(F.filter(lines_of(text), lambda x: x.startswith("##contig"))))})
     reason = F.concat(F.col("vote.matches").cast("string"), F.lit(" contig lengths are those of "), F.col("vote.assembly"))
     df = df.withColumn("reference_assembly", add_if(F.col("reference_assembly"), F.col("vote.assembly").isNotNull(), claim("vcf_contig_length", reason, CONTENT_TIER, F.col("vote.assembly"))))
     return _finished(df, files.columns)
 
 
-def classify_reads(files: DataFrame) -> DataFrame:
+def classify_reads(files: DataFrame, rules: Rules = None) -> DataFrame:
     """files with `read_names` (array): plus is_paired_end, instrument_model, instrument_hint, archive_accession, archive_source.
 
     Where the first read's archive prefix hides the platform, the rules run on the rest of the name again; its platform and
@@ -102,10 +117,10 @@ def classify_reads(files: DataFrame) -> DataFrame:
     reads = F.col("read_names")
     given = F.coalesce(F.size(reads) > 0, F.lit(False)) & (F.coalesce(F.try_element_at(reads, F.lit(1)), F.lit("")) != "")
     first = F.try_element_at(reads, F.lit(1))
-    df = _base(files.withColumn("_first", F.when(given, first)), ".fastq.gz", F.col("_first"), "fastq_header")
+    df = _base(files.withColumn("_first", F.when(given, first)), ".fastq.gz", F.col("_first"), "fastq_header", rules)
     df = settled(df, {"_archive": archive(F.col("_first")), **{f"_own_{f}": F.col(f) for f in FIELDS}})
     rest = F.when((F.trim(F.col("_archive.remainder")) != "") & F.col("_archive.accession").isNotNull(), F.concat(F.lit("@"), F.trim(F.col("_archive.remainder"))))
-    again = _inferred(with_claims(with_matches(settled(df, {"_rest": rest}), F.col("_rest"), "fastq_header")))
+    again = _inferred(with_claims(with_matches(settled(df, {"_rest": rest}), F.col("_rest"), "fastq_header", rules), rules), rules)
     adopt = F.coalesce(~declared("_own_platform") & F.col("_rest").isNotNull() & resolve("platform")["value"].isNotNull(), F.lit(False))
 
     def field(f):
@@ -135,11 +150,11 @@ def classify_reads(files: DataFrame) -> DataFrame:
     return out.select(*_given(files.columns), F.struct(*[field(f).alias(f) for f in FIELDS]).alias("classifications"), *[F.col(f"_x_{k}").alias(k) for k in extra])
 
 
-def classify_sequences(files: DataFrame) -> DataFrame:
+def classify_sequences(files: DataFrame, rules: Rules = None) -> DataFrame:
     """files with `contig_names` (array)."""
     names = F.coalesce(F.col("contig_names"), F.array().cast("array<string>"))
     known = F.array(*[F.lit(p + c) for c in CHROMS for p in ("chr", "")])
-    df = _base(files, ".fa.gz")
+    df = _base(files, ".fa.gz", rules=rules)
     ref = F.filter(names, lambda c: F.array_contains(known, c))
     other = F.filter(names, lambda c: ~F.array_contains(known, c))
     df = settled(df, {"_ref": F.size(ref), "_asm": F.filter(other, lambda c: search(c, ASSEMBLER)), "_tx": F.filter(other, lambda c: ~search(c, ASSEMBLER) & search(c, TRANSCRIPT))})
@@ -166,7 +181,7 @@ def classify_sequences(files: DataFrame) -> DataFrame:
     return _finished(df.withColumns(new), files.columns)
 
 
-def classify_graphs(files: DataFrame) -> DataFrame:
+def classify_graphs(files: DataFrame, rules: Rules = None) -> DataFrame:
     """files with `gfa_segment_tags` (array of struct sn, sr): named segments of rank 0 make a reference graph."""
     back = F.filter(F.coalesce("gfa_segment_tags", F.array().cast("array<struct<sn:string,sr:string>>")), lambda t: (t["sr"] == "0") & (F.coalesce(t["sn"], F.lit("")) != ""))
     some = F.array_sort(F.array_distinct(F.transform(back, lambda t: t["sn"])))
@@ -174,7 +189,7 @@ def classify_graphs(files: DataFrame) -> DataFrame:
     given = F.col("file_format") if "file_format" in files.columns else F.lit(None).cast("string")
     default = F.when(extension_of(given).isNotNull(), given).otherwise(F.lit(".gfa"))
     df = _prepared(files).withColumn("ext", settled_extension(F.col("file_name"), default))
-    df = _inferred(with_claims(with_matches(df)))
+    df = _inferred(with_claims(with_matches(df, rules=rules), rules), rules)
     return _finished(df.withColumn("data_type", add_if(F.col("data_type"), F.size(back) > 0, claim("rgfa_stable_rank_reference", reason, CONTENT_TIER, "pangenome.reference"))), files.columns)
 
 
@@ -195,9 +210,9 @@ def dominant_extension(members: Column) -> Column:
     return F.when(F.size(known) > 0, F.struct(top["e"].alias("extension"), top["n"].alias("n"), F.try_element_at(F.filter(known, lambda x: x["e"] == top["e"]), F.lit(1))["b"].alias("example")))
 
 
-def _by_extension(field: str) -> Column:
+def _by_extension(field: str, rules: Rules = None) -> Column:
     """extension -> the value that the rules give it without a name, from the rules that look at extensions alone."""
-    plain = [r for r in checked(RULES) if r.scope == "extension" and not {"filename_pattern", "dataset_pattern"} & {*r.when}]
+    plain = [r for r in checked(rules or RULES) if r.scope == "extension" and not {"filename_pattern", "dataset_pattern"} & {*r.when}]
     from quern.functions.names import CATEGORIES, FORMATS
 
     out = {}
@@ -210,22 +225,22 @@ def _by_extension(field: str) -> Column:
     return F.create_map(*[F.lit(x) for kv in out.items() for x in kv])
 
 
-def classify_archives(files: DataFrame) -> DataFrame:
+def classify_archives(files: DataFrame, rules: Rules = None) -> DataFrame:
     """files with `member_names` (array): a variant store by its files' names, else what the commonest members are."""
     members = F.coalesce("member_names", F.array().cast("array<string>"))
     df = _prepared(files).withColumn("ext", F.coalesce(extension_of(F.col("file_name")), F.lit("")))
-    df = settled(_inferred(with_claims(with_matches(df))), {"_store": is_variant_store(members), "_dom": dominant_extension(members)})
+    df = settled(_inferred(with_claims(with_matches(df, rules=rules), rules), rules), {"_store": is_variant_store(members), "_dom": dominant_extension(members)})
     reason = F.when(F.col("_store"), F.lit("files of a variant store")).otherwise(F.concat(F.col("_dom.n").cast("string"), F.lit(" members end in "), F.col("_dom.extension"), F.lit(", first "), F.col("_dom.example")))
     new = {}
     for f, store in (("data_modality", "genomic"), ("data_type", "variants")):
-        value = F.when(F.col("_store"), F.lit(store)).otherwise(F.element_at(_by_extension(f), F.col("_dom.extension")))
+        value = F.when(F.col("_store"), F.lit(store)).otherwise(F.element_at(_by_extension(f, rules), F.col("_dom.extension")))
         new[f] = add_if(F.col(f), value.isNotNull(), claim("tar_inner_format", reason, CONTENT_TIER, value))
     return _finished(df.withColumns(new), files.columns)
 
 
-def classify_intervals(files: DataFrame) -> DataFrame:
+def classify_intervals(files: DataFrame, rules: Rules = None) -> DataFrame:
     """files with `bed` (struct chromosomes, has_chr_prefix, max_coordinates, line_count)."""
-    df = settled(_base(files, ".bed"), {"_bed": by_bed(F.col("bed.chromosomes"), F.col("bed.has_chr_prefix"), F.col("bed.max_coordinates"))})
+    df = settled(_base(files, ".bed", rules=rules), {"_bed": by_bed(F.col("bed.chromosomes"), F.col("bed.has_chr_prefix"), F.col("bed.max_coordinates"))})
     free = resolve("reference_assembly")["status"] != NOT_APPLICABLE
     ref = add_if(F.col("reference_assembly"), F.col("_bed.assembly").isNotNull() & free, claim("bed_coordinate_reference", F.concat(F.lit("coordinates fit only "), F.col("_bed.assembly")), CONTENT_TIER, F.col("_bed.assembly")))
     ref = add_if(ref, F.col("_bed.assembly").isNull() & F.col("_bed.nonstandard"), claim("bed_nonstandard_contigs", "no standard chromosome name", CONTENT_TIER, None, NOT_APPLICABLE))

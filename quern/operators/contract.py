@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from .classify import unreadable
+from .samples import first_of_groups
 
 # Fields, kinds and formats of an input record; blocking fields are those that classification needs.
 REQUIRED = ("entry_id", "file_id", "file_name", "file_format", "file_size", "file_md5sum", "drs_uri", "dataset_id", "dataset_title", "is_supplementary")
@@ -66,9 +66,4 @@ def not_validated(invalid: DataFrame) -> DataFrame:
 def problem_kinds(records: DataFrame, json_col: str = "record", samples: int = 5) -> DataFrame:
     """reason, n, sample_ids (the first entry ids in order) over a whole corpus."""
     each = records.select(F.get_json_object(json_col, "$.entry_id").alias("id"), F.explode(reasons(F.col(json_col))).alias("reason"))
-    each = each.groupBy("reason", "id").agg(F.count("*").alias("n"))
-    # ids are ranked in parts and cut to the first of each before the parts meet: a common fault is no long list anywhere
-    part = Window.partitionBy("reason", F.pmod(F.xxhash64("id"), F.lit(64))).orderBy(F.asc_nulls_last("id"))
-    ranked = each.withColumn("k", F.row_number().over(part))
-    ids = F.collect_list(F.when(F.col("k") <= samples, F.col("id")))
-    return ranked.groupBy("reason").agg(F.sum("n").alias("n"), F.slice(F.array_sort(ids), 1, samples).alias("sample_ids"))
+    return first_of_groups(each, ["reason"], "id", samples).withColumnRenamed("first", "sample_ids")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from html import escape
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from quern.functions.names import extension_of, map_of
@@ -30,28 +30,55 @@ def translated(value: Column, table: dict[str, str], keep: bool = False) -> Colu
     return F.coalesce(found, value) if keep else found
 
 
-def by_field(classified: DataFrame, *keep: str) -> DataFrame:
-    """A row for each file and field: field, value, status, evidence and the columns to keep."""
-    each = F.array(*[F.struct(F.lit(f).alias("field"), F.col(f"classifications.{f}.value").alias("value"), F.col(f"classifications.{f}.status").alias("status"), F.col(f"classifications.{f}.evidence").alias("evidence")) for f in FIELDS])
-    return classified.select(*keep, F.explode(each).alias("x")).select(*keep, "x.*")
-
-
 def label_histogram(classified: DataFrame) -> DataFrame:
     """field, label, n."""
-    rows = by_field(classified).select("field", F.coalesce("value", "status").alias("label"))
-    return rows.groupBy("field", "label").agg(F.count("*").alias("n"))
+    each = F.array(*[F.struct(F.lit(f).alias("field"), label(f).alias("label")) for f in FIELDS])
+    return classified.select(F.inline(each)).groupBy("field", "label").agg(F.count("*").alias("n"))
+
+
+def _percent(part: Column, whole: Column) -> Column:
+    return F.round(F.try_divide(part * 100.0, whole), 1).cast("double")
 
 
 def coverage(classified: DataFrame) -> DataFrame:
-    """field, total, classified (not_applicable included), not_classified, percent."""
-    out = by_field(classified).groupBy("field").agg(F.count("*").alias("total"), F.count_if(F.col("value").isNotNull() | (F.col("status") == NOT_APPLICABLE)).alias("classified"))
-    return out.select("field", "total", "classified", (F.col("total") - F.col("classified")).alias("not_classified"), F.round(F.col("classified") * 100.0 / F.col("total"), 1).cast("double").alias("percent"))
+    """field, total, classified (not_applicable included), not_classified, percent; one aggregate, without evidence."""
+    known = lambda f: F.col(f"classifications.{f}.value").isNotNull() | (F.col(f"classifications.{f}.status") == NOT_APPLICABLE)
+    one = classified.agg(F.count("*").alias("total"), *[F.count_if(known(f)).alias(f) for f in FIELDS])
+    each = F.array(*[F.struct(F.lit(f).alias("field"), F.col("total").alias("total"), F.col(f).alias("classified")) for f in FIELDS])
+    out = one.where("total > 0").select(F.inline(each))
+    return out.select("field", "total", "classified", (F.col("total") - F.col("classified")).alias("not_classified"), _percent(F.col("classified"), F.col("total")).alias("percent"))
+
+
+def all_counts(classified: DataFrame) -> DataFrame:
+    """report, field, label, ext, reason, n: coverage, label, label_ext and reason counts from one scan of the files.
+
+    A file is five slim rows (field, label, status, extension, and why for unclassified fields), which are counted together before
+    any shuffle; the four reports are grouping sets over these counts. coverage: label is classified or not_classified;
+    reason: every reason of an unclassified field by extension. Other columns of a report are null. classified: from
+    classify(), with evidence or without.
+    """
+    slim = "why" in classified.schema["classifications"].dataType["data_type"].dataType.fieldNames()
+
+    def row(f: str) -> Column:
+        status = F.col(f"classifications.{f}.status")
+        last = F.col(f"classifications.{f}.why") if slim else F.try_element_at(f"classifications.{f}.evidence", F.lit(-1))["reason"]
+        known = F.col(f"classifications.{f}.value").isNotNull() | (status == NOT_APPLICABLE)
+        return F.struct(F.lit(f).alias("field"), label(f).alias("label"), F.when(known, CLASSIFIED).otherwise(NOT_CLASSIFIED).alias("known"), F.when(status == NOT_CLASSIFIED, F.coalesce(alike(last), F.lit(""))).alias("reason"))
+
+    ext = F.coalesce(extension_of(F.col("file_name")), F.lit(""))
+    each = classified.select(ext.alias("ext"), F.explode(F.array(*[row(f) for f in FIELDS])).alias("x")).select("ext", "x.*")
+    counts = each.groupBy("field", "label", "known", "ext", "reason").agg(F.count("*").alias("n"))
+    sets = {"coverage": ("field", "known"), "label": ("field", "label"), "label_ext": ("field", "label", "ext"), "reason": ("field", "ext", "reason")}
+    expand = F.array(*[F.struct(F.lit(name).alias("report"), *[(F.col("known") if c == "label" and "known" in by else F.col(c) if c in by else F.lit(None)).cast("string").alias(c) for c in ("field", "label", "ext", "reason")]) for name, by in sets.items()])
+    out = counts.select(F.explode(expand).alias("s"), "n").select("s.*", "n").where("report <> 'reason' or reason is not null")
+    return out.groupBy("report", "field", "label", "ext", "reason").agg(F.sum("n").alias("n"))
 
 
 def coverage_by_extension(classified: DataFrame) -> DataFrame:
     """field, label, ext, n."""
-    rows = by_field(classified, "file_name").select("field", F.coalesce("value", "status").alias("label"), F.coalesce(extension_of(F.col("file_name")), F.lit("")).alias("ext"))
-    return rows.groupBy("field", "label", "ext").agg(F.count("*").alias("n"))
+    each = F.array(*[F.struct(F.lit(f).alias("field"), label(f).alias("label")) for f in FIELDS])
+    rows = classified.select(F.coalesce(extension_of(F.col("file_name")), F.lit("")).alias("ext"), F.explode(each).alias("x"))
+    return rows.groupBy("x.field", "x.label", "ext").agg(F.count("*").alias("n"))
 
 
 def alike(reason: Column) -> Column:
@@ -64,9 +91,7 @@ def alike(reason: Column) -> Column:
 
 def commonest_reasons(classified: DataFrame) -> DataFrame:
     """field, ext, reason, n: the most frequent last reason of unclassified fields; reasons count as alike() makes them."""
-    rows = by_field(classified, "file_name").where(F.col("status") == NOT_CLASSIFIED)
-    reason = alike(F.try_element_at("evidence", F.lit(-1))["reason"])
-    counted = rows.groupBy("field", F.coalesce(extension_of(F.col("file_name")), F.lit("")).alias("ext"), reason.alias("reason")).agg(F.count("*").alias("n"))
+    counted = all_counts(classified).where("report = 'reason'")
     best = counted.groupBy("field", "ext").agg(F.min(F.struct((-F.col("n")).alias("neg"), "reason")).alias("b"))
     return best.select("field", "ext", "b.reason", (-F.col("b.neg")).alias("n"))
 
@@ -134,11 +159,35 @@ def accuracy(classified: DataFrame, truth: DataFrame, field: str, key: str = "fi
 
 def run_tally(outcomes: DataFrame) -> DataFrame:
     """One row of counts over `outcome` (successful, errored, validation_failed), `from_cache` and `content_unreadable`."""
-    n = lambda o: F.count_if(F.col("outcome") == o)
-    out = outcomes.agg(F.count("*").alias("total_to_process"), n("successful").alias("successful"), n("errored").alias("errored"), n("validation_failed").alias("validation_failed"), F.count_if("from_cache").alias("from_cache"), F.count_if("content_unreadable").alias("content_unreadable"), F.lit(0).cast("long").alias("dropped"))
+    return _derived(outcomes.agg(*_counts()))
+
+
+def _counts() -> list[Column]:
+    n = lambda o: F.count_if(F.col("outcome") == o).alias(o)
+    flag = lambda c: F.count_if(F.coalesce(F.col(c), F.lit(False))).alias(c)
+    return [F.count("*").alias("total_to_process"), n("successful"), n("errored"), n("validation_failed"), flag("from_cache"), flag("content_unreadable")]
+
+
+def _derived(out: DataFrame) -> DataFrame:
+    out = out.withColumn("dropped", F.lit(0).cast("long"))
     return out.withColumn("processed", F.col("successful") + F.col("errored") + F.col("validation_failed")).withColumn("failed", F.col("dropped") + F.col("errored")).withColumn("complete", F.col("processed") == F.col("total_to_process"))
 
 
+def observed_tally(outcomes: DataFrame, name: str = "tally") -> tuple[DataFrame, Observation]:
+    """outcomes as they are, and an observation that holds run_tally()'s counts once an action has read them all.
+
+    So the counts come from the write itself; nothing is read again.
+    """
+    seen = Observation(name)
+    return outcomes.observe(seen, *_counts()), seen
+
+
+def tally_of(spark: SparkSession, seen: Observation) -> DataFrame:
+    """run_tally()'s row of an observation whose action is done."""
+    held = {k: int(v or 0) for k, v in seen.get.items()}
+    return _derived(spark.createDataFrame([tuple(held.values())], ", ".join(f"{k} long" for k in held)))
+
+
 def batch_stats(classified: DataFrame) -> DataFrame:
     """How many files have a modality and a reference, had them in the catalog, and got them from us alone."""
     m, r = F.col("classifications.data_modality.value"), F.col("classifications.reference_assembly.value")

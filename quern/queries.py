@@ -14,8 +14,8 @@ from quern.functions import names as N
 from quern.functions import reference as R
 from quern.operators import classify as C
 from quern.operators import contract, external, lint, propagate, report
-from quern.operators.claims import entry, resolve
-from quern.plans.compile import claim, rule_ids, with_matches
+from quern.operators.claims import markers, resolve_rows
+from quern.plans.compile import rule_ids, with_matches
 from quern.plans.rules import FIELDS, RULES
 from quern.sources import synthetic as S
 
@@ -104,8 +104,8 @@ labels AS (
 LONG = LABELS + ",\nlong AS (" + " UNION ALL ".join(f"SELECT k, '{f}' AS field, {f}_v AS value, {f}_s AS status FROM labels" for f in FIELDS) + ")"
 
 
-def _classified(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return C.classify(S.catalog(spark, sf_dir))
+def _classified(spark: SparkSession, sf_dir: str, evidence: bool = True) -> DataFrame:
+    return C.classify(S.catalog(spark, sf_dir), evidence=evidence)
 
 
 # --- names, routes ---------------------------------------------------------------------------------------------------
@@ -192,11 +192,14 @@ def claims_state_fallback(spark, sf_dir):
 _DECIDED = "SELECT l_orderkey AS k, l_linenumber, 1 + l_suppkey % 4 AS tier, CASE l_partkey % 6 WHEN 0 THEN 'A' WHEN 1 THEN 'B' WHEN 2 THEN 'not_applicable' WHEN 3 THEN 'not_classified' ELSE 'C' END AS d FROM lineitem"
 
 
-def _decisions(spark, sf_dir):
-    rows = S.over(spark, sf_dir, _DECIDED, "lineitem")
+def _claim_rows(spark, sf_dir, sql=_DECIDED):
+    rows = S.over(spark, sf_dir, sql, "lineitem")
     status = F.col("d").isin("not_applicable", "not_classified")
-    c = claim(F.concat(F.lit("r"), F.col("l_linenumber")), "", F.col("tier").cast("int"), F.when(~status, F.col("d")), F.when(status, F.col("d")))
-    return rows.groupBy("k").agg(F.array_sort(F.collect_list(c)).alias("claims")).select("k", "claims", resolve("claims").alias("r"), entry("claims").alias("e"))
+    return rows.select("k", "tier", F.when(~status, F.col("d")).alias("value"), F.when(status, F.col("d")).alias("status"))
+
+
+def _decisions(spark, sf_dir):
+    return resolve_rows(_claim_rows(spark, sf_dir), ["k"])
 
 
 _R = f"WITH claims AS ({_DECIDED}), {_resolved('res', 'claims', 'k')}"
@@ -204,18 +207,29 @@ _R = f"WITH claims AS ({_DECIDED}), {_resolved('res', 'claims', 'k')}"
 
 @query(f"{_R} SELECT k, value, status, reason, CASE WHEN reason = 'conflict' THEN array_to_string(best, ',') END AS competing FROM res")
 def resolve_claims(spark, sf_dir):
-    return _decisions(spark, sf_dir).select("k", "r.value", "r.status", "r.reason", F.array_join("r.competing", ",").alias("competing"))
+    return _decisions(spark, sf_dir).select("k", "value", "status", "reason", F.array_join("competing", ",").alias("competing"))
 
 
 @query(f"{_R} SELECT array_to_string(best, ',') AS competing, count(*) AS n FROM res WHERE reason = 'conflict' GROUP BY ALL")
 def resolve_conflicts(spark, sf_dir):
-    return _decisions(spark, sf_dir).where("r.reason = 'conflict'").groupBy(F.array_join("r.competing", ",").alias("competing")).agg(F.count("*").alias("n"))
+    return _decisions(spark, sf_dir).where("reason = 'conflict'").groupBy(F.array_join("competing", ",").alias("competing")).agg(F.count("*").alias("n"))
 
 
 @query(f"{_R} SELECT CASE WHEN reason = 'conflict' THEN 'conflict' ELSE 'none' END AS marker, count(*) AS n, sum(n_claims)::BIGINT AS claims FROM res JOIN (SELECT k, count(*) AS n_claims FROM claims GROUP BY k) USING (k) GROUP BY 1")
 def evidence_markers(spark, sf_dir):
-    e = _decisions(spark, sf_dir).select("e.evidence").select(F.coalesce(F.element_at("evidence", -1)["marker"], F.lit("none")).alias("marker"), F.size(F.filter("evidence", lambda c: c["marker"].isNull())).alias("c"))
-    return e.groupBy("marker").agg(F.count("*").alias("n"), F.sum("c").alias("claims"))
+    found = _decisions(spark, sf_dir)
+    marked = found.join(markers(found, ["k"]).select("k", "marker"), "k", "left")
+    return marked.groupBy(F.coalesce("marker", F.lit("none")).alias("marker")).agg(F.count("*").alias("n"), F.sum("n_claims").alias("claims"))
+
+
+# a third of all claims are one file's
+_HOT = _DECIDED.replace("l_orderkey AS k", "CASE WHEN l_orderkey % 3 = 0 THEN -1 ELSE l_orderkey END AS k")
+
+
+@query(f"WITH claims AS ({_HOT}), {_resolved('res', 'claims', 'k')} SELECT k, value, status, reason, CASE WHEN reason = 'conflict' THEN array_to_string(best, ',') END AS competing, n AS n_claims FROM res")
+def resolve_hot_file(spark, sf_dir):
+    found = resolve_rows(_claim_rows(spark, sf_dir, _HOT), ["k"])
+    return found.withColumn("competing", F.array_join("competing", ","))
 
 
 @query(f"WITH {LABELS} SELECT e AS ext, assay_type_v AS assay, count(*) AS n FROM labels WHERE open GROUP BY ALL")
@@ -432,23 +446,35 @@ def consistency_activation(spark, sf_dir):
 
 @query(f"WITH {LONG} SELECT field, count(*) AS total, count(*) FILTER (status <> 'not_classified') AS classified, count(*) FILTER (status = 'not_classified') AS not_classified, round(count(*) FILTER (status <> 'not_classified') * 100.0 / count(*), 1)::DOUBLE AS percent FROM long GROUP BY field")
 def coverage_by_dim(spark, sf_dir):
-    return report.coverage(_classified(spark, sf_dir))
+    return report.coverage(_classified(spark, sf_dir, evidence=False))
 
 
 @query(f"WITH {LONG} SELECT field, coalesce(value, status) AS label, coalesce(p.ext, '') AS ext, count(*) AS n FROM long JOIN parsed p USING (k) GROUP BY ALL")
 def coverage_value_ext(spark, sf_dir):
-    return report.coverage_by_extension(_classified(spark, sf_dir))
+    return report.coverage_by_extension(_classified(spark, sf_dir, evidence=False))
 
 
 @query(f"WITH {LONG} SELECT field, coalesce(value, status) AS label, count(*) AS n FROM long GROUP BY ALL")
 def label_histogram(spark, sf_dir):
-    return report.label_histogram(_classified(spark, sf_dir))
+    return report.label_histogram(_classified(spark, sf_dir, evidence=False))
 
 
 @query(f"""WITH {LONG}, o AS (SELECT l.field, coalesce(p.ext, '') AS ext, CASE WHEN r.reason = 'conflict' THEN 'top-tier rules disagree: ' || array_to_string(best, ', ') ELSE 'no rule claims a value' END AS reason FROM long l JOIN parsed p USING (k) LEFT JOIN res r ON r.k = l.k AND r.field = l.field WHERE l.status = 'not_classified'),
 c AS (SELECT field, ext, regexp_replace(reason, '\\d+', 'N', 'g') AS reason, count(*) AS n FROM o GROUP BY ALL), w AS (SELECT *, row_number() OVER (PARTITION BY field, ext ORDER BY n DESC, reason) AS i FROM c) SELECT field, ext, reason, n FROM w WHERE i = 1""")
 def not_classified_reasons(spark, sf_dir):
-    return report.commonest_reasons(_classified(spark, sf_dir))
+    return report.commonest_reasons(_classified(spark, sf_dir, evidence=False))
+
+
+_WHYS = """o AS (SELECT l.field, coalesce(p.ext, '') AS ext, regexp_replace(CASE WHEN r.reason = 'conflict' THEN 'top-tier rules disagree: ' || array_to_string(best, ', ') ELSE 'no rule claims a value' END, '\\d+', 'N', 'g') AS reason FROM long l JOIN parsed p USING (k) LEFT JOIN res r ON r.k = l.k AND r.field = l.field WHERE l.status = 'not_classified')"""
+
+
+@query(f"""WITH {LONG}, {_WHYS}
+SELECT 'coverage' AS report, field, CASE WHEN status = 'not_classified' THEN status ELSE 'classified' END AS label, NULL AS ext, NULL AS reason, count(*) AS n FROM long GROUP BY ALL
+UNION ALL SELECT 'label', field, coalesce(value, status), NULL, NULL, count(*) FROM long GROUP BY ALL
+UNION ALL SELECT 'label_ext', field, coalesce(value, status) AS label, coalesce(p.ext, '') AS e, NULL, count(*) FROM long JOIN parsed p USING (k) GROUP BY ALL
+UNION ALL SELECT 'reason', field, NULL, ext, reason, count(*) FROM o GROUP BY ALL""")
+def report_counts(spark, sf_dir):
+    return report.all_counts(_classified(spark, sf_dir, evidence=False))
 
 
 def _truth(spark, sf_dir, column, table=None):

@@ -19,31 +19,41 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.functions.names import FORMATS
+from quern.functions.names import CATEGORIES, FORMATS, WRAPPERS
+from quern.operators.classify import STORE_FILES, VARIANT_ARRAYS
 
 #: Bytes of unpacked head that are looked at, by kind of file; members and lines that are kept.
-CAPS = {"bam": 64 << 20, "vcf": 8 << 20, "fastq": 1 << 20, "fasta": 4 << 20, "gfa": 4 << 20, "bed": 16 << 20, "tar": 100 << 20}
+CAPS = {"bam": 64 << 20, "vcf": 8 << 20, "fastq": 1 << 20, "fasta": 4 << 20, "gfa": 4 << 20, "bed": 16 << 20, "tar": 1600 << 20}
 MEMBERS, VARIANTS, READS = 200, 100, 10
-#: Bytes after which an archive's members so far are looked at: if they tell what it holds, no more is read.
+#: Bytes of the file after which an archive's members so far are looked at (if they tell what it holds, no more is read), and at most.
+ARCHIVE = 100 << 20
 STAGES = (256 << 10, 1 << 20, 10 << 20)
 STEP = 128 << 10
 
 
 class Head:
-    """A stream's first cap bytes, unpacked if they are gzip (of several members, too), read a step at a time."""
+    """A stream's first cap bytes, unpacked if they are gzip (of several members, too), read a step at a time.
 
-    def __init__(self, stream, cap: int):
-        self.stream, self.cap, self.taken, self.whole = stream, cap, 0, False
+    taken: bytes unpacked so far; served: bytes of the file read so far, of which there are most at most.
+    """
+
+    def __init__(self, stream, cap: int, most: int | None = None):
+        self.stream, self.cap, self.most, self.taken, self.served, self.whole = stream, cap, most, 0, 0, False
         self.held, self.parts = b"", self._parts()
 
+    def _step(self) -> bytes:
+        raw = self.stream.read(STEP) if self.most is None or self.served < self.most else b""
+        self.served += len(raw)
+        return raw
+
     def _parts(self) -> Iterator[bytes]:
-        raw = self.stream.read(STEP)
+        raw = self._step()
         if raw[:2] != b"\x1f\x8b":
             while raw and self.taken < self.cap:
                 out = raw[: self.cap - self.taken]
                 self.taken += len(out)
                 yield out
-                raw = raw[len(out) :] or self.stream.read(STEP)
+                raw = raw[len(out) :] or self._step()
             self.whole = not raw
             return
         while raw[:2] == b"\x1f\x8b":
@@ -55,11 +65,11 @@ class Head:
                     yield out
                 if self.taken >= self.cap:
                     return
-                raw = unpack.unconsumed_tail or (b"" if unpack.eof else self.stream.read(STEP))
+                raw = unpack.unconsumed_tail or (b"" if unpack.eof else self._step())
             if not unpack.eof:
                 return
             raw = unpack.unused_data
-            raw = raw if len(raw) > 1 else raw + self.stream.read(STEP)
+            raw = raw if len(raw) > 1 else raw + self._step()
         self.whole = not raw
 
     def read(self, n: int) -> bytes:
@@ -154,32 +164,41 @@ def gfa(stream) -> list[str]:
 
 
 def bed(stream) -> list[str]:
-    """chromosome and end of every data line, joined by a tab."""
-    out = []
+    """chromosome, largest end and number of data lines of every chromosome, joined by tabs."""
+    found: dict[str, list[int]] = {}
     for x in lines(stream, CAPS["bed"]):
         parts = x.split("\t") if "\t" in x else x.split()
-        if x.strip() and not x.startswith(("#", "track", "browser")) and len(parts) >= 3 and parts[2].isdigit():
-            out.append(parts[0] + "\t" + parts[2])
-    return out
+        if x.strip() and not x.startswith(("#", "track", "browser")) and len(parts) >= 3 and parts[2].isdecimal():
+            own = found.setdefault(parts[0], [0, 0])
+            own[0], own[1] = max(own[0], int(parts[2])), own[1] + 1
+    return [f"{c}\t{most}\t{n}" for c, (most, n) in found.items()]
+
+
+_KNOWN = re.compile("(?:" + "|".join(re.escape(e) for e in {*FORMATS, *CATEGORIES}) + r")(?:\.(?:" + "|".join(WRAPPERS) + r"))*\Z")
 
 
 def telling(names: list[str]) -> bool:
-    """Whether members' names say what an archive holds: one is of a known format or of an array store."""
-    return any(n.lower().removesuffix(".gz").endswith((*FORMATS, ".tdb")) for n in names)
+    """Whether members' names say what an archive holds: a part of a path is of a variant store, or a name has a known extension.
+
+    What counts is what classify.is_variant_store() and names.extension_of() count.
+    """
+    parts = (p for n in names for p in n.strip("/").split("/"))
+    store = any(p in STORE_FILES or (p.endswith(".tdb") and p[:-4].removesuffix("_var").lower() in VARIANT_ARRAYS) for p in parts)
+    return store or any(_KNOWN.search(n.rsplit("/", 1)[-1].lower()) for n in names)
 
 
 def tar(stream) -> list[str]:
-    head, out, stages = Head(stream, CAPS["tar"]), [], [*STAGES]
+    head, out, stages = Head(stream, CAPS["tar"], ARCHIVE), [], [*STAGES]
     try:
-        with tarfile.open(fileobj=head, mode="r|") as t:
+        with tarfile.open(fileobj=head, mode="r|", bufsize=10240) as t:
             for m in t:
                 out.append(m.name)
-                late = bool(stages) and head.taken > stages[0]
-                while stages and head.taken > stages[0]:
+                late = bool(stages) and head.served >= stages[0]
+                while stages and head.served >= stages[0]:
                     stages.pop(0)
                 if len(out) == MEMBERS or (late and telling(out)):
                     break
-    except tarfile.TarError:
+    except (tarfile.TarError, zlib.error):
         pass  # a cut or foreign head: what was read counts
     return out
 
@@ -216,7 +235,11 @@ def read_heads(spark: SparkSession, path: str, kind: str, opener: Callable = ope
 
 
 def bed_signals(heads: DataFrame) -> DataFrame:
-    """path and bed (chromosomes, has_chr_prefix, max_coordinates, line_count) of read_heads(..., 'bed')'s rows."""
-    each = heads.select("path", F.explode("lines").alias("x")).select("path", F.split("x", "\t")[0].alias("c"), F.split("x", "\t")[1].cast("long").alias("e"))
-    per = each.groupBy("path", "c").agg(F.max("e").alias("e"), F.count("*").alias("n"))
-    return per.groupBy("path").agg(F.struct(F.array_sort(F.collect_set("c")).alias("chromosomes"), F.bool_or(F.lower("c").startswith("chr")).alias("has_chr_prefix"), F.map_from_entries(F.collect_list(F.struct("c", "e"))).alias("max_coordinates"), F.sum("n").cast("int").alias("line_count")).alias("bed"))
+    """path and bed (chromosomes, has_chr_prefix, max_coordinates, line_count) of read_heads(..., 'bed')'s readable rows."""
+    each = F.transform("lines", lambda x: F.split(x, "\t"))
+    name, most, n = F.transform("x", lambda x: x[0]), F.transform("x", lambda x: x[1]), F.transform("x", lambda x: x[2])
+    signals = F.struct(
+        F.array_sort(name).alias("chromosomes"), F.exists(name, lambda c: F.lower(c).startswith("chr")).alias("has_chr_prefix"),
+        F.map_from_arrays(name, most.cast("array<bigint>")).alias("max_coordinates"), F.aggregate(n.cast("array<int>"), F.lit(0), lambda a, b: a + b).alias("line_count"),
+    )
+    return heads.where("lines is not null").select("path", each.alias("x")).select("path", signals.alias("bed"))

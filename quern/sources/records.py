@@ -11,6 +11,8 @@ from pyspark.sql import types as T
 
 from quern.functions.names import extension_of
 
+from .envelopes import read_envelopes
+
 RECORD = T.StructType([
     T.StructField("entry_id", T.StringType()), T.StructField("file_id", T.StringType()), T.StructField("file_name", T.StringType()), T.StructField("file_format", T.StringType()),
     T.StructField("file_size", T.LongType()), T.StructField("file_md5sum", T.StringType()), T.StructField("drs_uri", T.StringType()), T.StructField("dataset_id", T.StringType()),
@@ -26,15 +28,9 @@ def read_json_lines(spark: SparkSession, path: str) -> DataFrame:
 def read_envelope(spark: SparkSession, path: str, lenient: bool = False) -> DataFrame:
     """record: the elements of a JSON object's `results`, else `files`, list. A bare list only where lenient; otherwise an error.
 
-    A whole file is one text, as such a document can't be split; large catalogs come as JSON lines.
+    Files of any size are cut in parallel, see envelopes.
     """
-    v = F.try_parse_json("value")
-    whole = spark.read.text(path, wholetext=True)
-    kind = F.schema_of_variant(v)
-    found = F.coalesce(F.try_variant_get(v, "$.results", "variant"), F.try_variant_get(v, "$.files", "variant"))
-    bad = F.raise_error(F.lit("no list of records under results or files"))
-    listed = F.when(kind.startswith("ARRAY"), v if lenient else bad.cast("variant")).otherwise(F.when(F.schema_of_variant(found).startswith("ARRAY"), found).otherwise(bad.cast("variant")))
-    return whole.select(F.explode(F.from_json(F.to_json(listed), "array<string>")).alias("record"))
+    return read_envelopes(spark, path, lenient)
 
 
 def typed(records: DataFrame, json_col: str = "record") -> DataFrame:
@@ -59,18 +55,6 @@ def search_after(url):
     return F.try_url_decode(F.parse_url(url, F.lit("QUERY"), F.lit("search_after")))
 
 
-def from_url_catalog(rows: DataFrame, url_col: str, dataset_id: str, dataset_title: str) -> DataFrame:
-    """Rows of a catalog that names files by url as records: the key is the md5 of the url, sizes that aren't whole are null."""
-    url = F.regexp_replace(F.col(url_col), "^s3://([^/]+)/", "https://$1.s3.amazonaws.com/")
-    name = F.element_at(F.split(F.col(url_col), "/"), -1)
-    size = F.when(F.col("fileSize").cast("string").rlike(r"^\d+$"), F.col("fileSize").cast("string").cast("long")) if "fileSize" in rows.columns else F.lit(None).cast("long")
-    return rows.select(
-        F.md5(F.col(url_col)).alias("entry_id"), F.md5(F.col(url_col)).alias("file_id"), F.coalesce(name, F.lit("")).alias("file_name"), F.coalesce(extension_of(name), F.lit("")).alias("file_format"), size.alias("file_size"),
-        F.md5(F.col(url_col)).alias("file_md5sum"), F.concat(F.lit("drs://"), F.col(url_col)).alias("drs_uri"), F.lit(dataset_id).alias("dataset_id"), F.lit(dataset_title).alias("dataset_title"),
-        F.lit(False).alias("is_supplementary"), F.lit(None).cast("string").alias("data_modality"), F.lit(None).cast("string").alias("reference_assembly"), url.alias("url"),
-    )
-
-
 # The column that holds a file's place in each of the four external catalogs.
 PLACES = {"sequencing": "path", "assemblies": "awsFasta", "alignments": "loc", "annotations": "fileLocation"}
 _CATALOG = "filename string, fileSize string, path string, awsFasta string, loc string, fileLocation string, platform string, librarySource string, libraryStrategy string, instrumentModel string, sampleId string, referenceCoordinates string, annotationType string"

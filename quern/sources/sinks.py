@@ -9,10 +9,13 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.operators.report import label
+from quern.operators.report import label, observed_tally, tally_of
+from quern.plans.compile import CLAIM
 from quern.plans.rules import FIELDS
 
 OUTPUT = ("file_name", "md5sum", "file_size", "file_format", "dataset_title", "classifications", "entry_id")
+#: What a stored output holds, of any kind.
+STORED = "file_name string, md5sum string, file_size long, file_format string, dataset_title string, classifications struct<" + ", ".join(f"{f}: struct<value: string, status: string, evidence: array<{CLAIM}>>" for f in FIELDS) + ">, entry_id string, is_paired_end boolean, instrument_model string, instrument_hint string, archive_accession string, archive_source string"
 
 
 def output_records(classified: DataFrame) -> DataFrame:
@@ -26,6 +29,26 @@ def write_run(classified: DataFrame, tally: DataFrame, path: str) -> None:
     tally.coalesce(1).write.json(f"{path}/metadata")
 
 
+def write_observed(classified: DataFrame, path: str) -> DataFrame:
+    """write_run() with the tally taken by the write itself: one job over the files, none to count them. Returns the tally.
+
+    classified needs outcome, from_cache and content_unreadable beside what output_records() takes.
+    """
+    rows, seen = observed_tally(classified)
+    output_records(rows).write.json(f"{path}/classifications")
+    tally = tally_of(classified.sparkSession, seen)
+    tally.coalesce(1).write.json(f"{path}/metadata")
+    return tally
+
+
+def stored_outputs(spark: SparkSession, root: str) -> DataFrame:
+    """The records of all outputs that write_run() left below root (a folder for each kind), with the folder's name as `kind`.
+
+    Folders without output, and columns that only some kinds have, don't matter: what a kind lacks is null.
+    """
+    return spark.read.schema(STORED).json(f"{root}/*/classifications").withColumn("kind", F.regexp_extract(F.col("_metadata.file_path"), "/([^/]+)/classifications/", 1))
+
+
 def write_tsv(classified: DataFrame, path: str) -> None:
     """One line a file: name, md5 and the five labels."""
     classified.select("file_name", "file_md5sum", *[label(f).alias(f) for f in FIELDS]).write.csv(path, sep="\t", header=True)
