@@ -13,7 +13,7 @@ from quern.functions import headers as H
 from quern.functions import names as N
 from quern.functions import reference as R
 from quern.operators import classify as C
-from quern.operators import contract, external, lint, propagate, report
+from quern.operators import assemblies, contract, external, lint, propagate, report
 from quern.operators.claims import markers, resolve_rows
 from quern.plans.compile import rule_ids, with_matches
 from quern.plans.rules import FIELDS, RULES
@@ -226,7 +226,7 @@ def evidence_markers(spark, sf_dir):
 _HOT = _DECIDED.replace("l_orderkey AS k", "CASE WHEN l_orderkey % 3 = 0 THEN -1 ELSE l_orderkey END AS k")
 
 
-@query(f"WITH claims AS ({_HOT}), {_resolved('res', 'claims', 'k')} SELECT k, value, status, reason, CASE WHEN reason = 'conflict' THEN array_to_string(best, ',') END AS competing, n AS n_claims FROM res")
+@query(f"WITH claims AS ({_HOT}), {_resolved('res', 'claims', 'k')} SELECT k, value, status, reason, CASE WHEN reason = 'conflict' THEN array_to_string(best, ',') END AS competing, n_claims FROM res JOIN (SELECT k, count(*) AS n_claims FROM claims GROUP BY k) USING (k)")
 def resolve_hot_file(spark, sf_dir):
     found = resolve_rows(_claim_rows(spark, sf_dir, _HOT), ["k"])
     return found.withColumn("competing", F.array_join("competing", ","))
@@ -317,6 +317,48 @@ def bed_elimination(spark, sf_dir):
     return files.select("k", R.by_bed(F.col("chroms"), F.col("prefix"), F.col("m")).alias("r")).select("k", "r.assembly", "r.nonstandard")
 
 
+# reference tables of one assembly a part or supplier; a third of the contigs have one and the same length
+_ASKED = "SELECT l_orderkey AS k, l_linenumber AS line, concat('chr', l_linenumber) AS contig, CASE WHEN l_orderkey % 3 = 0 THEN 1000000 ELSE 100000 + (l_partkey * 7919 + l_linenumber * 104729 + l_suppkey * 611) % 5000000 END AS length FROM lineitem"
+_PART_LENGTH = "100000 + (p_partkey * 7919 + c * 104729) % 5000000"
+
+
+def _references(spark, sf_dir, table, key, length):
+    each = spark.read.parquet(f"{sf_dir}/{table}.parquet").select(key, F.explode(F.sequence(F.lit(1), F.lit(7))).alias("c"))
+    return each.selectExpr(f"concat('asm', {key}) AS assembly", "concat('', c) AS contig", f"{length} AS length", f"{key} AS rank")
+
+
+_NEAREST = f"""asked AS ({_ASKED}), refs AS (SELECT concat('asm', p_partkey) AS assembly, c, {_PART_LENGTH} AS length, p_partkey AS rank FROM part, range(1, 8) r(c)),
+pairs AS (SELECT DISTINCT line, length FROM asked),
+best AS (SELECT line, p.length, arg_min(assembly, abs(r.length - p.length) * 100000000 + rank) AS assembly FROM pairs p JOIN refs r ON r.c = p.line AND abs(r.length - p.length) <= 1000 GROUP BY ALL)"""
+
+
+@query(f"WITH {_NEAREST} SELECT k, line, assembly FROM asked LEFT JOIN best USING (line, length)")
+def nearest_reference(spark, sf_dir):
+    asked = S.over(spark, sf_dir, _ASKED, "lineitem")
+    return assemblies.nearest(asked, _references(spark, sf_dir, "part", "p_partkey", _PART_LENGTH)).select("k", "line", "assembly")
+
+
+@query(f"""WITH {_NEAREST}, n AS (SELECT k, assembly, count(*) AS n FROM asked JOIN best USING (line, length) GROUP BY ALL), t AS (SELECT *, max(n) OVER (PARTITION BY k) AS m FROM n),
+clear AS (SELECT k, min(assembly) AS assembly, min(n) AS matches FROM t WHERE n = m GROUP BY k HAVING count(*) = 1)
+SELECT k, assembly, coalesce(matches, 0) AS matches FROM (SELECT DISTINCT k FROM asked) LEFT JOIN clear USING (k)""")
+def nearest_reference_vote(spark, sf_dir):
+    asked = S.over(spark, sf_dir, _ASKED, "lineitem")
+    return assemblies.vote(assemblies.nearest(asked, _references(spark, sf_dir, "part", "p_partkey", _PART_LENGTH)), "k")
+
+
+_SUPPLIER_LENGTH = "1000000 + (s_suppkey * 7919 + c * 104729) % 1000000"
+_REACHED = "SELECT l_orderkey AS k, concat('chr', l_linenumber) AS contig, 1000000 + (l_partkey * 3571 + l_linenumber * 17) % 1000700 AS position FROM lineitem"
+
+
+@query(f"""WITH p AS ({_REACHED}), refs AS (SELECT concat('asm', s_suppkey) AS assembly, concat('chr', c) AS contig, {_SUPPLIER_LENGTH} AS length FROM supplier, range(1, 8) r(c)),
+gone AS (SELECT DISTINCT k, assembly FROM p JOIN refs USING (contig) WHERE position > length + 500),
+n AS (SELECT k, count(*) AS n FROM gone GROUP BY k), e AS (SELECT k, count(*) AS e FROM (SELECT k, contig, max(position) AS m FROM p GROUP BY ALL) JOIN (SELECT contig, min(length) AS s FROM refs GROUP BY contig) USING (contig) WHERE m > s + 500 GROUP BY k),
+one AS (SELECT n.k, a.assembly FROM n, (SELECT DISTINCT assembly FROM refs) a WHERE n.n = (SELECT count(*) FROM supplier) - 1 AND NOT EXISTS (FROM gone g WHERE g.k = n.k AND g.assembly = a.assembly))
+SELECT x.k, (SELECT count(*) FROM supplier) - coalesce(n, 0) AS n_left, one.assembly, coalesce(e, 0) AS evidence FROM (SELECT DISTINCT k FROM p) x LEFT JOIN n USING (k) LEFT JOIN e USING (k) LEFT JOIN one USING (k)""")
+def reference_rule_out(spark, sf_dir):
+    return assemblies.rule_out(S.over(spark, sf_dir, _REACHED, "lineitem"), _references(spark, sf_dir, "supplier", "s_suppkey", _SUPPLIER_LENGTH))
+
+
 _READS = f"WITH r AS ({S.read_names('duckdb')}), f AS (SELECT k, string_split(reads, chr(10))[1] AS x FROM r), n AS (SELECT *, regexp_replace(CASE WHEN regexp_matches(x, '^@?(ERR|ERS|SRR|SRS|DRR|DRS)\\d+') THEN regexp_extract(x, '^@?[EDS]R[RS]\\d+(\\.\\d+)?\\s*(.*)$', 2) ELSE x END, '^@+', '') AS y FROM f)"
 
 
