@@ -116,9 +116,13 @@ def merge_bytes(piece: bytes, ranks: dict[bytes, int], longest: int) -> list[int
 
 
 class ByteBpe:
-    """A rank file (base64 token, rank) and the pattern that cuts texts into pre-tokens."""
+    """A rank file (base64 token, rank) and the pattern that cuts texts into pre-tokens.
+
+    Texts are cut into pieces before the pattern sees them only if it is one of SAFE, which always begin a new match there.
+    """
 
     def __init__(self, raw: bytes, pattern: str):
+        self.whole = pattern not in SAFE
         self.ranks = {base64.b64decode(t): int(r) for t, r in map(bytes.split, raw.splitlines()) if t}
         self.pattern = regex.compile(pattern)
         self.longest = max(map(len, self.ranks))
@@ -159,7 +163,7 @@ class ByteBpe:
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, one text after another, and each text's bounds in them."""
-        words = Words(texts)
+        words = Words(texts, whole=self.whole)
         starts, lengths = self.cache.look_up(words)
         n = lengths[words.which]
         total = np.concatenate([[0], np.cumsum(n)])[words.offsets]
@@ -174,6 +178,10 @@ class ByteBpe:
         return self.bytes[spans(self.byte_start[ids], n)], total
 
 
+# Patterns of byte-level tokenizers, as published, that never match across shared.Words' cuts.
+SAFE = {r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"}
+
+
 @functools.lru_cache(2)
 def _loaded(raw: bytes, pattern: str) -> ByteBpe:
     return ByteBpe(raw, pattern)
@@ -218,8 +226,8 @@ def _binary(data: np.ndarray, bounds: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(bounds) - 1, [None, pa.py_buffer(bounds.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(data))])
 
 
-def round_trip(docs: DataFrame, ranks: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256: digests of every text's ids and of the bytes that they decode to.
+def round_trip(docs: DataFrame, ranks: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256, decoded_sha256: digests of every text's ids and of the bytes that they decode to; columns to keep.
 
     Both ways in one pass over a batch, so that ids and bytes don't travel between worker processes.
     """
@@ -233,10 +241,12 @@ def round_trip(docs: DataFrame, ranks: str, pattern: str, id_col: str = "doc_id"
             wide = ids.astype("<u4")
             one = [hashlib.sha256(wide[i:j]).hexdigest() for i, j in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
             two = [hashlib.sha256(out[i:j]).hexdigest() for i, j in zip(ends[:-1].tolist(), ends[1:].tolist())]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.diff(bounds)), pa.array(one, pa.string()), pa.array(two, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.diff(bounds)), pa.array(one, pa.string()), pa.array(two, pa.string()), *b.columns[2:]], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", *keep])
         bpe.cache.clear()  # the worker's next task may be of another stage
 
-    return docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    rows = docs.select(F.col(id_col).cast("long"), F.col(text_col), *keep)
+    kept = "".join(f", `{c}` {t}" for c, t in rows.select(*keep).dtypes)
+    return rows.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + kept)
 
 
 def op8_byte_bpe(spark, sf_dir: str) -> DataFrame:

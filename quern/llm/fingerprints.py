@@ -21,7 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import bucket_of, partitions, range_bounds, text_batches, written
+from .shared import bucket_of, partitions, range_bounds, repeatable, text_batches, written
 from .shingles import shingle_hashes
 
 K = 128
@@ -105,11 +105,11 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", p
     after a bucket's last document a copy of the one that comes next (after the last of all: the first).
 
     Texts are shuffled once. Only a bucket's first id goes through the driver, at most 16,384 of them. Rows are told apart by
-    their place in the input, which must be the same at each reading: the rows of a shuffle are written to a table first.
+    their place in the input, which must be the same at each reading: what isn't repeatable() is written to a table first.
     """
     spark = docs.sparkSession
     docs = docs.select(id_col, text_col)
-    if "Exchange" in docs._jdf.queryExecution().executedPlan().toString():
+    if not repeatable(docs):
         docs = written(docs, "fingerprint-texts")
     ids = docs.select(F.col(id_col).cast("long").alias("doc_id"))
     n = ids.count()

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .shared import level, spans, text_batches, written
+from .shared import level, partitions, spans, text_batches, written
 
 UND = "und"
 #: At most so many labelled texts a language are learned from; at most so many for a child of a node.
@@ -179,7 +179,7 @@ def tree(languages: list[str], fanout: int = FANOUT) -> tuple[list[list[str | in
 
 
 def _trained(table: pa.Table) -> pa.Table:
-    """A node's machines, from its samples: node, child, draw, slots, values."""
+    """The machine between two children of a node, from their samples: node, a, b, child, draw, lang, slots, values."""
     table = table.sort_by([("child", "ascending"), ("draw", "ascending"), ("lang", "ascending")])
     child = table.column("child").to_numpy()
     slots, values = table.column("slots").to_pylist(), table.column("values").to_pylist()
@@ -191,10 +191,9 @@ def _trained(table: pa.Table) -> pa.Table:
             row[np.frombuffer(slots[i], np.uint16)] = np.frombuffer(values[i], np.float32)
         return x
 
-    kinds = np.unique(child).tolist()
-    made = [(a, b, *_machine(dense(a), dense(b))) for a, b in combinations(kinds, 2)]
-    node = table.column("node")[0].as_py()
-    return pa.table({"node": pa.array([node] * len(made), pa.int32()), "a": pa.array([m[0] for m in made], pa.int32()), "b": pa.array([m[1] for m in made], pa.int32()), "weights": pa.array([m[2].tobytes() for m in made], pa.binary()), "offset": pa.array([m[3] for m in made], pa.float64())})
+    node, a, b = (table.column(c)[0].as_py() for c in ("node", "a", "b"))
+    weights, offset = _machine(dense(a), dense(b))
+    return pa.table({"node": pa.array([node], pa.int32()), "a": pa.array([a], pa.int32()), "b": pa.array([b], pa.int32()), "weights": pa.array([weights.tobytes()], pa.binary()), "offset": pa.array([offset])})
 
 
 def _featured(batches):
@@ -225,7 +224,10 @@ def train(docs: DataFrame, learn_from: Column, text_col: str = "text", lang_col:
     sample = written(sample.mapInArrow(_featured, "lang string, draw long, slots binary, values binary"), "language-sample")
     rank = F.row_number().over(Window.partitionBy("node", "child").orderBy("draw", "lang"))
     dealt = sample.join(steps, "lang").withColumn("k", rank).where(F.col("k") <= PER_CHILD).drop("k")
-    made = {(r.node, r.a, r.b): r for r in dealt.groupBy("node").applyInArrow(_trained, "node int, a int, b int, weights binary, offset double").collect()}
+    # every machine is a group of its own: a sample goes to the duels of its child, 11 at most
+    pairs = spark.createDataFrame([(k, a, b, c) for k, children in enumerate(nodes) for a, b in combinations(range(len(children)), 2) for c in (a, b)], "node int, a int, b int, child int")
+    dealt = dealt.join(pairs, ["node", "child"]).repartition(partitions(spark), "node", "a", "b")
+    made = {(r.node, r.a, r.b): r for r in dealt.groupBy("node", "a", "b").applyInArrow(_trained, "node int, a int, b int, weights binary, offset double").collect()}
     out = []
     for k, children in enumerate(nodes):
         own = [made[k, a, b] for a, b in combinations(range(len(children)), 2)]

@@ -8,7 +8,7 @@ that are still too large. The directory grows with the input, so it is joined by
 
 Defined results. A document larger than the limit is alone in its shard, which then is over the limit (nothing is cut).
 Null text: 0 bytes. Null ids: as the empty id. Repeated ids: their rows get keys of their own, so that they can be split.
-Empty table: empty result. Other columns are ignored by plan_shards and kept by write_shards.
+Empty table: empty result. Other columns are ignored by plan_shards and kept by write_shards, whatever their names.
 """
 
 from __future__ import annotations
@@ -27,13 +27,13 @@ SHARD_BYTES = 8 << 20
 BITS = 60
 
 
-def plan_shards(docs: DataFrame, limit: int = SHARD_BYTES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_bytes, shard (its prefix of bits), depth, shard_docs, shard_bytes of every document."""
-    slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.octet_length(F.col(text_col)), F.lit(0)).cast("long").alias("n_bytes"))
-    rows = written(with_key(slim, "doc_id").select("doc_id", "n_bytes", F.lpad(F.conv("key", 16, 2), BITS, "0").alias("bits")), "shard-keys")
+def plan_shards(docs: DataFrame, limit: int = SHARD_BYTES, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, n_bytes, shard (its prefix of bits), depth, shard_docs, shard_bytes of every document, and columns to keep."""
+    slim = docs.select(*keep, F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.octet_length(F.col(text_col)), F.lit(0)).cast("long").alias("n_bytes"))
+    rows = written(with_key(slim, "doc_id").select(*keep, "doc_id", "n_bytes", F.lpad(F.conv("key", 16, 2), BITS, "0").alias("bits")), "shard-keys")
     total = rows.agg(F.sum("n_bytes")).first()[0]
     if total is None:
-        return rows.select("doc_id", "n_bytes", F.lit("").alias("shard"), F.lit(0).alias("depth"), F.lit(0).cast("long").alias("shard_docs"), F.lit(0).cast("long").alias("shard_bytes"))
+        return rows.select(*keep, "doc_id", "n_bytes", F.lit("").alias("shard"), F.lit(0).alias("depth"), F.lit(0).cast("long").alias("shard_docs"), F.lit(0).cast("long").alias("shard_bytes"))
     depth, low, levels, left = min(BITS, max(0, math.ceil(math.log2(max(1, total / limit)))) + 4), 0, [], rows
     while True:
         prefix = F.substring("bits", 1, depth) if depth else F.lit("")
@@ -52,14 +52,24 @@ def plan_shards(docs: DataFrame, limit: int = SHARD_BYTES, id_col: str = "doc_id
     for i, (d, known) in enumerate(levels):
         out = out.withColumn("leaf", F.substring("bits", 1, d) if d else F.lit("")).join(known.withColumnRenamed("s", f"s{i}").hint("merge"), "leaf", "left").drop("leaf")
     s = reduce(lambda a, b: F.coalesce(a, b), [F.col(f"s{i}") for i in range(len(levels))])
-    return out.select("doc_id", "n_bytes", s.alias("s")).select("doc_id", "n_bytes", "s.shard", "s.depth", "s.shard_docs", "s.shard_bytes")
+    return out.select(*keep, "doc_id", "n_bytes", s.alias("s")).select(*keep, "doc_id", "n_bytes", "s.shard", "s.depth", "s.shard_docs", "s.shard_bytes")
 
 
-def write_shards(docs: DataFrame, path: str, limit: int = SHARD_BYTES, id_col: str = "doc_id", text_col: str = "text") -> None:
-    """Writes docs as one folder `shard=<bits>` for each shard. ids must be distinct: they link rows to the plan."""
-    plan = plan_shards(docs, limit, id_col, text_col).select(F.col("doc_id").alias("__id"), F.concat(F.lit("s"), "shard").alias("shard"))
-    dealt = docs.join(plan, docs[id_col].cast("long").eqNullSafe(F.col("__id"))).drop("__id")
-    dealt.repartition(partitions(docs.sparkSession), "shard").write.partitionBy("shard").parquet(path)
+def write_shards(docs: DataFrame, path: str, limit: int = SHARD_BYTES, id_col: str = "doc_id", text_col: str = "text") -> str:
+    """Writes every row of docs once, with all its columns, as one folder `<name>=s<bits>` for each shard; returns the name.
+
+    The name is `shard`, with as many `_` behind it as it takes to differ from docs' columns. Rows get numbers in a table that is written
+    first, and are joined with the plan by them, so ids can repeat and be null.
+    """
+    rows = written(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")).withColumn("place", F.monotonically_increasing_id()), "shard-rows")
+    slim = rows.select("place", F.col(f"row.`{id_col}`").alias("doc_id"), F.col(f"row.`{text_col}`").alias("text"))
+    plan = plan_shards(slim, limit, keep=("place",)).select("place", F.concat(F.lit("s"), "shard").alias("shard"))
+    name, taken = "shard", {c.lower() for c in docs.columns}
+    while name in taken:
+        name += "_"
+    dealt = rows.join(plan, "place").select("row", "shard").repartition(partitions(docs.sparkSession), "shard")
+    dealt.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns], F.col("shard").alias(name)).write.partitionBy(name).parquet(path)
+    return name
 
 
 def op6_sharding(spark, sf_dir: str) -> DataFrame:

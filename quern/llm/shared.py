@@ -56,6 +56,25 @@ def remove(spark: SparkSession, path: str) -> None:
     fs.delete(at, True)
 
 
+#: What keeps rows in their places from one reading to the next: scans of files and of local rows, columns and conditions.
+_IN_PLACE = {"LogicalRelation", "LocalRelation", "Range", "Project", "Filter", "SubqueryAlias", "View"}
+
+
+def repeatable(df: DataFrame) -> bool:
+    """Whether df gives the same rows at the same places whenever it is read: only scans, columns and conditions, all deterministic.
+
+    Whatever else stands in the plan (joins, shuffles, limits, samples, Python functions, random numbers) counts as not.
+    """
+    plan = df._jdf.queryExecution().analyzed()
+
+    def fine(node) -> bool:
+        below = node.children()
+        kind = node.getClass().getSimpleName()
+        return kind in _IN_PLACE and all(fine(below.apply(i)) for i in range(below.size()))
+
+    return plan.deterministic() and fine(plan)
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -100,9 +119,9 @@ def bucket_of(key: Column, bounds: list, tie: Column) -> Column:
     return F.when(key.isNull(), 0).otherwise(F.when(upto - below <= 1, upto).otherwise(below + 1 + F.pmod(tie, upto - below)).cast("int"))
 
 
-def in_order(df: DataFrame, bucket: str, buckets: int) -> DataFrame:
-    """df in partitions that follow the order of a bucket column (0 .. buckets - 1), each of whole buckets."""
-    parts = min(buckets, partitions(df.sparkSession))
+def in_order(df: DataFrame, bucket: str, buckets: int, most: int = 4) -> DataFrame:
+    """df in partitions that follow the order of a bucket column (0 .. buckets - 1), each of whole buckets, at most so many of them."""
+    parts = min(buckets, max(partitions(df.sparkSession), -(-buckets // most)))
     return df.repartitionById(parts, F.expr(f"cast({bucket} * {parts}L div {buckets} as int)"))
 
 
@@ -208,9 +227,11 @@ class Words:
     in which. Null texts count as empty.
     """
 
-    def __init__(self, texts: pa.Array, tails: str = TAILS):
-        parts = pc.split_pattern(pc.fill_null(level(texts).cast(pa.large_string()), ""), " ")
-        off = parts.offsets.to_numpy().astype(np.int64)
+    def __init__(self, texts: pa.Array, tails: str = TAILS, whole: bool = False):
+        """whole: texts aren't cut, for patterns that may match across the places named above."""
+        texts = pc.fill_null(level(texts).cast(pa.large_string()), "")
+        parts = pa.LargeListArray.from_arrays(pa.array(range(len(texts) + 1), pa.int64()), texts) if whole else pc.split_pattern(texts, " ")
+        off, tails = parts.offsets.to_numpy().astype(np.int64), "" if whole else tails
         codes = parts.flatten().dictionary_encode()
         words, at = codes.dictionary, codes.indices.to_numpy(zero_copy_only=False).astype(np.int64)
         spaced = np.ones(len(at), dtype=bool)

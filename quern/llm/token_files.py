@@ -341,7 +341,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end: int = 0, **how
 def read_tokens(spark, path: str, with_ids: bool = True) -> DataFrame:
     """doc_id, start (ids of all documents before it), n_tokens, ids_crc32 and, if asked for, ids of every document."""
     shards = spark.read.schema(SHARD).parquet(path)
-    # the ids before each shard: buckets (4096 at most) are summed up in one small window, shards within their bucket
+    # the ids before each shard: buckets (MOST_BUCKETS at most) are summed up in one small window, shards within their bucket
     sizes = shards.select("bucket", "seq", "n_ids")
     per = sizes.groupBy("bucket").agg(F.sum("n_ids").alias("n"))
     per = per.select("bucket", (F.sum("n").over(Window.orderBy("bucket")) - F.col("n")).alias("low"))

@@ -143,3 +143,13 @@ def test_repeated_ids_are_documents_of_their_own(spark):
     token_files.write_tokens(rows, path, P.path("byte_bpe_50k.json"), per_bucket=5)
     got = sorted((r.start, r.doc_id) for r in token_files.read_tokens(spark, path, with_ids=False).collect())
     assert [d for _, d in got] == [7] * 50 + [8] and [s for s, _ in got] == [4 * i for i in range(51)]
+
+
+def test_any_pattern_is_followed(spark):
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(["a b  c. d", "x. y, z", "one two. ", None, "né è. q"])], "doc_id long, text string")
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(P.path("byte_bpe_multi_50k.tiktoken"), "rb"))}
+    for pattern in (r"[^x]+|x", r"\S+\s*|\s+", P.PATTERN):
+        lib = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        got = {r.doc_id: r.ids for r in byte_bpe.encode_texts(docs, P.path("byte_bpe_multi_50k.tiktoken"), pattern).collect()}
+        assert got == {r.doc_id: lib.encode_ordinary(r.text or "") for r in docs.collect()}
+    assert P.PATTERN in byte_bpe.SAFE

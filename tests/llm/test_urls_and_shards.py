@@ -6,6 +6,7 @@ from collections import Counter
 from pyspark.sql import functions as F
 
 from quern.llm import mixing, sharding, url_filters
+from quern.llm.shared import repeatable, shared_path
 
 
 def judged(url, rules):
@@ -111,3 +112,26 @@ def test_more_sources_than_a_folded_period(spark):
     got = mixing.mix_sources(df, mixing.tempered_units(df))
     assert got.count() == n + 6000 and got.where("slot is null").count() == 0
     assert got.select("slot", "in_block").distinct().count() == n + 6000 and got.where("slot < release or slot >= deadline").count() == 0
+
+
+def test_written_shards_hold_every_row_once(spark):
+    rows = [(1, "a" * 10, "x", 0), (1, "b" * 900, "x", 1), (2, "c" * 40, None, 2), (None, "d" * 300, "y", 3), (None, None, "y", 4)] + [(7, f"{i}" * 30, "z", 5) for i in range(200)] + [(i, "t" * 50, "s1", 6) for i in range(100, 300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, shard string, place int").withColumn("Shard_", F.col("place")).repartition(3)
+    path = shared_path(spark, "test-shards")
+    name = sharding.write_shards(docs, path, 2000)
+    assert name == "shard__"
+    back = spark.read.parquet(path)
+    assert sorted(map(str, (tuple(r)[:5] for r in back.select("doc_id", "text", "shard", "place", "Shard_").collect()))) == sorted(map(str, ((*r, r[3]) for r in rows)))
+    for r in back.groupBy(name).agg(F.sum(F.octet_length("text")).alias("b"), F.count("*").alias("n")).collect():
+        assert (r.b or 0) <= 2000 or r.n == 1
+    assert sharding.write_shards(spark.createDataFrame(rows, "doc_id long, text string, label string, n int"), shared_path(spark, "test-shards"), 500) == "shard"
+
+
+def test_repeatable_inputs(spark):
+    path = shared_path(spark, "test-repeatable")
+    spark.range(100).selectExpr("id AS doc_id", "cast(id AS string) AS text").write.parquet(path)
+    docs = spark.read.parquet(path)
+    assert repeatable(docs.where("doc_id > 3").select("doc_id", F.upper("text").alias("text"))) and repeatable(spark.createDataFrame([(1, "a")], "doc_id long, text string").limit(0)) is False
+    odd = F.udf(lambda x: x, "string").asNondeterministic()
+    for df in (docs.limit(5), docs.repartition(3), docs.distinct(), docs.withColumn("text", odd("text")), docs.where(F.rand() < 0.5), docs.join(docs.select("doc_id"), "doc_id"), docs.sample(0.5), docs.orderBy("text")):
+        assert not repeatable(df)
