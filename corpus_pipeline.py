@@ -4,13 +4,17 @@
 2. n-gram Jaccard join: one row, that of the smallest id, stays of every component.
 3. mixing sources to target weights: every document stays; the rows come in the order of the mix (slot, place in block),
    files in ascending order. Shares: square-root tempered counts of the stage's input.
-4. byte-level BPE: doc_id, n_tokens and the digests of the ids and of the bytes that they decode to.
+4. byte-level BPE: doc_id, n_tokens and the digests of the ids and of the bytes that they decode to; part and row: the documents' place
+   in the mix (the name of the file and the row in it that stage 3 put them in; in this order they are mixed).
+
+Stages take and return COLUMNS only, other columns of the documents are dropped.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -74,7 +78,7 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents in the order of the mix. Rows of one id take its places in any order; null ids come last."""
+    """All documents in the order of the mix. Rows of one id all take the first of its places; null ids come last."""
     docs = docs.select(*COLUMNS)
     path = shared_path(spark, "mix-places")
     units = max(mixing.UNITS, UNITS_EACH * docs.select("source").distinct().count())
@@ -86,10 +90,17 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256 and decoded_sha256 of every document."""
+    """doc_id, n_tokens, ids_sha256, decoded_sha256, part and row of every document.
+
+    Documents that don't come from files have a null part, and rows in the order of the frame.
+    """
     import public_tokenizers
 
-    return byte_bpe.round_trip(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    try:
+        placed = docs.select("doc_id", "text", F.col("_metadata.file_name").alias("part"), F.col("_metadata.row_index").alias("row"))
+    except AnalysisException:
+        placed = docs.select("doc_id", "text", F.lit(None).cast("string").alias("part"), F.monotonically_increasing_id().alias("row"))
+    return byte_bpe.round_trip(placed, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN, keep=("part", "row"))
 
 
 STAGES = [("language ID", keep_language), ("n-gram Jaccard join", keep_one_of_each), ("mixing sources to target weights", mix), ("byte-level BPE", encode)]
