@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quern.functions.reference import CHROMS, LENGTHS
+from quern.functions.reference import CHROMS, LENGTHS, bare
 from quern.plans.rules import CLASSIFIED
 
 from .report import ANNOTATIONS, COORDINATES, PLATFORMS, RUN_STRATEGIES, SOURCES, STRATEGIES, translated
@@ -174,13 +174,16 @@ def sample_verdicts(classified: DataFrame, samples: DataFrame) -> DataFrame:
 # --- reference lengths -----------------------------------------------------------------------------------------------
 
 
-def check_lengths(published: DataFrame) -> DataFrame:
-    """assembly, matches, mismatches and status (valid, mismatch, missing) of our contig lengths.
+def check_lengths(published: DataFrame, references: DataFrame | None = None) -> DataFrame:
+    """assembly, matches, mismatches and status (valid, mismatch, missing) of references' contig lengths; without any, of the built-in ones.
 
-    published: assembly, contig (with or without chr), length. Contigs that aren't published don't count.
+    published, references: assembly, contig (with or without chr), length. Of several published lengths of a contig, the largest
+    counts; contigs that aren't published don't.
     """
-    ours = published.sparkSession.createDataFrame([(a, c, n) for a, v in LENGTHS.items() for c, n in zip(CHROMS, v)], "assembly string, contig string, ours long")
-    theirs = published.groupBy("assembly", F.regexp_replace("contig", "^chr", "").alias("contig")).agg(F.max("length").alias("length"))
-    rows = F.broadcast(ours).join(theirs, ["assembly", "contig"], "left")  # some 72 rows
+    if references is None:
+        references = published.sparkSession.createDataFrame([(a, c, n) for a, v in LENGTHS.items() for c, n in zip(CHROMS, v)], "assembly string, contig string, length long")
+    ours = references.select("assembly", bare(F.col("contig")).alias("contig"), F.col("length").alias("ours"))
+    theirs = published.groupBy("assembly", bare(F.col("contig")).alias("contig")).agg(F.max("length").alias("length"))
+    rows = ours.join(theirs, ["assembly", "contig"], "left")
     out = rows.groupBy("assembly").agg(F.count_if(F.col("ours") == F.col("length")).alias("matches"), F.count_if(F.col("ours") != F.col("length")).alias("mismatches"))
     return out.withColumn("status", F.when(F.col("mismatches") > 0, "mismatch").when(F.col("matches") > 0, "valid").otherwise("missing"))

@@ -37,21 +37,35 @@ def classify_catalog(files: DataFrame, payloads: dict[str, DataFrame] | None = N
         base = once(C.classify(files).withColumn("phase", F.lit("name")), "classified")
         indexes = _indexes(files, base)
         return base.join(indexes.select("entry_id"), "entry_id", "left_anti").unionByName(indexes)
-    routed, parts = route(files), []
-    for kind, payload in (payloads or {}).items():
-        own = routed.where(f"kind = '{kind}'").drop("kind").join(payload.withColumnRenamed("file_md5sum", "_md5"), routed["file_md5sum"] == F.col("_md5"), "left")
-        got = CLASSIFIERS[kind](own.where("_md5 is not null"))
-        lost = C.unreadable(own.where("_md5 is null"), F.lit("content could not be read"))
-        parts += [x.select(*cols, "classifications", F.lit(kind).alias("phase")) for x in (got, lost)]
-    for phase in by_name:
-        own = files.where(BY_NAME[phase](F.col("file_name"), F.col("file_format")))
-        parts.append(C.classify(own).select(*cols, "classifications", F.lit(phase).alias("phase")))
+    parts = []
+    if payloads:
+        given = with_payloads(files, payloads)
+        for kind in payloads:
+            got = CLASSIFIERS[kind](given.where((F.col("_kind") == kind) & F.col("_read")).select(*[F.col(f"`{c}`") for c in cols], f"_{kind}.*"))
+            parts.append(got.select(*cols, "classifications", F.lit(kind).alias("phase")))
+        lost = given.where(~F.col("_read"))
+        parts.append(C.unreadable(lost, F.lit("content could not be read")).select(*cols, "classifications", F.col("_kind").alias("phase")))
+    if by_name:
+        phases = F.array_compact(F.array(*[F.when(BY_NAME[p](F.col("file_name"), F.col("file_format")), F.lit(p)) for p in by_name]))
+        parts.append(C.classify(files.withColumn("phase", F.explode(phases))).select(*cols, "classifications", "phase"))
     base = once(reduce(DataFrame.unionByName, parts), "classified")
     known = base.unionByName(_indexes(files, base))
     rest = C.classify(propagate.remaining(files, known)).withColumn("phase", F.lit("remaining"))
     return known.unionByName(rest.select(known.columns))
 
 
+def with_payloads(files: DataFrame, payloads: dict[str, DataFrame]) -> DataFrame:
+    """Routed files with _kind, _read (whether there is a payload), and for each kind a struct `_<kind>` of its payload's columns.
+
+    Files are routed once, and all kinds' payloads are one side of one join on md5 and kind, which is written once.
+    """
+    told = [p.select(F.col("file_md5sum").alias("_md5"), F.lit(k).alias("_of"), F.struct(*[F.col(f"`{c}`") for c in p.columns if c != "file_md5sum"]).alias(f"_{k}")) for k, p in payloads.items()]
+    told = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), told)
+    routed = route(files).withColumnRenamed("kind", "_kind").where(F.col("_kind").isin(*payloads))
+    joined = routed.join(told, (F.col("file_md5sum") == F.col("_md5")) & (F.col("_kind") == F.col("_of")), "left")
+    return once(joined.withColumn("_read", F.col("_md5").isNotNull()).drop("_md5", "_of"), "payloads")
+
+
 def _indexes(files: DataFrame, base: DataFrame) -> DataFrame:
     found = propagate.inherited(propagate.matched_indexes(files), base)
     return found.select(*files.columns, "classifications", F.lit("index").alias("phase"))

@@ -15,6 +15,7 @@ from quern.functions import reference as R
 from quern.operators import classify as C
 from quern.operators import assemblies, contract, external, lint, propagate, report
 from quern.operators.claims import markers, resolve_rows
+from quern.operators.samples import first_of_groups
 from quern.plans.compile import rule_ids, with_matches
 from quern.plans.rules import FIELDS, RULES
 from quern.sources import synthetic as S
@@ -706,3 +707,27 @@ _PUBLISHED = "SELECT a AS assembly, concat(CASE WHEN n_nationkey % 2 = 0 THEN 'c
 @query("SELECT * FROM (VALUES ('GRCh38', 24::BIGINT, 0::BIGINT, 'valid'), ('GRCh37', 22::BIGINT, 2::BIGINT, 'mismatch'), ('CHM13', 0::BIGINT, 0::BIGINT, 'missing')) x(assembly, matches, mismatches, status)")
 def published_lengths(spark, sf_dir):
     return external.check_lengths(S.over(spark, sf_dir, _PUBLISHED, "nation"))
+
+
+# what suppliers' assemblies are published as: one part in fifty says another length
+_STATED = f"SELECT concat('asm', l_suppkey) AS assembly, concat('chr', l_linenumber) AS contig, {_SUPPLIER_LENGTH.replace('s_suppkey', 'l_suppkey').replace('c * ', 'l_linenumber * ')} + CASE WHEN l_partkey % 50 = 0 THEN 1 ELSE 0 END AS length FROM lineitem"
+
+
+@query(f"""WITH ours AS (SELECT concat('asm', s_suppkey) AS assembly, concat('chr', c) AS contig, {_SUPPLIER_LENGTH} AS ours FROM supplier, range(1, 8) r(c)), stated AS ({_STATED}),
+j AS (SELECT o.assembly, o.ours, s.length FROM ours o LEFT JOIN (SELECT assembly, contig, max(length) AS length FROM stated GROUP BY ALL) s USING (assembly, contig)),
+n AS (SELECT assembly, count(*) FILTER (ours = length) AS matches, count(*) FILTER (ours <> length) AS mismatches FROM j GROUP BY assembly)
+SELECT *, CASE WHEN mismatches > 0 THEN 'mismatch' WHEN matches > 0 THEN 'valid' ELSE 'missing' END AS status FROM n""")
+def published_reference_lengths(spark, sf_dir):
+    return external.check_lengths(S.over(spark, sf_dir, _STATED, "lineitem"), _references(spark, sf_dir, "supplier", "s_suppkey", _SUPPLIER_LENGTH))
+
+
+@query(f"WITH b AS ({S.BED}), d AS (SELECT k, list_sort(list(DISTINCT chrom)) AS c FROM b GROUP BY k) SELECT k, array_to_string(c, ',') AS chromosomes, array_to_string(c[1:3], ',') AS preview, len(c) AS n FROM d")
+def distinct_chromosomes(spark, sf_dir):
+    found = S.over(spark, sf_dir, S.BED, "lineitem").groupBy("k").agg(F.array_sort(F.collect_set("chrom")).alias("c"))
+    return found.select("k", F.array_join("c", ",").alias("chromosomes"), F.array_join(F.slice("c", 1, 3), ",").alias("preview"), F.size("c").cast("long").alias("n"))
+
+
+@query(f"WITH {_BROKEN}, d AS (SELECT DISTINCT rule_id, concat('e', k) AS e FROM v), w AS (SELECT *, row_number() OVER (PARTITION BY rule_id ORDER BY e) AS i FROM d) SELECT rule_id, (SELECT count(*) FROM v WHERE v.rule_id = w.rule_id) AS n, string_agg(e, ',' ORDER BY e) AS examples FROM w WHERE i <= 3 GROUP BY rule_id")
+def violation_examples(spark, sf_dir):
+    found = first_of_groups(lint.violations(_bent(spark, sf_dir)), ["rule_id"], "entry_id", 3)
+    return found.select("rule_id", "n", F.array_join("first", ",").alias("examples"))

@@ -12,7 +12,7 @@ from quern.operators import classify as C
 from quern.operators import report
 from quern.operators.claims import markers, resolve, resolve_rows
 from quern.operators.samples import first_of_groups
-from quern.plans import rules_file
+from quern.plans import documents, rules_file
 from quern.plans.compile import CLAIM
 from quern.plans.rules import FIELDS
 from quern.sources import heads, sinks
@@ -137,3 +137,22 @@ def test_rules_from_a_file(spark, tmp_path):
     for text in ("{", "[]", '{"rules": {}}'):
         with pytest.raises(ValueError, match="rules"):
             rules_file.rules_of(text)
+
+
+def test_documents(spark):
+    rows = classified(spark).withColumn("entry_id", F.col("entry_id"))
+    one = lambda sql: spark.sql(sql)
+    catalogs = {
+        "sequencing": one("select concat('f_rnaseq.bam') as filename, 'PACBIO_SMRT' as platform, 'GENOMIC' as librarySource, 'WGS' as libraryStrategy union all select 'a_wgs.bam', 'ILLUMINA', 'GENOMIC', 'WGS'"),
+        "alignments": one("select 'a_wgs.bam' as filename, 'CHM13' as referenceCoordinates"),
+        "annotations": one("select 'x' as filename, 'CAT_genes_chm13' as annotationType"),
+        "assemblies": one("select 'b.vcf.gz' as filename"),
+    }
+    text = documents.validation_report(rows, catalogs)
+    for part in ("# Agreement by field", "# Agreement by catalog", "| assemblies | 1 |", "# Discrepancies", "| data_modality | sequencing | transcriptomic.bulk | genomic | 5 | f_rnaseq.bam |"):
+        assert part in text, text
+    assert "<h2>Agreement by field</h2>" in documents.validation_report(rows, catalogs, report.html)
+    bent = rows.withColumn("classifications", F.col("classifications").withField("assay_type", F.struct(F.lit("RNA-seq").alias("value"), F.lit("classified").alias("status"), F.col("classifications.assay_type.evidence").alias("evidence"))))
+    text = documents.consistency_report(bent)
+    assert "| imaging_exclusive | assay_type | RNA-seq | 5 | c.svs |" in text and "# Rules that no record met" in text and "| assay_for_methylation |" in text
+    assert "<h2>Rules</h2>" in documents.consistency_report(bent, form=report.html)
