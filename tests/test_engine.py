@@ -289,20 +289,3 @@ def test_sinks_and_stream(spark, tmp_path):
     hit, miss = sinks.with_evidence(done, spark.read.parquet(str(tmp_path / "ev")))
     assert hit.count() == 2 and miss.count() == 0 and sinks.left_to_do(done, payload).count() == 0
     assert report.markdown(report.coverage(done), "Coverage").count("\n") > 7
-
-
-PAGES = {None: {"hits": [{"entryId": "1"}, {"entryId": "2"}], "next": ["2"]}, "2": {"hits": [{"entryId": "3"}], "next": None}}
-
-
-def fetch_page(after, size):
-    return PAGES[after[0] if after else None]
-
-
-def test_paged_source(spark, tmp_path):
-    from quern.sources.paged import PagedReader
-
-    r = PagedReader({"fetch": f"{__name__}:fetch_page", "delay": "0"})
-    rows, at = r.read(r.initialOffset())
-    more, end = r.read(at)
-    assert [json.loads(x)["entryId"] for (x,) in [*rows, *more]] == ["1", "2", "3"] and end["done"] and list(r.read(end)[0]) == []
-    assert len(list(r.readBetweenOffsets(r.initialOffset(), at))) == 2
