@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .shared import level, partitions, spans, text_batches, written
+from .shared import frugal, give_back, level, partitions, spans, text_batches, written
 
 UND = "und"
 #: At most so many labelled texts a language are learned from; at most so many for a child of a node.
@@ -193,9 +193,11 @@ def _trained(table: pa.Table) -> pa.Table:
 
     node, a, b = (table.column(c)[0].as_py() for c in ("node", "a", "b"))
     weights, offset = _machine(dense(a), dense(b))
+    give_back()
     return pa.table({"node": pa.array([node], pa.int32()), "a": pa.array([a], pa.int32()), "b": pa.array([b], pa.int32()), "weights": pa.array([weights.tobytes()], pa.binary()), "offset": pa.array([offset])})
 
 
+@frugal
 def _featured(batches):
     for b in text_batches(batches):
         bounds, slots, values = features(b.column(2))
@@ -247,7 +249,7 @@ def identify(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> D
             lang, score = known.predict(pc.struct_field(b.column(0), text_col))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(lang, pa.string()), pa.array(score)], ["row", "lang_pred", "score"])
 
-    return framed.mapInArrow(run, framed.selectExpr("row", "cast(null as string) as lang_pred", "cast(null as double) as score").schema)
+    return framed.mapInArrow(frugal(run), framed.selectExpr("row", "cast(null as string) as lang_pred", "cast(null as double) as score").schema)
 
 
 def held_out(id_col: str = "doc_id") -> Column:

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components, local_roots
-from .shared import bloom, may_hold, partitions, text_batches, written
+from .shared import bloom, frugal, may_hold, partitions, text_batches, written
 from .shingles import shingle_hashes
 
 #: Slots of the count sketch, and the most matches a class may ask for.
@@ -59,6 +59,7 @@ def _slots(shingles: np.ndarray) -> np.ndarray:
     return (shingles >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
 
 
+@frugal
 def _classes(batches):
     """doc_id, node, n for every document, and at the end a row with the task's part of the count sketch."""
     sketch = np.zeros(1 << SKETCH_BITS, dtype=np.uint32)
@@ -126,6 +127,7 @@ def _spread(token: np.ndarray, salt: np.ndarray, buckets: int) -> np.ndarray:
     return ((x ^ (x >> np.uint64(32))) % np.uint64(buckets)).astype(np.int64)
 
 
+@frugal
 def _prefixes(batches, shipped, buckets: int, hot: int):
     """Packed prefix shingles: rows of bucket, tokens (40 bits: 32 and 8), nodes, sizes and whether a token is hot."""
     order, seen, held, size = _order(shipped), set(), [], 0
@@ -159,6 +161,7 @@ def _prefixes(batches, shipped, buckets: int, hot: int):
         yield packed()
 
 
+@frugal
 def _stars(batches):
     """Rows sorted by bucket. centre, centre's size, node for the classes that share a shingle; the token where it is hot."""
     names = ["token", "centre_n", "centre", "node"]
@@ -188,6 +191,7 @@ def _stars(batches):
         yield out()
 
 
+@frugal
 def _sets(batches, shipped, wanted: bytes):
     """node, matches, prefix, shingles (ranked, packed) of the documents that may be wanted, a class once a task."""
     order, seen = _order(shipped), set()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import functools
 import json
 import math
@@ -368,7 +369,7 @@ class PieceCache:
     def clear(self) -> None:
         """Lets go of everything, also of what Arrow keeps for its next arrays."""
         self.young, self.old = _Held(), _Held()
-        pa.default_memory_pool().release_unused()
+        give_back()
 
     @property
     def pool(self) -> np.ndarray:
@@ -395,6 +396,30 @@ class PieceCache:
         return self.young.start[at], self.young.length[at].astype(np.int64)
 
 
+@functools.lru_cache(1)
+def _trim():
+    """The C library's call that gives freed memory back to the system, where there is one."""
+    return getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def give_back() -> None:
+    """Returns to the system what this worker has freed; idle workers of earlier stages then hold little."""
+    pa.default_memory_pool().release_unused()
+    if trim := _trim():
+        trim(0)
+
+
+def frugal(run):
+    """The function of batches run, which gives memory back when its task is done."""
+
+    @functools.wraps(run)
+    def task(batches, *args):
+        yield from run(batches, *args)
+        give_back()
+
+    return task
+
+
 def level(array: pa.Array) -> pa.Array:
     """The array, copied if it is a slice of a longer one: kernels misread texts that were cast from a slice with an offset
     (pyarrow 23: ascii_lower of a large_string cast from such a string array)."""
