@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quern.llm import byte_bpe, language_id, mixing, ngram_join
-from quern.llm.shared import bloom, may_hold, partitions, remove, shared_path, text_batches, written
+from quern.llm.shared import bloom, frugal, may_hold, partitions, remove, shared_path, text_batches, written
 from quern.llm.shingles import shingle_hashes
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -68,7 +68,7 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
                     may[i] = given[i] or node[i] is not None
             yield pa.RecordBatch.from_arrays([pa.array(may), pa.array(node, pa.int64()), *b.columns], ["maybe", "node", *COLUMNS])
 
-    marked = docs.mapInArrow(maybe, "maybe boolean, node long, " + ", ".join(f"`{c}` {t}" for c, t in docs.dtypes))
+    marked = docs.mapInArrow(frugal(maybe), "maybe boolean, node long, " + ", ".join(f"`{c}` {t}" for c, t in docs.dtypes))
     clear = marked.where(~F.col("maybe")).select(*COLUMNS)
     bare = F.when(F.col("node").isNull(), F.col("text")).alias("bare")
     one = marked.where("maybe").groupBy("doc_id", "node", bare).agg(F.min(F.struct(*COLUMNS)).alias("row")).select("node", "row.*")
