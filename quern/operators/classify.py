@@ -35,10 +35,13 @@ VARIANT_ARRAYS = (
 )
 
 
-def route(files: DataFrame) -> DataFrame:
-    """A row of (file, kind) for every kind whose extensions end the file's name or format; `skip`-flagged files go."""
+def route(files: DataFrame, routes: dict[str, tuple[str, ...]] | None = None) -> DataFrame:
+    """A row of (file, kind) for every kind whose extensions end the file's name or format; `skip`-flagged files go.
+
+    routes: others than ROUTES.
+    """
     ends = lambda c, exts: F.coalesce(F.lit(False) if not exts else c.rlike("(" + "|".join(e.replace(".", r"\.") for e in exts) + r")\z"), F.lit(False))
-    kinds = F.array_compact(F.array(*[F.when(ends(F.col("file_name"), x) | ends(F.col("file_format"), x), F.lit(k)) for k, x in ROUTES.items()]))
+    kinds = F.array_compact(F.array(*[F.when(ends(F.col("file_name"), x) | ends(F.col("file_format"), x), F.lit(k)) for k, x in (routes or ROUTES).items()]))
     if "skip" in files.columns:
         files = files.where(~F.coalesce(F.col("skip").cast("boolean"), F.lit(False)))
     return files.withColumn("kind", F.explode(kinds))

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from quern.functions.names import is_auxiliary, is_image
 from quern.operators import classify as C
 from quern.operators import propagate
-from quern.operators.classify import CLASSIFIERS, route
+from quern.operators.classify import route
+from quern.plans.kinds import Kind, built_in, routes
 from quern.sources.sinks import once
 
 
@@ -23,25 +24,25 @@ def whole_run(files: DataFrame, payloads: dict[str, DataFrame]) -> DataFrame:
     return classify_catalog(files, payloads, tuple(BY_NAME))
 
 
-def classify_catalog(files: DataFrame, payloads: dict[str, DataFrame] | None = None, by_name: tuple[str, ...] = ()) -> DataFrame:
+def classify_catalog(files: DataFrame, payloads: dict[str, DataFrame] | None = None, by_name: tuple[str, ...] = (), kinds: dict[str, Kind] | None = None) -> DataFrame:
     """files (entry_id, file_name, ..., file_md5sum) plus classifications and phase.
 
     payloads: for each kind of ROUTES, a frame with file_md5sum and the payload column. Routed files without a payload are
     unreadable. A file that routes to two kinds has two rows, as in each kind's own output; so has one that is routed and
     an image or auxiliary. The first phases are worked out and written once; indexes and the rest read them from there.
     Without any, all files are classified by name, and indexes take their parents' labels. by_name: which of BY_NAME's
-    phases to run; without them, their files are among the rest.
+    phases to run; without them, their files are among the rest. kinds: others than the built-in ones, see plans.kinds.
     """
     cols = files.columns
     if not payloads and not by_name:
         base = once(C.classify(files).withColumn("phase", F.lit("name")), "classified")
         indexes = _indexes(files, base)
         return base.join(indexes.select("entry_id"), "entry_id", "left_anti").unionByName(indexes)
-    parts = []
+    kinds, parts = built_in() if kinds is None else kinds, []
     if payloads:
-        given = with_payloads(files, payloads)
+        given = with_payloads(files, payloads, kinds)
         for kind in payloads:
-            got = CLASSIFIERS[kind](given.where((F.col("_kind") == kind) & F.col("_read")).select(*[F.col(f"`{c}`") for c in cols], f"_{kind}.*"))
+            got = kinds[kind].classifier(given.where((F.col("_kind") == kind) & F.col("_read")).select(*[F.col(f"`{c}`") for c in cols], f"_{kind}.*"))
             parts.append(got.select(*cols, "classifications", F.lit(kind).alias("phase")))
         lost = given.where(~F.col("_read"))
         parts.append(C.unreadable(lost, F.lit("content could not be read")).select(*cols, "classifications", F.col("_kind").alias("phase")))
@@ -54,14 +55,14 @@ def classify_catalog(files: DataFrame, payloads: dict[str, DataFrame] | None = N
     return known.unionByName(rest.select(known.columns))
 
 
-def with_payloads(files: DataFrame, payloads: dict[str, DataFrame]) -> DataFrame:
+def with_payloads(files: DataFrame, payloads: dict[str, DataFrame], kinds: dict[str, Kind]) -> DataFrame:
     """Routed files with _kind, _read (whether there is a payload), and for each kind a struct `_<kind>` of its payload's columns.
 
     Files are routed once, and all kinds' payloads are one side of one join on md5 and kind, which is written once.
     """
     told = [p.select(F.col("file_md5sum").alias("_md5"), F.lit(k).alias("_of"), F.struct(*[F.col(f"`{c}`") for c in p.columns if c != "file_md5sum"]).alias(f"_{k}")) for k, p in payloads.items()]
     told = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), told)
-    routed = route(files).withColumnRenamed("kind", "_kind").where(F.col("_kind").isin(*payloads))
+    routed = route(files, routes(kinds)).withColumnRenamed("kind", "_kind").where(F.col("_kind").isin(*payloads))
     joined = routed.join(told, (F.col("file_md5sum") == F.col("_md5")) & (F.col("_kind") == F.col("_of")), "left")
     return once(joined.withColumn("_read", F.col("_md5").isNotNull()).drop("_md5", "_of"), "payloads")
 

@@ -187,7 +187,7 @@ def telling(names: list[str]) -> bool:
     return store or any(_KNOWN.search(n.rsplit("/", 1)[-1].lower()) for n in names)
 
 
-def tar(stream) -> list[str]:
+def tar(stream, tells: Callable[[list[str]], bool] = telling) -> list[str]:
     head, out, stages = Head(stream, CAPS["tar"], ARCHIVE), [], [*STAGES]
     try:
         with tarfile.open(fileobj=head, mode="r|", bufsize=10240) as t:
@@ -196,7 +196,7 @@ def tar(stream) -> list[str]:
                 late = bool(stages) and head.served >= stages[0]
                 while stages and head.served >= stages[0]:
                     stages.pop(0)
-                if len(out) == MEMBERS or (late and telling(out)):
+                if len(out) == MEMBERS or (late and tells(out)):
                     break
     except (tarfile.TarError, zlib.error):
         pass  # a cut or foreign head: what was read counts
@@ -212,12 +212,12 @@ def open_stream(path: str):
     return store.open_input_stream(at, compression=None, buffer_size=STEP)
 
 
-def read_heads(spark: SparkSession, path: str, kind: str, opener: Callable = open_stream) -> DataFrame:
+def read_heads(spark: SparkSession, path: str, kind: str | Callable, opener: Callable = open_stream) -> DataFrame:
     """path, lines (array<string>, null if unreadable) and error of every file below a path. Files of no bytes have no row.
 
-    opener: a function from a path to a stream with read(n) and close(), for stores that pyarrow doesn't know.
+    kind: one of READERS, or a function from a stream to lines. opener: a function from a path to a stream with read(n) and close(), for stores that pyarrow doesn't know.
     """
-    reader = READERS[kind]
+    reader = kind if callable(kind) else READERS[kind]
 
     def run(batches):
         for b in batches:

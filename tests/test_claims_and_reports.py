@@ -12,9 +12,10 @@ from quern.operators import classify as C
 from quern.operators import report
 from quern.operators.claims import markers, resolve, resolve_rows
 from quern.operators.samples import first_of_groups
-from quern.plans import documents, rules_file
+from quern.plans import documents, kinds, rules_file
 from quern.plans.compile import CLAIM
 from quern.plans.rules import FIELDS
+from quern.plans.run import classify_catalog
 from quern.sources import heads, sinks
 
 NA, NC = "not_applicable", "not_classified"
@@ -156,3 +157,37 @@ def test_documents(spark):
     text = documents.consistency_report(bent)
     assert "| imaging_exclusive | assay_type | RNA-seq | 5 | c.svs |" in text and "# Rules that no record met" in text and "| assay_for_methylation |" in text
     assert "<h2>Rules</h2>" in documents.consistency_report(bent, form=report.html)
+
+
+def test_a_kind_of_one_s_own(spark, tmp_path):
+    def reader(stream):
+        return [x for x in heads.lines(stream, 1 << 20) if x.startswith("MODEL=")]
+
+    def classifier(files):
+        return C.classify(files).withColumn("classifications", F.col("classifications").withField("platform", F.struct(F.upper("model").alias("value"), F.lit("classified").alias("status"), F.col("classifications.platform.evidence").alias("evidence"))))
+
+    payload = lambda h: h.select("path", F.substring(h["lines"][0], 7, 20).alias("model"))
+    mine = kinds.with_kind("runinfo", kinds.Kind((".runinfo",), classifier, reader, payload))
+    (tmp_path / "h").mkdir()
+    (tmp_path / "h" / "a.runinfo").write_text("x\nMODEL=ont\ny\n")
+    got = kinds.read_payloads(spark, str(tmp_path / "h"), "runinfo", mine)
+    files = spark.createDataFrame([("a", "a.runinfo", "m1"), ("b", "b.runinfo", "m2"), ("c", "c.bam", "m3")], "entry_id string, file_name string, file_md5sum string").withColumns({"file_format": F.lit(""), "dataset_id": F.lit("d"), "dataset_title": F.lit("t"), "file_size": F.lit(1).cast("long")})
+    payloads = {"runinfo": got.select(F.lit("m1").alias("file_md5sum"), "model"), "bam": spark.createDataFrame([("m3", "@RG\tPL:PACBIO")], "file_md5sum string, header_text string")}
+    out = {r.entry_id: (r.phase, r.classifications.platform.value) for r in classify_catalog(files, payloads, kinds=mine).collect()}
+    assert out == {"a": ("runinfo", "ONT"), "b": ("runinfo", None), "c": ("bam", "PACBIO")}
+    whole = kinds.built_in()
+    for name, change in (("x y", {}), ("k", {"extensions": ("txt",)}), ("k", {"extensions": (".bam",)}), ("k", {"extensions": ".q"}), ("k", {"classifier": None}), ("k", {"reader": 3})):
+        with pytest.raises(ValueError):
+            kinds.with_kind(name, kinds.Kind(**({"extensions": (".q",), "classifier": classifier} | change)))
+    assert whole.keys() == kinds.built_in().keys()
+    out = io.BytesIO()
+    with tarfile.open(fileobj=out, mode="w") as t:
+        for n in ("a.bam", "b", "c"):
+            info = tarfile.TarInfo(n)
+            info.size = 400 << 10
+            t.addfile(info, io.BytesIO(bytes(info.size)))
+    (tmp_path / "t").mkdir()
+    (tmp_path / "t" / "f.tar").write_bytes(out.getvalue())
+    members = lambda k: kinds.read_payloads(spark, str(tmp_path / "t"), "tar", k).first().member_names
+    other = kinds.with_kind("tar", kinds.Kind((".tar",), C.classify_archives, kinds.archives(lambda names: "b" in names), whole["tar"].payload))
+    assert members(whole) == ["a.bam", "b"][: len(members(whole))] and members(other)[-1] in ("b", "c") and len(members(other)) >= len(members(whole))
