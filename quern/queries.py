@@ -18,6 +18,8 @@ from quern.operators.claims import markers, resolve_rows
 from quern.operators.samples import first_of_groups
 from quern.plans.compile import rule_ids, with_matches
 from quern.plans.rules import FIELDS, RULES
+from quern.plans.rules_file import rules_of
+from quern.sources import records, sinks
 from quern.sources import synthetic as S
 
 QUERIES, ORACLES = {}, {}
@@ -165,6 +167,17 @@ def run_tally(spark, sf_dir):
     return report.run_tally(o)
 
 
+@query(f"WITH {CATALOG} SELECT entry_id, file_name, file_size FROM catalog")
+def envelope_records(spark, sf_dir):
+    """Records put into envelopes of 20,000, and cut out of them again."""
+    told = F.to_json(F.struct("entry_id", "file_name", "file_size"))
+    listed = S.catalog(spark, sf_dir).groupBy(F.expr("k div 20000").alias("part")).agg(F.array_join(F.collect_list(told), ", ").alias("x"))
+    path = sinks.shared_path(spark, "envelopes")
+    listed.select("part", F.concat(F.lit('{"note": {"files": [{}], "results": "[{"}, "files": ['), "x", F.lit("]}")).alias("value")).write.partitionBy("part").text(path)
+    found = records.read_envelope(spark, path).select(F.from_json("record", "entry_id string, file_name string, file_size long").alias("r"))
+    return found.select("r.*")
+
+
 # --- claims ----------------------------------------------------------------------------------------------------------
 
 
@@ -244,6 +257,17 @@ def classify_full(spark, sf_dir):
     return _classified(spark, sf_dir).select("k", *[c for f in FIELDS for c in (F.col(f"classifications.{f}.value").alias(f), F.col(f"classifications.{f}.status").alias(f"{f}_status"))])
 
 
+_OWN_RULES = """{"rules": [{"id": "own_reads", "tier": 2, "scope": "filename", "when": {"extensions": [".bam", ".cram"], "filename_pattern": "rnaseq|exome"}, "then": {"platform": "ONT", "status": {"assay_type": "not_applicable"}}},
+  {"id": "own_tables", "tier": 1, "scope": "extension", "when": {"extensions": [".txt"]}, "then": {"data_type": "log"}}]}"""
+
+
+@query(f"""WITH {CLAIMED} SELECT k, CASE WHEN e IN ('.bam', '.cram') AND regexp_matches(file_name, 'rnaseq|exome', 'i') THEN 'ONT' END AS platform,
+  CASE WHEN e IN ('.bam', '.cram') AND regexp_matches(file_name, 'rnaseq|exome', 'i') THEN 'not_applicable' ELSE 'not_classified' END AS assay, CASE WHEN e = '.txt' THEN 'log' END AS data_type FROM settled""")
+def own_rules(spark, sf_dir):
+    found = C.classify(S.catalog(spark, sf_dir), rules=rules_of(_OWN_RULES), evidence=False)
+    return found.select("k", F.col("classifications.platform.value").alias("platform"), F.col("classifications.assay_type.status").alias("assay"), F.col("classifications.data_type.value").alias("data_type"))
+
+
 # --- headers ---------------------------------------------------------------------------------------------------------
 
 

@@ -80,12 +80,11 @@ def finished(spark: SparkSession, path: str, files: int) -> bool:
         return False
 
 
-def once(df: DataFrame, name: str) -> DataFrame:
-    """df, written to the shared folder (spark.checkpoint.dir) and read back, so that what several parts read is worked out once.
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder (spark.checkpoint.dir); what is written there is deleted when the session ends.
 
     Without that folder, local runs use a new temp folder; on a cluster it must be set.
     """
-    spark = df.sparkSession
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
         if not spark.sparkContext.master.startswith("local"):
@@ -93,11 +92,18 @@ def once(df: DataFrame, name: str) -> DataFrame:
         folder = tempfile.mkdtemp(prefix="quern-")
         spark.sparkContext.setCheckpointDir(folder)
     path = f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    store = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    store.mkdirs(at.getParent())
+    store.deleteOnExit(at)
+    return path
+
+
+def once(df: DataFrame, name: str) -> DataFrame:
+    """df, written to the shared folder and read back, so that what several parts read is worked out once."""
+    path = shared_path(df.sparkSession, name)
     df.write.parquet(path)
-    jvm = spark.sparkContext._jvm
-    at = jvm.org.apache.hadoop.fs.Path(path)
-    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(at)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def latest_run(spark: SparkSession, root: str) -> str | None:
