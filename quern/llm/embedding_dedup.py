@@ -3,9 +3,10 @@
 Vectors of length one with cosine at least c are at most 2 - 2c apart, squared. Rotated by a fixed random rotation and
 split into blocks of neighbouring dimensions, they must be near in at least one block: within the part of the budget
 that the block's share of the dimensions gets. Each block is joined by range: its first coordinate is cut into cells as
-wide as the block's radius, and only vectors of one or two neighbouring cells meet, in tiles of bounded size, where
-the block's distances are compared. The union of all blocks' candidates is verified exactly, on the vectors as given; a pair that qualifies in several
-blocks is taken in the first of them, so that every link is counted once.
+wide as the block's radius, and only vectors of one or two neighbouring cells meet, in tiles of bounded size. In a tile, the range
+join goes on over all the block's coordinates: bitmaps of their cells leave the pairs that are beside each other on every
+one, and only these are compared by the block's distance. The union of all blocks' candidates is verified exactly, on the vectors as
+given; a pair that qualifies in several blocks is taken in the first of them, so that every link is counted once.
 
 Equal vectors of a label are one class with a count, joined once. A tile returns sums of links and a spanning forest, never
 pairs; hot cells are split into chunks of CHUNK classes.
@@ -36,6 +37,8 @@ COSINE = 0.93
 #: Classes of a cell that one side of a tile holds at most, about.
 CHUNK = 1500
 SLACK = 1e-6
+#: Cells to a radius on each coordinate, within tiles.
+FINE = 4
 
 
 @functools.lru_cache(16)
@@ -89,6 +92,41 @@ def _cells(batches, cosine: float):
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(np.full(n, k, np.int32)), pa.array(cell), part.column(2), part.column(3), part.column(4)], ["label", "dim", "block", "cell", "node", "vec", "n"])
 
 
+def beside(left: np.ndarray, right: np.ndarray, radius: float) -> np.ndarray:
+    """A bit for each pair of rows (packed along right) that could be within the radius: on every coordinate, their cells, FINE to
+    a radius, are at most FINE apart. One bitmap a coordinate and cell is made of right; a row's are put together."""
+    out = np.full((len(left), -(-len(right) // 8)), 255, dtype=np.uint8)
+    width = radius / FINE * (1 + 1e-9)
+    for x, y in zip(np.floor(left / width).astype(np.int64).T, np.floor(right / width).astype(np.int64).T):
+        low, high = int(y.min()) - FINE - 1, int(y.max()) + FINE + 1  # at these, nothing is near
+        held = np.stack([np.packbits(np.abs(y - k) <= FINE) for k in range(low, high + 1)])
+        out &= held[np.clip(x, low, high) - low]
+    return out
+
+
+def block_pairs(left: np.ndarray, right: np.ndarray, budget: float, rows: int = 512) -> tuple[np.ndarray, np.ndarray, int]:
+    """Which rows of left and right are at most budget apart, squared, and how many pairs' distances were computed for that.
+
+    Only pairs that lie beside each other on all coordinates are compared; where these are many (long blocks, whose coordinates
+    are all within the radius), all are, by a product of matrices.
+    """
+    found, compared = [], 0
+    square = np.einsum("ij,ij->i", right, right)
+    for low in range(0, len(left), rows):
+        part = left[low : low + rows]
+        a, b = np.nonzero(np.unpackbits(beside(part, right, np.sqrt(budget)), axis=1, count=len(right)))
+        if 8 * len(a) > len(part) * len(right):
+            gap = np.einsum("ij,ij->i", part, part)[:, None] + square - 2 * (part @ right.T)
+            a, b = np.nonzero(gap <= budget + 1e-9)
+            compared += len(part) * len(right)
+        else:
+            near = ((part[a] - right[b]) ** 2).sum(axis=1) <= budget + 1e-9
+            compared += len(a)
+            a, b = a[near], b[near]
+        found.append((a + low, b))
+    return *(np.concatenate([f[k] for f in found]) if found else np.zeros(0, np.int64) for k in (0, 1)), compared
+
+
 def _tile(table: pa.Table, cosine: float) -> pa.Table:
     """Links between the two chunks of a tile (side 0 and 1), or within one chunk (side 2)."""
     block, dim = table.column("block")[0].as_py(), table.column("dim")[0].as_py()
@@ -102,11 +140,9 @@ def _tile(table: pa.Table, cosine: float) -> pa.Table:
         y, parts = rotated(v), blocks(dim, cosine)
         i0, i1, budget = parts[block]
         yb = y[:, i0:i1]
-        sq = np.einsum("ij,ij->i", yb, yb)
         for low in range(0, len(left), 512):
             rows = left[low : low + 512]
-            near = sq[rows, None] + sq[None, right] - 2 * (yb[rows] @ yb[right].T) <= budget + 1e-9
-            a, b = np.nonzero(near)
+            a, b, _ = block_pairs(yb[rows], yb[right], budget)
             a, b = rows[a], right[b]
             if own:
                 a, b = a[a < b], b[a < b]

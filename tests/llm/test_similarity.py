@@ -219,3 +219,25 @@ def test_many_languages_are_all_learned(spark):
     df = spark.createDataFrame(rows, "text string, lang string")
     found = language_id.identify(df, language_id.train(df, F.lit(True))).select("row.lang", "lang_pred").collect()
     assert len({r.lang_pred for r in found}) > 200
+
+
+def test_few_pairs_are_compared():
+    rng = np.random.default_rng(7)
+    v = rng.standard_normal((1500, 64))
+    v[1000:1400] = v[:400] + 0.15 * rng.standard_normal((400, 64))
+    y, total, seen = embedding_dedup.rotated(v), 0, np.zeros((1500, 1500), bool)
+    for i, j, budget in embedding_dedup.blocks(64, 0.93):
+        a, b, compared = embedding_dedup.block_pairs(y[:, i:j], y[:, i:j], budget)
+        gap = ((y[:, None, i:j] - y[None, :, i:j]) ** 2).sum(axis=2)
+        want = gap <= budget + 1e-9
+        got = np.zeros_like(want)
+        got[a, b] = True
+        assert (got == want).all()
+        total += compared
+        seen |= got
+    assert total < 0.1 * 1500 * 1500  # of all blocks together
+    assert seen[v @ v.T / np.linalg.norm(v, axis=1)[:, None] / np.linalg.norm(v, axis=1) >= 0.93].all()
+    x, z = rng.standard_normal((30, 5)), rng.standard_normal((17, 5))
+    for budget in (0.01, 1.0, 9.0, 100.0):
+        a, b, _ = embedding_dedup.block_pairs(x, z, budget)
+        assert {*zip(a.tolist(), b.tolist())} == {(i, j) for i in range(30) for j in range(17) if ((x[i] - z[j]) ** 2).sum() <= budget}
