@@ -92,16 +92,28 @@ def _cells(batches, cosine: float):
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(np.full(n, k, np.int32)), pa.array(cell), part.column(2), part.column(3), part.column(4)], ["label", "dim", "block", "cell", "node", "vec", "n"])
 
 
-def beside(left: np.ndarray, right: np.ndarray, radius: float) -> np.ndarray:
-    """A bit for each pair of rows (packed along right) that could be within the radius: on every coordinate, their cells, FINE to
-    a radius, are at most FINE apart. One bitmap a coordinate and cell is made of right; a row's are put together."""
-    out = np.full((len(left), -(-len(right) // 8)), 255, dtype=np.uint8)
-    width = radius / FINE * (1 + 1e-9)
-    for x, y in zip(np.floor(left / width).astype(np.int64).T, np.floor(right / width).astype(np.int64).T):
-        low, high = int(y.min()) - FINE - 1, int(y.max()) + FINE + 1  # at these, nothing is near
-        held = np.stack([np.packbits(np.abs(y - k) <= FINE) for k in range(low, high + 1)])
-        out &= held[np.clip(x, low, high) - low]
-    return out
+class Beside:
+    """Bitmaps over rows of vectors: for each coordinate and cell (FINE to the radius), those at most FINE cells from it."""
+
+    def __init__(self, rows: np.ndarray, radius: float):
+        self.width, self.maps = radius / FINE * (1 + 1e-9), []
+        words = -(-len(rows) // 64)
+        for y in np.floor(rows / self.width).astype(np.int64).T:
+            low, high = int(y.min()) - FINE - 1, int(y.max()) + FINE + 1  # at these, nothing is near
+            near = np.packbits(np.abs(y - np.arange(low, high + 1)[:, None]) <= FINE, axis=1, bitorder="little")
+            held = np.zeros((len(near), words * 8), dtype=np.uint8)
+            held[:, : near.shape[1]] = near
+            self.maps.append((low, high, held.view(np.uint64)))
+
+    def pairs(self, left: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rows of left and of the bitmaps that are beside each other on every coordinate: all that may be within the radius."""
+        both = None
+        for x, (low, high, held) in zip(np.floor(left / self.width).astype(np.int64).T, self.maps):
+            own = held[np.clip(x, low, high) - low]
+            both = own if both is None else np.bitwise_and(both, own, out=both)
+        i, word = np.nonzero(both)
+        at, bit = np.nonzero(np.unpackbits(both[i, word].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little"))
+        return i[at], word[at] * 64 + bit
 
 
 def block_pairs(left: np.ndarray, right: np.ndarray, budget: float, rows: int = 512) -> tuple[np.ndarray, np.ndarray, int]:
@@ -110,11 +122,11 @@ def block_pairs(left: np.ndarray, right: np.ndarray, budget: float, rows: int =
     Only pairs that lie beside each other on all coordinates are compared; where these are many (long blocks, whose coordinates
     are all within the radius), all are, by a product of matrices.
     """
-    found, compared = [], 0
+    found, compared, index = [], 0, Beside(right, float(np.sqrt(budget)))
     square = np.einsum("ij,ij->i", right, right)
     for low in range(0, len(left), rows):
         part = left[low : low + rows]
-        a, b = np.nonzero(np.unpackbits(beside(part, right, np.sqrt(budget)), axis=1, count=len(right)))
+        a, b = index.pairs(part)
         if 8 * len(a) > len(part) * len(right):
             gap = np.einsum("ij,ij->i", part, part)[:, None] + square - 2 * (part @ right.T)
             a, b = np.nonzero(gap <= budget + 1e-9)
@@ -139,11 +151,9 @@ def _tile(table: pa.Table, cosine: float) -> pa.Table:
     if len(left) and len(right):
         y, parts = rotated(v), blocks(dim, cosine)
         i0, i1, budget = parts[block]
-        yb = y[:, i0:i1]
-        for low in range(0, len(left), 512):
-            rows = left[low : low + 512]
-            a, b, _ = block_pairs(yb[rows], yb[right], budget)
-            a, b = rows[a], right[b]
+        near, other, _ = block_pairs(y[left, i0:i1], y[right, i0:i1], budget)
+        for low in range(0, len(near), 65_536):
+            a, b = left[near[low : low + 65_536]], right[other[low : low + 65_536]]
             if own:
                 a, b = a[a < b], b[a < b]
             gap = [((y[a, i:j] - y[b, i:j]) ** 2).sum(axis=1) <= most for i, j, most in parts[: block + 1]]
