@@ -25,6 +25,7 @@ NO_LIST = "no list of records under results or files"
 KEY = re.compile(rb'"(results|files)"\s*:\s*(\S)')
 #: Byte ranges up to which their states are broadcast (some 100 bytes each); more are joined by sorting.
 MOST_BROADCAST = 100_000
+TRIES = 3
 _STEP = np.zeros(256, np.int64)
 _STEP[[ord("{"), ord("[")]], _STEP[[ord("}"), ord("]")]] = 1, -1
 _STRUCTURE = _STEP != 0
@@ -52,14 +53,14 @@ def tokens(b: np.ndarray) -> Tokens:
 
 
 def _texts(batches, extra: int):
-    """path, block, the columns behind, and the text, of the runs of rows of one range, a batch at a time."""
+    """path, block and length, the columns behind, and the text, of the runs of rows of one range, a batch at a time."""
     for batch in batches:
-        path, block, value = batch.column(0).dictionary_encode(), batch.column(1).to_numpy(), batch.column(2)
+        path, block, value = batch.column(0).dictionary_encode(), batch.column(1).to_numpy(), batch.column(3)
         new = np.flatnonzero(np.r_[True, (np.diff(path.indices.to_numpy()) != 0) | (np.diff(block) != 0)]) if len(block) else []
         for i, j in zip(new, [*new[1:], len(block)]):
             i, j = int(i), int(j)
             lines = pa.ListArray.from_arrays(pa.array([0, j - i], pa.int32()), value.slice(i, j - i).cast(pa.binary()))
-            yield batch.column(0)[i].as_py(), int(block[i]), [batch.column(3 + k)[i].as_py() for k in range(extra)], pc.binary_join(lines, b"}")[0].as_py() + b"}"
+            yield tuple(batch.column(k)[i].as_py() for k in range(3)), [batch.column(4 + k)[i].as_py() for k in range(extra)], pc.binary_join(lines, b"}")[0].as_py() + b"}"
 
 
 class _Reading:
@@ -91,7 +92,7 @@ class _Reading:
 
 
 _KEYS = "array<struct<key: string, depth: bigint, at: bigint, char: string, closed: boolean>>"
-_SUMMARY = f"path string, block long, inside int, ends int, depth long, low long, first string, first_at long, keys {_KEYS}"
+_SUMMARY = f"path string, block long, length long, inside int, ends int, depth long, low long, first string, first_at long, keys {_KEYS}"
 
 
 def _summaries(batches):
@@ -100,14 +101,14 @@ def _summaries(batches):
 
     def told():
         rows = [(*now, r.inside, r.now, r.depth, r.low, *first, [*r.keys.values()]) for r in readings]
-        types = [pa.string(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.string(), pa.int64(), type_]
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], [c.split()[0] for c in _SUMMARY.split(", ", 8)])
+        types = [pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.string(), pa.int64(), type_]
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], [c.split()[0] for c in _SUMMARY.split(", ", 9)])
 
-    for path, block, _, text in _texts(batches, 0):
-        if (path, block) != now:
+    for place, _, text in _texts(batches, 0):
+        if place != now:
             if now:
                 yield told()
-            now, readings, at, first = (path, block), [_Reading(0), _Reading(1)], 0, (None, 0)
+            now, readings, at, first = place, [_Reading(0), _Reading(1)], 0, (None, 0)
         if first[0] is None and (m := re.search(rb"\S", text)):
             first = (chr(m[0][0]), at + m.start())
         b = np.frombuffer(text, np.uint8)
@@ -119,7 +120,7 @@ def _summaries(batches):
         yield told()
 
 
-_PLAN = "path string, block long, inside int, depth long, start long, level long"
+_PLAN = "path string, block long, length long, inside int, depth long, start long, level long"
 
 
 def _along(table: pa.Table, lenient: bool) -> pa.Table:
@@ -128,7 +129,7 @@ def _along(table: pa.Table, lenient: bool) -> pa.Table:
     inside, depth, first, keys, states = 0, 0, None, {}, []
     for block in sorted({b for b, _ in rows}):
         r = rows[block, inside]
-        states.append((block, inside, depth, depth + r["low"]))
+        states.append((block, r["length"], inside, depth, depth + r["low"]))
         if first is None and r["first"]:
             first = (r["first"], block, r["first_at"])
         for k in r["keys"]:
@@ -146,21 +147,22 @@ def _along(table: pa.Table, lenient: bool) -> pa.Table:
             raise ValueError(f"{path}: {NO_LIST}")
         start, level, closed = (block, k["at"]), 2, k["closed"]
     out = []
-    for block, inside, depth, low in states:
+    for block, length, inside, depth, low in states:
         if block == start[0]:
-            out.append((path, block, inside, depth, start[1], level))
+            out.append((path, block, length, inside, depth, start[1], level))
             if closed or (closed is None and low < level - 1):
                 break
         elif block > start[0]:
-            out.append((path, block, inside, depth, -1, level))
+            out.append((path, block, length, inside, depth, -1, level))
             if low < level:
                 break
-    types = [pa.string(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
+    types = [pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
     return pa.table([pa.array(c, t) for c, t in zip(zip(*out), types)], names=[c.split()[0] for c in _PLAN.split(", ")])
 
 
-#: What a piece of text is: the rest (or the middle) of a record that began in an earlier range, the beginning of one, a whole one.
-REST, BEGUN, WHOLE = 0, 1, 2
+#: What a piece of text is: the rest (or the middle) of a record that began in an earlier range, the beginning of one, a whole one;
+#: or no text, a range's mark that it was read.
+REST, BEGUN, WHOLE, READ = 0, 1, 2, 3
 
 
 class _Cutting:
@@ -207,16 +209,16 @@ def _cut(batches):
         n = len(found)
         return pa.RecordBatch.from_arrays([pa.array([now[0]] * n, pa.string()), pa.array([now[1]] * n, pa.int64()), pa.array(range(count, count + n), pa.int64()), pa.array([k for k, _ in found], pa.int32()), pa.array([x for _, x in found], pa.binary()).cast(pa.string())], ["path", "block", "place", "kind", "record"])
 
-    for path, block, state, text in _texts(batches, 4):
-        if (path, block) != now:
+    for place, state, text in _texts(batches, 4):
+        if place != now:
             if now:
-                yield made(cutting.rest())
-            now, cutting, at, count = (path, block), _Cutting(*state), 0, 0
+                yield made([*cutting.rest(), (READ, b"")])
+            now, cutting, at, count = place, _Cutting(*state), 0, 0
         found = cutting.add(text, at)
         yield made(found)
         at, count = at + len(text), count + len(found)
     if now:
-        yield made(cutting.rest())
+        yield made([*cutting.rest(), (READ, b"")])
 
 
 def read_envelopes(spark: SparkSession, path: str, lenient: bool = False) -> DataFrame:
@@ -224,20 +226,32 @@ def read_envelopes(spark: SparkSession, path: str, lenient: bool = False) -> Dat
 
     What has no list of records, or isn't a whole document, is an error. Files of no bytes have no records. Of repeated keys,
     the last counts. The records' texts are written once to the shared folder; only the pieces of records that lie across byte
-    ranges are shuffled, and only a file's pieces and ranges come together.
+    ranges are shuffled, and only a file's pieces and ranges come together. Files are read twice, in the same ranges; where Spark
+    has cut them otherwise the second time (as a cluster's size may change it), they are read anew, and after TRIES it is an error.
     """
-    lines = spark.read.option("lineSep", "}").text(path).select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"), "value")
-    states = lines.mapInArrow(_summaries, _SUMMARY).groupBy("path").applyInArrow(lambda t: _along(t, lenient), _PLAN)
-    states = once(states, "envelope-ranges").select(*[F.col(c).alias(f"{c}_") if c in ("path", "block") else F.col(c) for c in ("path", "block", "inside", "depth", "start", "level")])
-    same = (F.col("path") == F.col("path_")) & (F.col("block") == F.col("block_"))
-    columns = ["path", "block", "value", "inside", "depth", "start", "level"]
-    if states.count() <= MOST_BROADCAST:
-        known = lines.join(F.broadcast(states), same).select(*columns)  # lines stay in their order
+    for _ in range(TRIES):
+        cut, whole = _read(spark, path, lenient)
+        if whole:
+            break
     else:
-        known = lines.withColumn("place", F.monotonically_increasing_id()).join(states.hint("merge"), same).sortWithinPartitions("path", "block", "place").select(*columns)
-    cut = once(known.mapInArrow(_cut, "path string, block long, place long, kind int, record string"), "envelope-records")
+        raise ValueError(f"{path}: files were cut in other ranges at each reading; set spark.sql.files.minPartitionNum")
     w = Window.partitionBy("path").orderBy("block", "place")  # two rows a range at most
-    pieces = cut.where(F.col("kind") != WHOLE).withColumn("group", F.sum((F.col("kind") == BEGUN).cast("long")).over(w))
+    pieces = cut.where(F.col("kind").isin(REST, BEGUN)).withColumn("group", F.sum((F.col("kind") == BEGUN).cast("long")).over(w))
     joined = pieces.groupBy("path", "group").agg(F.array_sort(F.collect_list(F.struct("block", "place", "record"))).alias("p")).select(F.array_join(F.transform("p", lambda x: x["record"]), "").alias("record"))
-    whole = cut.where(F.col("kind") == WHOLE).select("record").unionAll(joined)
-    return whole.select(F.trim(F.col("record"), F.lit(" \t\r\n")).alias("record")).where("record <> ''")
+    found = cut.where(F.col("kind") == WHOLE).select("record").unionAll(joined)
+    return found.select(F.trim(F.col("record"), F.lit(" \t\r\n")).alias("record")).where("record <> ''")
+
+
+def _read(spark: SparkSession, path: str, lenient: bool) -> tuple[DataFrame, bool]:
+    """The pieces of all records, and whether every range with records was read as it was in the pass before."""
+    lines = spark.read.option("lineSep", "}").text(path).select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"), F.col("_metadata.file_block_length").alias("length"), "value")
+    states = lines.mapInArrow(_summaries, _SUMMARY).groupBy("path").applyInArrow(lambda t: _along(t, lenient), _PLAN)
+    keys = ["path", "block", "length"]
+    states, columns = once(states, "envelope-ranges"), [*keys, "value", "inside", "depth", "start", "level"]
+    ranges = states.count()
+    if ranges <= MOST_BROADCAST:
+        known = lines.join(F.broadcast(states), keys).select(*columns)  # lines stay in their order
+    else:
+        known = lines.withColumn("place", F.monotonically_increasing_id()).join(states.hint("merge"), keys).sortWithinPartitions("path", "block", "place").select(*columns)
+    cut = once(known.mapInArrow(_cut, "path string, block long, place long, kind int, record string"), "envelope-records")
+    return cut, cut.where(F.col("kind") == READ).count() == ranges
