@@ -143,15 +143,16 @@ def discrepancies(classified: DataFrame, truth: DataFrame, field: str, key: str
 
 
 def _joined(classified: DataFrame, truth: DataFrame, field: str, key: str) -> DataFrame:
+    # both sides grow with the files; the estimate behind the generators of settled() is far too low, and would broadcast them
     ours = classified.where(F.col(key).isNotNull() & (F.col(key) != "")).groupBy(F.col(key).alias("_key")).agg(F.max_by(F.struct(F.col(f"classifications.{field}.value").alias("v"), F.col(f"classifications.{field}.status").alias("s")), "entry_id").alias("o"))
-    rows = truth.where(F.col(key).isNotNull() & (F.col(key) != "")).select(F.col(key).alias("_key"), "truth").join(ours, "_key")
+    rows = truth.where(F.col(key).isNotNull() & (F.col(key) != "")).select(F.col(key).alias("_key"), "truth").join(ours.hint("merge"), "_key")
     outcome = F.when(F.col("truth").isNull() & F.col("o.v").isNotNull(), "we_inferred").when(F.col("truth").isNull(), "no_truth").when(F.col("o.v").isNull(), "not_classified").when(F.col("o.v") == F.col("truth"), "agree").otherwise("discrepancy")
     return rows.select("_key", F.coalesce("o.v", "o.s").alias("ours"), "truth", outcome.alias("outcome"))
 
 
 def accuracy(classified: DataFrame, truth: DataFrame, field: str, key: str = "file_name") -> DataFrame:
     """match, mismatch, unknown and percent of one field; case doesn't matter, files without truth don't count."""
-    rows = classified.join(truth.where("truth is not null and truth <> ''").select(key, "truth"), key)
+    rows = classified.join(truth.where("truth is not null and truth <> ''").select(key, "truth").hint("merge"), key)
     value = F.col(f"classifications.{field}.value")
     out = rows.agg(F.count_if(F.lower(value) == F.lower("truth")).alias("match"), F.count_if(F.lower(value) != F.lower("truth")).alias("mismatch"), F.count_if(value.isNull()).alias("unknown"))
     return out.withColumn("percent", F.round(F.try_divide(F.col("match") * 100.0, F.col("match") + F.col("mismatch")), 1).cast("double"))

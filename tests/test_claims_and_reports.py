@@ -191,3 +191,11 @@ def test_a_kind_of_one_s_own(spark, tmp_path):
     members = lambda k: kinds.read_payloads(spark, str(tmp_path / "t"), "tar", k).first().member_names
     other = kinds.with_kind("tar", kinds.Kind((".tar",), C.classify_archives, kinds.archives(lambda names: False), whole["tar"].payload))
     assert members(whole) == ["a.bam", "b"] and members(other) == ["a.bam", "b", "c"]
+
+
+def test_files_are_never_broadcast_to_compare_them_with_truth(spark):
+    from quern import queries as Q
+
+    for name in ("catalog_accuracy", "truth_compare", "discrepancy_categories"):
+        plan = Q.QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan, name
