@@ -39,10 +39,11 @@ def nearest(contigs: DataFrame, references: DataFrame, tolerance: int = TOLERANC
     band = F.expr(f"cast(floor(n / {width}) as bigint)")
     beside = held.withColumn("band", F.explode(F.array(band - 1, band, band + 1)))
     both = asked.where("c is not null and n is not null").withColumn("band", band).withColumn("r", F.lit(None).cast(held.schema["r"].dataType)).unionByName(beside, allowMissingColumns=True)
-    order = Window.partitionBy("c", "band").orderBy("n")
+    # both frames grow from their start: one that shrinks to its end would be gone through again for every row
+    rising, falling = (Window.partitionBy("c", "band").orderBy(o).rangeBetween(Window.unboundedPreceding, 0) for o in (F.asc("n"), F.desc("n")))
     gap = lambda found: F.when(found.isNotNull(), F.struct(F.abs(found["n"] - F.col("n")).alias("gap"), found["r"]["rank"].alias("rank"), found["r"]["assembly"].alias("assembly")))
     known = F.when(F.col("r").isNotNull(), F.struct("n", "r"))
-    below, above = F.last(known, True).over(order.rangeBetween(Window.unboundedPreceding, 0)), F.first(known, True).over(order.rangeBetween(0, Window.unboundedFollowing))
+    below, above = F.last(known, True).over(rising), F.last(known, True).over(falling)
     swept = both.withColumns({"below": below, "above": above}).where("rows is not null")
     best = F.array_min(F.array_compact(F.array(gap(F.col("below")), gap(F.col("above")))))
     answers = swept.select("c", "n", "rows", best.alias("b")).select("c", "n", "rows", F.when(F.col("b.gap") <= tolerance, F.col("b.assembly")).alias("assembly"))

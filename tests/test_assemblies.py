@@ -1,6 +1,7 @@
 """Reference tables of any size against brute force and against the expressions over three assemblies."""
 
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -53,3 +54,14 @@ def test_rule_out_equals_brute_force(spark, monkeypatch, bundle):
         left = [a for a, v in lengths.items() if not any(c in most and most[c] > n + 500 for c, n in v.items())]
         evidence = sum(any(c in v and p > v[c] + 500 for v in lengths.values()) for c, p in most.items())
         assert got[k] == (len(left), left[0] if len(left) == 1 else None, evidence), k
+
+
+
+def test_a_wide_band_is_gone_through_once(spark):
+    """60,000 lengths and as many references in one band: a frame that shrinks to its end takes minutes for them."""
+    n = 60_000
+    refs = spark.range(n).selectExpr("concat('a', id) AS assembly", "'1' AS contig", "id * 2 AS length", "id AS rank")
+    asked = spark.range(n).selectExpr("id AS i", "'chr1' AS contig", "id * 2 + 1 AS length")
+    began = time.monotonic()
+    got = A.nearest(asked, refs, tolerance=10_000_000).selectExpr("count(*) AS n", "count_if(assembly = concat('a', i)) AS low").first()
+    assert got == (n, n) and time.monotonic() - began < 60
