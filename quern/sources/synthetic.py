@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from quern.functions.names import settled
 from quern.functions.reference import LENGTHS
 
+#: Rows of a table that a task gets, about.
+ROWS = 100_000
 TOKENS = ("_rnaseq", "_wgs_a", "_exome", ".hifi_reads", "_atac", "_chipseq", ".GRCh38", ".hg19", ".chm13", "-mc-graph", ".regions", "_targets", "")
 EXTENSIONS = (".bam", ".cram", ".vcf.gz", ".g.vcf.gz", ".fastq.gz", ".fa.gz", ".bed", ".bed.gz", ".md5", ".svs", ".png", ".idat", ".h5ad", ".bw", ".txt", ".tar.gz", ".unknown", ".gfa", ".fast5.tar.gz")
 INDEXES = {".bam": ".bai", ".cram": ".crai", ".vcf.gz": ".tbi", ".g.vcf.gz": ".tbi", ".bed.gz": ".csi"}
@@ -110,16 +112,14 @@ FROM lineitem
 def over(spark: SparkSession, sf_dir: str, sql: str, *tables: str) -> DataFrame:
     """A Spark SQL text over some of the tables.
 
-    Rules cost far more than reading: what comes from fewer splits than there are cores is dealt out to all of them. Large
-    tables have splits enough and aren't shuffled for it.
+    Rules cost far more than reading, and splits follow a table's bytes, of which it has few a row: a table is dealt out by its
+    first column, its key, to all cores and so that a task gets some ROWS rows. Grouping by the key needs no other shuffle then.
     """
-    splits = []
+    cores = spark.sparkContext.defaultParallelism
     for t in tables:
         df = spark.read.parquet(f"{sf_dir}/{t}.parquet")
-        df.createOrReplaceTempView(t)
-        splits.append(df.rdd.getNumPartitions())
-    cores = spark.sparkContext.defaultParallelism
-    return spark.sql(sql).repartition(cores) if max(splits) < cores else spark.sql(sql)
+        df.repartition(max(cores, -(-df.count() // ROWS)), df.columns[0]).createOrReplaceTempView(t)
+    return spark.sql(sql)
 
 
 def catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
