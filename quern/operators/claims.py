@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from quern.functions.names import let
 from quern.plans.compile import CLAIM, claim
-from quern.plans.rules import NOT_APPLICABLE, NOT_CLASSIFIED, RNA_PROGRAMS
+from quern.plans.rules import NOT_APPLICABLE, NOT_CLASSIFIED
 
 
 CONFLICT, NO_CLAIMS = "top-tier rules disagree: ", "no rule claims a value"
@@ -116,13 +116,17 @@ def add_if(claims: Column, when: Column, new: Column) -> Column:
     return F.when(F.coalesce(when, F.lit(False)), F.array_append(claims, new)).otherwise(claims)
 
 
-def inferred_assay(modality: Column, platform: Column, ext: Column, file_size: Column, rules: Column) -> Column:
-    """The assay that other fields imply, or null. Bounds are strict: a size on a bound implies nothing."""
+def implied_by(assay: Column) -> Column:
+    return F.concat(F.lit("implied by modality, platform and size: "), assay)
+
+
+def inferred_assay(modality: Column, platform: Column, ext: Column, file_size: Column, rna: Column) -> Column:
+    """The assay that other fields imply, or null. rna: whether a program for RNA was run. Bounds are strict: a size on a bound implies nothing."""
     gb = file_size / F.lit(1e9)
     genomic, cram = modality == "genomic", ext == ".cram"
     short = genomic & (platform == "ILLUMINA")
     return (
-        F.when(F.arrays_overlap(rules, F.array(*[F.lit(x) for x in RNA_PROGRAMS])), "RNA-seq")
+        F.when(rna, "RNA-seq")
         .when(modality.contains("transcriptomic"), "RNA-seq")
         .when(genomic & platform.isin("PACBIO", "ONT"), "WGS")
         .when(short & ~cram & ((gb > 50) | ((gb > 20) & (gb < 50))), "WGS")
@@ -135,4 +139,4 @@ def inferred_assay(modality: Column, platform: Column, ext: Column, file_size: C
 def with_assay(claims: str, assay: Column) -> Column:
     """assay_type's claims, with the inferred one where nothing is declared and no conflict stands."""
     open_ = let(resolve(claims), lambda r: (r["status"] == NOT_CLASSIFIED) & (r["reason"] != "conflict")) & assay.isNotNull()
-    return add_if(F.col(claims), open_, claim("infer_assay_type", F.concat(F.lit("implied by modality, platform and size: "), assay), 3, assay))
+    return add_if(F.col(claims), open_, claim("infer_assay_type", implied_by(assay), 3, assay))

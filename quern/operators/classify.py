@@ -9,9 +9,10 @@ from quern.functions.headers import archive, illumina, lines_of, pacbio, paired_
 from quern.functions.names import extension_of, let, parse_name, settled, settled_extension
 from quern.functions.reference import ASSEMBLIES, CHROMS, by_bed, sam_contigs, vcf_contigs, vote_winner
 from quern.plans.compile import claim, rule_ids, with_claims, with_matches
-from quern.plans.rules import CONTENT_TIER, FIELDS, NOT_APPLICABLE, NOT_CLASSIFIED, RULES, Rule, checked
+from quern.plans.rules import CONTENT_TIER, FIELDS, NOT_APPLICABLE, NOT_CLASSIFIED, RNA_PROGRAMS, RULES, Rule, checked
 
 from .claims import add_if, declared, entry, inferred_assay, last_reason, resolve, with_assay
+from .labels import countable, labelled
 
 Rules = list[Rule] | None
 
@@ -56,7 +57,7 @@ def _prepared(files: DataFrame, default: str | None = None) -> DataFrame:
 
 
 def _inferred(df: DataFrame, rules: Rules = None) -> DataFrame:
-    assay = inferred_assay(resolve("data_modality")["value"], resolve("platform")["value"], F.col("ext"), F.col("file_size"), rule_ids(rules))
+    assay = inferred_assay(resolve("data_modality")["value"], resolve("platform")["value"], F.col("ext"), F.col("file_size"), F.arrays_overlap(rule_ids(rules), F.array(*[F.lit(x) for x in RNA_PROGRAMS])))
     return settled(df, {"assay_type": with_assay("assay_type", assay)})
 
 
@@ -64,17 +65,24 @@ def _given(keep: list[str]) -> list[Column]:
     return [F.col(f"`_in_{c}`" if c in CLASH else f"`{c}`").alias(c) for c in keep if c != "classifications"]
 
 
-def _finished(df: DataFrame, keep: list[str], extra: tuple[str, ...] = ()) -> DataFrame:
+def _finished(df: DataFrame, keep: list[str], also: tuple[Column, ...] = ()) -> DataFrame:
     df = settled(df, {f: F.col(f) for f in FIELDS})
-    return settled(df, {"classifications": F.struct(*[entry(f).alias(f) for f in FIELDS])}).select(*_given(keep), "classifications", *extra)
+    return settled(df, {"classifications": F.struct(*[entry(f).alias(f) for f in FIELDS])}).select(*_given(keep), "classifications", *also)
 
 
-def _labelled(df: DataFrame, keep: list[str]) -> DataFrame:
+def _labelled(matched: DataFrame, keep: list[str], rules: Rules = None, extra: dict[str, tuple[Column, Column]] | None = None, also: tuple[Column, ...] = ()) -> DataFrame:
+    """Labels by labels.labelled(); where a field has more decisions than a number has bits, by lists of claims."""
+    if countable(rules):
+        return labelled(matched, rules, extra).select(*_given(keep), "classifications", *also)
+    df = _inferred(with_claims(matched, rules), rules)
+    for f, (value, reason) in (extra or {}).items():
+        df = df.withColumn(f, add_if(F.col(f), value.isNotNull(), claim("content", reason, CONTENT_TIER, value)))
+
     def field(f: str) -> Column:
         return let(resolve(f), lambda r: F.struct(r["value"].alias("value"), r["status"].alias("status"), last_reason(f, r).alias("why")))
 
     df = settled(df, {f: field(f) for f in FIELDS})
-    return settled(df, {"classifications": F.struct(*[F.col(f) for f in FIELDS])}).select(*_given(keep), "classifications")
+    return settled(df, {"classifications": F.struct(*[F.col(f) for f in FIELDS])}).select(*_given(keep), "classifications", *also)
 
 
 def _base(files: DataFrame, default: str | None, header: Column | None = None, scope: str | None = None, rules: Rules = None) -> DataFrame:
@@ -87,8 +95,9 @@ def classify(files: DataFrame, rules: Rules = None, evidence: bool = True) -> Da
     rules: others than the built-in ones (see plans.rules_file). Without evidence, a field holds value, status and why, the
     reason that its evidence would end with.
     """
-    df = _base(files, None, rules=rules)
-    return _finished(df, files.columns) if evidence else _labelled(df, files.columns)
+    if not evidence:
+        return _labelled(with_matches(_prepared(files), rules=rules), files.columns, rules)
+    return _finished(_base(files, None, rules=rules), files.columns)
 
 
 def classify_alignments(files: DataFrame, rules: Rules = None) -> DataFrame:
@@ -102,11 +111,14 @@ def classify_alignments(files: DataFrame, rules: Rules = None) -> DataFrame:
     return _finished(_inferred(df, rules), files.columns)
 
 
-def classify_variants(files: DataFrame, rules: Rules = None) -> DataFrame:
+def classify_variants(files: DataFrame, rules: Rules = None, evidence: bool = True) -> DataFrame:
     """files with `header_text` (VCF header)."""
     text = F.col("header_text")
-    df = settled(_base(files, ".vcf.gz", text, "vcf_header", rules), {"vote": vote_winner(vcf_contigs(F.filter(lines_of(text), lambda x: x.startswith("##contig"))))})
+    df = with_matches(_prepared(files, ".vcf.gz"), text, "vcf_header", rules)
+    df = settled(_inferred(with_claims(df, rules), rules) if evidence else df, {"vote": vote_winner(vcf_contigs(F.filter(lines_of(text), lambda x: x.startswith("##contig"))))})
     reason = F.concat(F.col("vote.matches").cast("string"), F.lit(" contig lengths are those of "), F.col("vote.assembly"))
+    if not evidence:
+        return _labelled(df, files.columns, rules, {"reference_assembly": (F.col("vote.assembly"), reason)})
     df = df.withColumn("reference_assembly", add_if(F.col("reference_assembly"), F.col("vote.assembly").isNotNull(), claim("vcf_contig_length", reason, CONTENT_TIER, F.col("vote.assembly"))))
     return _finished(df, files.columns)
 
@@ -206,11 +218,14 @@ def is_variant_store(members: Column) -> Column:
 def dominant_extension(members: Column) -> Column:
     """extension, n and first example of the most frequent member extension; the first seen wins ties. Null without any."""
     base = F.transform(members, lambda m: F.element_at(F.split(m, "/"), -1))
-    known = F.filter(F.transform(base, lambda b: F.struct(extension_of(b).alias("e"), b.alias("b"))), lambda x: x["e"].isNotNull())
+    return let(F.filter(F.transform(base, lambda b: F.struct(extension_of(b).alias("e"), b.alias("b"))), lambda x: x["e"].isNotNull()), _dominant)
+
+
+def _dominant(known: Column) -> Column:
     kinds = F.array_distinct(F.transform(known, lambda x: x["e"]))
     tally = F.transform(kinds, lambda k, i: F.struct(F.size(F.filter(known, lambda x: x["e"] == k)).alias("n"), (-i).alias("order"), k.alias("e")))
-    top = F.array_max(tally)
-    return F.when(F.size(known) > 0, F.struct(top["e"].alias("extension"), top["n"].alias("n"), F.try_element_at(F.filter(known, lambda x: x["e"] == top["e"]), F.lit(1))["b"].alias("example")))
+    found = let(F.array_max(tally), lambda top: F.struct(top["e"].alias("extension"), top["n"].alias("n"), F.try_element_at(F.filter(known, lambda x: x["e"] == top["e"]), F.lit(1))["b"].alias("example")))
+    return F.when(F.size(known) > 0, found)
 
 
 def _by_extension(field: str, rules: Rules = None) -> Column:
@@ -228,17 +243,21 @@ def _by_extension(field: str, rules: Rules = None) -> Column:
     return F.create_map(*[F.lit(x) for kv in out.items() for x in kv])
 
 
-def classify_archives(files: DataFrame, rules: Rules = None) -> DataFrame:
-    """files with `member_names` (array): a variant store by its files' names, else what the commonest members are."""
+def classify_archives(files: DataFrame, rules: Rules = None, evidence: bool = True, told: bool = False) -> DataFrame:
+    """files with `member_names` (array): a variant store by its files' names, else what the commonest members are.
+
+    told: plus is_store and dominant, what is_variant_store() and dominant_extension() say of the members.
+    """
     members = F.coalesce("member_names", F.array().cast("array<string>"))
     df = _prepared(files).withColumn("ext", F.coalesce(extension_of(F.col("file_name")), F.lit("")))
-    df = settled(_inferred(with_claims(with_matches(df, rules=rules), rules), rules), {"_store": is_variant_store(members), "_dom": dominant_extension(members)})
+    df = with_matches(df, rules=rules)
+    df = settled(_inferred(with_claims(df, rules), rules) if evidence else df, {"_store": is_variant_store(members), "_dom": dominant_extension(members)})
+    extra = (F.col("_store").alias("is_store"), F.col("_dom").alias("dominant")) if told else ()
     reason = F.when(F.col("_store"), F.lit("files of a variant store")).otherwise(F.concat(F.col("_dom.n").cast("string"), F.lit(" members end in "), F.col("_dom.extension"), F.lit(", first "), F.col("_dom.example")))
-    new = {}
-    for f, store in (("data_modality", "genomic"), ("data_type", "variants")):
-        value = F.when(F.col("_store"), F.lit(store)).otherwise(F.element_at(_by_extension(f, rules), F.col("_dom.extension")))
-        new[f] = add_if(F.col(f), value.isNotNull(), claim("tar_inner_format", reason, CONTENT_TIER, value))
-    return _finished(df.withColumns(new), files.columns)
+    values = {f: F.when(F.col("_store"), F.lit(store)).otherwise(F.element_at(_by_extension(f, rules), F.col("_dom.extension"))) for f, store in (("data_modality", "genomic"), ("data_type", "variants"))}
+    if not evidence:
+        return _labelled(df, files.columns, rules, {f: (v, reason) for f, v in values.items()}, extra)
+    return _finished(df.withColumns({f: add_if(F.col(f), v.isNotNull(), claim("tar_inner_format", reason, CONTENT_TIER, v)) for f, v in values.items()}), files.columns, extra)
 
 
 def classify_intervals(files: DataFrame, rules: Rules = None) -> DataFrame:

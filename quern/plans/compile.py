@@ -92,7 +92,7 @@ def claims_of(field: str, rules: list[Rule] | None = None) -> Column:
     if not own:
         return F.array().cast(f"array<{CLAIM}>")
     # one literal in SQL text: a call for each part of each claim would cost more than the query
-    held = ", ".join(f"named_struct('rule_id', {_quoted(r.id)}, 'reason', {_quoted(_reason(r))}, 'tier', {r.tier}, 'value', {_quoted(r.then.get(field))}, 'status', {_quoted(r.status.get(field))}, 'marker', cast(null as string), 'competing_values', cast(null as array<string>))" for r in own.values())
+    held = ", ".join(f"named_struct('rule_id', {_quoted(r.id)}, 'reason', {_quoted(reason_of(r))}, 'tier', {r.tier}, 'value', {_quoted(r.then.get(field))}, 'status', {_quoted(r.status.get(field))}, 'marker', cast(null as string), 'competing_values', cast(null as array<string>))" for r in own.values())
     order = ", ".join(f"{i}, {n}" for n, i in enumerate(own))
     return F.expr(f"transform(filter(transform(matched, i -> map({order})[i]), n -> n is not null), n -> array({held})[n])")
 
@@ -106,7 +106,7 @@ def with_claims(df: DataFrame, rules: list[Rule] | None = None) -> DataFrame:
     return settled(df, {f: claims_of(f, rules) for f in FIELDS})
 
 
-def _reason(rule: Rule) -> str:
+def reason_of(rule: Rule) -> str:
     """What the rule looked at, in words."""
     w = rule.when
     parts = [f"{k.replace('_', ' ')} {', '.join(v) if isinstance(v, tuple) else v}" for k, v in w.items()]
