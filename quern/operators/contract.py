@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quern.functions.names import let
+
 from .classify import unreadable
 from .samples import first_of_groups
 
@@ -23,9 +25,12 @@ def reasons(record: Column) -> Column:
     A reason never holds the offending value, so equal faults have equal texts. Unknown keys are ignored; a string where a
     number is expected is a fault, as JSON types are looked at before any cast.
     """
-    v = F.try_parse_json(record)
+    parsed = F.struct(F.try_parse_json(record).alias("v"), F.coalesce(F.json_object_keys(record), F.array().cast("array<string>")).alias("keys"))
+    return let(parsed, lambda p: _reasons(p["v"], p["keys"]))
+
+
+def _reasons(v: Column, keys: Column) -> Column:
     kind = lambda f: F.schema_of_variant(F.try_variant_get(v, f"$.{f}", "variant"))
-    keys = F.coalesce(F.json_object_keys(record), F.array().cast("array<string>"))
 
     def fault(f: str) -> Column:
         want, text = EXPECTED.get(f, ("STRING", "expected a string"))

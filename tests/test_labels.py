@@ -43,3 +43,10 @@ def test_tasks_get_a_bounded_number_of_rows(spark, monkeypatch):
     monkeypatch.setattr(S, "ROWS", 100)
     n = spark.read.parquet(f"{SF}/orders.parquet").count()
     assert S.catalog(spark, SF).rdd.getNumPartitions() == -(-n // 100) > 4
+
+
+def test_a_record_is_parsed_once(spark):
+    from quern.operators import contract
+
+    plan = spark.createDataFrame([("{}",)], "record string").select(contract.reasons(F.col("record")))._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert max(plan.count("parse_json("), plan.count("parsejson")) == 1
