@@ -64,7 +64,7 @@ def catalog_verdicts(classified: DataFrame, catalogs: dict[str, DataFrame]) -> D
     label = lambda f: F.coalesce(F.col(f"classifications.{f}.value"), F.col(f"classifications.{f}.status"))
     slim = classified.select("file_name", *[label(f).alias(f) for f in COMPARED]).repartition("file_name")  # a stage of its own: rules and a join are too much code for one
     ours = slim.select("file_name", F.create_map(*[x for f in COMPARED for x in (F.lit(f), F.col(f))]).alias("ours"))
-    rows = ours.join(catalog_truth(catalogs), "file_name").select("file_name", "catalog", "ours", F.explode_outer("truth").alias("field", "expected"))
+    rows = ours.join(catalog_truth(catalogs).hint("merge"), "file_name").select("file_name", "catalog", "ours", F.explode_outer("truth").alias("field", "expected"))
     rows = rows.withColumn("ours", F.element_at("ours", F.col("field")))
     none = F.col("ours").isNull() | F.lower("ours").isin("not_classified", "not_applicable", "")
     verdict = F.when(F.col("field").isNull(), None).when(none, "unknown").when(F.upper("ours") == F.upper("expected"), "match").otherwise("mismatch")
@@ -100,7 +100,7 @@ def run_verdicts(classified: DataFrame, runs: DataFrame) -> DataFrame:
     """
     text = lambda c: F.coalesce(F.col(c), F.lit(""))
     known = runs.where("run_accession <> ''").groupBy(F.col("run_accession").alias("accession")).agg(F.max(F.struct(F.upper(text("instrument_platform")).alias("platform"), text("library_strategy").alias("strategy"), text("library_source").alias("source"))).alias("run"))
-    rows = classified.withColumn("accession", accession(classified)).where("accession is not null").join(known, "accession", "left")
+    rows = classified.withColumn("accession", accession(classified)).where("accession is not null").join(known.hint("merge"), "accession", "left")
     error = F.when(F.col("run").isNull(), "no_record").when(F.col("run.platform") == "", "no_platform")
     source, strategy = F.col("run.source"), F.col("run.strategy")
     modality = F.when((source == "") & (strategy == ""), None).when((source == "TRANSCRIPTOMIC") | strategy.isin("RNA-Seq", "FL-cDNA"), "transcriptomic").otherwise("genomic")

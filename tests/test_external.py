@@ -183,3 +183,11 @@ def test_lengths(spark):
     rows = [("GRCh38", "chr1", LENGTHS["GRCh38"][0]), ("GRCh38", "MT", 16569), ("CHM13", "2", 1)]
     got = {r.assembly: (r.matches, r.mismatches, r.status) for r in external.check_lengths(spark.createDataFrame(rows, "assembly string, contig string, length long")).collect()}
     assert got == {"GRCh38": (1, 0, "valid"), "CHM13": (0, 1, "mismatch"), "GRCh37": (0, 0, "missing")}
+
+
+def test_files_are_never_broadcast_to_meet_records(spark):
+    from quern import queries as Q
+
+    for name in ("catalog_matches", "run_accession_join"):
+        plan = Q.QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan, name
