@@ -21,8 +21,11 @@ from quern.sources.sinks import once
 
 from .skew import join_per_key
 
-#: Assemblies that are ruled out together, as one bitmap of 128 bytes; and contig lengths that a pass over the files takes, about.
-SET, BUNDLE = 1024, 250_000
+#: Assemblies that are ruled out together, as one bitmap of 32 bytes; and contig lengths that a pass over the files takes, about (some
+#: 100 MB of a worker).
+SET, BUNDLE = 256, 2_000_000
+#: Files that go through the assemblies together, about: many, since each node that they meet costs some calls.
+FILES = 100_000
 
 
 def nearest(contigs: DataFrame, references: DataFrame, tolerance: int = TOLERANCE, contig_col: str = "contig", length_col: str = "length") -> DataFrame:
@@ -65,62 +68,129 @@ def vote(votes: DataFrame, key: str) -> DataFrame:
 class _Set:
     """Up to SET assemblies: for each contig, their lengths in ascending order, and a bitmap of the first so many of them."""
 
-    def __init__(self, assemblies: list[str], lengths: dict[str, list[tuple[int, int]]]):
+    def __init__(self, assemblies: np.ndarray, code: np.ndarray, place: np.ndarray, length: np.ndarray):
+        """assemblies: their numbers. place: an assembly's place among them."""
         self.assemblies, self.sorted, self.bits = assemblies, {}, {}
-        for contig, pairs in lengths.items():
-            n, a = np.array(sorted(pairs), dtype=np.int64).T
-            marks = np.zeros((len(n) + 1, SET), dtype=bool)
-            marks[np.arange(1, len(n) + 1), a] = True
-            self.sorted[contig], self.bits[contig] = n, np.packbits(np.logical_or.accumulate(marks, axis=0), axis=1)
-
-
-#: The sets that this process prepared last, by their bundle's name.
-_PREPARED: dict[str, list[_Set]] = {}
-
-
-def _sets(name: str, held: list[tuple[str, str, int]]) -> list[_Set]:
+        order = np.lexsort((length, code))
+        code, place, length = code[order], place[order], length[order]
+        edge = np.flatnonzero(np.r_[True, code[1:] != code[:-1], True])
+        for i, j in zip(edge[:-1].tolist(), edge[1:].tolist()):
+            marks = np.zeros((j - i + 1, SET), dtype=bool)
+            marks[np.arange(1, j - i + 1), place[i:j]] = True
+            self.sorted[int(code[i])], self.bits[int(code[i])] = length[i:j], np.packbits(np.logical_or.accumulate(marks, axis=0), axis=1)
+
+
+class _Node:
+    """Assemblies of like lengths: the codes of their contigs, the least and the largest length on each (no bound, where one of them
+    lacks the contig), and two nodes of half of them each, or a set."""
+
+    def __init__(self, assemblies: np.ndarray, code: np.ndarray, place: np.ndarray, length: np.ndarray):
+        """Rows are sorted by code."""
+        self.size = len(assemblies)
+        edge = np.flatnonzero(np.r_[True, code[1:] != code[:-1], True])
+        n = np.diff(edge)
+        self.codes, self.low, most = code[edge[:-1]], np.minimum.reduceat(length, edge[:-1]), np.maximum.reduceat(length, edge[:-1])
+        self.high = np.where(n == self.size, most, np.iinfo(np.int64).max)
+        self.parts, self.set = (), None
+        if self.size <= SET:
+            self.set = _Set(assemblies, code, place, length)
+            return
+        # halves by the contig that most of them have, and of these by the one whose lengths differ most
+        k = np.lexsort((most - self.low, n))[-1]
+        known = np.full(self.size, np.iinfo(np.int64).max)
+        known[place[edge[k] : edge[k + 1]]] = length[edge[k] : edge[k + 1]]
+        order = np.argsort(known, kind="stable")
+        for half in (order[: self.size // 2], order[self.size // 2 :]):
+            new = np.full(self.size, -1)
+            new[half] = np.arange(len(half))
+            own = new[place] >= 0
+            self.parts += (_Node(assemblies[half], code[own], new[place[own]], length[own]),)
+
+    def count(self, files: np.ndarray, own: np.ndarray, code: np.ndarray, reach: np.ndarray, left: np.ndarray, sole: np.ndarray) -> None:
+        """Adds to left how many assemblies each of files keeps here, and sets sole where it is one. own, code and reach: the
+        positions of files (by place in files), less the tolerance."""
+        if len(own):
+            at = np.minimum(np.searchsorted(self.codes, code), len(self.codes) - 1)
+            touch = np.flatnonzero((self.codes[at] == code) & (reach > self.low[at]))  # others rule out nothing here, nor in a part
+            own, code, reach, at = own[touch], code[touch], reach[touch], at[touch]
+        touched, gone = np.zeros(len(files), dtype=bool), np.zeros(len(files), dtype=bool)
+        touched[own] = True
+        if len(own):
+            gone[own[reach > self.high[at]]] = True
+        left[files[~touched]] += self.size
+        if self.size == 1:
+            sole[files[~touched]] = self.set.assemblies[0]
+        some = touched & ~gone
+        stay = some[own]
+        files, own, code, reach = files[some], (np.cumsum(some) - 1)[own[stay]], code[stay], reach[stay]
+        if not len(files):
+            return
+        if self.set is None:
+            for part in self.parts:
+                part.count(files, own, code, reach, left, sole)
+            return
+        bits = np.zeros((len(files), SET // 8), dtype=np.uint8)
+        for c in np.unique(code).tolist():
+            mine = np.flatnonzero(code == c)  # a file has a contig once
+            bits[own[mine]] |= self.set.bits[c][np.searchsorted(self.set.sorted[c], reach[mine], side="left")]
+        n = self.size - np.bitwise_count(bits.view(np.uint64)).sum(axis=1, dtype=np.int64)
+        left[files] += n
+        one = np.flatnonzero(n == 1)
+        sole[files[one]] = self.set.assemblies[np.unpackbits(bits[one], axis=1)[:, : self.size].argmin(axis=1)]
+
+
+#: What this process prepared last, by its bundle's name: the root, the codes of contigs and the assemblies' names.
+_PREPARED: dict[str, tuple[_Node | None, dict[str, int], pa.Array]] = {}
+
+
+def _prepared(name: str, held: pa.Table) -> tuple[_Node | None, dict[str, int], pa.Array]:
     """held: contig, assembly and length."""
     if name not in _PREPARED:
         _PREPARED.clear()
-        names = sorted({a for _, a, _ in held})
-        number = {a: i for i, a in enumerate(names)}
-        own: list[dict[str, list[tuple[int, int]]]] = [{} for _ in range(-(-len(names) // SET))]
-        for c, a, n in held:
-            own[number[a] // SET].setdefault(c, []).append((n, number[a] % SET))
-        _PREPARED[name] = [_Set(names[i * SET : (i + 1) * SET], x) for i, x in enumerate(own)]
+        contig, assembly = (held.column(i).combine_chunks().dictionary_encode() for i in (0, 1))
+        code, place, length = contig.indices.to_numpy().astype(np.int64), assembly.indices.to_numpy().astype(np.int64), held.column(2).to_numpy()
+        order = np.argsort(code, kind="stable")
+        root = _Node(np.arange(len(assembly.dictionary)), code[order], place[order], length[order]) if len(code) else None
+        _PREPARED[name] = root, {c: i for i, c in enumerate(contig.dictionary.to_pylist())}, assembly.dictionary
     return _PREPARED[name]
 
 
-def _ruled_out(batches, name: str, held: list[tuple[str, str, int]], tolerance: int):
-    sets = _sets(name, held)
+def _gathered(batches, rows: int):
+    held, n = [], 0
     for b in batches:
+        held.append(b)
+        n += b.num_rows
+        if n >= rows:
+            yield pa.concat_batches(held)
+            held, n = [], 0
+    if held:
+        yield pa.concat_batches(held)
+
+
+def _ruled_out(batches, name: str, held: pa.Table, tolerance: int):
+    root, codes, names = _prepared(name, held)
+    for b in _gathered(batches, FILES):
         places = b.column(1)
         flat, size = places.flatten(), pc.list_value_length(places).to_numpy()
         kinds, at = flat.field("c").dictionary_encode(), flat.field("n").to_numpy(zero_copy_only=False)
-        row, which, names = np.repeat(np.arange(b.num_rows), size), kinds.indices.to_numpy(zero_copy_only=False), kinds.dictionary.to_pylist()
-        left, sole = np.zeros(b.num_rows, np.int64), [None] * b.num_rows
-        for s in sets:
-            gone = np.zeros((b.num_rows, SET // 8), dtype=np.uint8)
-            for k, c in enumerate(names):
-                if c in s.sorted:
-                    own = np.flatnonzero(which == k)  # a file has a contig once
-                    gone[row[own]] |= s.bits[c][np.searchsorted(s.sorted[c], at[own] - tolerance, side="left")]
-            stay = ~np.unpackbits(gone, axis=1).astype(bool)[:, : len(s.assemblies)]
-            n = stay.sum(axis=1)
-            left += n
-            for i in np.flatnonzero(n == 1).tolist():
-                sole[i] = s.assemblies[int(stay[i].argmax())]
-        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(left), pa.array(sole, pa.string()), b.column(2)], ["_key", "n_left", "sole", "evidence"])
+        row, which = np.repeat(np.arange(b.num_rows), size), kinds.indices.to_numpy(zero_copy_only=False)
+        left, sole = np.zeros(b.num_rows, np.int64), np.full(b.num_rows, -1)
+        if root:
+            code = np.array([codes.get(c, -1) for c in kinds.dictionary.to_pylist()], dtype=np.int64)[which]
+            root.count(np.arange(b.num_rows), row, code, at - tolerance, left, sole)
+        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(left), names.take(pa.array(sole, mask=(sole < 0) | (left != 1))), b.column(2)], ["_key", "n_left", "sole", "evidence"])
 
 
 def rule_out(positions: DataFrame, references: DataFrame, tolerance: int = BED_TOLERANCE, key: str = "k", contig_col: str = "contig", position_col: str = "position") -> DataFrame:
     """key, n_left (assemblies that no position exceeds by more than the tolerance), assembly (that one, if it is the only one), and
     evidence (contigs on which a position rules out an assembly).
 
-    A contig's reference lengths are sorted once; a position rules out those that come before its place among them, which is
-    one bitmap. A file's bitmaps are put together, so no file meets an assembly row by row. References go to the tasks in bundles of
-    about BUNDLE rows, whole assemblies each; the files are passed once for each bundle, and its counts added up. Only the largest
-    position of each file and known contig is shuffled.
+    Assemblies stand in a tree that halves them by lengths down to sets of SET. A file goes into a node only if its positions rule out
+    some of the node's assemblies and may keep others; the rest are counted whole, by the least and the largest length on each
+    contig. In a set, a contig's lengths are sorted; a position rules out those that come before its place among them, which is one
+    bitmap, and a file's bitmaps are put together. So no file meets an assembly row by row, and few sets. References go to the tasks
+    in bundles of about BUNDLE rows, whole assemblies each; the files are passed once for each bundle, and its counts added up. Only
+    the largest position of each file and known contig is shuffled.
     """
     spark = positions.sparkSession
     held = references.select(bare(F.col("contig")).alias("c"), F.col("length").cast("long").alias("n"), "assembly").where("c is not null and n is not null and assembly is not null")
@@ -132,7 +202,7 @@ def rule_out(positions: DataFrame, references: DataFrame, tolerance: int = BED_T
     files = at.join(shortest, "c", "left").groupBy("_key").agg(F.array_compact(F.collect_list(F.when(known, F.struct("c", "n")))).alias("places"), F.count_if(F.col("n") - tolerance > F.col("shortest")).alias("evidence"))
     files, kind, found = once(files, "file-positions"), at.schema["_key"].dataType.simpleString(), []
     for i in range(bundles):
-        own = [tuple(r) for r in held.where(F.pmod(F.xxhash64("assembly"), F.lit(bundles)) == i).select("c", "assembly", "n").collect()]
+        own = held.where(F.pmod(F.xxhash64("assembly"), F.lit(bundles)) == i).select("c", "assembly", "n").toArrow()
         name, own = uuid.uuid4().hex, spark.sparkContext.broadcast(own)
         found.append(files.mapInArrow(lambda it, name=name, own=own: _ruled_out(it, name, own.value, tolerance), f"_key {kind}, n_left long, sole string, evidence long"))
     out = functools.reduce(DataFrame.unionAll, found)

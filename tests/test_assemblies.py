@@ -3,6 +3,8 @@
 import random
 import time
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -65,3 +67,23 @@ def test_a_wide_band_is_gone_through_once(spark):
     began = time.monotonic()
     got = A.nearest(asked, refs, tolerance=10_000_000).selectExpr("count(*) AS n", "count_if(assembly = concat('a', i)) AS low").first()
     assert got == (n, n) and time.monotonic() - began < 60
+
+
+def test_a_file_meets_few_sets_of_many_assemblies(monkeypatch):
+    """Work that grew with files times assemblies: with 64 times the assemblies, files look into some times the sets only."""
+    looked, plain = [], np.bitwise_count
+    monkeypatch.setattr(np, "bitwise_count", lambda bits: looked.append(len(bits)) or plain(bits))
+
+    def run(n):
+        refs = [(str(c), f"a{i}", 1_000_000 + (i * 7919 + c * 104_729) % 1_000_000) for i in range(n) for c in range(1, 8)]
+        held = pa.table(dict(zip(("c", "assembly", "n"), zip(*refs))))
+        rng = random.Random(1)
+        files = [[{"c": str(c), "n": rng.randrange(1_000_000, 2_000_700)} for c in range(1, 1 + rng.randint(1, 7))] for _ in range(200)]
+        looked.clear()
+        left = next(A._ruled_out([pa.RecordBatch.from_arrays([pa.array(range(200)), pa.array(files), pa.array([0] * 200)], ["_key", "places", "evidence"])], str(n), held, 500)).column(1).to_pylist()
+        for f, got in list(zip(files, left))[:5]:
+            most = {p["c"]: p["n"] for p in f}
+            assert got == n - len({a for c, a, x in refs if c in most and most[c] > x + 500})
+        return sum(looked)
+
+    assert 0 < run(64 * A.SET) < 16 * run(A.SET)
