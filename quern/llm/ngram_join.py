@@ -237,12 +237,16 @@ def shared_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray
 
 
 def _possible(table: pa.Table) -> pa.Table:
-    """centre and node of a tile's members that some other member may be similar to, by the bound of the bitmaps."""
+    """centre and node of a tile's members that some other member may be similar to, by the bound of the bitmaps.
+
+    Members of a centre of one tile come as groups that such pairs hold together, each with a centre of its own, named by its members:
+    documents that meet at many centres are verified once.
+    """
     side, node, n = (table.column(c).to_numpy() for c in ("side", "node", "n"))
     raw = [np.frombuffer(x, dtype=np.uint8) for x in table.column("bits").to_pylist()]
     size = np.array([len(x) * 8 for x in raw])
     own = bool((side == 2).any())
-    keep = np.zeros(len(node), dtype=bool)
+    keep, whole, links = np.zeros(len(node), dtype=bool), own and table.column("parts")[0].as_py() == 1, []
     for level in np.unique(size).tolist():  # sizes of similar sets, and so of their bitmaps, are at most one step apart
         rows = np.flatnonzero((size == level) | (size == 2 * level))
         bits = np.stack([raw[i][: level // 8] ^ raw[i][level // 8 :] if len(raw[i]) * 8 > level else raw[i] for i in rows])
@@ -255,9 +259,22 @@ def _possible(table: pa.Table) -> pa.Table:
         both = nn[left][:, None] + nn[right]
         small, large = np.minimum(nn[left][:, None], nn[right]), np.maximum(nn[left][:, None], nn[right])
         ok = (100 * small >= 75 * large) & (175 * (both - differ) >= 150 * both) & (node[rows[left]][:, None] != node[rows[right]])
+        ok &= (size[rows[left]] == level)[:, None] | (size[rows[right]] == level)  # pairs of the larger size have their own turn
         keep[rows[left[ok.any(axis=1)]]] = True
         keep[rows[right[ok.any(axis=0)]]] = True
-    return table.select(["centre", "node", "n"]).filter(pa.array(keep))
+        if whole:
+            a, b = np.nonzero(np.triu(ok))
+            links.append((rows[left[a]], rows[right[b]]))
+    out = table.select(["centre", "node", "n"])
+    if whole and keep.any():
+        members, roots = local_roots(*(node[np.concatenate(x)] for x in zip(*links)))
+        order = np.lexsort((members, roots))
+        members, roots = members[order], roots[order]
+        edge = np.flatnonzero(np.r_[True, roots[1:] != roots[:-1], True])
+        names = [class_of(members[i:j]) for i, j in zip(edge[:-1].tolist(), edge[1:].tolist())]
+        of = dict(zip(members.tolist(), np.repeat(np.array(names, dtype=np.int64), np.diff(edge)).tolist()))
+        out = out.set_column(0, "centre", pa.array([of.get(x, 0) for x in node.tolist()], pa.int64()))
+    return out.filter(pa.array(keep))
 
 
 def _tile(table: pa.Table) -> pa.Table:
@@ -311,7 +328,7 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     def tiled(members: DataFrame, each: int) -> DataFrame:
         size = F.greatest(F.count("*") / chunk, F.sum("n") / each)
         parts = members.groupBy("centre").agg(F.ceil(size).cast("int").alias("parts"))
-        return members.join(parts, "centre").withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")).select("centre", "node", F.explode(tiles).alias("t")).select("centre", "node", "t.*")
+        return members.join(parts, "centre").withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")).select("centre", "node", "parts", F.explode(tiles).alias("t")).select("centre", "node", "parts", "t.*")
 
     light = rows.join(pairs.select("node").distinct(), "node").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("bits").alias("bits"))
     sized = pairs.join(light.select("node", "n"), "node")

@@ -7,6 +7,7 @@ import zlib
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from quern.llm import embedding_dedup, fingerprints, language_id, ngram_join
@@ -241,3 +242,22 @@ def test_few_pairs_are_compared():
     for budget in (0.01, 1.0, 9.0, 100.0):
         a, b, _ = embedding_dedup.block_pairs(x, z, budget)
         assert {*zip(a.tolist(), b.tolist())} == {(i, j) for i in range(30) for j in range(17) if ((x[i] - z[j]) ** 2).sum() <= budget}
+
+
+def test_members_of_many_centres_are_one_group():
+    """Whatever else two documents meet beside, they are verified in one tile; groups that nothing holds together are apart."""
+    rng = np.random.default_rng(4)
+    sets = {}
+    for i in range(6):  # nodes 2i and 2i + 1 are near each other; the last two have sizes beside a power of two
+        s = rng.integers(0, 2**63, 300 if i < 5 else 512).astype(np.uint64)
+        sets |= {2 * i: s, 2 * i + 1: np.concatenate([s[3:], rng.integers(0, 2**63, 5).astype(np.uint64)])}
+
+    def possible(centre, members, parts=1, side=2):
+        rows = [(centre, m, parts, side, 0, 0, len(sets[m]), ngram_join.bitmap(sets[m])) for m in members]
+        names = ["centre", "node", "parts", "side", "p1", "p2", "n", "bits"]
+        return {(r["centre"], r["node"]) for r in ngram_join._possible(pa.table(dict(zip(names, zip(*rows))))).to_pylist()}
+
+    a, b = possible(100, [0, 1, 2, 3, 10, 11]), possible(101, [0, 1, 4, 6, 10, 11])
+    assert {n for _, n in a} == {0, 1, 2, 3, 10, 11} and {n for _, n in b} == {0, 1, 10, 11}
+    assert b < a and len({c for c, _ in a}) == 3
+    assert possible(100, [0, 1, 4], parts=2) == {(100, 0), (100, 1)} and possible(100, [0, 2, 4]) == set()
