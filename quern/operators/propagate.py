@@ -53,8 +53,10 @@ def unmatched(indexes: DataFrame) -> DataFrame:
 
 
 def inherited(indexes: DataFrame, classified: DataFrame) -> DataFrame:
-    """Matched index files with their parents' labels as `classifications`. classified: file_md5sum, classifications."""
-    last = classified.groupBy(F.col("file_md5sum").alias("_md5")).agg(F.max_by("classifications", "entry_id").alias("_c"))
+    """Matched index files with their parents' labels as `classifications`. classified: file_md5sum, entry_id, classifications (evidence
+    isn't needed, and isn't shuffled)."""
+    labels = F.struct(*[F.struct(*[F.col(f"classifications.{f}.{x}").alias(x) for x in ("value", "status")]).alias(f) for f in FIELDS])
+    last = classified.select(F.col("file_md5sum").alias("_md5"), "entry_id", labels.alias("_l")).groupBy("_md5").agg(F.max_by("_l", "entry_id").alias("_c"))
     rows = indexes.where("parent_md5 is not null").join(last, F.col("parent_md5") == F.col("_md5"), "left")
 
     def field(f):

@@ -191,3 +191,15 @@ def test_files_are_never_broadcast_to_meet_records(spark):
     for name in ("catalog_matches", "run_accession_join"):
         plan = Q.QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
         assert "SortMergeJoin" in plan and "Broadcast" not in plan, name
+
+
+def test_inherited_labels_shuffle_no_evidence(spark):
+    """Files' evidence takes most of a task's memory when they are sorted by md5; only labels are inherited."""
+    rows = [("e1", "a_wgs.bam", "m1", ".bam"), ("e2", "a_wgs.bam.bai", "m2", ".bai")]
+    df = spark.createDataFrame(rows, "entry_id string, file_name string, file_md5sum string, file_format string").withColumns({"dataset_title": F.lit("t"), "dataset_id": F.lit("d"), "file_size": F.lit(30_000_000_000)})
+    found = propagate.matched_indexes(df)
+    with_evidence, without = (propagate.inherited(found, C.classify(df, evidence=e)) for e in (True, False))
+    assert with_evidence.collect() == without.collect() and without.count() == 1
+    last = with_evidence._jdf.queryExecution().optimizedPlan().toString()
+    grouped = next(x for x in last.splitlines() if "max_by(" in x)
+    assert "classifications#" not in grouped
