@@ -212,11 +212,25 @@ def group_sums(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 # --- whole texts as words --------------------------------------------------------------------------------------------
 
 #: White space as patterns and normalizers see it, and the end of a text: no cut is safe before a space that precedes it.
-LOOSE = r"^(?:[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]|$)"
+WHITE = r"\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+LOOSE = rf"^(?:[{WHITE}]|$)"
 #: Marks that are cut off the end of a piece behind a letter or a digit.
 TAILS = ".,!?;:"
 #: The letters and digits meant: Latin, Greek and Cyrillic ones that neither lower case nor a normal form ends in a mark.
 STEM = r"[0-9A-Za-z\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{12f}\x{131}-\x{24f}\x{388}-\x{3f5}\x{3f7}-\x{481}\x{48a}-\x{52f}]$"
+#: A word whose first line end stands alone between a character other than white space and a letter or digit of STEM.
+LINE = rf"^[^\n]*[^{WHITE}]\n" + STEM[:-1]
+
+
+def _in_two(words: pa.Array, head: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+    """Words (large strings without offset) cut behind so many bytes, 0 for no cut: the parts over the same bytes, and how many each word has."""
+    _, bounds, data = words.buffers()
+    k = np.flatnonzero(head)
+    if not len(k):
+        return words, np.ones(len(words), dtype=np.int64)
+    off = np.frombuffer(bounds, np.int64)[: len(words) + 1]
+    parts = pa.Array.from_buffers(words.type, len(words) + len(k), [None, pa.py_buffer(np.insert(off, k + 1, off[k] + head[k])), data])
+    return parts, 1 + (head > 0)
 
 
 class Words:
@@ -228,8 +242,12 @@ class Words:
     in which. Null texts count as empty.
     """
 
-    def __init__(self, texts: pa.Array, tails: str = TAILS, whole: bool = False):
-        """whole: texts aren't cut, for patterns that may match across the places named above."""
+    def __init__(self, texts: pa.Array, tails: str = TAILS, whole: bool = False, lines: bool = False):
+        """whole: texts aren't cut, for patterns that may match across the places named above.
+
+        lines: cut behind a single line end between a character other than white space and a letter or digit of STEM, too, and
+        before line ends behind such a letter; for patterns that take white space for itself or as one space before a letter.
+        """
         texts = pc.fill_null(level(texts).cast(pa.large_string()), "")
         parts = pa.LargeListArray.from_arrays(pa.array(range(len(texts) + 1), pa.int64()), texts) if whole else pc.split_pattern(texts, " ")
         off, tails = parts.offsets.to_numpy().astype(np.int64), "" if whole else tails
@@ -250,25 +268,25 @@ class Words:
             at, spaced = at[start], spaced[start]
             at[many], spaced[many] = len(words) + np.array(own), False
             words = pa.concat_arrays([words, pa.array([*index], pa.large_string())])
+        count = None  # of the parts of each word
+        if lines and not whole:
+            ends = pc.if_else(pc.match_substring_regex(words, LINE), pc.add(pc.find_substring(words, "\n"), 1), 0)
+            words, count = _in_two(words, ends.to_numpy(zero_copy_only=False))
+            tails = tails and tails + "\n"
         if tails:
             stems = pc.ascii_rtrim(words, characters=tails)
             cut = pc.and_(pc.less(pc.binary_length(stems), pc.binary_length(words)), pc.match_substring_regex(stems, STEM))
-            k = np.flatnonzero(cut.to_numpy(zero_copy_only=False))
-            if len(k):
-                at_k, n = pa.array(k), len(words)
-                ends = [w[len(s) :] for w, s in zip(words.take(at_k).to_pylist(), stems.take(at_k).to_pylist())]
-                codes = pa.concat_arrays([pc.if_else(cut, stems, words), pa.array(ends, pa.large_string())]).dictionary_encode()
-                words, code = codes.dictionary, codes.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-                tail = np.full(n, -1)
-                tail[k] = code[n:]
-                two = tail[at] >= 0
-                to = np.arange(len(at)) + np.cumsum(two) - two
-                off = np.concatenate([to, [len(at) + int(two.sum())]])[off]
-                both = np.empty(len(at) + int(two.sum()), dtype=np.int64)
-                both[to], both[to[two] + 1] = code[:n][at], tail[at[two]]
-                lead = np.zeros(len(both), dtype=bool)
-                lead[to] = spaced
-                at, spaced = both, lead
+            words, more = _in_two(words, pc.if_else(cut, pc.binary_length(stems), 0).to_numpy(zero_copy_only=False))
+            count = more if count is None else group_sums(more, np.concatenate([[0], np.cumsum(count)]))
+        if count is not None and len(words) > len(count):
+            codes = words.dictionary_encode()
+            words, flat = codes.dictionary, codes.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+            n = count[at]
+            to = np.cumsum(n) - n
+            off = np.concatenate([to, [int(n.sum())]])[off]
+            lead = np.zeros(off[-1], dtype=bool)
+            lead[to] = spaced
+            at, spaced = flat[spans((np.cumsum(count) - count)[at], n)], lead
         self.words, n = words, len(words)
         which = at + n * spaced
         seen = np.zeros(2 * n, dtype=bool)

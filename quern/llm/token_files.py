@@ -18,6 +18,7 @@ themselves; null ids come first. Empty table: files without rows, an empty resul
 from __future__ import annotations
 
 import functools
+import json
 import os
 import zlib
 from itertools import chain
@@ -32,10 +33,10 @@ from .shared import TAILS, PieceCache, Words, bucket_of, in_order, partitions, r
 
 SHARD_IDS = 1 << 20
 MIN_COUNT = 6
-#: Bits of a hashed slot of pairs, the slots whose pairs one round looks at, and the places up to which it sorts their pairs.
-SLOT_BITS, ROUND_SLOTS, SORTED = 20, 16384, 100_000
 #: Pieces that a worker keeps while it encodes, about; it drops them before it makes grammars.
 PIECES = 1_800_000
+#: More marks that are cut off the end of a piece, where the library's pattern is known.
+MORE_TAILS = "*#%$&"
 #: Buckets at most; they bound the driver's sample, and the tasks that write.
 MOST_BUCKETS = 16_384
 
@@ -45,120 +46,112 @@ SHARD = "bucket int, seq int, n_ids long, base int, doc_ids array<long>, doc_sta
 # --- grammar ---------------------------------------------------------------------------------------------------------
 
 
-def _slots(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    x = left.astype(np.uint32) * np.uint32(0x9E3779B1) + right.astype(np.uint32) * np.uint32(0x85EBCA77)
-    return (x >> np.uint32(32 - SLOT_BITS)).astype(np.int64)
-
-
-def _frequent(seq: np.ndarray, at: np.ndarray, slot: np.ndarray, hot: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Pairs (as keys), their counts, and the number of the pair at each place, -1 for none of them.
-
-    For many places, one pair stands for each slot, so that nothing is sorted; the others of a slot have their turn later.
+def _grouped(at: np.ndarray, seq: np.ndarray, after: np.ndarray, symbols: int) -> tuple[np.ndarray, ...]:
+    """The frequent pairs that begin at places: their places, ascending, the pair's number at each of them, and the pairs' left and
+    right symbols and counts."""
+    bits, wide = symbols.bit_length(), len(seq).bit_length()
+    pair = seq.take(at).astype(np.int64)
+    pair <<= bits
+    pair |= seq.take(after.take(at))
+    if 2 * bits + wide <= 63:  # pair and place in one number, so that sorting moves nothing else
+        pair <<= wide
+        pair |= at
+        pair.sort()
+        at = pair & ((1 << wide) - 1)
+        pair >>= wide
+    else:
+        order = np.lexsort((at, pair))
+        at, pair = at[order], pair[order]
+    first = np.flatnonzero(np.r_[True, pair[1:] != pair[:-1]]) if len(at) else np.zeros(0, dtype=np.int64)
+    n = np.diff(np.r_[first, len(at)])
+    good = n >= MIN_COUNT
+    kind = pair[first[good]]
+    at, own = at[np.repeat(good, n)], np.repeat(np.arange(len(kind)), n[good])
+    if 16 * len(at) > len(seq):
+        there = np.full(len(seq), -1)
+        there[at] = own
+        at = np.flatnonzero(there >= 0)
+        own = there.take(at)
+    else:
+        order = np.argsort(at)
+        at, own = at[order], own[order]
+    return at, own, kind >> bits, kind & ((1 << bits) - 1), n[good]
+
+
+def _apart(left: np.ndarray, right: np.ndarray, symbols: int) -> np.ndarray:
+    """The numbers of pairs, best first, of which no two can overlap: each one that no better one taken before overlaps.
+
+    Pairs that overlap no better one that is still open are taken together, until none is open.
     """
-    key = (seq.take(at) << 32) | seq.take(at + 1)
-    if len(at) <= SORTED:
-        kind, own, n = np.unique(key, return_inverse=True, return_counts=True)
-        return kind, n, own
-    table = np.zeros((1 << SLOT_BITS) + 1, dtype=np.int32)
-    table[hot] = np.arange(len(hot))
-    own = table.take(slot.take(at))
-    kind = np.zeros(len(hot), dtype=np.int64)
-    kind[own] = key
-    own = np.where(kind.take(own) == key, own, -1)
-    return kind, np.bincount(own[own >= 0], minlength=len(hot)), own
-
-
-def _apart(kind: np.ndarray, n: np.ndarray) -> list[int]:
-    """The numbers of frequent pairs, the most frequent first, of which no two can overlap."""
-    good = np.flatnonzero(n >= MIN_COUNT)
-    good = good[np.lexsort((kind[good], -n[good]))]
-    lefts, rights, chosen = set(), set(), []
-    for g, k in zip(good.tolist(), kind[good].tolist()):
-        a, b = k >> 32, k & 0xFFFFFFFF
-        if a in rights or b in lefts or (a == b and (a in lefts or b in rights)):
-            continue
-        lefts.add(a)
-        rights.add(b)
-        chosen.append(g)
-    return chosen
+    n = len(left)
+    taken, todo = np.zeros(n, dtype=bool), np.arange(n)
+    best_left, best_right = np.full(symbols, n), np.full(symbols, n)
+    is_left, is_right = np.zeros(symbols, dtype=bool), np.zeros(symbols, dtype=bool)
+    while len(todo):
+        a, b = left[todo], right[todo]
+        best_left[a[::-1]] = best_right[b[::-1]] = todo[::-1]  # of several, the last one written stays: the best
+        win = (todo <= best_right[a]) & (todo <= best_left[b])
+        best_left[a] = best_right[b] = n
+        taken[todo[win]] = is_left[a[win]] = is_right[b[win]] = True
+        todo = todo[~(win | is_right[a] | is_left[b])]
+    return np.flatnonzero(taken)
 
 
 def compress(ids: np.ndarray, starts: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """rules (n, 2), their expanded lengths and the remaining symbols. starts: where documents begin, ascending.
 
-    Pairs are counted by hashed slots; in a round, pairs of the ROUND_SLOTS fullest slots are counted exactly. Counts of
-    slots are brought up to date where pairs were replaced. It ends when no pair has MIN_COUNT places in documents.
+    Symbols stay at their places and know their neighbours' places within their document. A new pair always holds a new
+    symbol, so that a pair's count only falls: the places of pairs that aren't frequent are let go, and a round looks at
+    places of frequent pairs and at what it has replaced. It ends when no pair has MIN_COUNT places in documents.
     """
-    seq, none = ids.astype(np.int64), 1 << SLOT_BITS
-    last = np.zeros(len(seq), dtype=bool)  # the last symbol of a document: its pair is none
-    if len(seq):
-        last[np.r_[starts[1:], len(seq)] - 1] = True
-    slot = np.full(len(seq), none)
-    slot[:-1] = _slots(seq[:-1], seq[1:])
-    slot[last] = none
-    rules, lengths, size, count = [], [], np.ones(base, dtype=np.int64), None
-    while True:
-        if count is None:
-            count = np.bincount(slot, minlength=none + 1)
-            count[none] = 0
-        crowded = np.flatnonzero(count >= MIN_COUNT)
-        fullest = crowded
-        if len(crowded) > ROUND_SLOTS:
-            c = count[crowded]
-            fullest = crowded[c >= np.partition(c, len(c) - ROUND_SLOTS)[len(c) - ROUND_SLOTS]]
-        for hot, exact in ((fullest, False), (crowded, True)):
-            mark = np.zeros(none + 1, dtype=bool)
-            mark[hot] = True
-            at = np.flatnonzero(mark.take(slot))
-            if exact:
-                key = (seq[at] << 32) | seq[at + 1]
-                kind, own, n = np.unique(key, return_inverse=True, return_counts=True)
-            else:
-                kind, n, own = _frequent(seq, at, slot, hot)
-            chosen = _apart(kind, n)
-            if chosen:
-                break
-        if not chosen:
-            break
-        rule = np.full(len(kind) + 1, -1)
+    none = len(ids)  # the place before a document's first symbol and after its last
+    kind = np.int32 if none < 1 << 30 else np.int64  # short numbers: places are looked up in no order
+    seq, after, before = np.append(ids, 0).astype(kind), np.arange(1, none + 2, dtype=kind), np.arange(-1, none, dtype=kind)
+    if none:
+        after[np.r_[starts[1:], none] - 1] = before[starts] = none
+    alive = np.ones(none, dtype=bool)
+    rules, lengths, size = [], [], np.ones(base, dtype=np.int64)
+    at, own, left, right, count = _grouped(np.flatnonzero(after[:none] != none), seq, after, base)
+    while len(count):
+        order = np.lexsort((right, left, -count))
+        chosen = order[_apart(left[order], right[order], len(size))]
+        rule = np.full(len(count), -1)
         rule[chosen] = np.arange(len(chosen))
-        mine = rule[own]
+        mine = rule.take(own)
         hit = np.flatnonzero(mine >= 0)
-        place, mine = at[hit], mine[hit]
-        left, right = kind[chosen] >> 32, kind[chosen] & 0xFFFFFFFF
-        if (left == right).any():  # only a pair of one symbol twice overlaps itself: every other place of a run
-            run = np.r_[True, np.diff(place) != 1]
-            first = place[np.maximum.accumulate(np.where(run, np.arange(len(place)), 0))]
-            odd = (place - first) % 2 == 0
+        place, mine = at.take(hit), mine.take(hit)
+        on = np.flatnonzero((place[1:] == after.take(place[:-1])) & (mine[1:] == mine[:-1])) + 1
+        if len(on):  # only a pair of one symbol twice overlaps itself: every other place of a run
+            k = np.arange(len(place))
+            first = k.copy()
+            first[on] = 0
+            odd = (k - np.maximum.accumulate(first)) % 2 == 0
             place, mine = place[odd], mine[odd]
-        few = 64 * len(place) < len(seq)
-        if few:
-            gone = np.zeros(len(seq), dtype=bool)
-            gone[place] = gone[place + 1] = gone[np.maximum(place - 1, 0)] = True
-            np.subtract.at(count, slot[np.flatnonzero(gone)], 1)
+        gone = after.take(place).astype(np.int64)
         seq[place] = len(size) + mine
-        last[place] = last[place + 1]
-        keep = np.ones(len(seq), dtype=bool)
-        keep[place + 1] = False
-        keep = np.flatnonzero(keep)
-        seq, last, slot = seq.take(keep), last.take(keep), slot.take(keep)
-        new = place - np.arange(len(place))
-        near = np.concatenate([new, new[new > 0] - 1])
-        near = np.unique(near) if few else near
-        slot[near[last[near]]] = none
-        near = near[~last[near]]
-        slot[near] = _slots(seq[near], seq[near + 1])
-        if few:
-            np.add.at(count, slot[near], 1)
-            count[none] = 0
-        else:
-            count = None
-        pair = np.stack([left, right], axis=1)
+        after[place] = after.take(gone)
+        before[after.take(place)] = place
+        alive[gone] = False
+        new = np.zeros(none + 1, dtype=bool)
+        new[place] = new[none] = True
+        prior = before.take(place).astype(np.int64)
+        near = np.concatenate([place, prior[~new.take(prior)]])
+        new[near] = new[gone] = True
+        pair = np.stack([left[chosen], right[chosen]], axis=1)
         rules.append(pair)
         lengths.append(size[pair].sum(axis=1))
         size = np.concatenate([size, lengths[-1]])
+        keep = np.flatnonzero(~new.take(at))
+        at, own = at.take(keep), own.take(keep)
+        count = np.bincount(own, minlength=len(count))
+        good = count >= MIN_COUNT
+        keep = np.flatnonzero(good.take(own))
+        at, own = at.take(keep), (np.cumsum(good) - 1).take(own.take(keep))
+        more = _grouped(near[after.take(near) != none], seq, after, len(size))
+        at, own = np.concatenate([at, more[0]]), np.concatenate([own, more[1] + int(good.sum())])
+        left, right, count = (np.concatenate([x[good], y]) for x, y in zip((left, right, count), more[2:]))
     empty = np.zeros((0, 2), dtype=np.int64)
-    return np.concatenate([empty, *rules]), np.concatenate([empty[:, 0], *lengths]), seq
+    return np.concatenate([empty, *rules]), np.concatenate([empty[:, 0], *lengths]), seq[:none][alive].astype(np.int64)
 
 
 def expand(symbols: np.ndarray, rules: np.ndarray, base: int, lengths: np.ndarray) -> np.ndarray:
@@ -184,14 +177,14 @@ def expand(symbols: np.ndarray, rules: np.ndarray, base: int, lengths: np.ndarra
             to = start[at] + (lengths[at] - size if side else 0)
             pool[to[~deep]] = part[~deep]
             pool[spans(to[deep], size[deep])] = pool[spans(start[part[deep] - base], size[deep])]
-    deep = symbols >= base
-    which = np.where(deep, symbols - base, 0)
-    size = np.where(deep, lengths[which], 1)
-    to = np.cumsum(size) - size
-    out = np.empty(int(size.sum()), dtype=np.int64)
-    out[to[~deep]] = symbols[~deep]
-    out[spans(to[deep], size[deep])] = pool[spans(start[which[deep]], size[deep])]
-    return out
+    deep = np.flatnonzero(symbols >= base)
+    which = symbols[deep] - base
+    size, source = np.ones(len(symbols), dtype=np.int64), np.arange(len(pool), len(pool) + len(symbols))
+    size[deep], source[deep] = lengths[which], start[which]
+    ends = np.cumsum(size)
+    place = np.repeat(source - ends + size, size)
+    place += np.arange(len(place))
+    return np.concatenate([pool, symbols]).take(place)
 
 
 def ids_between(shard: dict, start: int, stop: int) -> np.ndarray:
@@ -212,6 +205,19 @@ def _arrays(shard: dict) -> tuple[int, np.ndarray, np.ndarray, np.ndarray]:
 # --- writing ---------------------------------------------------------------------------------------------------------
 
 
+def _byte_widths(spec: dict, size: int) -> np.ndarray | None:
+    """The bytes that each id stands for, if the vocabulary file is a byte-level one whose pattern begins a match at a space before
+    a letter, without other steps; else None."""
+    pre, model = spec.get("pre_tokenizer") or {}, spec["model"]
+    odd = spec.get("normalizer") or pre.get("type") != "ByteLevel" or pre.get("add_prefix_space") or not pre.get("use_regex", True)
+    if odd or model.get("type") != "BPE" or any(model.get(x) for x in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback")):
+        return None
+    out = np.zeros(size, dtype=np.int64)
+    for token, i in model["vocab"].items():
+        out[i] = len(token)  # a character stands for each byte
+    return out
+
+
 class Library:
     """A vocabulary file under the tokenizers library; distinct pieces of a batch are encoded once."""
 
@@ -224,45 +230,54 @@ class Library:
         self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         added = self.tokenizer.get_added_tokens_decoder()
         self.specials = [t.content for t in added.values()]
-        self.tails = "".join(c for c in TAILS if not any(c in t for t in self.specials))
+        self.widths = _byte_widths(json.loads(raw), self.size)
+        self.tails = "".join(c for c in TAILS + (MORE_TAILS if self.widths is not None else "") if not any(c in t for t in self.specials))
         plain = [(i, t) for i, t in added.items() if not (t.lstrip or t.rstrip or t.single_word or t.normalized)]
         self.mark_id, self.mark = (plain[0][0], plain[0][1].content) if plain else (-1, "")
 
     def encode_pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Pieces go to the library in groups joined by a special token: one call and one result for many pieces. Pieces that
-        hold special tokens go alone."""
-        mark = self.mark
-        alone = [i for i, p in enumerate(pieces) if mark[0] in p and any(t in p for t in self.specials)] if mark else range(len(pieces))
-        out: list = [None] * len(pieces)
-        for i, e in zip(alone, self.tokenizer.encode_batch_fast([pieces[i] for i in alone], add_special_tokens=False)):
-            out[i] = np.array(e.ids, dtype=np.int32)
-        if not mark:
-            rest = []
-        elif alone:
-            skip = {*alone}
-            rest = [i for i in range(len(pieces)) if i not in skip]
-        else:
-            rest = range(len(pieces))
-        values, lengths = [], np.zeros(len(pieces), dtype=np.int64)
-        groups = [rest[j : j + 512] for j in range(0, len(rest), 512)]
-        for k in range(0, len(groups), 16):  # some groups a call: the library's results take far more memory than the ids
-            some = groups[k : k + 16]
-            joined = self.tokenizer.encode_batch_fast([mark.join([pieces[i] for i in g]) + mark for g in some], add_special_tokens=False)
-            for g, e in zip(some, joined):
-                ids = np.array(e.ids, dtype=np.int32)
-                ends = np.flatnonzero(ids == self.mark_id)
-                lengths[g] = np.diff(ends, prepend=-1) - 1
-                values.append(ids[ids != self.mark_id])
-        if not len(alone):
-            return np.concatenate(values) if values else np.zeros(0, np.int32), lengths
-        flat, at = np.concatenate(values) if values else np.zeros(0, np.int32), 0
-        for i in rest:
-            out[i] = flat[at : at + lengths[i]]
-            at += lengths[i]
-        return np.concatenate(out), np.array([len(x) for x in out], dtype=np.int64)
+        """The ids of all pieces and their numbers. Pieces go to the library in groups: one call and one result for many of them.
+
+        Those that begin with a space and a letter or digit are put together as they are, and told apart by their bytes; others
+        are joined by a special token, or go alone if they hold one.
+        """
+        everything = "".join(pieces)
+        there = [t for t in self.specials if t in everything]
+        alone = {i for i, p in enumerate(pieces) if not self.mark or any(t in p for t in there)} if there or not self.mark else set()
+        led = [i for i, p in enumerate(pieces) if p[:1] == " " and p[1:2].isalnum() and i not in alone] if self.widths is not None else []
+        values, lengths, done = [], np.zeros(len(pieces), dtype=np.int64), []
+        for k in range(0, len(led), 16384):  # some groups a call: the library's results take far more memory than the ids
+            some = led[k : k + 16384]
+            texts = [pieces[i] for i in some]
+            ids = self._ids("".join(texts[j : j + 64]) for j in range(0, len(texts), 64))
+            ends, bounds = np.cumsum(self.widths[ids]), np.cumsum(np.fromiter(map(len, map(str.encode, texts)), np.int64, len(texts)))
+            last = np.searchsorted(ends, bounds)
+            if len(ends) and ends[-1] == bounds[-1] and (ends[last] == bounds).all():
+                lengths[some] = np.diff(last, prepend=-1)
+                values.append(ids)
+                done += some
+        skip = alone.union(done)
+        rest = [i for i in range(len(pieces)) if i not in skip]
+        for k in range(0, len(rest), 16384):
+            some = rest[k : k + 16384]
+            ids = self._ids(self.mark.join([pieces[i] for i in some[j : j + 64]]) + self.mark for j in range(0, len(some), 64))
+            lengths[some] = np.diff(np.flatnonzero(ids == self.mark_id), prepend=-1) - 1
+            values.append(ids[ids != self.mark_id])
+        for i in sorted(alone):
+            ids = self._ids([pieces[i]])
+            lengths[i] = len(ids)
+            values.append(ids)
+        order = np.array([*done, *rest, *sorted(alone)], dtype=np.int64)
+        flat, start = np.concatenate([np.zeros(0, np.int32), *values]), np.zeros(len(pieces), dtype=np.int64)
+        start[order] = np.cumsum(lengths[order]) - lengths[order]
+        return flat[spans(start, lengths)], lengths
+
+    def _ids(self, texts) -> np.ndarray:
+        """The library's ids of texts, one after the other."""
+        return np.fromiter(chain.from_iterable(e.ids for e in self.tokenizer.encode_batch_fast([*texts], add_special_tokens=False)), np.int32)
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        words = Words(texts, self.tails)
+        words = Words(texts, self.tails, lines=self.widths is not None)
         starts, lengths = self.cache.look_up(words)
         n = lengths[words.which]
         return self.cache.pool[spans(starts[words.which], n)], np.concatenate([[0], np.cumsum(n)])[words.offsets]

@@ -153,3 +153,36 @@ def test_any_pattern_is_followed(spark):
         got = {r.doc_id: r.ids for r in byte_bpe.encode_texts(docs, P.path("byte_bpe_multi_50k.tiktoken"), pattern).collect()}
         assert got == {r.doc_id: lib.encode_ordinary(r.text or "") for r in docs.collect()}
     assert P.PATTERN in byte_bpe.SAFE
+
+
+def test_words_meet_the_library_once_whatever_stands_between_them():
+    with open(P.path("byte_bpe_50k.json"), "rb") as f:
+        raw = f.read()
+    library, lib = token_files.Library(raw), Tokenizer.from_str(raw.decode())
+    first, second = [f"élan{'xyz' * i}" for i in range(40)], [f"Word{'ab' * i}" for i in range(40)]
+    texts = [f"{a}.\n{b} {a},*** {b}\n{a}" for a in first for b in second]
+    ids, bounds = library.encode(pa.array(texts))
+    assert library.cache.young.n < 5 * (len(first) + len(second))  # before: a piece for each pair of words
+    assert [ids[i:j].tolist() for i, j in zip(bounds, bounds[1:])] == [lib.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_cuts_at_line_ends_keep_the_library_s_ids():
+    with open(P.path("byte_bpe_50k.json"), "rb") as f:
+        raw = f.read()
+    library, lib, draw = token_files.Library(raw), Tokenizer.from_str(raw.decode()), random.Random(9)
+    parts = ["a", "word", "é", "\n", "\n", "\n\n", "\r\n", " ", "  ", "\x85", "\xa0", "\x0b", "\u3000", ".", "***", "%", "'s", "'", "<|endoftext|>", "<|", "٣", "漢", "\u0301", "_", "\x00"]
+    texts = ["".join(draw.choice(parts) for _ in range(draw.randint(0, 30))) for _ in range(4000)]
+    ids, bounds = library.encode(pa.array(texts))
+    assert [ids[i:j].tolist() for i, j in zip(bounds, bounds[1:])] == [lib.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_pieces_are_told_apart_whatever_the_vocabulary():
+    with open(P.path("byte_bpe_50k.json"), "rb") as f:
+        raw = f.read()
+    library, pieces = token_files.Library(raw), [" a", "", " <|endoftext|>b", "x", " né", "\n ", " a b", "<|endoftext|>", " 12", "  y"]
+    want = [library.tokenizer.encode(p, add_special_tokens=False).ids for p in pieces]
+    for widths in (library.widths, library.widths + 1, None):  # wrong widths: nothing fits, so marks tell pieces apart
+        library.widths = widths
+        values, lengths = library.encode_pieces(pieces)
+        ends = np.cumsum(lengths).tolist()
+        assert [values[i:j].tolist() for i, j in zip([0, *ends], ends)] == want
