@@ -405,12 +405,13 @@ class PieceCache:
             known = before >= 0
             if known.any():
                 k = before[known]
+                at[new[known]] = self.young.n + np.arange(len(k))
                 self.young.add(keys[new[known]], self.old.pool[spans(self.old.start[k], self.old.length[k])], self.old.length[k])
             rest = new[~known]
             if len(rest):
                 values, lengths = self.compute(words.strings(rest))
+                at[rest] = self.young.n + np.arange(len(rest))
                 self.young.add(keys[rest], values, lengths)
-            at[new] = self.young.find(keys[new])
         return self.young.start[at], self.young.length[at].astype(np.int64)
 
 

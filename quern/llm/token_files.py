@@ -21,7 +21,7 @@ import functools
 import json
 import os
 import zlib
-from itertools import chain
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -245,7 +245,7 @@ class Library:
         there = [t for t in self.specials if t in everything]
         alone = {i for i, p in enumerate(pieces) if not self.mark or any(t in p for t in there)} if there or not self.mark else set()
         led = [i for i, p in enumerate(pieces) if p[:1] == " " and p[1:2].isalnum() and i not in alone] if self.widths is not None else []
-        values, lengths, done = [], np.zeros(len(pieces), dtype=np.int64), []
+        values, lengths, done = [], np.zeros(len(pieces), dtype=np.int64), np.zeros(0, dtype=np.int64)
         for k in range(0, len(led), 16384):  # some groups a call: the library's results take far more memory than the ids
             some = led[k : k + 16384]
             texts = [pieces[i] for i in some]
@@ -255,9 +255,10 @@ class Library:
             if len(ends) and ends[-1] == bounds[-1] and (ends[last] == bounds).all():
                 lengths[some] = np.diff(last, prepend=-1)
                 values.append(ids)
-                done += some
-        skip = alone.union(done)
-        rest = [i for i in range(len(pieces)) if i not in skip]
+                done = np.concatenate([done, some])
+        left = np.ones(len(pieces), dtype=bool)
+        left[done] = left[np.array(sorted(alone), dtype=np.int64)] = False
+        rest = np.flatnonzero(left).tolist()
         for k in range(0, len(rest), 16384):
             some = rest[k : k + 16384]
             ids = self._ids(self.mark.join([pieces[i] for i in some[j : j + 64]]) + self.mark for j in range(0, len(some), 64))
@@ -274,7 +275,10 @@ class Library:
 
     def _ids(self, texts) -> np.ndarray:
         """The library's ids of texts, one after the other."""
-        return np.fromiter(chain.from_iterable(e.ids for e in self.tokenizer.encode_batch_fast([*texts], add_special_tokens=False)), np.int32)
+        out = array("i")
+        for e in self.tokenizer.encode_batch_fast([*texts], add_special_tokens=False):
+            out.fromlist(e.ids)
+        return np.array(out, dtype=np.int32)
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         words = Words(texts, self.tails, lines=self.widths is not None)
